@@ -61,12 +61,13 @@ def with_columns(
     df: DataFrame,
     text_col: str,
     new: dict[str, tuple[T.DataType, pa.DataType]],
-    start: Callable[[], Callable[[list[str | None]], list]],
+    start: Callable[[], Callable[[list], list]],
+    kind: str = "string",
 ) -> DataFrame:
     """Append columns that a Python function computes from whole texts, batch by batch.
 
     ``start()`` runs once in each task and returns the function from a list of texts to
-    one list for each new column. Rows keep their other columns; an input column of the
+    one list for each new column; ``kind`` is the Spark type that the function reads. Rows keep their other columns; an input column of the
     same name as a new one is replaced.
     """
     bounded_batches(df.sparkSession)
@@ -82,4 +83,4 @@ def with_columns(
             columns = [batch.column(c) for c in keep] + [pa.array(m, type=a) for m, a in zip(made, arrow, strict=True)]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast("string").alias("#text")).mapInArrow(run, schema)
+    return df.select(*(F.col(f"`{c}`") for c in keep), F.col(f"`{text_col}`").cast(kind).alias("#text")).mapInArrow(run, schema)

@@ -6,13 +6,29 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import byte_bpe, chat_format, line_rules
-from tidewatch.llm.common import table
+from tidewatch.llm import best_fit, byte_bpe, chat_format, iso_media, language_id, line_crf, line_rules, simhash, winnow
+from tidewatch.llm.common import remainder, table
 from tidewatch.llm.oracles import ORACLE_SQL
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
 
+def packing_items(documents: DataFrame) -> DataFrame:
+    """doc_id, source, n_tokens (words and an end) and cluster (hash of the text without case and space) of documents."""
+    text = F.coalesce("text", F.lit(""))
+    cluster = F.xxhash64(F.regexp_replace(F.lower(text), line_rules.SPACE, " "))
+    return documents.select("doc_id", "source", (F.regexp_count(text, F.lit(line_rules.WORD)) + 1).cast("long").alias("n_tokens"), cluster.alias("cluster"))
+
+
+def op1_quality_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of every document; the field is fitted on documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = remainder(F.col("doc_id"), 5) == 0
+    model = line_crf.fit(line_crf.labelled(docs.filter(~held_out), table(spark, sf_dir, "labels")))
+    scored = line_crf.score(docs, model)
+    return scored.select("doc_id", held_out.alias("held_out"), F.col("quality_score").alias("score"), (F.col("quality_score") >= line_crf.THRESHOLD).cast("int").alias("predicted"), "n_good_lines", "n_bad_lines")
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids and decoded bytes of every document, as digests."""
     return byte_bpe.digests(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
@@ -35,8 +51,44 @@ def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat_format.digest(chat_format.read_back(chat_format.format_turns(turns)))
 
 
+def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's pieces in bins of ``CAPACITY`` tokens."""
+    return best_fit.pack_documents(packing_items(table(spark, sf_dir, "documents")), "doc_id", "n_tokens", "source", "cluster")
+
+
+def op5_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint and component of every document."""
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of every document; the model is fitted on documents that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    held_out = remainder(F.col("doc_id"), 4) == 2
+    found = language_id.predict(docs.select("doc_id", "text"), language_id.fit(docs.filter(~held_out)))
+    return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
+
+
+def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document stored as a container and read back by its sample tables."""
+    media = iso_media.stored_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return iso_media.digests(media.select("doc_id", "n_bytes", "media")).drop("media")
+
+
+def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the repeated runs of lines, as a digest of what is left."""
+    cleaned = winnow.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return cleaned.select("doc_id", "n_lines", "n_lines_removed", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("left_sha256"))
+
+
 QUERIES = {
+    "op1_quality_crf": op1_quality_crf,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_quality_rules": op3_quality_rules,
+    "op4_best_fit": op4_best_fit,
+    "op5_simhash": op5_simhash,
     "op6_chat_format": op6_chat_format,
+    "op7_language_id": op7_language_id,
+    "op9_iso_media": op9_iso_media,
+    "op10_winnow": op10_winnow,
 }
