@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import best_fit, byte_bpe, chat_format, iso_media, language_id, line_crf, line_rules, simhash, winnow
+from tidewatch.llm import best_fit, byte_bpe, chat_format, iso_media, katz, language_id, line_crf, line_rules, simhash, winnow
 from tidewatch.llm.common import remainder, table
 from tidewatch.llm.oracles import ORACLE_SQL
 
@@ -69,6 +69,12 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", held_out.alias("held_out"), "lang_pred", F.col("lang_score").alias("score"))
 
 
+def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the bigram model of those that aren't held out."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return katz.score(docs, remainder(F.col("doc_id"), 7) == 2)
+
+
 def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a container and read back by its sample tables."""
     media = iso_media.stored_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -89,6 +95,7 @@ QUERIES = {
     "op5_simhash": op5_simhash,
     "op6_chat_format": op6_chat_format,
     "op7_language_id": op7_language_id,
+    "op8_katz": op8_katz,
     "op9_iso_media": op9_iso_media,
     "op10_winnow": op10_winnow,
 }
