@@ -1 +1 @@
-
+"""Scalar and aggregate column functions."""

@@ -1,4 +1,361 @@
-"""Registered queries of the core library."""
+"""Registered queries of the core library: each operator over whole given tables."""
+
+from __future__ import annotations
+
+import functools
+from collections.abc import Callable
+from datetime import UTC, datetime
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from tidewatch.functions import columns as fn
+from tidewatch.operators import activation, asof, constraints, evaluation, ml, panel, profile, splits
+from tidewatch.plans import fixtures
+from tidewatch.plans.oracles import ORACLE_SQL
+from tidewatch.sources import contracts, sinks
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+
+DECISION_TIME = datetime(2001, 8, 2, tzinfo=UTC)
+POLICY = activation.Policy(maximum_prediction_age_days=365)
+CUTS = splits.Cuts(validation="1999-01-01", test="2000-01-01", scoring="2001-01-01")
+T = fixtures.THRESHOLD
+
+
+def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Register a query; its days come out as ISO text."""
+
+    @functools.wraps(f)
+    def run(spark: SparkSession, sf: str) -> DataFrame:
+        df = f(spark, sf)
+        return df.select(*(F.col(c).cast("string").alias(c) if t == "date" else F.col(c) for c, t in df.dtypes))
+
+    QUERIES[f.__name__] = run
+    return f
+
+
+def rounded(df: DataFrame) -> DataFrame:
+    """Doubles to six places."""
+    return df.select(*(F.round(c, 6).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+
+
+def raw_panel(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.build(spark, sf, fixtures.RAW_PANEL)
+
+
+def staged(spark: SparkSession, sf: str) -> DataFrame:
+    """The staged panel: labels from clean values first, then flags."""
+    out = panel.goal_metrics(raw_panel(spark, sf))
+    out = panel.recency(out, "member_id", "activity_date", "app_sessions")
+    return panel.category_changed(panel.quality_flags(out), "member_id", "activity_date", "activity_level")
+
+
+def user_days(spark: SparkSession, sf: str) -> DataFrame:
+    days = fixtures.build(spark, sf, fixtures.USER_DAY)
+    zero = dict.fromkeys(("active_minutes", "app_sessions", "rewards_viewed", "rewards_redeemed"), 0)
+    at = lambda d: F.lit(d).cast("date")
+    return panel.densify(days, "entity_id", "activity_date", {**zero, "weekly_goal": F.max("weekly_goal")}, at("2024-01-01"), at("2024-01-30"))
+
+
+def scored(spark: SparkSession, sf: str) -> DataFrame:
+    return fixtures.build(spark, sf, fixtures.SCORED)
+
+
+def predictions(spark: SparkSession, sf: str) -> DataFrame:
+    rows = scored(spark, sf).select("member_id", "prediction_date", F.col("p").alias("risk_probability"))
+    return evaluation.classify(rows, "risk_probability", T, "logistic")
+
+
+def contexts(spark: SparkSession, sf: str) -> DataFrame:
+    rows = fixtures.build(spark, sf, fixtures.CONTEXT)
+    at = F.lit(DECISION_TIME).cast("timestamp")
+    last = at - F.make_dt_interval(F.col("days_since_contact"))
+    return rows.select("member_id", "contact_allowed", "opted_out", "active_case_open", last.alias("last_contacted_at"), "interventions_last_28d", at.alias("context_as_of"))
+
+
+def decisions(spark: SparkSession, sf: str) -> DataFrame:
+    return activation.decide(predictions(spark, sf), contexts(spark, sf), POLICY, DECISION_TIME, "run")
+
+
+@query
+def staging_supplier_day(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(panel.stage(raw_panel(spark, sf).withColumnRenamed("activity_date", "date").withColumn("date", F.col("date").cast("timestamp"))))
+
+
+@query
+def quality_flags(spark: SparkSession, sf: str) -> DataFrame:
+    flags = panel.quality_flags(raw_panel(spark, sf))
+    return flags.select("member_id", "activity_date", "sleep_hours_missing", "app_sessions_missing", "is_step_outlier", "is_late_record", "available_date")
+
+
+@query
+def constraint_report(spark: SparkSession, sf: str) -> DataFrame:
+    return constraints.run(staged(spark, sf), constraints.panel_rules())
+
+
+@query
+def context_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    return constraints.run(contexts(spark, sf), constraints.context_rules())
+
+
+@query
+def prediction_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    return constraints.run(predictions(spark, sf), constraints.score_rules())
+
+
+@query
+def features_28d(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(asof.features(staged(spark, sf)))
+
+
+@query
+def leak_audit(spark: SparkSession, sf: str) -> DataFrame:
+    return asof.leak_audit(asof.features(staged(spark, sf)))
+
+
+@query
+def densify_user_day(spark: SparkSession, sf: str) -> DataFrame:
+    return user_days(spark, sf)
+
+
+@query
+def weekly_progress(spark: SparkSession, sf: str) -> DataFrame:
+    out = panel.weekly_progress(user_days(spark, sf), "entity_id", "activity_date", "active_minutes", "weekly_goal")
+    return out.select("entity_id", "activity_date", "week_start", "weekly_active_minutes_so_far", "goal_completion_percentage")
+
+
+@query
+def goal_streak_failures(spark: SparkSession, sf: str) -> DataFrame:
+    return panel.goal_history(user_days(spark, sf), "entity_id", "activity_date", "active_minutes", "weekly_goal")
+
+
+@query
+def future7_label(spark: SparkSession, sf: str) -> DataFrame:
+    out = panel.future_total(user_days(spark, sf), "entity_id", "activity_date", "active_minutes", "weekly_goal")
+    return out.select("entity_id", "activity_date", "future_7_day_active_minutes", "next_week_goal_completed", "will_miss_goal_next_7_days")
+
+
+@query
+def label_tail(spark: SparkSession, sf: str) -> DataFrame:
+    out = panel.future_total(user_days(spark, sf), "entity_id", "activity_date", "active_minutes", "weekly_goal")
+    return constraints.label_tail(out, "activity_date", "will_miss_goal_next_7_days")
+
+
+@query
+def recency_days(spark: SparkSession, sf: str) -> DataFrame:
+    return panel.recency(user_days(spark, sf), "entity_id", "activity_date", "app_sessions").select("entity_id", "activity_date", "days_since_last_app_session")
+
+
+@query
+def category_change_flag(spark: SparkSession, sf: str) -> DataFrame:
+    out = panel.category_changed(raw_panel(spark, sf), "member_id", "activity_date", "activity_level")
+    return out.select("member_id", "activity_date", "activity_level", "activity_level_changed")
+
+
+@query
+def edge_rows(spark: SparkSession, sf: str) -> DataFrame:
+    rows = raw_panel(spark, sf).select("member_id", "activity_date", "active_minutes")
+    first = panel.edge_rows(rows, "member_id", "activity_date", 7).withColumn("edge", F.lit("first"))
+    return first.unionByName(panel.edge_rows(rows, "member_id", "activity_date", 7, last=True).withColumn("edge", F.lit("last")))
+
+
+@query
+def chronological_split(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.assign(raw_panel(spark, sf).select("member_id", "activity_date"), "activity_date", CUTS)
+
+
+@query
+def split_report(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.report(splits.assign(staged(spark, sf), "activity_date", CUTS), "activity_date", "member_id", "will_miss_goal_next_7_days")
+
+
+@query
+def split_overlaps(spark: SparkSession, sf: str) -> DataFrame:
+    return splits.overlaps(split_report(spark, sf)).select("dataset_split", "first_day", "previous_last_day")
+
+
+@query
+def threshold_sweep_1001(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.sweep(scored(spark, sf), "actual_label", "p"))
+
+
+@query
+def best_threshold(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.best_threshold(evaluation.sweep(scored(spark, sf), "actual_label", "p")))
+
+
+@query
+def confusion_at_frozen(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.confusion(scored(spark, sf), "actual_label", "p", T))
+
+
+@query
+def macro_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.macro(scored(spark, sf), "actual_label", "p", T))
+
+
+@query
+def calibration_ntile(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.calibration_count(scored(spark, sf), "actual_label", "p", "k"))
+
+
+@query
+def calibration_equal_width(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.calibration_width(scored(spark, sf), "actual_label", "p"))
+
+
+@query
+def ece_max_gap(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.calibration_error(evaluation.calibration_width(scored(spark, sf), "actual_label", "p")))
+
+
+@query
+def top_decile_ntile(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.top_tile(scored(spark, sf), "actual_label", "p", "k"))
+
+
+@query
+def top_decile_ceil(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.top_fraction(scored(spark, sf), "actual_label", "p", "k"))
+
+
+@query
+def ranking_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.ranking_metrics(scored(spark, sf), "actual_label", "p"))
+
+
+@query
+def pr_auc_grid(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.pr_auc_grid(evaluation.sweep(scored(spark, sf), "actual_label", "p")))
+
+
+@query
+def probability_metrics(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.probability_metrics(scored(spark, sf), "actual_label", "p"))
+
+
+@query
+def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T))
+
+
+@query
+def score_classify(spark: SparkSession, sf: str) -> DataFrame:
+    return predictions(spark, sf)
+
+
+@query
+def score_summary(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(evaluation.score_summary(predictions(spark, sf)))
+
+
+@query
+def activation_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    return decisions(spark, sf).select("member_id", "prediction_date", "outcome", "reason_code", "risk_probability", "intervention_category", "priority_rank", "suppression_until")
+
+
+@query
+def activation_run_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return activation.run_counts(decisions(spark, sf))
+
+
+@query
+def review_queue(spark: SparkSession, sf: str) -> DataFrame:
+    return activation.review_queue(decisions(spark, sf)).select("member_id", "prediction_date", "risk_probability", "intervention_category", "priority_rank", "review_status")
+
+
+@query
+def decision_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    return constraints.run(decisions(spark, sf), activation.decision_rules(POLICY.maximum_activations_per_run))
+
+
+@query
+def null_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.null_rates(raw_panel(spark, sf)))
+
+
+@query
+def describe_panel(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.describe(raw_panel(spark, sf), ["daily_steps", "active_minutes", "sleep_hours", "app_sessions"]))
+
+
+@query
+def value_shares(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.value_shares(profile.one_for_each(raw_panel(spark, sf), "member_id", "activity_date"), "age_band"))
+
+
+@query
+def rate_by_group(spark: SparkSession, sf: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "lang").join(spark.read.parquet(f"{sf}/labels.parquet"), "doc_id")
+    return rounded(profile.rate_by(rows, "lang", "quality"))
+
+
+@query
+def flag_rates(spark: SparkSession, sf: str) -> DataFrame:
+    return rounded(profile.flag_rates(raw_panel(spark, sf), ["intervention_received", "intervention_opened", "intervention_clicked"], within="intervention_received"))
+
+
+@query
+def rows_for_each_entity(spark: SparkSession, sf: str) -> DataFrame:
+    return profile.rows_for_each(raw_panel(spark, sf), "member_id")
+
+
+@query
+def event_property(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON properties under a schema; malformed ones fail."""
+    events = spark.read.parquet(f"{sf}/events.parquet")
+    parsed = events.select("event_type", F.from_json("props", "k bigint", {"mode": "FAILFAST"})["k"].alias("k"))
+    return parsed.groupBy("event_type").agg(F.count("k").alias("n"), F.sum("k").alias("total"), F.min("k").alias("least"), F.max("k").alias("most"))
+
+
+@query
+def conflict_finder(spark: SparkSession, sf: str) -> DataFrame:
+    """Stored scores against scores that differ for some days."""
+    now = predictions(spark, sf).select("member_id", "prediction_date", "risk_probability")
+    then = now.withColumn("risk_probability", F.when(F.col("member_id") % 7 == 0, F.lit(None)).otherwise(F.col("risk_probability")))
+    return sinks.conflicts(now, then, ["member_id", "prediction_date"])
+
+
+@query
+def insert_only_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that an insert-only merge would add to a table that holds the earlier dates."""
+    now = predictions(spark, sf).select("member_id", "prediction_date", "risk_probability")
+    return sinks.new_rows(now, now.filter(F.col("prediction_date") < F.lit("2000-01-01").cast("date")), ["member_id", "prediction_date"])
+
+
+@query
+def dataset_digest_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """A digest of every nation, by the canonical row text that dataset digests add up."""
+    nation = contracts.conform(spark.read.parquet(f"{sf}/nation.parquet"), contracts.schema("n_nationkey bigint, n_name string, n_regionkey bigint"))
+    return nation.select("n_nationkey", fn.row_digest(nation.columns).alias("digest"))
+
+
+def _model_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str], list[str], str]:
+    table = splits.assign(asof.features(staged(spark, sf)), "prediction_date", CUTS)
+    label = "label_will_miss_goal_next_7_days"
+    categorical = ["age_band_as_of", "activity_level_as_of", "reward_profile_as_of"]
+    numeric = [c for c in asof.predictors(table) if c not in categorical]
+    return readers_frame(table, label, categorical, numeric), categorical, numeric, label
+
+
+def readers_frame(table: DataFrame, label: str, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """The model's columns only: keys, split, label and approved predictors."""
+    return table.select("member_id", "prediction_date", "dataset_split", label, *categorical, *(F.col(c).cast("double").alias(c) for c in numeric))
+
+
+@query
+def risk_model_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Logistic regression fitted on train, threshold chosen on validation, applied to scoring."""
+    frame, categorical, numeric, label = _model_frame(spark, sf)
+    frame = frame.persist()
+    train = frame.filter("dataset_split = 'train'")
+    imputation = ml.fit_imputation(train, categorical, numeric)
+    model = ml.fit(ml.logistic_pipeline(train.count(), categorical, numeric), train, label, imputation)
+    validation = ml.positive_probability(model, frame.filter(f"dataset_split = 'validation' and {label} is not null"), imputation)
+    chosen = evaluation.best_threshold(evaluation.sweep(validation, label, "risk_probability")).first()["threshold"]
+    return ml.score(model, frame.filter("dataset_split = 'scoring'"), imputation, "logistic", chosen)
+
 
-QUERIES: dict = {}
-ORACLE_SQL: dict[str, str] = {}

@@ -1 +1 @@
-
+"""Contracts, readers and sinks."""
