@@ -35,7 +35,7 @@ _ARROW = pa.list_(pa.struct([("key", pa.binary()), ("mark", pa.binary()), ("at",
 
 def windows(text: str | None, min_words: int) -> list[dict]:
     """The windows of a text: hash of the content, fingerprint, first and last line."""
-    lines = [(i, line, n) for i, line in enumerate((text or "").split("\n")) if (n := len(line.split()))]
+    lines = [(i, line, n) for i, line in enumerate((text or "").split("\n")) if (n := len(line.encode().split()))]
     if not lines:
         return []
     hashes = [xxhash.xxh3_128_digest(line) for _, line, _ in lines]
@@ -83,8 +83,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     spans = repeated(df, id_col, text_col, min_words)
     rows = df.select(*(F.col(f"`{c}`") for c in keep)).withColumns({"#key": F.col(f"`{id_col}`"), "#text": F.xxhash64(text)})
     joined = rows.join(spans, F.col("#key").eqNullSafe(F.col("#id")) & (F.col("#text") == F.col("#hash")), "left")
-    gone = F.array_distinct(F.flatten(F.transform("#spans", lambda s: F.sequence(s["first"], s["last"]))))
-    lines = joined.select(*keep, F.split(text, "\n", -1).alias("#lines"), gone.alias("#gone"))
+    inside = F.array_distinct(F.flatten(F.transform("#spans", lambda s: F.sequence(s["first"], s["last"]))))
+    lines = joined.select(*keep, F.split(text, "\n", -1).alias("#lines"), inside.alias("#inside"))
+    lines = lines.withColumn("#gone", F.filter("#inside", lambda i: F.get("#lines", i).rlike(r"[^\x20\x09-\x0D]")))
     left = F.when(F.col("#gone").isNull(), F.col("#lines")).otherwise(F.transform(F.array_except(F.sequence(F.lit(0), F.size("#lines") - 1), "#gone"), lambda i: F.get("#lines", i)))
     lines = lines.withColumn("#left", F.array_join(left, "\n"))
     cleaned = F.when(F.col("#gone").isNotNull() & ~F.col("#left").rlike(r"[^\x20\x09-\x0D]"), F.lit("")).when(F.col("#gone").isNull(), F.col(f"`{text_col}`")).otherwise(F.col("#left"))
