@@ -98,3 +98,11 @@ def test_scalars(spark):
     assert (out[0]["b"], out[2]["b"], out[0]["k"], out[2]["k"]) == (3, 9, 3, 10)
     arr = spark.sql("select array(named_struct('label', 'true', 'prob', 0.7D)) as a").select(fn.named_value(F.col("a"), "label", "true", "prob").alias("x"), fn.named_value(F.col("a"), "label", "no", "prob").alias("y")).first()
     assert (arr["x"], arr["y"]) == (0.7, None)
+
+
+def test_freeze(spark, tmp_path):
+    row = spark.createDataFrame([("m", 0.4)], "model_name string, threshold double")
+    assert sinks.freeze(row, f"{tmp_path}/f").first()["threshold"] == 0.4
+    assert sinks.freeze(row, f"{tmp_path}/f").count() == 1
+    with pytest.raises(sinks.ConflictError):
+        sinks.freeze(row.withColumn("threshold", F.lit(0.5)), f"{tmp_path}/f")

@@ -195,6 +195,12 @@ def review_queue(decisions: DataFrame) -> DataFrame:
     return chosen.select(*(c for c in DECISION_COLUMNS if c not in ("outcome", "reason_code")), F.lit(REVIEW_STATUS).alias("review_status"))
 
 
+def queue_row(queue: DataFrame, sources: dict[str, str]) -> DataFrame:
+    """The queue's one row of metadata: its run, its size and the digests of what it was made from."""
+    row = queue.agg(F.first("run_id").alias("run_id"), F.count("*").alias("row_count"), F.max("priority_rank").alias("last_rank"))
+    return row.select("*", *(F.lit(v).alias(k) for k, v in sorted(sources.items())))
+
+
 def decision_rules(capacity: int) -> list[Rule]:
     """Rules of a decision table."""
     c = F.col

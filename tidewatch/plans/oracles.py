@@ -277,6 +277,18 @@ _DECISION_CHECKS = {
     "ranks_contiguous": "abs(count(priority_rank) - coalesce(max(priority_rank), 0)) + count(priority_rank) - count(distinct priority_rank)",
     "capacity": "greatest(count(priority_rank) - 100, 0)",
 }
+_METRIC_CHECKS = {
+    "roc_auc": _bad("not roc_auc between 0.5 and 1"),
+    "pr_auc_above_base_rate": _bad("pr_auc <= base_positive_rate"),
+    "brier_score": _bad("not brier_score between 0 and 0.25"),
+    "lift_above_one": _bad("top_decile_lift <= 1"),
+    "calibration_error": _bad("not expected_calibration_error between 0 and 0.1"),
+    "confusion_total": _bad("true_positives + false_positives + true_negatives + false_negatives <> row_count"),
+}
+_OTHER = (
+    "other as (select actual_label, (p + (k % 10) / cast(10 as double)) / 2 as p from s), "
+    + _CURVE.strip().replace("from s ", "from other ").replace("pts1", "other1").replace("pts2", "other2").replace("curve as", "other_curve as")
+)
 _SPLIT = "case when {d} < date '1999-01-01' then 'train' when {d} < date '2000-01-01' then 'validation' when {d} < date '2001-01-01' then 'test' else 'scoring' end"
 _REPORT = f"""
 with {_STAGED}
@@ -361,6 +373,11 @@ select member_id, activity_date, active_minutes, 'first' as edge from n where f
     "pr_auc_grid": f"with {_SWEEP}, {_GRID} select round(approximate_pr_auc, 6) as approximate_pr_auc from grid",
     "probability_metrics": f"with {_SCORED}, {_PROB} select row_count, round(base_positive_rate, 6) as base_positive_rate, round(mean_predicted_probability, 6) as mean_predicted_probability, round(log_loss, 6) as log_loss, round(brier_score, 6) as brier_score from prob",
     "validation_summary": _SUMMARY,
+    "metric_constraints": f"with m as ({_SUMMARY}) {_report('m', _METRIC_CHECKS)}",
+    "model_comparison": f"""with s as ({fixtures.SCORED}), {_CURVE}, {_OTHER},
+pair as (select 'logistic' as model_name, * from curve union all select 'boosted', * from other_curve)
+select round(roc_auc, 6) as roc_auc, round(pr_auc, 6) as pr_auc, round(average_precision, 6) as average_precision, model_name,
+  row_number() over (order by pr_auc desc, model_name) = 1 as is_chosen from pair""",
     "score_classify": f"with {_PREDICTIONS} select * from pr",
     "score_summary": f"""with {_PREDICTIONS}
 select count(*) as row_count, count(distinct member_id) as member_count, min(prediction_date) as minimum_prediction_date, max(prediction_date) as maximum_prediction_date,

@@ -242,6 +242,20 @@ def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
     return rounded(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T))
 
 
+@query
+def metric_constraints(spark: SparkSession, sf: str) -> DataFrame:
+    return constraints.run(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T), constraints.metric_rules())
+
+
+@query
+def model_comparison(spark: SparkSession, sf: str) -> DataFrame:
+    """Two scores of the same rows; the one of higher PR area is chosen."""
+    rows = scored(spark, sf)
+    other = rows.withColumn("p", (F.col("p") + (F.col("k") % 10) / 10.0) / 2)
+    found = {"boosted": evaluation.ranking_metrics(other, "actual_label", "p"), "logistic": evaluation.ranking_metrics(rows, "actual_label", "p")}
+    return rounded(evaluation.compare(found))
+
+
 @query
 def score_classify(spark: SparkSession, sf: str) -> DataFrame:
     return predictions(spark, sf)

@@ -69,6 +69,18 @@ def write_metadata(row: DataFrame, path: str) -> str:
     return path
 
 
+def freeze(row: DataFrame, path: str) -> DataFrame:
+    """A one-row record that is written once: later calls with the same values read it, others are errors."""
+    spark = row.sparkSession
+    target = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    if not target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target):
+        row.coalesce(1).write.parquet(path)
+    stored = spark.read.parquet(path)
+    if constraints.differences(stored, row).limit(1).count():
+        raise ConflictError(f"{path} holds another record")
+    return stored
+
+
 def save_table(df: DataFrame, name: str, comment: str) -> None:
     """Create or replace a table with a comment."""
     df.write.mode("overwrite").saveAsTable(name)
