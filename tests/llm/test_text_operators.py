@@ -149,3 +149,12 @@ def test_broken_media(spark):
             iso_media.track(memoryview(bytes(bad)))
         except iso_media.MediaError:
             pass
+
+
+def test_counting_in_parts_changes_nothing(monkeypatch):
+    texts = ["One line here.\nTWO!! | THREE\n\nfour $$$ five", None, "x" * 50 + "\n\n" + "Y" * 33, "é\n"]
+    whole = line_crf.line_features(texts)
+    for part in (1, 7, 64):
+        monkeypatch.setattr(line_crf, "COUNTED", part)
+        for a, b in zip(whole, line_crf.line_features(texts), strict=True):
+            assert (a == b).all()

@@ -39,6 +39,8 @@ CLASSES = np.full(256, OTHER, np.int64)
 for _chars, _class in ((range(97, 123), LOWER), (range(65, 91), UPPER), (range(48, 58), DIGIT), (b" \t\r\x0b\x0c", SPACE), (b"#*$%&<>", SYMBOL), (b"|", PIPE), (b"!", BANG), (b".?", STOP), (b",;:", COMMA), (range(128, 256), HIGH), (b"\n", END)):
     CLASSES[list(_chars)] = _class
 N_CLASSES = 12
+#: Bytes that are counted at once.
+COUNTED = 1 << 22
 #: Features of one line; a line has those of its neighbours too.
 N_FEATURES = 16
 
@@ -61,13 +63,13 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     starts = ends + 1 - lens
     n = len(ends)
     counts = np.zeros((n, N_CLASSES), np.float32)
-    step = 1 << 22
-    line = np.repeat(np.arange(n), lens)
-    for a in range(0, len(data), step):
-        part = line[a : a + step]
-        low = part[0]
-        found = np.bincount((part - low) * N_CLASSES + CLASSES[data[a : a + step]], minlength=(part[-1] - low + 1) * N_CLASSES)
-        counts[low : part[-1] + 1] += found.reshape(-1, N_CLASSES)
+    for a in range(0, len(data), COUNTED):
+        b = min(a + COUNTED, len(data))
+        low, high = np.searchsorted(ends, [a, b - 1])
+        inside = np.minimum(ends[low : high + 1], b - 1) - np.maximum(starts[low : high + 1], a) + 1
+        line = np.repeat(np.arange(high - low + 1), inside)
+        found = np.bincount(line * N_CLASSES + CLASSES[data[a:b]], minlength=(high - low + 1) * N_CLASSES)
+        counts[low : high + 1] += found.reshape(-1, N_CLASSES)
     size = np.maximum(lens - 1, 1).astype(np.float32)
     ink = np.maximum(lens - 1 - counts[:, SPACE], 0)
     words = np.maximum(counts[:, SPACE] + 1, 1)
