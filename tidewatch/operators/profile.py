@@ -23,13 +23,18 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
     return counts.crossJoin(F.broadcast(total)).select("value", "row_count", (F.col("row_count") / F.col("#total")).alias("share"))
 
 
-def describe(df: DataFrame, columns: list[str]) -> DataFrame:
-    """A row for each numeric column: count, mean, deviation, least, exact 1st, 50th and 99th percentile, greatest."""
+def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
+    """A row for each numeric column: count, mean, deviation, least, 1st, 50th and 99th percentile, greatest.
+
+    Percentiles are exact, which needs a column's distinct values in one task; for columns of
+    very many values give ``accuracy``, and sketches of that size are merged instead.
+    """
+    at = lambda c, q: (F.percentile(c, F.lit(q)) if accuracy is None else F.percentile_approx(c, q, accuracy)).cast("double")
     one = df.agg(
         *(
             F.struct(
                 F.lit(c).alias("column_name"), F.count(c).alias("value_count"), F.avg(c).alias("mean"), F.stddev_samp(c).alias("standard_deviation"), F.min(c).cast("double").alias("minimum"),
-                F.percentile(c, F.lit(0.01)).alias("p01"), F.percentile(c, F.lit(0.5)).alias("p50"), F.percentile(c, F.lit(0.99)).alias("p99"), F.max(c).cast("double").alias("maximum"),
+                at(c, 0.01).alias("p01"), at(c, 0.5).alias("p50"), at(c, 0.99).alias("p99"), F.max(c).cast("double").alias("maximum"),
             ).alias(c)
             for c in columns
         )
