@@ -158,3 +158,10 @@ def test_counting_in_parts_changes_nothing(monkeypatch):
         monkeypatch.setattr(line_crf, "COUNTED", part)
         for a, b in zip(whole, line_crf.line_features(texts), strict=True):
             assert (a == b).all()
+
+
+def test_filters_stay_above_the_rules(spark):
+    long = "\n".join(f"Line {i} of a long text with the same words in it." for i in range(4000))
+    kept = line_rules.evaluate(spark.createDataFrame([(1, long), (2, GOOD)], "doc_id long, text string")).filter("kept and not base_failed")
+    assert [r["doc_id"] for r in kept.collect()] == [2]
+    assert "inline" in kept._jdf.queryExecution().optimizedPlan().toString()

@@ -57,6 +57,16 @@ def stored(df: DataFrame, what: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def sealed(df: DataFrame, keep: list[str], made: dict[str, Column]) -> DataFrame:
+    """The columns ``keep`` and ``made``, so that filters on ``made`` stay above their evaluation.
+
+    Pushed below it, a filter would repeat nested array expressions inside their own lambdas,
+    for each element again; a generator of one row is a step that no filter passes.
+    """
+    one = F.array(F.struct(*(c.alias(n) for n, c in made.items())))
+    return df.select(*(F.col(f"`{c}`") for c in keep), F.inline(one))
+
+
 def with_columns(
     df: DataFrame,
     text_col: str,

@@ -22,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import sealed
+
 SPACE = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 SYMBOLS = r"[#*$%&|<>]"
@@ -125,4 +127,5 @@ def evaluate(df: DataFrame, text_col: str = "text") -> DataFrame:
     failed = (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))
     result = result.withColumn("base_failed", failed)
     verdict = ~F.col("base_failed") & (F.col("kept_chars") >= F.col("word_chars") * F.lit(MIN_KEPT))
-    return result.withColumn("kept", verdict).select(*keep, *RESULTS)
+    result = result.withColumn("kept", verdict)
+    return sealed(result, keep, {c: F.col(c) for c in RESULTS})

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import stored, with_columns
+from tidewatch.llm.common import sealed, stored, with_columns
 
 MIN_WORDS = 50
 
@@ -89,8 +89,9 @@ def remove_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     left = F.when(F.col("#gone").isNull(), F.col("#lines")).otherwise(F.transform(F.array_except(F.sequence(F.lit(0), F.size("#lines") - 1), "#gone"), lambda i: F.get("#lines", i)))
     lines = lines.withColumn("#left", F.array_join(left, "\n"))
     cleaned = F.when(F.col("#gone").isNotNull() & ~F.col("#left").rlike(r"[^\x20\x09-\x0D]"), F.lit("")).when(F.col("#gone").isNull(), F.col(f"`{text_col}`")).otherwise(F.col("#left"))
-    return lines.select(
-        *(cleaned.alias(text_col) if c == text_col else F.col(f"`{c}`") for c in keep),
-        F.size("#lines").cast("long").alias("n_lines"),
-        F.coalesce(F.size("#gone"), F.lit(0)).cast("long").alias("n_lines_removed"),
-    )
+    made = {
+        text_col: cleaned,
+        "n_lines": F.size("#lines").cast("long"),
+        "n_lines_removed": F.coalesce(F.size("#gone"), F.lit(0)).cast("long"),
+    }
+    return sealed(lines, [c for c in keep if c != text_col], made).select(*keep, "n_lines", "n_lines_removed")
