@@ -17,7 +17,9 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import struct
 from collections.abc import Callable, Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -31,10 +33,14 @@ from tidewatch.llm.common import BINARY, bounded_batches, with_columns
 
 CHUNK = 16_384
 OVERLAP = 512
+#: Bytes of a pre-token that is scanned for its best pair, and a rank that no pair has.
+SHORT, NEVER = 128, 1 << 62
 #: Boundaries this near to a chunk's end may depend on what follows.
 MARGIN = 4
-#: Distinct pre-tokens whose ids a task remembers.
-CACHE = 300_000
+#: Distinct pre-tokens whose ids a worker process remembers.
+CACHE = 600_000
+#: Ids of pre-tokens by vocabulary and pattern; a worker process keeps them from task to task.
+_KNOWN: dict[tuple[str, str], dict[str, bytes]] = {}
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -46,11 +52,23 @@ def read_ranks(path: str) -> dict[bytes, int]:
 def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     """The ids of one pre-token: the pair of the lowest rank merges first, the leftmost of equals.
 
-    A heap of candidate pairs over linked parts, so long pre-tokens cost n log n.
+    Short pre-tokens are scanned; longer ones use a heap of candidate pairs over linked parts,
+    so that they cost n log n.
     """
     if piece in ranks:
         return [ranks[piece]]
     n = len(piece)
+    if n <= SHORT:
+        starts, get = list(range(n + 1)), ranks.get
+        pairs = [get(piece[i : i + 2], NEVER) for i in range(n - 1)]
+        while pairs and (best := min(pairs)) != NEVER:
+            i = pairs.index(best)
+            del starts[i + 1], pairs[i]
+            if i < len(pairs):
+                pairs[i] = get(piece[starts[i] : starts[i + 2]], NEVER)
+            if i:
+                pairs[i - 1] = get(piece[starts[i - 1] : starts[i + 1]], NEVER)
+        return [ranks[piece[a:b]] for a, b in pairwise(starts)]
     ends, nexts, before = list(range(1, n + 1)), list(range(1, n + 1)), list(range(-1, n - 1))
     heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i : i + 2])) is not None]
     heapq.heapify(heap)
@@ -74,9 +92,12 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-def encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str], bytes]:
-    """From a text to its ids as little-endian unsigned 32-bit integers."""
-    find, cache = regex.compile(pattern).findall, {}
+def encoder(ranks: dict[bytes, int], pattern: str, vocabulary: str | None = None) -> Callable[[str], bytes]:
+    """From a text to its ids as little-endian unsigned 32-bit integers.
+
+    Encoders of the same ``vocabulary`` in one process share what they remember.
+    """
+    find, cache = regex.compile(pattern).findall, {} if vocabulary is None else _KNOWN.setdefault((vocabulary, pattern), {})
 
     def encode(text: str) -> bytes:
         words = find(text)
@@ -87,7 +108,8 @@ def encoder(ranks: dict[bytes, int], pattern: str) -> Callable[[str], bytes]:
         if len(cache) > CACHE:
             cache.clear()
         for word in set(words).difference(cache):
-            cache[word] = np.array(merge(word.encode(), ranks), "<u4").tobytes()
+            ids = merge(word.encode(), ranks)
+            cache[word] = struct.pack(f"<{len(ids)}I", *ids)
         return b"".join(map(cache.__getitem__, words))
 
     return encode
@@ -156,7 +178,7 @@ def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id",
     ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
 
     def start():
-        encode_one, decode_one = encoder(ranks.value, pattern), decoder(ranks.value)
+        encode_one, decode_one = encoder(ranks.value, pattern, ranks_path), decoder(ranks.value)
 
         def apply(texts: list[str | None]) -> list:
             ids = [encode_one(t or "") for t in texts]
