@@ -33,9 +33,9 @@ def band_join(points: DataFrame, history: DataFrame, entity: str, at: str, day:
     formed, and a long history is spread over many keys.
     """
     width = F.lit(window_days)
-    bucket = lambda c: F.floor(F.unix_date(F.col(c)) / width)
+    bucket = lambda c: F.unix_date(F.col(c)) - F.pmod(F.unix_date(F.col(c)), width)  # noqa: E731  its first day
     right = history.select(*(F.col(c).alias(f"h_{c}") for c in history.columns))
-    right = right.filter(F.col(f"h_{known}").isNotNull()).withColumn("#hb", F.explode(F.array(bucket(f"h_{day}"), bucket(f"h_{day}") + 1)))
+    right = right.filter(F.col(f"h_{known}").isNotNull()).withColumn("#hb", F.explode(F.array(bucket(f"h_{day}"), bucket(f"h_{day}") + width)))
     left = points.withColumn("#b", bucket(at))
     on = (
         (F.col(entity) == F.col(f"h_{entity}"))
