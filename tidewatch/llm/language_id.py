@@ -6,7 +6,7 @@ ends, then shorter ones), averaged. A text's scores are the sums over its words;
 with the highest wins.
 
 The model is fitted on at most about ``max_docs`` labelled texts, drawn by a hash of the text's
-id and used whole; it keeps the ``TOP_WORDS`` words and, for each length, the ``TOP_GRAMS``
+id and used whole; it keeps at most the ``TOP_WORDS`` words and, for each length, the ``TOP_GRAMS``
 n-grams that are the most frequent in each of at most ``MAX_LANGUAGES`` languages, which
 bounds what is broadcast.
 
@@ -20,11 +20,11 @@ from __future__ import annotations
 
 import math
 import re
-from dataclasses import dataclass
+import uuid
+from dataclasses import dataclass, field
 
 import numpy as np
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import DOUBLE, STRING, with_columns
@@ -34,8 +34,10 @@ TOP_WORDS = 20_000
 TOP_GRAMS = 10_000
 MAX_GRAM = 4
 MAX_LANGUAGES = 64
-#: Distinct unseen words whose scores a task remembers.
-CACHE = 200_000
+#: Counts from here on are one level when the most frequent entries are looked for.
+LEVELS = 4_096
+#: Scores of unseen words that a worker process remembers, over all languages, and words of a text that are summed at once.
+CELLS, STEP = 1_600_000, 20_000
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
 
@@ -49,6 +51,7 @@ class Model:
     grams: list[dict[str, int]]
     word_scores: np.ndarray
     gram_scores: list[np.ndarray]
+    key: str = field(default_factory=lambda: uuid.uuid4().hex)
 
 
 def _logs(counts: list[tuple[str, str, int]], languages: list[str]) -> tuple[dict[str, int], np.ndarray]:
@@ -75,8 +78,18 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     starts = lambda g: F.when(F.length(marked) >= g, F.sequence(F.lit(1), F.length(marked) - (g - 1)))
 
     def top(counts: DataFrame, most: int) -> list[tuple[str, str, int]]:
-        order = W.partitionBy("lang").orderBy(F.desc("n"), "k")
-        kept = counts.filter(F.col("lang").isin(languages)).withColumn("r", F.row_number().over(order)).filter(F.col("r") <= most)
+        """The most frequent entries of each language: those of at least the least count that at most ``most`` reach."""
+        counts = counts.filter(F.col("lang").isin(languages))
+        levels = counts.groupBy("lang", F.least("n", F.lit(LEVELS)).alias("level")).agg(F.count("*").alias("entries")).collect()
+        least = dict.fromkeys(languages, LEVELS)
+        for lang in languages:
+            held = 0
+            for r in sorted((r for r in levels if r["lang"] == lang), key=lambda r: -r["level"]):
+                held += r["entries"]
+                if held > most:
+                    break
+                least[lang] = r["level"]
+        kept = counts.filter(F.col("n") >= F.create_map(*(F.lit(x) for pair in least.items() for x in pair))[F.col("lang")]) if languages else counts
         return sorted((r["k"], r["lang"], r["n"]) for r in kept.select("k", "lang", "n").collect())
 
     known, word_scores = _logs(top(words, TOP_WORDS), languages)
@@ -90,37 +103,53 @@ def fit(labelled: DataFrame, text_col: str = "text", lang_col: str = "lang", id_
     return Model(languages, known, grams, word_scores, gram_scores)
 
 
-def predictor(model: Model):
-    """From texts to languages and scores."""
-    size = len(model.languages)
-    cache: dict[str, np.ndarray] = {}
+class Predictor:
+    """From texts to languages and scores. Known words and unseen ones met before are rows of one table."""
 
-    def unseen(word: str) -> np.ndarray:
+    def __init__(self, model: Model) -> None:
+        self.model = model
+        self.forget()
+
+    def forget(self) -> None:
+        self.ids = dict(self.model.words)
+        n = max(1, len(self.model.languages))
+        self.table = np.zeros((len(self.ids) + max(STEP, CELLS // n), n))
+        self.table[: len(self.ids)] = self.model.word_scores if self.model.languages else 0
+
+    def unseen(self, word: str) -> np.ndarray:
+        """Mean score of the longest known n-grams; zeros if no character is known."""
         marked = f"<{word}>"
-        for length, index, scores in zip(range(MAX_GRAM, 0, -1), model.grams, model.gram_scores, strict=True):
+        for length, index, scores in zip(range(MAX_GRAM, 0, -1), self.model.grams, self.model.gram_scores, strict=True):
             hits = [i for s in range(len(marked) - length + 1) if (i := index.get(marked[s : s + length])) is not None]
             if hits:
                 return scores[hits].mean(axis=0)
-        return np.zeros(size)
-
-    def one(text: str | None) -> tuple[str, float]:
+        return np.zeros(len(self.model.languages))
+
+    def total(self, words: list[str]) -> np.ndarray:
+        """Summed scores of words, some at a time."""
+        ids = list(map(self.ids.get, words))
+        if None in ids:
+            new = dict.fromkeys(w for w, i in zip(words, ids, strict=True) if i is None)
+            if len(self.ids) + len(new) > len(self.table):
+                self.forget()
+                return self.total(words)
+            for word in new:
+                self.table[len(self.ids)] = self.unseen(word)
+                self.ids[word] = len(self.ids)
+            ids = list(map(self.ids.__getitem__, words))
+        return self.table[ids].sum(axis=0)
+
+    def __call__(self, text: str | None) -> tuple[str, float]:
         words = WORD.findall((text or "").lower())
-        if not words or not size:
+        if not words or not self.model.languages:
             return UNKNOWN, 0.0
-        ids = list(map(model.words.get, words))
-        known = [i for i in ids if i is not None]
-        total = np.bincount(known, minlength=len(model.word_scores)) @ model.word_scores if len(known) > 5_000 else model.word_scores[known].sum(axis=0)
-        if len(known) < len(ids):
-            if len(cache) > CACHE:
-                cache.clear()
-            rare = [w for w, i in zip(words, ids, strict=True) if i is None]
-            for word in set(rare).difference(cache):
-                cache[word] = unseen(word)
-            total = total + np.sum(list(map(cache.__getitem__, rare)), axis=0)
+        total = sum((self.total(words[a : a + STEP]) for a in range(0, len(words), STEP)), np.zeros(len(self.model.languages)))
         best = int(np.argmax(total))
-        return model.languages[best], float(1 / sum(math.exp(max(-700.0, x - total[best])) for x in total))
+        return self.model.languages[best], float(1 / sum(math.exp(max(-700.0, x - total[best])) for x in total))
+
 
-    return one
+#: The predictor of a model that a worker process keeps from task to task.
+_KNOWN: dict[str, Predictor] = {}
 
 
 def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
@@ -128,7 +157,11 @@ def predict(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def start():
-        one = predictor(shared.value)
+        model = shared.value
+        if model.key not in _KNOWN:
+            _KNOWN.clear()
+            _KNOWN[model.key] = Predictor(model)
+        one = _KNOWN[model.key]
         return lambda texts: list(map(list, zip(*map(one, texts), strict=True))) if texts else [[], []]
 
     return with_columns(df, text_col, {"lang_pred": STRING, "lang_score": DOUBLE}, start)
