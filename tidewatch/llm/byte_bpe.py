@@ -9,23 +9,21 @@ their own, in parallel; a document's ids are the pieces' ids in order, and decod
 concatenates the raw bytes of the ids. Texts of one chunk are encoded where they are read.
 
 Cases: a null text is the empty text (no ids); repeated rows each get the same result; an
-empty table gives an empty result; other columns are dropped except the id column.
+empty table gives an empty result; columns other than id and text are ignored.
 """
 
 from __future__ import annotations
 
 import base64
-import hashlib
 import heapq
 import struct
 from collections.abc import Callable, Iterator
 from itertools import pairwise
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -131,16 +129,17 @@ def boundaries(text: str, pattern: regex.Pattern, first: int, last: bool) -> lis
 
 
 def pieces(long_texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Pieces of whole pre-tokens: the key columns of ``long_texts``, ``part`` and ``piece``.
+    """Pieces of whole pre-tokens: ``key``, ``part``, ``id``, ``n_rows`` and ``piece``.
 
-    ``long_texts`` has ``key`` (unique) and ``text``.
+    ``long_texts`` has ``key``, ``id`` and ``text``; the ``n_rows`` rows of one key have one id
+    and text, which is worked on once.
     """
     spark = long_texts.sparkSession
     size = F.length("text")
-    cut = long_texts.select("key", "text", size.alias("size"), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))).alias("i"))
-    cut = cut.select("key", "i", (F.col("size") <= (F.col("i") + 1) * chunk).alias("last"), F.substring("text", F.col("i") * chunk + 1, F.lit(chunk + overlap)).alias("chunk"))
-    # Chunks, not texts, are dealt out: one long text occupies many tasks.
-    cut = cut.repartition(F.col("key"), F.col("i"))
+    cut = long_texts.select("key", "id", "text", size.alias("size"), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))).alias("i"))
+    cut = cut.select("key", "id", "i", (F.col("size") <= (F.col("i") + 1) * chunk).alias("last"), F.substring("text", F.col("i") * chunk + 1, F.lit(chunk + overlap)).alias("chunk"))
+    # Chunks, not texts, are dealt out: one long text occupies many tasks, a repeated one counts once.
+    cut = cut.groupBy("key", "i").agg(*(F.first(c).alias(c) for c in ("id", "last", "chunk")), F.count("*").alias("n_rows"))
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = regex.compile(pattern)
@@ -152,11 +151,11 @@ def pieces(long_texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int
                 tails.append([x for x in at if x >= (i + 1) * chunk])
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(heads, pa.list_(pa.int32())), pa.array(tails, pa.list_(pa.int32()))], names=[*batch.schema.names, "head", "tail"])
 
-    key_type = long_texts.schema["key"].dataType.simpleString()
+    id_type = long_texts.schema["id"].dataType.simpleString()
     bounded_batches(spark)
-    met = cut.mapInArrow(meet, f"key {key_type}, i int, last boolean, chunk string, head array<int>, tail array<int>")
+    met = cut.mapInArrow(meet, f"key string, i int, id {id_type}, last boolean, chunk string, n_rows long, head array<int>, tail array<int>")
     order = W.partitionBy("key").orderBy("i")
-    met = met.select("key", "i", "chunk", F.array_min(F.array_intersect("tail", F.lead("head").over(order))).alias("end"))
+    met = met.select("key", "i", "id", "n_rows", "chunk", F.array_min(F.array_intersect("tail", F.lead("head").over(order))).alias("end"))
     met = met.withColumn("begin", F.when(F.col("i") == 0, F.lit(0)).otherwise(F.lag("end").over(order)))
     # A chunk whose begin is unknown belongs to the piece of the chunk before it.
     met = met.withColumn("part", F.sum(F.col("begin").isNotNull().cast("int")).over(order.rowsBetween(W.unboundedPreceding, 0)))
@@ -164,58 +163,61 @@ def pieces(long_texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int
     from_ = F.coalesce("begin", "at") - F.col("at")
     upto = F.coalesce("end", F.when(F.lead("i").over(order).isNotNull(), F.col("at") + chunk)) - F.col("at")
     text = F.when(upto.isNull(), F.substr("chunk", from_ + 1)).otherwise(F.substr("chunk", from_ + 1, upto - from_))
-    met = met.select("key", "part", F.struct("i", text.alias("t")).alias("t"))
-    joined = met.groupBy("key", "part").agg(F.sort_array(F.collect_list("t")).alias("t"))
-    return joined.select("key", "part", F.array_join(F.transform("t", lambda x: x["t"]), "").alias("piece"))
+    met = met.select("key", "part", "id", "n_rows", F.struct("i", text.alias("t")).alias("t"))
+    joined = met.groupBy("key", "part").agg(F.sort_array(F.collect_list("t")).alias("t"), F.first("id").alias("id"), F.first("n_rows").alias("n_rows"))
+    return joined.select("key", "part", "id", "n_rows", F.array_join(F.transform("t", lambda x: x["t"]), "").alias("piece"))
 
 
-def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """Pieces of every document in order: id, ``key``, ``n_rows``, ``part``, ``ids`` (packed), ``decoded`` (bytes).
+def _rows(df: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    return df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
+
+
+def _split(df: DataFrame, id_col: str, text_col: str, chunk: int) -> tuple[DataFrame, DataFrame]:
+    """Rows of one chunk, and longer ones with a ``key`` of id and text."""
+    rows = _rows(df, id_col, text_col)
+    key = F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.sha2("text", 256))
+    return rows.filter(F.length("text") <= chunk), rows.filter(F.length("text") > chunk).withColumn("key", key)
 
-    ``n_rows`` is how many equal rows (same id and text) a long document stands for.
-    """
-    spark: SparkSession = df.sparkSession
-    ranks = spark.sparkContext.broadcast(read_ranks(ranks_path))
+
+def _encoded(df: DataFrame, ranks, ranks_path: str, pattern: str) -> DataFrame:
+    """``df`` with ``ids`` (packed) in place of ``text``."""
 
     def start():
-        encode_one, decode_one = encoder(ranks.value, pattern, ranks_path), decoder(ranks.value)
+        encode_one = encoder(ranks.value, pattern, ranks_path)
+        return lambda texts: [[encode_one(t or "") for t in texts]]
 
-        def apply(texts: list[str | None]) -> list:
-            ids = [encode_one(t or "") for t in texts]
-            return [ids, [decode_one(x) for x in ids]]
+    return with_columns(df, "text", {"ids": BINARY}, start).drop("text")
 
-        return apply
 
-    made = {"ids": BINARY, "decoded": BINARY}
-    rows = df.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit("")).alias("text"))
-    # The size is that of the file's text: both branches prune to the rows they need.
-    short = rows.filter(F.length("text") <= chunk).select("id", F.lit(None).cast("string").alias("key"), F.lit(1).alias("n_rows"), F.lit(1).alias("part"), "text")
-    long = rows.filter(F.length("text") > chunk).withColumn("key", F.concat_ws(":", F.coalesce(F.col("id").cast("string"), F.lit("null")), F.sha2("text", 256)))
-    known = long.groupBy("key", "id").agg(F.count("*").cast("int").alias("n_rows"))
-    cut = pieces(long.groupBy("key").agg(F.first("text").alias("text")), pattern, chunk, overlap)
-    cut = cut.join(known, "key").select("id", "key", "n_rows", "part", F.col("piece").alias("text"))
-    done = [with_columns(x, "text", made, start).drop("text") for x in (short, cut)]
-    return done[0].unionByName(done[1])
+def encode(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """Ids of every row: id and ``ids`` (packed), whole texts."""
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
+    short, long = _split(df, id_col, text_col, chunk)
+    parts = _encoded(pieces(long, pattern, chunk, overlap).withColumnRenamed("piece", "text"), ranks, ranks_path, pattern)
 
+    def gather(rows: pa.Table) -> pa.Table:
+        ids = b"".join(rows.sort_by("part")["ids"].to_pylist())
+        return pa.table({"id": rows["id"][:1], "n_rows": rows["n_rows"][:1], "ids": pa.array([ids], pa.binary())})
 
-def digests(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
-    """One row for each input row: id, n_tokens, ids_sha256, decoded_sha256."""
-    encoded = encode(df, ranks_path, pattern, id_col, text_col, chunk, overlap)
-    whole = encoded.filter(F.col("key").isNull())
-    whole = whole.select("id", (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
+    id_type = parts.schema["id"].dataType.simpleString()
+    whole = parts.groupBy("key").applyInArrow(gather, f"id {id_type}, n_rows long, ids binary")
+    # A repeated row gets the ids of its text once more.
+    done = whole.select(F.explode(F.array_repeat("id", F.col("n_rows").cast("int"))).alias("id"), "ids")
+    return _encoded(short, ranks, ranks_path, pattern).unionByName(done).withColumnRenamed("id", id_col)
+
+
+def decode(df: DataFrame, ranks_path: str, ids_col: str = "ids") -> DataFrame:
+    """``df`` with ``decoded``, the raw bytes of the ids' tokens; null ids have none."""
+    ranks = df.sparkSession.sparkContext.broadcast(read_ranks(ranks_path))
 
-    def gather(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values("part")
-        ids, decoded = hashlib.sha256(), hashlib.sha256()
-        for a, b in zip(rows["ids"], rows["decoded"], strict=True):
-            ids.update(a)
-            decoded.update(b)
-        out = pd.DataFrame({"id": rows["id"].iloc[:1], "n_rows": rows["n_rows"].iloc[:1]})
-        return out.assign(n_tokens=int(rows["ids"].map(len).sum()) // 4, ids_sha256=ids.hexdigest(), decoded_sha256=decoded.hexdigest())
+    def start():
+        decode_one = decoder(ranks.value)
+        return lambda values: [[decode_one(x or b"") for x in values]]
 
-    id_type = encoded.schema["id"].dataType.simpleString()
-    parts = encoded.filter(F.col("key").isNotNull()).groupBy("key").applyInPandas(gather, f"id {id_type}, n_rows int, n_tokens long, ids_sha256 string, decoded_sha256 string")
-    parts = parts.withColumn("id", F.explode(F.array_repeat("id", F.col("n_rows")))).drop("n_rows")
-    return whole.unionByName(parts).withColumnRenamed("id", id_col)
+    return with_columns(df, ids_col, {"decoded": BINARY}, start, kind="binary")
 
 
+def digests(df: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text", chunk: int = CHUNK, overlap: int = OVERLAP) -> DataFrame:
+    """One row for each input row: id, n_tokens, ids_sha256, decoded_sha256."""
+    done = decode(encode(df, ranks_path, pattern, id_col, text_col, chunk, overlap), ranks_path)
+    return done.select(id_col, (F.length("ids") / 4).cast("long").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))
