@@ -68,10 +68,13 @@ def repeated(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_
     made = stored(made.select("#id", "#hash", "w", "marks"), "winnow-windows")
     # A fingerprint that stands at one place of the corpus is in no repeated run.
     marks = made.select(F.explode("marks").alias("mark")).groupBy("mark").agg(F.count("*").alias("n")).filter("n > 1").select("mark")
+    # Written, so that the joins with them can split what a frequent line or window gathers.
+    marks = stored(marks, "winnow-marks")
     found = made.select("#id", "#hash", F.explode("w").alias("w")).select("#id", "#hash", "w.key", "w.mark", "w.first", "w.last")
     candidates = stored(found.join(marks, "mark", "left_semi").drop("mark"), "winnow-candidates")
     at = F.struct("#id", "#hash", "first")
     firsts = candidates.groupBy("key").agg(F.min(at).alias("origin"), F.count("*").alias("n")).filter("n > 1").select("key", "origin")
+    firsts = stored(firsts, "winnow-firsts")
     later = candidates.join(firsts, "key").filter(~at.eqNullSafe(F.col("origin")))
     return later.groupBy("#id", "#hash").agg(F.collect_set(F.struct("first", "last")).alias("#spans"))
 
