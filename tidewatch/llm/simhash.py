@@ -22,6 +22,7 @@ rows each get the same result; an empty table gives an empty result; extra colum
 from __future__ import annotations
 
 import re
+from collections.abc import Callable
 from itertools import combinations
 
 import numpy as np
@@ -131,12 +132,12 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(named, "fp").select(id_col, F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``df`` with one row of each component: that of the smallest id (of rows that share it, any one).
+def keep_one(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", groups: Callable[..., DataFrame] = near_duplicates) -> DataFrame:
+    """``df`` with one row of each component of ``groups``: that of the smallest id (of rows that share it, any one).
 
     Rows without an id can't be told apart and are all kept.
     """
-    found = stored(near_duplicates(df, id_col, text_col).select(F.col(id_col).alias("#id"), "component_id"), "simhash-found")
+    found = stored(groups(df, id_col, text_col).select(F.col(id_col).alias("#id"), "component_id"), "simhash-found")
     first = found.filter(F.col("#id") == F.col("component_id")).groupBy("#id").agg(F.count("*").alias("#n"))
     kept = df.join(first, F.col(id_col) == F.col("#id")).drop("#id")
     once, more = kept.filter(F.col("#n") == 1), kept.filter(F.col("#n") > 1).dropDuplicates([id_col])
