@@ -6,8 +6,11 @@ marginal, and a document's quality is the mean of the marginals weighted by the
 lengths, calibrated on the training documents by a logistic function of its log odds.
 
 The field is fitted on at most about ``max_docs`` labelled documents drawn by a hash of the
-id, of each the first ``TRAIN_LINES`` lines; every line takes its document's label. Scoring
-uses all lines of all texts.
+id, of each all lines; every line takes its document's label. A document of more than
+``CHAIN_LINES`` lines is several chains, each of which begins and ends ``OVERLAP`` lines within
+its neighbours, and the chains of a document weigh as one. Calibration takes the marginals of
+whole documents, as scoring does. If the drawn documents have over ``MAX_LINES`` lines,
+fewer documents are drawn, whole. Scoring uses all lines of all texts.
 
 Cases: a null or empty text, or one of blank lines only, scores 0; without labels of both
 kinds every text scores 0.5; repeated rows each get the same result; several labels of a
@@ -18,7 +21,7 @@ with the name of a result is replaced.
 from __future__ import annotations
 
 import math
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +32,10 @@ from pyspark.sql import types as T
 from tidewatch.llm.common import DOUBLE, LONG, with_columns
 
 MAX_DOCS = 3_000
-TRAIN_LINES = 64
+#: Lines of a chain in training, and of them those that the next one repeats.
+CHAIN_LINES, OVERLAP = 64, 8
+#: Lines that the driver gets at most, unless one document has more.
+MAX_LINES = 200_000
 STEPS = 150
 RIDGE = 1e-3
 THRESHOLD = 0.3
@@ -104,13 +110,14 @@ def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.n
     return np.concatenate([np.ones((n, 1), np.float32), own, before, after], axis=1), ink, begins
 
 
-def _chain(scores: np.ndarray, mask: np.ndarray, transitions: np.ndarray, start: float) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of the label good and summed pair marginals, for padded chains (texts x lines)."""
+def _chain(scores: np.ndarray, mask: np.ndarray, transitions: np.ndarray, start: float | np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Marginals of the label good and (weighted) summed pair marginals, for padded chains (texts x lines)."""
     n, steps = scores.shape
+    weights = np.ones(n) if weights is None else weights
     emit = np.stack([np.ones_like(scores), np.exp(np.clip(scores, -30, 30))], axis=2)
     move = np.exp(transitions)
     forward, backward = np.zeros((n, steps, 2)), np.ones((n, steps, 2))
-    a = emit[:, 0] * np.array([1.0, math.exp(start)])
+    a = emit[:, 0] * np.stack([np.ones(n), np.exp(start * np.ones(n))], axis=1)
     forward[:, 0] = a / a.sum(axis=1, keepdims=True)
     for t in range(1, steps):
         a = (forward[:, t - 1] @ move) * emit[:, t]
@@ -122,55 +129,67 @@ def _chain(scores: np.ndarray, mask: np.ndarray, transitions: np.ndarray, start:
     both /= both.sum(axis=2, keepdims=True)
     pairs = forward[:, :-1, :, None] * move * (emit[:, 1:] * backward[:, 1:])[:, :, None, :]
     pairs /= pairs.sum(axis=(2, 3), keepdims=True)
-    return both[:, :, 1], (pairs * mask[:, 1:, None, None]).sum(axis=(0, 1))
+    return both[:, :, 1], (pairs * (mask[:, 1:] * weights[:, None])[:, :, None, None]).sum(axis=(0, 1))
 
 
-def train(chains: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
-    """Maximum likelihood with a ridge, by Adam; ``chains`` are (features, lengths, label)."""
+def cut(n: int) -> list[tuple[int, int]]:
+    """First line and end of the chains of a document of ``n`` lines."""
+    step = CHAIN_LINES - OVERLAP
+    return [(a, min(n, a + CHAIN_LINES)) for a in range(0, max(1, n - OVERLAP), step)]
+
+
+def train(documents: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
+    """Maximum likelihood with a ridge, by Adam; ``documents`` are (features, lengths, label) of all lines."""
     width = 1 + 3 * N_FEATURES
-    labels = np.array([y for *_, y in chains])
-    if len(set(labels.tolist())) < 2:
+    whole = np.array([y for *_, y in documents])
+    if len(set(whole.tolist())) < 2:
         return Model(np.zeros(width), np.zeros((2, 2)), 0.0, 0.0, 0.0)
+    chains = [(x[a:b], y, a == 0, 1 / len(spans)) for x, _, y in documents for spans in [cut(len(x))] for a, b in spans]
+    labels, opens, weights = (np.array([c[i] for c in chains]) for i in (1, 2, 3))
     steps = max(len(x) for x, *_ in chains)
-    features, mask, ink = np.zeros((len(chains), steps, width), np.float32), np.zeros((len(chains), steps), bool), np.zeros((len(chains), steps))
-    for i, (x, lengths, _) in enumerate(chains):
-        features[i, : len(x)], mask[i, : len(x)], ink[i, : len(x)] = x, True, lengths
+    features, mask = np.zeros((len(chains), steps, width), np.float32), np.zeros((len(chains), steps), bool)
+    for i, (x, *_) in enumerate(chains):
+        features[i, : len(x)], mask[i, : len(x)] = x, True
     theta, m, v = np.zeros(width + 5), np.zeros(width + 5), np.zeros(width + 5)
     target = np.where(mask, labels[:, None], 0)
-    total = mask.sum()
-    links = mask[:, 1:].sum(axis=1)
+    weighed = mask * weights[:, None]
+    total = weighed.sum()
+    links = weighed[:, 1:].sum(axis=1)
     seen = np.array([[links[labels == 0].sum(), 0.0], [0.0, links[labels == 1].sum()]])
     flat = features.reshape(-1, width)
     for step in range(1, STEPS + 1):
         scores = (flat @ theta[:width]).reshape(mask.shape)
-        good, pairs = _chain(scores, mask, theta[width : width + 4].reshape(2, 2), theta[-1])
-        slope = np.concatenate([flat.T @ ((target - good) * mask).ravel(), (seen - pairs).ravel(), [(labels - good[:, 0]).sum()]]) / total - RIDGE * theta
+        good, pairs = _chain(scores, mask, theta[width : width + 4].reshape(2, 2), theta[-1] * opens, weights)
+        slope = np.concatenate([flat.T @ ((target - good) * weighed).ravel(), (seen - pairs).ravel(), [((labels - good[:, 0]) * opens * weights).sum()]]) / total - RIDGE * theta
         m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
         theta += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
-    good, _ = _chain((flat @ theta[:width]).reshape(mask.shape), mask, theta[width : width + 4].reshape(2, 2), theta[-1])
-    means = (good * ink).sum(axis=1) / np.maximum(ink.sum(axis=1), 1)
+    model = Model(theta[:width], theta[width : width + 4].reshape(2, 2), float(theta[-1]), 1.0, 0.0)
+    means = np.array([(_good(model, x, [(0, len(x))]) * ink).sum() / max(ink.sum(), 1) for x, ink, _ in documents])
     odds = np.log(np.clip(means, 1e-4, 1 - 1e-4) / (1 - np.clip(means, 1e-4, 1 - 1e-4)))
+    labels = whole
     fit = np.zeros(2)
     for _ in range(25):
         p = 1 / (1 + np.exp(-(fit[0] * odds + fit[1])))
         w = p * (1 - p) + 1e-6
         x = np.stack([odds, np.ones_like(odds)])
         fit += np.linalg.solve((x * w) @ x.T + 1e-2 * np.eye(2), x @ (labels - p) - 1e-2 * fit)
-    return Model(theta[:width], theta[width : width + 4].reshape(2, 2), float(theta[-1]), float(max(fit[0], 1e-3)), float(fit[1]))
+    return replace(model, slope=float(max(fit[0], 1e-3)), shift=float(fit[1]))
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
     """Learn from documents joined with their labels. Features are made in the tasks; the driver gets the bounded sample's."""
     n = labelled.select(label_col).count()
+    drawn = lambda share: labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < round(share * 1_000_000)) if share < 1 else labelled
     share = min(1.0, max_docs / max(n, 1))
-    sample = labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < round(share * 1_000_000)) if share < 1 else labelled
+    lines = drawn(share).agg(F.sum(F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit("\n")) + 1)).first()[0] or 0
+    sample = drawn(share * min(1.0, MAX_LINES / max(lines, 1)))
     floats = (T.ArrayType(T.FloatType()), pa.list_(pa.float32()))
 
     def start():
         def apply(texts: list) -> list:
             x, ink, begins = line_features(texts)
             ends = np.append(begins[1:], len(x))
-            spans = [(a, min(b, a + TRAIN_LINES)) for a, b in zip(begins.tolist(), ends.tolist(), strict=True)]
+            spans = list(zip(begins.tolist(), ends.tolist(), strict=True))
             return [[x[a:b].ravel() for a, b in spans], [ink[a:b].astype(np.float32) for a, b in spans]]
 
         return apply
@@ -187,14 +206,12 @@ def labelled(documents: DataFrame, labels: DataFrame, label_col: str = "quality"
     return documents.join(one, id_col)
 
 
-def marginals(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """P(good) of every line of every text, the lines' lengths and each text's first line."""
-    x, ink, begins = line_features(texts)
+def _good(model: Model, x: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+    """P(good) of every line; ``spans`` are the first line and end of each text."""
     emit = np.exp(np.clip(x @ model.weights, -30, 30)).tolist()
     (t00, t01), (t10, t11) = np.exp(model.transitions).tolist()
     good = [0.0] * len(emit)
-    ends = np.append(begins[1:], len(emit)).tolist()
-    for a, b in zip(begins.tolist(), ends, strict=True):
+    for a, b in spans:
         p = math.exp(model.start) * emit[a]
         p /= 1 + p
         good[a] = p
@@ -208,7 +225,14 @@ def marginals(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.nda
             good[t] = p * r / (p * r + 1 - p)
             e = emit[t] * r
             r = (t10 + t11 * e) / (t00 + t01 * e)
-    return np.array(good), ink, begins
+    return np.array(good)
+
+
+def marginals(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """P(good) of every line of every text, the lines' lengths and each text's first line."""
+    x, ink, begins = line_features(texts)
+    ends = np.append(begins[1:], len(x)).tolist()
+    return _good(model, x, list(zip(begins.tolist(), ends, strict=True))), ink, begins
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
