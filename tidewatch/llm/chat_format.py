@@ -2,7 +2,9 @@
 
 Native DataFrame functions only. The nested field paths of a source (of its DataFrame schema,
 or of each JSON record) are hashed; the hash selects a declarative mapping that turns the
-layout into canonical turns (role, text). A template then marks the turns::
+layout into canonical turns (role, text). Paths that no layout of the kind names don't count: a
+table is looked up among the layouts of a row for each turn, then among those of a row for each
+conversation. A template then marks the turns::
 
     <turn ROLE>TEXT</turn>\\n
 
@@ -12,13 +14,14 @@ is the list of spans (code points of the formatted text) of the assistant texts.
 
 Cases: a null text or role is the empty one; turns of the same number are ordered by role,
 then text; repeated rows are repeated turns; rows without a conversation id form one
-conversation; a record of unknown layout keeps its row with ``layout`` null and no turns; an
-empty table gives an empty result; extra columns are ignored.
+conversation; a record of unknown layout, or with a message that lacks its role or text, keeps
+its row with ``layout`` null and no turns; a table of unknown layout is an error; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import hashlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
@@ -80,10 +83,23 @@ def _fingerprint(paths: Column) -> Column:
     return F.sha2(F.array_join(F.array_sort(paths), "\n"), 256)
 
 
+def fingerprint(paths: Iterable[str]) -> str:
+    """The hash that ``_fingerprint`` gives for the same paths."""
+    return hashlib.sha256("\n".join(sorted(paths)).encode()).hexdigest()
+
+
+#: The layouts of a row for each turn and those of a record, by the hash of their paths.
+ROW_PRINTS, RECORD_PRINTS = ({fingerprint(x.paths): x for x in LAYOUTS if bool(x.rows) == rows} for rows in (True, False))
+
+
 def layout_of(df: DataFrame) -> Layout | None:
-    """The first layout whose paths are all among the schema's, longest first."""
+    """The layout that the hash of the schema's field paths selects."""
     have = set(field_paths(df.schema))
-    return next((x for x in sorted(LAYOUTS, key=lambda x: -len(x.paths)) if have >= set(x.paths)), None)
+    for prints in (ROW_PRINTS, RECORD_PRINTS):
+        named = {p for x in prints.values() for p in x.paths}
+        if found := prints.get(fingerprint(have & named)):
+            return found
+    return None
 
 
 def _renamed(role: Column, layout: Layout) -> Column:
@@ -102,30 +118,41 @@ def _turns(layout: Layout, at) -> Column:
     return F.array_compact(F.array(*(F.when(c.isNotNull(), F.struct(F.lit(r).alias("role"), c.alias("text"))) for r, c in parts)))
 
 
+def _present(path: str) -> Column:
+    """Whether a record of ``RECORD`` has a leaf."""
+    top, _, leaf = path.partition("[].")
+    return F.forall(f"#r.{top}", lambda m: m[leaf].isNotNull()) if leaf else F.col(f"#r.{top}").isNotNull()
+
+
 def canonical_records(df: DataFrame, payload: str = "payload") -> DataFrame:
     """``df`` with ``layout`` and ``turns`` of a column of JSON records, each of its own layout.
 
-    A record's paths are those of its non-null fields; their hash selects the mapping.
+    A record's paths are those of its non-null leaves (in an array, of the leaves that no element lacks); their hash selects the mapping.
     """
     keep = [c for c in df.columns if c not in ("layout", "turns")]
     parsed = df.select(*(F.col(f"`{c}`") for c in keep), F.from_json(F.col(f"`{payload}`"), RECORD).alias("#r"))
     leaves = list(field_paths(T.StructType.fromDDL(RECORD)))
-    present = F.array_compact(F.array(*(F.when(F.col("#r." + p.split("[]")[0]).isNotNull(), F.lit(p)) for p in leaves)))
+    present = F.array_compact(F.array(*(F.when(_present(p), F.lit(p)) for p in leaves)))
     parsed = parsed.withColumn("#print", _fingerprint(present))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(f"array<{TURN}>")
-    for layout in LAYOUTS:
-        if not layout.rows:
-            hit = F.col("#print") == _fingerprint(F.array(*map(F.lit, layout.paths)))
-            name = F.when(hit, F.lit(layout.name)).otherwise(name)
-            turns = F.when(hit, _turns(layout, lambda p: F.col(f"#r.{p}"))).otherwise(turns)
+    for key, layout in RECORD_PRINTS.items():
+        hit = F.col("#print") == key
+        name = F.when(hit, F.lit(layout.name)).otherwise(name)
+        turns = F.when(hit, _turns(layout, lambda p: F.col(f"#r.{p}"))).otherwise(turns)
     return parsed.select(*keep, name.alias("layout"), turns.alias("turns"))
 
 
 def turn_rows(df: DataFrame) -> DataFrame:
-    """Canonical turns as rows: conv_id, turn, role, text, by the layout that the schema's fingerprint selects."""
+    """Canonical turns as rows: conv_id, turn, role, text, by the layout that the schema's fingerprint selects.
+
+    A table with a row for each conversation needs ``conv_id`` too; its turns are numbered from 0.
+    """
     layout = layout_of(df)
-    if layout is None or not layout.rows:
-        raise ValueError(f"no layout of a row for each turn among the columns {df.columns}")
+    if layout is None or not layout.rows and "conv_id" not in df.columns:
+        raise ValueError(f"no layout of turns among the columns {df.columns}")
+    if not layout.rows:
+        rows = df.select("conv_id", F.posexplode(_turns(layout, lambda p: F.col(f"`{p}`"))).alias("turn", "#t"))
+        return rows.select("conv_id", F.col("turn").cast("long").alias("turn"), F.col("#t.role").alias("role"), F.col("#t.text").alias("text"))
     conv, turn, role, text = layout.rows
     blank = lambda c: F.coalesce(F.col(f"`{c}`").cast("string"), F.lit(""))
     return df.select(F.col(f"`{conv}`").alias("conv_id"), F.col(f"`{turn}`").cast("long").alias("turn"), _renamed(blank(role), layout).alias("role"), blank(text).alias("text"))
