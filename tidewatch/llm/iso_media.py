@@ -1,8 +1,10 @@
 """Media columns from ISO base media containers.
 
 ``describe`` walks the nested boxes of each container, decodes the sample tables
-(stts, stss, stsc, stsz, stco or co64) and stores codec, duration and the byte ranges of the
-keyframes; payload bytes are never decoded. ``mux`` writes bytes losslessly as a track of
+(stts, stss, stsc, stsz, stco or co64) of each track and its fragments' runs (tfhd, trun, with the
+defaults of trex), and stores codec, duration and the byte ranges of the keyframes of every track in
+``media_tracks``, and in columns of their own those of the main one: the first video track, or else
+the first track. Payload bytes are never decoded. ``mux`` writes bytes losslessly as a track of
 uncompressed 8-bit frames, and ``samples`` reads a track's bytes back by its tables.
 
 Cases: null or empty bytes, and bytes that aren't a container or whose tables disagree, give
@@ -129,22 +131,20 @@ def _table(data: memoryview, span: tuple[int, int], kind: str, width: int = 1, s
     return np.frombuffer(data, kind, n * width, at).astype(np.int64).reshape(n, width)
 
 
-def track(data: memoryview) -> dict:
-    """The first track: codec, timescale, duration, and offset, size and key flag of its samples."""
-    found: dict[bytes, tuple[int, int]] = {}
-    for path, start, end in walk(data):
-        if path[:1] == (b"moov",):
-            found.setdefault(path[-1], (start, end))
+def _sample_tables(data: memoryview, found: dict[bytes, tuple[int, int]]) -> dict:
+    """A track by the boxes of its trak: id, kind, codec, timescale, duration, and offset, size and key flag of its samples."""
     missing = [k for k in (b"mdhd", b"stsd", b"stts", b"stsc", b"stsz") if k not in found]
     if missing or not found.keys() & {b"stco", b"co64"}:
-        raise MediaError("no track with sample tables")
-    try:
-        start, _ = found[b"mdhd"]
-        timescale = struct.unpack_from(">I", data, start + (20 if data[start] else 12))[0]
-        codec = bytes(data[found[b"stsd"][0] + 12 : found[b"stsd"][0] + 16]).decode("latin-1")
-        size, n = struct.unpack_from(">II", data, found[b"stsz"][0] + 4)
-    except struct.error as error:
-        raise MediaError("a header is cut short") from error
+        raise MediaError("a track has no sample tables")
+    start, _ = found[b"mdhd"]
+    timescale = struct.unpack_from(">I", data, start + (20 if data[start] else 12))[0]
+    codec = bytes(data[found[b"stsd"][0] + 12 : found[b"stsd"][0] + 16]).decode("latin-1")
+    size, n = struct.unpack_from(">II", data, found[b"stsz"][0] + 4)
+    at = found.get(b"tkhd", (None,))[0]
+    track_id = 0 if at is None else struct.unpack_from(">I", data, at + (20 if data[at] else 12))[0]
+    kind = bytes(data[found[b"hdlr"][0] + 8 : found[b"hdlr"][0] + 12]).decode("latin-1") if b"hdlr" in found else ""
+    if n > len(data):
+        raise MediaError("the tables disagree with the samples")
     sizes = np.full(n, size, np.int64) if size else _table(data, found[b"stsz"], ">u4", skip=8)[:, 0]
     chunks = _table(data, found[b"co64"], ">u8")[:, 0] if b"co64" in found else _table(data, found[b"stco"], ">u4")[:, 0]
     runs = _table(data, found[b"stsc"], ">u4", 3)
@@ -162,7 +162,109 @@ def track(data: memoryview) -> dict:
     keys = _table(data, found[b"stss"], ">u4")[:, 0] - 1 if b"stss" in found else np.arange(n)
     if len(keys) and not 0 <= keys.min() <= keys.max() < n:
         raise MediaError("a keyframe isn't among the samples")
-    return {"codec": codec, "timescale": timescale, "duration": int((times[:, 0] * times[:, 1]).sum()), "offsets": offsets, "sizes": sizes, "keys": keys}
+    return {"id": track_id, "kind": kind, "codec": codec, "timescale": timescale, "duration": int((times[:, 0] * times[:, 1]).sum()), "offsets": offsets, "sizes": sizes, "keys": keys}
+
+
+def _optional(data: memoryview, at: int, end: int, flags: int, fields: tuple[tuple[int, str, str], ...]) -> tuple[dict, int]:
+    """The fields (flag, name, format) that the flags of a box say are there, and where they end."""
+    got = {}
+    for flag, name, kind in fields:
+        if flags & flag:
+            if at + struct.calcsize(kind) > end:
+                raise MediaError("a header is cut short")
+            got[name] = struct.unpack_from(kind, data, at)[0]
+            at += struct.calcsize(kind)
+    return got, at
+
+
+HEADER = ((1, "base", ">Q"), (2, "description", ">I"), (8, "duration", ">I"), (16, "size", ">I"), (32, "flags", ">I"))
+RUN = ((1, "offset", ">i"), (4, "first", ">I"))
+#: The flag of a sample that isn't a keyframe.
+NOT_KEY = 0x10000
+
+
+def _add_fragment(data: memoryview, moof: int, trafs: list[list[tuple[bytes, int, int]]], tracks: dict[int, dict], defaults: dict[int, dict]) -> None:
+    """Append the runs of a fragment, whose box begins at ``moof``, to its tracks."""
+    last = moof
+    for boxes in trafs:
+        head = next(((start, end) for kind, start, end in boxes if kind == b"tfhd"), None)
+        if head is None:
+            raise MediaError("a track fragment has no header")
+        flags, track_id = struct.unpack_from(">II", data, head[0])
+        found = tracks.get(track_id)
+        if found is None:
+            raise MediaError("a fragment is of no track")
+        given, _ = _optional(data, head[0] + 8, head[1], flags, HEADER)
+        base = given.get("base", moof if flags & 0x20000 else last)
+        use = {"duration": 0, "size": 0, "flags": 0} | defaults.get(track_id, {}) | given
+        last = base
+        for _, start, end in (b for b in boxes if b[0] == b"trun"):
+            flags, n = struct.unpack_from(">II", data, start)
+            flags &= 0xFFFFFF
+            run, at = _optional(data, start + 8, end, flags, RUN)
+            named = [name for flag, name in ((0x100, "duration"), (0x200, "size"), (0x400, "flags"), (0x800, "shift")) if flags & flag]
+            if n > len(data) or at + 4 * n * len(named) > end:
+                raise MediaError("a run is cut short")
+            rows = np.frombuffer(data, ">u4", n * len(named), at).astype(np.int64).reshape(n, len(named)) if named else np.zeros((n, 0), np.int64)
+            column = lambda name, rows=rows, named=named, n=n: rows[:, named.index(name)] if name in named else np.full(n, use[name], np.int64)  # noqa: B023, E731
+            sizes, marks = column("size"), column("flags").copy()
+            if "first" in run and n:
+                marks[0] = run["first"]
+            begin = base + run["offset"] if "offset" in run else last
+            offsets = begin + np.cumsum(sizes) - sizes
+            last = int(begin + sizes.sum())
+            if begin < 0 or last > len(data):
+                raise MediaError("a run exceeds the file")
+            keys = np.flatnonzero(marks & NOT_KEY == 0) + sum(map(len, found["parts"]["sizes"]))
+            found["duration"] += int(column("duration").sum())
+            for name, values in (("offsets", offsets), ("sizes", sizes), ("keys", keys)):
+                found["parts"][name].append(values)
+
+
+def tracks(data: memoryview) -> list[dict]:
+    """Every track, in order, each by its own tables and the runs of its fragments."""
+    traks: list[dict[bytes, tuple[int, int]]] = []
+    defaults: dict[int, dict] = {}
+    fragments: list[tuple[int, list[list[tuple[bytes, int, int]]]]] = []
+    try:
+        for path, start, end in walk(data):
+            if path == (b"moov", b"trak"):
+                traks.append({})
+            elif path[:2] == (b"moov", b"trak"):
+                traks[-1].setdefault(path[-1], (start, end))
+            elif path == (b"moov", b"mvex", b"trex"):
+                track_id, _, *values = struct.unpack_from(">IIIII", data, start + 4)
+                defaults[track_id] = dict(zip(("duration", "size", "flags"), values, strict=True))
+            elif path == (b"moof",):
+                wide = start >= 16 and struct.unpack_from(">I4s", data, start - 16) == (1, b"moof")
+                fragments.append((start - (16 if wide else 8), []))
+            elif path == (b"moof", b"traf"):
+                fragments[-1][1].append([])
+            elif path[:2] == (b"moof", b"traf"):
+                fragments[-1][1][-1].append((path[-1], start, end))
+        if not traks:
+            raise MediaError("no track with sample tables")
+        made = [_sample_tables(data, x) for x in traks]
+        by_id = {x["id"]: x for x in reversed(made)}
+        for x in made:
+            x["parts"] = {name: [x[name]] for name in ("offsets", "sizes", "keys")}
+        for moof, trafs in fragments:
+            _add_fragment(data, moof, trafs, by_id, defaults)
+        for x in made:
+            x |= {name: np.concatenate(parts) for name, parts in x.pop("parts").items()}
+    except (struct.error, IndexError) as error:
+        raise MediaError("a header is cut short") from error
+    return made
+
+
+def main_track(found: list[dict]) -> dict:
+    """The first video track, or else the first track."""
+    return next((x for x in found if x["kind"] == "vide"), found[0])
+
+
+def track(data: memoryview) -> dict:
+    """The main track of a container."""
+    return main_track(tracks(data))
 
 
 def samples(data: bytes, found: dict) -> bytes:
@@ -183,19 +285,28 @@ def key_ranges(found: dict) -> list[tuple[int, int]]:
     return list(zip(at.tolist(), (at + size - 1).tolist(), strict=True))
 
 
-COLUMNS = {"media_codec": STRING, "media_seconds": DOUBLE, "media_samples": LONG, "media_keyframes": RANGES, "media_error": STRING}
+TRACKS = (
+    T.ArrayType(T.StructType([T.StructField("track_id", T.LongType()), T.StructField("kind", T.StringType()), T.StructField("codec", T.StringType()), T.StructField("seconds", T.DoubleType()), T.StructField("samples", T.LongType()), T.StructField("keyframes", RANGES[0])])),
+    pa.list_(pa.struct([("track_id", pa.int64()), ("kind", pa.string()), ("codec", pa.string()), ("seconds", pa.float64()), ("samples", pa.int64()), ("keyframes", RANGES[1])])),
+)
+COLUMNS = {"media_codec": STRING, "media_seconds": DOUBLE, "media_samples": LONG, "media_keyframes": RANGES, "media_tracks": TRACKS, "media_error": STRING}
 
 
 def describe(df: DataFrame, bytes_col: str) -> DataFrame:
-    """``df`` with codec, seconds, samples and keyframe byte ranges of a column of containers."""
+    """``df`` with codec, seconds, samples and keyframe byte ranges of a column of containers: those of the main track and, in ``media_tracks``, of all."""
+
+    def shown(found: dict) -> dict:
+        ranges = [{"first": a, "last": b} for a, b in key_ranges(found)]
+        return {"track_id": found["id"], "kind": found["kind"], "codec": found["codec"], "seconds": found["duration"] / found["timescale"], "samples": len(found["sizes"]), "keyframes": ranges}
 
     def one(data: bytes | None) -> tuple:
         try:
-            found = track(memoryview(data or b""))
+            found = tracks(memoryview(data or b""))
         except MediaError as error:
-            return None, None, None, None, str(error)
-        ranges = [{"first": a, "last": b} for a, b in key_ranges(found)]
-        return found["codec"], found["duration"] / found["timescale"], len(found["sizes"]), ranges, None
+            return None, None, None, None, None, str(error)
+        every = [shown(x) for x in found]
+        best = next(x for x, y in zip(every, found, strict=True) if y is main_track(found))
+        return best["codec"], best["seconds"], best["samples"], best["keyframes"], every, None
 
     def start():
         return lambda values: list(map(list, zip(*map(one, values), strict=True))) if values else [[]] * len(COLUMNS)
