@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import best_fit, chat_format, simhash, winnow
+from tidewatch.llm import best_fit, chat_format, near_copies, simhash, winnow
 
 SCHEMA = "doc_id long, text string, fp string, n_lines string"
 
@@ -58,17 +58,16 @@ def test_near_duplicates(spark):
     assert simhash.near_duplicates(frame(spark, [])).count() == 0
 
 
-@pytest.mark.parametrize("limit", [2, 64])
-def test_links_connect_as_all_pairs_do(spark, monkeypatch, limit):
-    monkeypatch.setattr(simhash, "LIST_LIMIT", limit)
-    rng = random.Random(limit)
+@pytest.mark.parametrize(("block", "cell"), [(1, 5), (2, 512), (3, 2), (4, 512)])
+def test_links_connect_as_all_pairs_do(spark, block, cell):
+    rng = random.Random(block)
     centres = [rng.getrandbits(64) for _ in range(12)]
     prints = {c ^ sum(1 << b for b in rng.sample(range(64), rng.randrange(4))) for c in centres for _ in range(10)} | {rng.getrandbits(64) for _ in range(60)}
     prints = sorted(prints)
     df = spark.createDataFrame([(simhash._signed(p),) for p in prints], "fp long")
-    edges = [(a & (1 << 64) - 1, b & (1 << 64) - 1) for a, b in simhash.links(df).collect()]
+    edges = [(a & (1 << 64) - 1, b & (1 << 64) - 1) for a, b in simhash.links(df, block, cell).collect()]
     assert all((a ^ b).bit_count() <= 4 for a, b in edges)
-    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(df)).collect()}
+    roots = {r["node"]: r["root"] for r in simhash.components(simhash.links(df, block, cell)).collect()}
     by = defaultdict(set)
     for p in prints:
         by[roots.get(simhash._signed(p), simhash._signed(p))].add(p)
@@ -84,6 +83,15 @@ def test_one_of_each_group_stays(spark):
     assert sorted(r["doc_id"] for r in kept) == [3, 7, 8] and kept[0]["fp"] == "x"
 
 
+def test_unlike_texts_of_one_id_stay(spark):
+    texts = ["alpha beta gamma delta", "one two three four five six", "alpha beta gamma delta", "own words here", "own words here"]
+    for groups in (simhash.members, near_copies.members):
+        kept = simhash.keep_one(frame(spark, texts, [1, 1, 1, None, None]), groups=groups).collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in kept) == [("1", texts[0]), ("1", texts[1]), ("None", texts[3])]
+        again = simhash.keep_one(frame(spark, texts, [1, 1, 2, None, 7]), groups=groups).collect()
+        assert sorted((str(r["doc_id"]), r["text"]) for r in again) == [("1", texts[0]), ("1", texts[1]), ("7", texts[3])]
+
+
 def plain_dedup(docs, min_words):
     """Every run of lines of at least ``min_words`` words that stands earlier too is deleted."""
     seen, gone = {}, defaultdict(set)

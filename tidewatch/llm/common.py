@@ -41,15 +41,38 @@ def remainder(doc_id: Column, modulus: int) -> Column:
 def shared_path(spark: SparkSession, what: str) -> str:
     """A new path under the folder that driver and executors share (spark.checkpoint.dir).
 
-    Only where that setting is unset, as in tests, a temporary folder is taken.
+    A temporary folder is taken only where that setting is unset and Spark runs in one process, as in tests.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
 
 
+def threshold(share: float) -> int:
+    """Below which the ``share`` of all 63-bit hashes lies."""
+    return int(min(1.0, share) * (1 << 63))
+
+
+def hash63(*columns: str) -> Column:
+    """A 63-bit hash of columns."""
+    return F.xxhash64(*(F.col(f"`{c}`") for c in columns)).bitwiseAND(F.lit((1 << 63) - 1))
+
+
+def drawn(df: DataFrame, by: list[str], most: int) -> DataFrame:
+    """The ``most`` rows of ``df`` whose columns ``by`` have the smallest hashes; all rows if there are no more."""
+    n = df.count()
+    if n <= most:
+        return df
+    # Twice the share is looked at, so that the rows to be sorted are few at any size.
+    near = df.withColumn("#hash", hash63(*by)).filter(F.col("#hash") < F.lit(threshold(2 * most / n)))
+    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return near.orderBy("#hash", *(F.col(f"`{c}`") for c in by)).limit(most).repartition(min(spread, 64), "#hash").drop("#hash")
+
+
 def stored(df: DataFrame, what: str) -> DataFrame:
     """``df`` written to the shared folder as Parquet and read again: it cuts the lineage."""
     path = shared_path(df.sparkSession, what)
