@@ -53,8 +53,8 @@ def shared_path(spark: SparkSession, what: str) -> str:
 
 
 def threshold(share: float) -> int:
-    """Below which the ``share`` of all 63-bit hashes lies."""
-    return int(min(1.0, share) * (1 << 63))
+    """Up to which the ``share`` of all 63-bit hashes lies."""
+    return min(int(share * (1 << 63)), (1 << 63) - 1)
 
 
 def hash63(*columns: str) -> Column:
@@ -68,7 +68,7 @@ def drawn(df: DataFrame, by: list[str], most: int) -> DataFrame:
     if n <= most:
         return df
     # Twice the share is looked at, so that the rows to be sorted are few at any size.
-    near = df.withColumn("#hash", hash63(*by)).filter(F.col("#hash") < F.lit(threshold(2 * most / n)))
+    near = df.withColumn("#hash", hash63(*by)).filter(F.col("#hash") <= F.lit(threshold(2 * most / n)))
     spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return near.orderBy("#hash", *(F.col(f"`{c}`") for c in by)).limit(most).repartition(min(spread, 64), "#hash").drop("#hash")
 
