@@ -10,7 +10,7 @@ import xxhash
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from tidewatch.llm import best_fit, chat_format, near_copies, simhash, winnow
+from tidewatch.llm import best_fit, chat_format, near_copies, simhash
 
 SCHEMA = "doc_id long, text string, fp string, n_lines string"
 
@@ -92,48 +92,6 @@ def test_unlike_texts_of_one_id_stay(spark):
         assert sorted((str(r["doc_id"]), r["text"]) for r in again) == [("1", texts[0]), ("1", texts[1]), ("7", texts[3])]
 
 
-def plain_dedup(docs, min_words):
-    """Every run of lines of at least ``min_words`` words that stands earlier too is deleted."""
-    seen, gone = {}, defaultdict(set)
-    lines = {i: [(k, x) for k, x in enumerate((t or "").split("\n")) if x.split()] for i, t in docs}
-    for i, _ in sorted(docs):
-        ls = lines[i]
-        for a in range(len(ls)):
-            for b in range(a, len(ls)):
-                if sum(len(x.split()) for _, x in ls[a : b + 1]) >= min_words:
-                    key = tuple(x for _, x in ls[a : b + 1])
-                    if key in seen:
-                        gone[i] |= {k for k, _ in ls[a : b + 1]}
-                    else:
-                        seen[key] = (i, a)
-    out = {}
-    for i, t in docs:
-        left = [x for k, x in enumerate((t or "").split("\n")) if k not in gone[i]]
-        out[i] = "" if gone[i] and not any(x.split() for x in left) else "\n".join(left)
-    return out
-
-
-@pytest.mark.parametrize("min_words", [1, 5, 9])
-def test_line_dedup(spark, min_words):
-    rng = random.Random(min_words)
-    pool = [" ".join(f"t{rng.randrange(9)}" for _ in range(rng.randrange(1, 6))) for _ in range(25)] + ["", " "]
-    block = pool[:6]
-    docs = [(i, "\n".join(rng.choices(pool, k=rng.randrange(1, 12)) + (block if i % 3 == 0 else []) + rng.choices(pool, k=2))) for i in range(40)]
-    docs += [(100, None), (101, ""), (102, docs[0][1]), (103, "\n\n")]
-    out = winnow.remove_repeats(frame(spark, [t for _, t in docs], [i for i, _ in docs]), min_words=min_words).collect()
-    want = plain_dedup(docs, min_words)
-    assert {r["doc_id"]: r["text"] or "" for r in out} == want
-    assert len(out) == len(docs)
-
-
-def test_line_dedup_edges(spark):
-    long = " ".join(["word"] * 60)
-    out = winnow.remove_repeats(frame(spark, [long, long, "short line", "short line", long + "\nown words", long], [None, 2, 3, 4, 5, 2])).collect()
-    by = sorted(((r["doc_id"], r["text"], r["n_lines_removed"]) for r in out), key=str)
-    assert by == sorted([(None, long, 0), (2, "", 1), (2, "", 1), (3, "short line", 0), (4, "short line", 0), (5, "own words", 1)], key=str)
-    assert winnow.remove_repeats(frame(spark, [])).count() == 0
-
-
 def plain_pack(items, capacity):
     """Best fit by looking at every bin; the earliest-used of equal residuals wins."""
     bins, chosen = [], []
@@ -175,6 +133,9 @@ def test_packing_table(spark):
         assert len(named) == len(set(named))
     assert sum(r["length"] for r in out) == sum(max(0, r[1] or 0) for r in rows)
     assert len(out) == sum(max(1, -(-max(0, r[1] or 0) // 100)) for r in rows)
+    equal = spark.range(3_000).select(F.lit(None).cast("long").alias("doc_id"), F.lit(30).alias("n"), F.lit(None).cast("string").alias("source"), F.lit(None).cast("long").alias("cluster"))
+    sizes = best_fit.pack_documents(equal, "doc_id", "n", "source", "cluster", capacity=100, shard_items=128).groupBy((F.col("bin_id") / (1 << 32)).cast("int").alias("shard")).count().collect()
+    assert sum(r["count"] for r in sizes) == 3_000 and len(sizes) > 20 and max(r["count"] for r in sizes) < 300
     assert best_fit.pack_documents(df.limit(0), "doc_id", "n", "source", "cluster").count() == 0
 
 

@@ -1,7 +1,8 @@
 """Conflict-constrained best-fit packing.
 
 Documents become pieces of at most ``capacity`` tokens. Pieces are dealt by hash to shards of
-about ``shard_items``, so that one source or one group of copies is spread over all shards,
+about ``shard_items``, so that one source or one group of copies is spread over all shards (rows that
+are equal in everything are numbered first, so they are spread too),
 and each shard is packed on its own, longest piece first. A shard's bins are ordered by
 residual and carry bitmaps of the sources and duplicate clusters they hold; the search goes
 from the smallest sufficient residual upwards until a bin without conflict is found, else a
@@ -9,8 +10,8 @@ bin is opened. No bin holds two pieces of one source or of one cluster (pieces o
 capacity fill bins of their own).
 
 Cases: a null source or cluster conflicts with none; a null or negative length counts as 0,
-and such pieces are packed like others; pieces of equal length are packed in the order of id
-and piece; repeated rows are packed as several pieces; an empty table gives an empty result;
+and such pieces are packed like others; pieces of equal length are packed in the order of id,
+piece, source and cluster; very long documents fill bins of their own and leave a last piece; repeated rows are packed as several pieces; an empty table gives an empty result;
 extra columns are ignored.
 """
 
@@ -22,8 +23,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidewatch.llm.common import stored
+
 CAPACITY = 2_048
 SHARD_ITEMS = 4_096
+#: Equal rows that one task numbers.
+COPIES = 4_096
 
 
 def pack(lengths: list[int], sources: list, clusters: list, capacity: int) -> list[int]:
@@ -67,15 +72,20 @@ def pack_documents(
     """One row for each piece: id, piece, start, length, source, bin_id, bin_position, bin_used."""
     length = F.greatest(F.coalesce(F.col(length_col).cast("long"), F.lit(0).cast("long")), F.lit(0).cast("long"))
     items = df.select(F.col(id_col).alias("id"), length.alias("total"), F.col(source_col).alias("source"), F.col(cluster_col).alias("cluster"))
+    # Equal rows are counted, then numbered in blocks that are dealt out, however many there are.
+    items = stored(items.groupBy("id", "total", "source", "cluster").agg(F.count("*").alias("n")), "packing-items")
     last = F.greatest(F.floor((F.col("total") - 1) / capacity), F.lit(0)).cast("long")
-    items = items.select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
-    items = items.select("id", "piece", (F.col("piece") * capacity).alias("start"), "total", "source", "cluster")
-    items = items.withColumn("length", F.least(F.lit(capacity).cast("long"), F.col("total") - F.col("start"))).drop("total")
-    shards = max(1, -(-items.count() // shard_items))
-    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "source", "length"), F.lit(shards)).cast("long"))
+    shards = max(1, -(-(items.agg(F.sum((last + 1) * F.col("n"))).first()[0] or 0) // shard_items))
+    once = items.filter("n = 1").select("*", F.lit(0).cast("long").alias("copy"))
+    more = items.filter("n > 1").select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n") - 1) / COPIES))).alias("block"))
+    more = more.repartition("id", "source", "cluster", "block").select("*", F.explode(F.sequence(F.col("block") * COPIES, F.least((F.col("block") + 1) * COPIES, F.col("n")) - 1)).alias("copy"))
+    items = once.unionByName(more.drop("block")).select("*", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("piece"))
+    start = F.col("piece") * capacity
+    items = items.select("id", "piece", start.alias("start"), F.least(F.lit(capacity).cast("long"), F.col("total") - start).alias("length"), "source", "cluster", "copy")
+    items = items.withColumn("shard", F.pmod(F.xxhash64("id", "piece", "source", "length", "cluster", "copy"), F.lit(shards)).cast("long")).drop("copy")
 
     def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("source", "ascending")])
+        rows = rows.sort_by([("length", "descending"), ("id", "ascending"), ("piece", "ascending"), ("source", "ascending"), ("cluster", "ascending")])
         lengths = rows["length"].to_pylist()
         bins = pack(lengths, rows["source"].to_pylist(), rows["cluster"].to_pylist(), capacity)
         used, position = [0] * len(bins), []

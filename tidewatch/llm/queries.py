@@ -84,9 +84,9 @@ def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document without the repeated runs of lines, as a digest of what is left."""
+    """Every document without the repeated runs, as a digest of what is left."""
     cleaned = winnow.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return cleaned.select("doc_id", "n_lines", "n_lines_removed", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("left_sha256"))
+    return cleaned.select("doc_id", "n_lines", "n_lines_removed", "n_words_removed", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("left_sha256"))
 
 
 QUERIES = {
