@@ -65,6 +65,18 @@ def test_same_as_plain(spark, block):
         assert a["score"] == pytest.approx(b[6], abs=1e-6)
 
 
+def test_blocks_are_bounded_whatever_parts_the_words(spark):
+    rows = [(f"k{i}", "\n".join(f"w{(i * j) % 90}" for j in range(100)), False, None) for i in range(40)]
+    df = spark.createDataFrame(rows, "doc_id string, text string, held boolean, score string").coalesce(1)
+    numbering = katz.Numbering()
+    numbering.add(1, "a\tB\nc\x0bd", None)
+    assert numbering.size == 5 and numbering.held == [False]
+    got = {r["doc_id"]: r["score"] for r in katz.score(df, F.col("held"), block_tokens=1_000, bucket_keys=50).collect()}
+    assert got == pytest.approx({r[0]: r[6] for r in plain(rows)}, abs=1e-6)
+    dated = df.limit(2).withColumn("doc_id", F.lit("2024-01-01").cast("date"))
+    assert katz.score(dated, F.col("held")).count() == 2
+
+
 def test_nothing_to_learn_from(spark):
     got = katz.score(spark.createDataFrame([(1, "a b", True, None)], SCHEMA), F.col("held")).first()
     assert (got["n_tokens"], got["n_known"], got["train_tokens"]) == (3, 0, 0)

@@ -5,10 +5,10 @@ weight is the freed mass over the unigram mass of the words never seen after it,
 conditional distribution sums to one. A token is evaluated recursively: its bigram if seen,
 else the weight of its context times the unigram; words never seen share one unknown event.
 
-Texts are worked on in blocks of about ``BLOCK`` tokens. A block sends its distinct words and
+Texts are worked on in blocks of about ``BLOCK`` tokens (a longer text is a block of its own), which are written once. A block sends its distinct words and
 word pairs with their counts to hash buckets and gets back the totals over the corpus, in its
 own order: the model's tables stay partitioned, no task holds more of them than its own block
-or bucket needs, and a frequent word costs each block one entry. Three exchanges suffice:
+or bucket needs (there are as many buckets as the corpus needs), and a frequent word costs each block one entry. Three exchanges suffice:
 word counts, pair counts (together), and the sums over each context's successors.
 
 * If a count of counts is zero or a discount leaves (0, 1), the discount of r is (r - 0.5) / r.
@@ -35,11 +35,13 @@ import zstandard
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from tidewatch.llm.common import bounded_batches, stored
 
 K = 5
-BLOCK = 2_000_000
+#: Tokens of a block, and keys of a bucket, about.
+BLOCK, BUCKET = 2_000_000, 3_000_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: No word holds white space, so these are no words.
 START, END = b"\n<s>", b"\n</s>"
@@ -94,48 +96,40 @@ class Block:
         return np.unique(mixed, return_index=True, return_inverse=True)
 
 
-def number(texts: list[bytes], held_out: list[bool]) -> Block:
-    """A block of texts that were lower-cased."""
-    ids: dict[bytes, int] = defaultdict(count().__next__)
-    start, end = ids[START], ids[END]
-    tokens, lens = [], []
-    for text in texts:
-        own = [ids[w] for w in text.split()]
-        own.append(end)
-        tokens.append(np.array(own, np.int32))
-        lens.append(len(own))
-    return _block(ids, tokens, lens, start, held_out)
-
-
-def _block(ids: dict[bytes, int], tokens: list[np.ndarray], lens: list[int], start: int, held_out: list[bool]) -> Block:
-    hashes = np.array(list(map(xxhash.xxh3_64_intdigest, ids)), np.uint64)
-    order = np.argsort(hashes)
-    rank = np.empty(len(order), np.int32)
-    rank[order] = np.arange(len(order), dtype=np.int32)
-    flat = rank[np.concatenate(tokens)]
-    first = np.concatenate([[0], np.cumsum(lens)[:-1]])
-    contexts = np.empty_like(flat)
-    contexts[1:] = flat[:-1]
-    contexts[first] = rank[start]
-    return Block(hashes[order], flat, contexts, np.repeat(np.arange(len(lens)), lens), np.array(held_out, bool))
-
-
-def blocks(batches: Iterator[pa.RecordBatch], size: int) -> Iterator[tuple[int, pa.Array, Block]]:
-    """Number, ids and content of a partition's blocks; the same rows give the same blocks."""
-    part, seen = TaskContext.get().partitionId() << 32, 0
-    ids, texts, held, tokens = [], [], [], 0
-    for batch in batches:
-        for i, text, out in zip(batch["id"], batch["text"].to_pylist(), batch["held_out"].to_pylist(), strict=True):
-            raw = (text or "").encode().translate(LOWER)
-            ids.append(i.as_py())
-            texts.append(raw)
-            held.append(bool(out))
-            tokens += raw.count(b" ") + 1
-            if tokens >= size:
-                yield part + seen, ids, number(texts, held)
-                seen, ids, texts, held, tokens = seen + 1, [], [], [], 0
-    if texts:
-        yield part + seen, ids, number(texts, held)
+class Numbering:
+    """Texts that become a block; words are numbered as they come."""
+
+    def __init__(self) -> None:
+        self.words: dict[bytes, int] = defaultdict(count().__next__)
+        self.start, self.end = self.words[START], self.words[END]
+        self.ids, self.held, self.tokens, self.lens, self.size = [], [], [], [], 0
+
+    def add(self, i: object, text: str | None, held_out: bool | None) -> None:
+        number = self.words.__getitem__
+        own = np.fromiter(map(number, (text or "").encode().translate(LOWER).split()), np.int32)
+        self.tokens.append(np.append(own, np.int32(self.end)))
+        self.lens.append(len(own) + 1)
+        self.size += len(own) + 1
+        self.ids.append(i)
+        self.held.append(bool(held_out))
+
+    def row(self, name: int) -> dict:
+        """The block as a row of the table of blocks; ``words`` are ascending hashes, which tokens index."""
+        hashes = np.array(list(map(xxhash.xxh3_64_intdigest, self.words)), np.uint64)
+        order = np.argsort(hashes)
+        rank = np.empty(len(order), np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        tokens = zstandard.compress(rank[np.concatenate(self.tokens)].tobytes(), 1)
+        return {"block": name, "ids": self.ids, "held": self.held, "lens": self.lens, "words": pack_sorted(hashes[order]), "tokens": tokens, "start": int(rank[self.start])}
+
+
+def block_of(row: dict) -> Block:
+    """The block that a row of the table of blocks holds."""
+    words, tokens, lens = unpack_sorted(row["words"]), np.frombuffer(zstandard.decompress(row["tokens"]), np.int32), np.array(row["lens"])
+    contexts = np.empty_like(tokens)
+    contexts[1:] = tokens[:-1]
+    contexts[np.cumsum(lens) - lens] = row["start"]
+    return Block(words, tokens, contexts, np.repeat(np.arange(len(lens)), lens), np.array(row["held"], bool))
 
 
 def discounts(counts: list[int]) -> np.ndarray:
@@ -225,7 +219,7 @@ def _sums(rows: pa.Table) -> pa.Table:
     return pa.table({"block": rows["block"], "kind": rows["kind"], "bucket": rows["bucket"], **made})
 
 
-def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK) -> DataFrame:
+def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", block_tokens: int = BLOCK, bucket_keys: int = BUCKET) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score and score of every row.
 
     The model learns from the rows that aren't held out. ``base_score`` is that of the
@@ -233,19 +227,38 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     """
     spark = df.sparkSession
     bounded_batches(spark)
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
     rows = df.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), held_out.alias("held_out"))
     id_type = rows.schema["id"].dataType.simpleString()
+    batch_ids = pa.list_(to_arrow_type(rows.schema["id"].dataType))
+    state = pa.schema([("block", pa.int64()), ("ids", batch_ids), ("held", pa.list_(pa.bool_())), ("lens", pa.list_(pa.int64())), ("words", pa.binary()), ("tokens", pa.binary()), ("start", pa.int64())])
+
+    def number(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        name, made = TaskContext.get().partitionId() << 32, Numbering()
+        for batch in batches:
+            for i, text, out in zip(batch["id"].to_pylist(), batch["text"].to_pylist(), batch["held_out"].to_pylist(), strict=True):
+                made.add(i, text, out)
+                if made.size >= block_tokens:
+                    yield from pa.Table.from_pylist([made.row(name)], schema=state).to_batches()
+                    name, made = name + 1, Numbering()
+        if made.ids:
+            yield from pa.Table.from_pylist([made.row(name)], schema=state).to_batches()
+
+    # The blocks are written once; a task that is run again reads the same ones.
+    kept = stored(rows.mapInArrow(number, f"block long, ids array<{id_type}>, held array<boolean>, lens array<long>, words binary, tokens binary, start long"), "katz-texts")
+    tokens = kept.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
+    # A bucket's keys fit a task's memory at any size of the corpus.
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // bucket_keys))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, _, block in blocks(batches, block_tokens):
-            kinds, numbers, keys, counts = zip(*_sent(block, buckets), strict=True)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(kinds)), pa.array(kinds), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
-                names=["block", "kind", "bucket", "keys", "counts"],
-            )
-
-    sent = rows.mapInArrow(send, "block long, kind string, bucket int, keys binary, counts binary")
+        for batch in batches:
+            for row in batch.to_pylist():
+                kinds, numbers, keys, counts = zip(*_sent(block_of(row), buckets), strict=True)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([row["block"]] * len(kinds)), pa.array(kinds), pa.array(numbers, pa.int32()), pa.array(keys, pa.binary()), pa.array(counts, pa.binary())],
+                    names=["block", "kind", "bucket", "keys", "counts"],
+                )
+
+    sent = kept.select("block", "held", "lens", "words", "tokens", "start").mapInArrow(send, "block long, kind string, bucket int, keys binary, counts binary")
     totals = sent.groupBy("kind", "bucket").applyInArrow(_totals, "block long, kind string, bucket int, totals binary, stats array<long>")
     totals = stored(totals, "katz-totals")
     summed = totals.groupBy("kind").agg(F.array(*(F.sum(F.col("stats")[i]) for i in range(K + 3))).alias("s"))
@@ -253,34 +266,13 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     words, pairs = found.get("w", [0] * (K + 3)), found.get("p", [0] * (K + 3))
     stats = Stats(words[0], words[1], words[2:], pairs[2:])
 
-    def state(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for name, ids, block in blocks(batches, block_tokens):
-            lens = np.bincount(block.text, minlength=len(ids)).astype(np.int64)
-            start = int(np.searchsorted(block.words, np.uint64(xxhash.xxh3_64_intdigest(START))))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([name]), pa.array([ids], batch_ids), pa.array([block.held_out.tolist()], pa.list_(pa.bool_())), pa.array([lens.tolist()], pa.list_(pa.int64())),
-                    pa.array([pack_sorted(block.words)], pa.binary()), pa.array([zstandard.compress(block.tokens.tobytes(), 1)], pa.binary()), pa.array([start], pa.int64()),
-                ],
-                names=["block", "ids", "held", "lens", "words", "tokens", "start"],
-            )
-
-    batch_ids = pa.list_({"string": pa.string(), "int": pa.int32(), "bigint": pa.int64()}[id_type])
-
     def apply(left: pa.Table, right: pa.Table) -> pa.Table:
-        if left.num_rows != 1:
-            raise ValueError("a block came out differently when its rows were read again")
         row = left.to_pylist()[0]
-        keys, tokens, lens = unpack_sorted(row["words"]), np.frombuffer(zstandard.decompress(row["tokens"]), np.int32), np.array(row["lens"])
-        contexts = np.empty_like(tokens)
-        contexts[1:] = tokens[:-1]
-        contexts[np.cumsum(lens) - lens] = row["start"]
-        block = Block(keys, tokens, contexts, np.repeat(np.arange(len(lens)), lens), np.array(row["held"]))
+        block = block_of(row)
+        keys, tokens, contexts, lens = block.words, block.tokens, block.contexts, np.array(row["lens"])
         c = np.abs(_ordered(right, "w", "totals", "<i8"))
         distinct, example, of_token = block.pairs()
         signed = _ordered(right, "p", "totals", "<i8")
-        if len(c) != len(keys) or len(signed) != len(distinct):
-            raise ValueError("a block came out differently when its rows were read again")
         after = c.copy()
         after[row["start"]] = c[np.searchsorted(keys, np.uint64(xxhash.xxh3_64_intdigest(END)))]
         uni, r = stats.unigram(c), np.abs(signed)
@@ -322,7 +314,6 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         + [("late", pa.binary()), ("after", pa.binary())]
     )
     ddl = f"block long, kind string, bucket int, keys binary, freed binary, mass binary, ids array<{id_type}>, held array<boolean>, lens array<double>, known array<double>, base array<double>, score array<double>, late binary, after binary"
-    kept = rows.mapInArrow(state, f"block long, ids array<{id_type}>, held array<boolean>, lens array<long>, words binary, tokens binary, start long")
     worked = kept.groupBy("block").cogroup(totals.select("block", "kind", "bucket", "totals").groupBy("block")).applyInArrow(apply, ddl)
     worked = stored(worked, "katz-blocks")
     sums = worked.filter("kind = 'c'").select("block", "kind", "bucket", "keys", "freed", "mass").groupBy("bucket").applyInArrow(_sums, "block long, kind string, bucket int, freed binary, mass binary")
