@@ -96,8 +96,53 @@ def test_forward_backward_is_exact():
     ends = [*begins[1:], len(x)]
     for a, b in zip(begins, ends, strict=True):
         assert good[a:b] == pytest.approx(brute_marginals(model, (x[a:b] @ model.weights).tolist()))
-        chain, _ = line_crf._chain((x[a:b] @ model.weights)[None], np.ones((1, b - a), bool), model.transitions, model.start)
-        assert chain[0] == pytest.approx(good[a:b])
+    chains = line_crf.Chains([b - a for a, b in zip(begins, ends, strict=True)])
+    scores, want = np.zeros(len(x)), np.zeros(len(x))
+    for k, i in enumerate(chains.order):
+        a, b = begins[i], ends[i]
+        scores[chains.rows(k, b - a)], want[chains.rows(k, b - a)] = x[a:b] @ model.weights, good[a:b]
+    got, pairs = chains.marginals(scores, model.transitions, model.start, np.ones(len(x)))
+    assert got == pytest.approx(want) and pairs.sum() == pytest.approx(len(x) - len(texts))
+    assert pairs.sum(axis=0)[1] == pytest.approx(sum(good[a + 1 : b].sum() for a, b in zip(begins, ends, strict=True)))
+
+
+def test_changes_of_label_are_learnt():
+    """Bad documents with good lines: the second round tells their lines apart."""
+    rng = np.random.default_rng(1)
+    documents = []
+    for y in [0, 1] * 60:
+        n = 12
+        x = np.zeros((n, 1 + 3 * line_crf.N_FEATURES), np.float32)
+        bad = np.zeros(n, bool) if y else np.arange(n) >= rng.integers(3, 9)
+        x[:, 0], x[:, 1], x[:, 2] = 1, bad + rng.normal(0, 0.2, n), rng.normal(0, 1, n)
+        documents.append((x, np.ones(n, np.float32), y, bad))
+    model = line_crf.train([d[:3] for d in documents], for_bad=0.0)
+    right = [((line_crf._good(model, x @ model.weights, [(0, len(x))]) < 0.5) == bad).mean() for x, _, y, bad in documents if not y]
+    assert np.mean(right) > 0.9
+
+
+def test_score_is_the_weighted_mean_of_marginals(spark):
+    rng = np.random.default_rng(5)
+    model = line_crf.Model(rng.normal(0, 0.4, 1 + 3 * line_crf.N_FEATURES), rng.normal(0, 1, (2, 2)), -0.3, 1.3, 0.2)
+    texts = ["One line here.\nTWO!! | THREE\n\nfour $$$ five\nsix seven.", "x y", "a\n bb\nccc"]
+    rows = [(i, t, "clash") for i, t in enumerate(texts)] + [(0, texts[0], "again")]
+    for r in line_crf.score(spark.createDataFrame(rows, "doc_id int, text string, quality_score string"), model).collect():
+        x, _, _ = line_crf.line_features([r["text"]])
+        good = brute_marginals(model, (x @ model.weights).tolist())
+        ink = np.array([len(re.sub(r"\s", "", line)) for line in r["text"].split("\n")])
+        mean = (good * ink).sum() / ink.sum()
+        assert r["quality_score"] == pytest.approx(1 / (1 + math.exp(-(1.3 * math.log(mean / (1 - mean)) + 0.2))), abs=1e-6)
+
+
+def test_texts_of_many_lines_take_slices(monkeypatch):
+    rng = np.random.default_rng(7)
+    model = line_crf.Model(rng.normal(0, 0.4, 1 + 3 * line_crf.N_FEATURES), rng.normal(0, 1, (2, 2)), 0.1, 1.0, 0.0)
+    texts = ["\n".join("word " * (i % 5) + "." for i in range(77)), None, "\n" * 9, "end"]
+    whole = line_crf.marginals(model, texts)
+    for size in (1, 8):
+        monkeypatch.setattr(line_crf, "SLICE", size)
+        for a, b in zip(whole, line_crf.marginals(model, texts), strict=True):
+            assert a == pytest.approx(b, abs=1e-5)
 
 
 def test_quality_on_held_out(spark):

@@ -5,8 +5,10 @@ neighbours; a transition matrix ties neighbouring labels. Forward-backward gives
 marginal, and a document's quality is the mean of the marginals weighted by the lines'
 lengths, calibrated on the training documents by a logistic function of its log odds.
 
-The field is fitted on at most about ``max_docs`` labelled documents drawn by a hash of the
-id, of each all lines; every line takes its document's label. A document of more than
+The field is fitted on at most ``max_docs`` labelled documents, those of the smallest hashes of id
+and text, of each all lines. In a first round every line takes its document's label; after it the
+label is only evidence about the lines, so the next round learns from bad lines in
+good documents and good ones in bad documents, and from the changes between them. A document of more than
 ``CHAIN_LINES`` lines is several chains, each of which begins and ends ``OVERLAP`` lines within
 its neighbours, and the chains of a document weigh as one. Calibration takes the marginals of
 whole documents, as scoring does. If the drawn documents have over ``MAX_LINES`` lines,
@@ -14,7 +16,8 @@ fewer documents are drawn, whole. Scoring uses all lines of all texts.
 
 Cases: a null or empty text, or one of blank lines only, scores 0; without labels of both
 kinds every text scores 0.5; repeated rows each get the same result; several labels of a
-document count as their mean, rounded; an empty table gives an empty result; an input column
+document count as their mean, rounded; very long texts and texts of very many lines are read whole, a
+slice of lines at a time; an empty table gives an empty result; an input column
 with the name of a result is replaced.
 """
 
@@ -24,19 +27,20 @@ import math
 from dataclasses import dataclass, replace
 
 import numpy as np
-import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from tidewatch.llm.common import DOUBLE, LONG, with_columns
+from tidewatch.llm.common import BINARY, DOUBLE, LONG, drawn, stored, with_columns
 
 MAX_DOCS = 3_000
 #: Lines of a chain in training, and of them those that the next one repeats.
 CHAIN_LINES, OVERLAP = 64, 8
 #: Lines that the driver gets at most, unless one document has more.
 MAX_LINES = 200_000
-STEPS = 150
+#: Adam's steps in a round at most, and the slope at which it stops.
+STEPS, ENOUGH = 60, 1e-4
+#: Rounds of fitting, and the log odds by which a good or a bad document's label speaks for its lines from the second one on.
+ROUNDS, FOR_GOOD, FOR_BAD = 4, 2.0, -2.0
 RIDGE = 1e-3
 THRESHOLD = 0.3
 
@@ -47,6 +51,8 @@ for _chars, _class in ((range(97, 123), LOWER), (range(65, 91), UPPER), (range(4
 N_CLASSES = 12
 #: Bytes that are counted at once.
 COUNTED = 1 << 22
+#: Lines whose features are made at once in scoring.
+SLICE = 1 << 15
 #: Features of one line; a line has those of its neighbours too.
 N_FEATURES = 16
 
@@ -60,76 +66,131 @@ class Model:
     shift: float
 
 
+@dataclass
+class Lines:
+    """The lines of texts, side by side in one array of bytes."""
+
+    data: np.ndarray
+    starts: np.ndarray
+    ends: np.ndarray
+    again: np.ndarray  # whether a line repeats one of its text
+    begins: np.ndarray  # the first line of each text
+
+    @staticmethod
+    def of(texts: list[str | None]) -> Lines:
+        raw = [(t or "").encode() + b"\n" for t in texts]
+        data = np.frombuffer(b"".join(raw), np.uint8)
+        ends = np.flatnonzero(data == 10)
+        starts = np.concatenate([[0], ends[:-1] + 1]) if len(ends) else ends
+        per_text = np.array([x.count(b"\n") for x in raw], np.int64)
+        begins = np.concatenate([[0], np.cumsum(per_text)])[:-1] if raw else np.zeros(0, np.int64)
+        again, at = np.zeros(len(ends), bool), 0
+        for x in raw:
+            seen: set[bytes] = set()
+            for piece in x[:-1].split(b"\n"):
+                if piece in seen:
+                    again[at] = True
+                elif piece:
+                    seen.add(piece)
+                at += 1
+        return Lines(data, starts, ends, again, begins)
+
+    def own(self, i: int, j: int) -> tuple[np.ndarray, np.ndarray]:
+        """Features of lines i to j without their neighbours', and their lengths without spaces."""
+        starts, ends, n = self.starts[i:j], self.ends[i:j], j - i
+        lens = ends - starts + 1
+        counts = np.zeros((n, N_CLASSES), np.float32)
+        for a in range(int(starts[0]), int(ends[-1]) + 1, COUNTED):
+            b = min(a + COUNTED, int(ends[-1]) + 1)
+            low, high = np.searchsorted(ends, [a, b - 1])
+            inside = np.minimum(ends[low : high + 1], b - 1) - np.maximum(starts[low : high + 1], a) + 1
+            line = np.repeat(np.arange(high - low + 1), inside)
+            found = np.bincount(line * N_CLASSES + CLASSES[self.data[a:b]], minlength=(high - low + 1) * N_CLASSES)
+            counts[low : high + 1] += found.reshape(-1, N_CLASSES)
+        size = np.maximum(lens - 1, 1).astype(np.float32)
+        ink = np.maximum(lens - 1 - counts[:, SPACE], 0)
+        words = np.maximum(counts[:, SPACE] + 1, 1)
+        letters = np.maximum(counts[:, LOWER] + counts[:, UPPER] + counts[:, HIGH], 1)
+        last, first = self.data[np.maximum(ends - 1, starts)], self.data[starts]
+        own = np.stack(
+            [
+                np.log1p(size) / 5, counts[:, UPPER] / letters, counts[:, DIGIT] / size, counts[:, SPACE] / size * 3,
+                np.minimum(counts[:, SYMBOL] / words, 3), np.minimum(counts[:, PIPE] / words, 1), np.minimum(counts[:, BANG] / words, 2),
+                np.minimum(counts[:, STOP] / words, 1) * 3, np.minimum(counts[:, COMMA] / words, 1) * 3, np.minimum(counts[:, OTHER] / words, 2),
+                CLASSES[last] == STOP, CLASSES[first] == UPPER, counts[:, UPPER] > letters * 0.5, lens <= 1, self.again[i:j], np.minimum(letters / words / 10, 3),
+            ],
+            axis=1,
+        ).astype(np.float32)
+        return own, ink
+
+    def beside(self, own: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of the lines before and after each line; zeros beyond the ends of a text."""
+        before, after = np.zeros_like(own), np.zeros_like(own)
+        before[1:], after[:-1] = own[:-1], own[1:]
+        if len(self.begins):
+            before[self.begins] = 0
+            after[np.append(self.begins[1:], len(own)) - 1] = 0
+        return before, after
+
+
 def line_features(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features of all lines (with their neighbours'), the lines' lengths without spaces, and each text's first line."""
-    raw = [(t or "").encode() + b"\n" for t in texts]
-    data = np.frombuffer(b"".join(raw), np.uint8)
-    ends = np.flatnonzero(data == 10)
-    lens = np.diff(ends, prepend=-1)
-    starts = ends + 1 - lens
-    n = len(ends)
-    counts = np.zeros((n, N_CLASSES), np.float32)
-    for a in range(0, len(data), COUNTED):
-        b = min(a + COUNTED, len(data))
-        low, high = np.searchsorted(ends, [a, b - 1])
-        inside = np.minimum(ends[low : high + 1], b - 1) - np.maximum(starts[low : high + 1], a) + 1
-        line = np.repeat(np.arange(high - low + 1), inside)
-        found = np.bincount(line * N_CLASSES + CLASSES[data[a:b]], minlength=(high - low + 1) * N_CLASSES)
-        counts[low : high + 1] += found.reshape(-1, N_CLASSES)
-    size = np.maximum(lens - 1, 1).astype(np.float32)
-    ink = np.maximum(lens - 1 - counts[:, SPACE], 0)
-    words = np.maximum(counts[:, SPACE] + 1, 1)
-    letters = np.maximum(counts[:, LOWER] + counts[:, UPPER] + counts[:, HIGH], 1)
-    last, first = data[np.maximum(ends - 1, starts)], data[starts]
-    per_text = np.array([x.count(b"\n") for x in raw], np.int64)
-    begins = np.concatenate([[0], np.cumsum(per_text)])[:-1] if len(raw) else np.zeros(0, np.int64)
-    again = np.zeros(n, np.float32)
-    at = 0
-    for x in raw:
-        seen: set[bytes] = set()
-        for piece in x[:-1].split(b"\n"):
-            if piece in seen:
-                again[at] = 1
-            elif piece:
-                seen.add(piece)
-            at += 1
-    own = np.stack(
-        [
-            np.log1p(size) / 5, counts[:, UPPER] / letters, counts[:, DIGIT] / size, counts[:, SPACE] / size * 3,
-            np.minimum(counts[:, SYMBOL] / words, 3), np.minimum(counts[:, PIPE] / words, 1), np.minimum(counts[:, BANG] / words, 2),
-            np.minimum(counts[:, STOP] / words, 1) * 3, np.minimum(counts[:, COMMA] / words, 1) * 3, np.minimum(counts[:, OTHER] / words, 2),
-            CLASSES[last] == STOP, CLASSES[first] == UPPER, counts[:, UPPER] > letters * 0.5, lens <= 1, again, np.minimum(letters / words / 10, 3),
-        ],
-        axis=1,
-    ).astype(np.float32)
-    before, after = np.zeros_like(own), np.zeros_like(own)
-    before[1:], after[:-1] = own[:-1], own[1:]
-    if len(begins):
-        before[begins] = 0
-        after[begins + per_text - 1] = 0
-    return np.concatenate([np.ones((n, 1), np.float32), own, before, after], axis=1), ink, begins
-
-
-def _chain(scores: np.ndarray, mask: np.ndarray, transitions: np.ndarray, start: float | np.ndarray, weights: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """Marginals of the label good and (weighted) summed pair marginals, for padded chains (texts x lines)."""
-    n, steps = scores.shape
-    weights = np.ones(n) if weights is None else weights
-    emit = np.stack([np.ones_like(scores), np.exp(np.clip(scores, -30, 30))], axis=2)
-    move = np.exp(transitions)
-    forward, backward = np.zeros((n, steps, 2)), np.ones((n, steps, 2))
-    a = emit[:, 0] * np.stack([np.ones(n), np.exp(start * np.ones(n))], axis=1)
-    forward[:, 0] = a / a.sum(axis=1, keepdims=True)
-    for t in range(1, steps):
-        a = (forward[:, t - 1] @ move) * emit[:, t]
-        forward[:, t] = np.where(mask[:, t, None], a / a.sum(axis=1, keepdims=True), forward[:, t - 1])
-    for t in range(steps - 2, -1, -1):
-        b = (backward[:, t + 1] * emit[:, t + 1]) @ move.T
-        backward[:, t] = np.where(mask[:, t + 1, None], b / b.sum(axis=1, keepdims=True), 1.0)
-    both = forward * backward
-    both /= both.sum(axis=2, keepdims=True)
-    pairs = forward[:, :-1, :, None] * move * (emit[:, 1:] * backward[:, 1:])[:, :, None, :]
-    pairs /= pairs.sum(axis=(2, 3), keepdims=True)
-    return both[:, :, 1], (pairs * (mask[:, 1:] * weights[:, None])[:, :, None, None]).sum(axis=(0, 1))
+    lines = Lines.of(texts)
+    n = len(lines.ends)
+    own, ink = lines.own(0, n) if n else (np.zeros((0, N_FEATURES), np.float32), np.zeros(0, np.float32))
+    return np.concatenate([np.ones((n, 1), np.float32), own, *lines.beside(own)], axis=1), ink, lines.begins
+
+
+def line_scores(texts: list[str | None], weights: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The weighed features of all lines, their lengths and each text's first line.
+
+    Weights are applied to ``SLICE`` lines at a time and then moved to the neighbours, so that a line costs a few numbers.
+    """
+    lines = Lines.of(texts)
+    n = len(lines.ends)
+    parts, ink = np.zeros((n, 3)), np.zeros(n, np.float32)
+    for i in range(0, n, SLICE):
+        j = min(n, i + SLICE)
+        own, ink[i:j] = lines.own(i, j)
+        parts[i:j] = own @ weights[1:].reshape(3, -1).T
+    return weights[0] + parts[:, 0] + lines.beside(parts[:, 1])[0] + lines.beside(parts[:, 2])[1], ink, lines.begins
+
+
+class Chains:
+    """Chains of lines, longest first; step after step, those that are still going lie side by side."""
+
+    def __init__(self, lens: list[int]) -> None:
+        self.order = np.argsort(-np.array(lens), kind="stable")
+        lens_ = np.array(lens)[self.order]
+        self.going = np.searchsorted(-lens_, -np.arange(lens_[0] if len(lens_) else 0), side="left")
+        self.at = np.concatenate([[0], np.cumsum(self.going)]).astype(np.int64)
+        self.chain = np.concatenate([np.arange(m) for m in self.going]) if len(lens_) else np.zeros(0, np.int64)
+        self.before = np.concatenate([np.arange(a, a + m) for a, m in zip(self.at, self.going[1:], strict=False)]) if len(self.going) > 1 else np.zeros(0, np.int64)
+
+    def rows(self, k: int, n: int) -> np.ndarray:
+        """Where the n lines of the k-th chain lie."""
+        return self.at[:n] + k
+
+    def marginals(self, scores: np.ndarray, transitions: np.ndarray, start: float | np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """P(good) of every line and the weighed sums of the pairs' probabilities; ``start`` is of each chain, ``weights`` of each line."""
+        emit = np.exp(np.clip(scores, -30, 30))
+        (t00, t01), (t10, t11) = np.exp(transitions).tolist()
+        p, r = np.empty(len(emit)), np.ones(len(emit))
+        first = self.going[0]
+        q = np.exp(start * np.ones(first)) * emit[:first]
+        p[:first] = q / (1 + q)
+        for a, b, m in zip(self.at, self.at[1:], self.going[1:], strict=False):
+            old = p[a : a + m]
+            one = ((1 - old) * t01 + old * t11) * emit[b : b + m]
+            p[b : b + m] = one / (one + (1 - old) * t00 + old * t10)
+        for a, b, m in zip(self.at[-3::-1], self.at[-2:0:-1], self.going[:0:-1], strict=True):
+            e = emit[b : b + m] * r[b : b + m]
+            r[a : a + m] = (t10 + t11 * e) / (t00 + t01 * e)
+        good = p * r / (p * r + 1 - p)
+        a, b = p[self.before], (emit * r)[first:]
+        pairs = np.stack([(1 - a) * t00, (1 - a) * t01 * b, a * t10, a * t11 * b])
+        pairs *= weights[first:] / pairs.sum(axis=0)
+        return good, pairs.sum(axis=1).reshape(2, 2)
 
 
 def cut(n: int) -> list[tuple[int, int]]:
@@ -138,66 +199,76 @@ def cut(n: int) -> list[tuple[int, int]]:
     return [(a, min(n, a + CHAIN_LINES)) for a in range(0, max(1, n - OVERLAP), step)]
 
 
-def train(documents: list[tuple[np.ndarray, np.ndarray, int]]) -> Model:
-    """Maximum likelihood with a ridge, by Adam; ``documents`` are (features, lengths, label) of all lines."""
+def train(documents: list[tuple[np.ndarray, np.ndarray, int]], for_good: float = FOR_GOOD, for_bad: float = FOR_BAD) -> Model:
+    """Maximum likelihood with a ridge, by Adam; ``documents`` are (features, lengths, label) of all lines.
+
+    Where bad documents hold many good lines, ``for_bad`` should be near 0.
+    """
     width = 1 + 3 * N_FEATURES
     whole = np.array([y for *_, y in documents])
     if len(set(whole.tolist())) < 2:
         return Model(np.zeros(width), np.zeros((2, 2)), 0.0, 0.0, 0.0)
-    chains = [(x[a:b], y, a == 0, 1 / len(spans)) for x, _, y in documents for spans in [cut(len(x))] for a, b in spans]
-    labels, opens, weights = (np.array([c[i] for c in chains]) for i in (1, 2, 3))
-    steps = max(len(x) for x, *_ in chains)
-    features, mask = np.zeros((len(chains), steps, width), np.float32), np.zeros((len(chains), steps), bool)
-    for i, (x, *_) in enumerate(chains):
-        features[i, : len(x)], mask[i, : len(x)] = x, True
-    theta, m, v = np.zeros(width + 5), np.zeros(width + 5), np.zeros(width + 5)
-    target = np.where(mask, labels[:, None], 0)
-    weighed = mask * weights[:, None]
+    pieces = [(x[a:b], y, a == 0, 1 / len(spans)) for x, _, y in documents for spans in [cut(len(x))] for a, b in spans]
+    chains = Chains([len(x) for x, *_ in pieces])
+    pieces = [pieces[i] for i in chains.order]
+    flat = np.zeros((int(chains.at[-1]), width), np.float32)
+    for k, (x, *_) in enumerate(pieces):
+        flat[chains.rows(k, len(x))] = x
+    of_chain, opens, weights = (np.array([c[i] for c in pieces], float) for i in (1, 2, 3))
+    labels, weighed = of_chain[chains.chain], weights[chains.chain]
     total = weighed.sum()
-    links = weighed[:, 1:].sum(axis=1)
-    seen = np.array([[links[labels == 0].sum(), 0.0], [0.0, links[labels == 1].sum()]])
-    flat = features.reshape(-1, width)
-    for step in range(1, STEPS + 1):
-        scores = (flat @ theta[:width]).reshape(mask.shape)
-        good, pairs = _chain(scores, mask, theta[width : width + 4].reshape(2, 2), theta[-1] * opens, weights)
-        slope = np.concatenate([flat.T @ ((target - good) * weighed).ravel(), (seen - pairs).ravel(), [((labels - good[:, 0]) * opens * weights).sum()]]) / total - RIDGE * theta
-        m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
-        theta += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+    theta = np.zeros(width + 5)
+
+    def marginals(evidence: float | np.ndarray = 0.0) -> tuple[np.ndarray, np.ndarray]:
+        return chains.marginals(flat @ theta[:width] + evidence, theta[width : width + 4].reshape(2, 2), theta[-1] * opens, weighed)
+
+    # At first every line has its document's label, and lines aren't tied to each other.
+    target, seen = labels, None
+    for _ in range(ROUNDS):
+        m, v = np.zeros(width + 5), np.zeros(width + 5)
+        for step in range(1, STEPS + 1):
+            good, pairs = marginals()
+            begun = ((target - good)[: len(pieces)] * opens * weights).sum()
+            ties = np.zeros(4) if seen is None else (seen - pairs).ravel()
+            slope = np.concatenate([flat.T @ ((target - good) * weighed).astype(np.float32), ties, [begun]]) / total - RIDGE * theta
+            if np.abs(slope).max() < ENOUGH:
+                break
+            m, v = 0.9 * m + 0.1 * slope, 0.99 * v + 0.01 * slope**2
+            theta += 0.1 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
+        # Then the document's label is evidence about each of its lines, which may differ from it.
+        target, seen = marginals(np.where(labels == 1, for_good, for_bad))
     model = Model(theta[:width], theta[width : width + 4].reshape(2, 2), float(theta[-1]), 1.0, 0.0)
-    means = np.array([(_good(model, x, [(0, len(x))]) * ink).sum() / max(ink.sum(), 1) for x, ink, _ in documents])
+    means = np.array([(_good(model, x @ model.weights, [(0, len(x))]) * ink).sum() / max(ink.sum(), 1) for x, ink, _ in documents])
     odds = np.log(np.clip(means, 1e-4, 1 - 1e-4) / (1 - np.clip(means, 1e-4, 1 - 1e-4)))
-    labels = whole
     fit = np.zeros(2)
     for _ in range(25):
         p = 1 / (1 + np.exp(-(fit[0] * odds + fit[1])))
         w = p * (1 - p) + 1e-6
         x = np.stack([odds, np.ones_like(odds)])
-        fit += np.linalg.solve((x * w) @ x.T + 1e-2 * np.eye(2), x @ (labels - p) - 1e-2 * fit)
+        fit += np.linalg.solve((x * w) @ x.T + 1e-2 * np.eye(2), x @ (whole - p) - 1e-2 * fit)
     return replace(model, slope=float(max(fit[0], 1e-3)), shift=float(fit[1]))
 
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
     """Learn from documents joined with their labels. Features are made in the tasks; the driver gets the bounded sample's."""
-    n = labelled.select(label_col).count()
-    drawn = lambda share: labelled.filter(F.pmod(F.xxhash64(id_col), F.lit(1_000_000)) < round(share * 1_000_000)) if share < 1 else labelled
-    share = min(1.0, max_docs / max(n, 1))
-    lines = drawn(share).agg(F.sum(F.regexp_count(F.coalesce(text_col, F.lit("")), F.lit("\n")) + 1)).first()[0] or 0
-    sample = drawn(share * min(1.0, MAX_LINES / max(lines, 1)))
-    floats = (T.ArrayType(T.FloatType()), pa.list_(pa.float32()))
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).alias("label"))
+    sample = drawn(rows, ["id", "text"], max_docs).withColumn("lines", F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1)
+    sample = stored(sample, "field-sample")
+    lines = sample.agg(F.sum("lines")).first()[0] or 0
+    if lines > MAX_LINES:
+        sample = drawn(sample, ["id", "text"], max(1, int(max_docs * MAX_LINES / lines)))
 
     def start():
         def apply(texts: list) -> list:
             x, ink, begins = line_features(texts)
-            ends = np.append(begins[1:], len(x))
-            spans = list(zip(begins.tolist(), ends.tolist(), strict=True))
-            return [[x[a:b].ravel() for a, b in spans], [ink[a:b].astype(np.float32) for a, b in spans]]
+            spans = list(zip(begins.tolist(), np.append(begins[1:], len(x)).tolist(), strict=True))
+            return [[x[a:b].tobytes() for a, b in spans], [ink[a:b].astype(np.float32).tobytes() for a, b in spans]]
 
         return apply
 
-    rows = with_columns(sample.select(text_col, F.col(label_col).alias("label")), text_col, {"x": floats, "ink": floats}, start)
-    got = rows.select("label", "x", "ink").toPandas()
+    got = with_columns(sample.select("text", "label"), "text", {"x": BINARY, "ink": BINARY}, start).select("label", "x", "ink").toPandas()
     width = 1 + 3 * N_FEATURES
-    return train([(np.array(x, np.float32).reshape(-1, width), np.array(ink), int(y)) for y, x, ink in zip(got["label"], got["x"], got["ink"], strict=True)])
+    return train([(np.frombuffer(x, np.float32).reshape(-1, width), np.frombuffer(ink, np.float32), int(y)) for y, x, ink in zip(got["label"], got["x"], got["ink"], strict=True)])
 
 
 def labelled(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
@@ -206,33 +277,37 @@ def labelled(documents: DataFrame, labels: DataFrame, label_col: str = "quality"
     return documents.join(one, id_col)
 
 
-def _good(model: Model, x: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
+def _good(model: Model, scores: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
     """P(good) of every line; ``spans`` are the first line and end of each text."""
-    emit = np.exp(np.clip(x @ model.weights, -30, 30)).tolist()
     (t00, t01), (t10, t11) = np.exp(model.transitions).tolist()
-    good = [0.0] * len(emit)
-    for a, b in spans:
-        p = math.exp(model.start) * emit[a]
-        p /= 1 + p
-        good[a] = p
-        for t in range(a + 1, b):
-            one = ((1 - p) * t01 + p * t11) * emit[t]
-            p = one / (one + (1 - p) * t00 + p * t10)
-            good[t] = p
+    good = np.empty(len(scores))
+    for first, end in spans:
+        old, going = 0.0, False
+        for a in range(first, end, SLICE):
+            part = np.exp(np.clip(scores[a : min(end, a + SLICE)], -30, 30)).tolist()
+            for k, e in enumerate(part):
+                one = ((1 - old) * t01 + old * t11) * e if going else math.exp(model.start) * e
+                old = one / (one + ((1 - old) * t00 + old * t10 if going else 1.0))
+                part[k], going = old, True
+            good[a : a + len(part)] = part
         r = 1.0  # backward message of good over bad
-        for t in range(b - 1, a - 1, -1):
-            p = good[t]
-            good[t] = p * r / (p * r + 1 - p)
-            e = emit[t] * r
-            r = (t10 + t11 * e) / (t00 + t01 * e)
-    return np.array(good)
+        for a in range(first + (end - first - 1) // SLICE * SLICE, first - 1, -SLICE):
+            b = min(end, a + SLICE)
+            emit, part = np.exp(np.clip(scores[a:b], -30, 30)).tolist(), good[a:b].tolist()
+            for k in range(b - a - 1, -1, -1):
+                p = part[k]
+                part[k] = p * r / (p * r + 1 - p)
+                e = emit[k] * r
+                r = (t10 + t11 * e) / (t00 + t01 * e)
+            good[a:b] = part
+    return good
 
 
 def marginals(model: Model, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """P(good) of every line of every text, the lines' lengths and each text's first line."""
-    x, ink, begins = line_features(texts)
-    ends = np.append(begins[1:], len(x)).tolist()
-    return _good(model, x, list(zip(begins.tolist(), ends, strict=True))), ink, begins
+    scores, ink, begins = line_scores(texts, model.weights)
+    ends = np.append(begins[1:], len(scores)).tolist()
+    return _good(model, scores, list(zip(begins.tolist(), ends, strict=True))), ink, begins
 
 
 def score(df: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
