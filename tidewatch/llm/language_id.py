@@ -17,7 +17,7 @@ count at which the limit falls, a share by hash; None keeps all), which bounds w
 
 Words are runs of letters (the Unicode categories L), in lower case. Cases: a text that is null
 or has no letter is ``und`` with score 0; equal scores fall to the language that comes first by
-name; without any labelled text all are ``und``; repeated rows each get the same result; very long
+name; without any labelled text all are ``und``; over ``LABELS`` languages are an error; repeated rows each get the same result; very long
 texts are read whole, ``STEP`` words at a time; an empty table gives an empty result; an input
 column with the name of a result is replaced.
 """
@@ -36,10 +36,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidewatch.llm.common import DOUBLE, STRING, bounded_batches, hash63, stored, threshold, with_columns
 
 PER_LANGUAGE = 1_000
+#: Languages beyond which fitting is an error.
+LABELS = 10_000
 TOP_WORDS = 20_000
 TOP_GRAMS = 10_000
 MAX_GRAM = 4
@@ -104,9 +107,12 @@ def _logs(counts: list[tuple[str, str, int]], languages: list[str]) -> tuple[dic
 def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int) -> DataFrame:
     """lang, text and ``apart`` of at most ``per_language`` texts of each language."""
     rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"), hash63(id_col, text_col).alias("hash"))
-    sizes = rows.groupBy("lang").agg(F.count("*").alias("n"))
-    # Twice the share of each language is looked at, so that what is ranked stays small at any size.
-    near = rows.join(sizes, "lang").filter((F.col("n") <= 2 * per_language) | (F.col("hash") < F.lit(2.0 * per_language) / F.col("n") * F.lit(float(1 << 63))))
+    sizes = [(r["lang"], threshold(2 * per_language / r["n"])) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LABELS + 1).collect()]
+    if len(sizes) > LABELS:
+        raise ValueError(f"over {LABELS} languages: a model holds a column for each")
+    # Twice the share of each language is looked at, so that what is dealt and ranked stays small at any size.
+    upto = labelled.sparkSession.createDataFrame(sizes, T.StructType([rows.schema["lang"], T.StructField("upto", T.LongType())]))
+    near = rows.join(F.broadcast(upto), "lang").filter(F.col("hash") <= F.col("upto"))  # a row for each language
     place = F.row_number().over(W.partitionBy("lang").orderBy("hash", "text"))
     spread = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     drawn = near.withColumn("place", place).filter(F.col("place") <= per_language)
