@@ -6,6 +6,7 @@ import random
 from pyspark.sql import functions as F
 
 from tidewatch.operators import asof
+from tidewatch.plans import registry
 
 D0 = dt.date(2024, 1, 1)
 
@@ -29,3 +30,11 @@ def test_edges_of_the_window(spark):
     points = spark.createDataFrame([(1, at), (2, at)], "e int, at date")
     out = {r["e"]: r["n"] for r in asof.band_join(points, history, "e", "at", "d", "known").groupBy("e").agg(F.count("h_d").alias("n")).collect()}
     assert out == {1: 3, 2: 0}
+
+
+def test_features_need_no_sort_aggregate(spark):
+    staged = registry.staged(spark, "/root/testdata/sf0.001")
+    plan = asof.features(staged)._jdf.queryExecution().executedPlan().toString()
+    assert "SortAggregate" not in plan and "HashAggregate" in plan
+    assert set(asof.category_levels(staged, ["age_band", "activity_level", "weekly_goal"])) == {"age_band", "activity_level"}
+    assert "age_band" not in asof.category_levels(staged, ["age_band"], most=2)

@@ -85,3 +85,27 @@ def test_tiles_are_ntile(spark, n):
     want = df.withColumn("t", F.ntile(10).over(W.orderBy("v", "id"))).select("id", "t")
     got = ranking.with_tiles(df, [F.col("v").asc(), F.col("id").asc()], 10, "t").select("id", F.col("t").cast("int").alias("t"))
     assert got.exceptAll(want).count() == 0 and got.count() == n
+
+
+def test_scores_that_are_no_probabilities_are_errors(spark):
+    for p in (1.2, -0.1, float("nan")):
+        with pytest.raises(Exception, match="from 0 to 1"):
+            evaluation.sweep(frame(spark, [(1, 0.5), (0, p)]), "y", "p").collect()
+
+
+def test_quantiles_are_exact(spark, random_pairs):
+    df = frame(spark, random_pairs).withColumn("q", F.when(F.col("k") % 3 == 0, F.col("k")))
+    want = df.agg(*(F.percentile(c, F.lit(q)).alias(f"{c}{i}") for c in ("p", "q") for i, q in enumerate((0.01, 0.5, 0.99)))).first()
+    for r in ranking.quantiles(df.withColumn("none", F.lit(None).cast("double")), ["q", "p", "none"], [0.01, 0.5, 0.99]).collect():
+        assert [r[f"q{i}"] for i in range(3)] == [pytest.approx(want[f"{r['column_name']}{i}"]) for i in range(3)]
+
+
+def test_frozen_summary_takes_the_record(spark, random_pairs):
+    df = frame(spark, random_pairs)
+    record = spark.createDataFrame([("m", 0.25)], "model_name string, threshold double")
+    row = evaluation.frozen_summary(df, "y", "p", "k", record).first()
+    assert row["selected_threshold"] == 0.25 and row["model_name"] == "m"
+    want = evaluation.confusion(df, "y", "p", 0.25).first()
+    assert row["true_positives"] == want["true_positives"] and row["selected_threshold_precision"] == want["precision"]
+    with pytest.raises(ValueError):
+        evaluation.frozen_summary(df, "y", "p", "k", record.limit(0))

@@ -55,7 +55,13 @@ def false_if_null(flag: Column) -> Column:
 
 def blank(text: Column) -> Column:
     """Whether a text is null or has white space only."""
-    return text.isNull() | (F.trim(text) == "")
+    return text.isNull() | (F.regexp_replace(text, r"\s+", "") == "")
+
+
+def safe_bool(text: Column) -> Column:
+    """The boolean that a text spells as true or false, in any case; null for other texts."""
+    word = F.lower(text.cast("string"))
+    return F.when(word == "true", F.lit(True)).when(word == "false", F.lit(False))
 
 
 def utc_timestamp(text: Column) -> Column:
@@ -69,11 +75,6 @@ def named_value(entries: Column, name_field: str, name: str, value_field: str) -
     return F.get(F.filter(entries, lambda x: x[name_field] == name), 0)[value_field]
 
 
-def lookup(key: Column, table: dict[str, str]) -> Column:
-    """The constant of a key, null for other keys."""
-    return F.create_map(*(F.lit(x) for pair in table.items() for x in pair))[key]
-
-
 def row_digest(columns: list[str]) -> Column:
     """SHA-256 of a row's canonical JSON, with nulls."""
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)

@@ -5,16 +5,25 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def materialise(df: DataFrame, what: str) -> DataFrame:
-    """``df`` written as Parquet under spark.checkpoint.dir and read again; it cuts the lineage."""
-    spark = df.sparkSession
+def shared_path(spark: SparkSession, what: str) -> str:
+    """A new path under spark.checkpoint.dir, which driver and executors share.
+
+    A temporary folder is taken only where that setting is unset and Spark runs in one process, as in tests.
+    """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir has to name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="tidewatch-")
         spark.conf.set("spark.checkpoint.dir", base)
-    path = f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+    return f"{base.rstrip('/')}/{what}-{uuid.uuid4().hex}"
+
+
+def materialise(df: DataFrame, what: str) -> DataFrame:
+    """``df`` written as Parquet under spark.checkpoint.dir and read again; it cuts the lineage."""
+    path = shared_path(df.sparkSession, what)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

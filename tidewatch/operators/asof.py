@@ -7,8 +7,11 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import last_known, ratio
+from tidewatch.functions.shared import materialise
 
 WINDOW_DAYS = 28
+#: Values of a category column that are numbered at most.
+MOST_LEVELS = 1_000
 
 #: Columns carried as of the prediction date.
 AS_OF = (
@@ -51,14 +54,33 @@ def in_days(value: Column, day: Column, at: Column, newest: int, oldest: int) ->
     return F.when(day.between(F.date_sub(at, oldest), F.date_sub(at, newest)), value)
 
 
+def category_levels(panel: DataFrame, columns: list[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
+    """The sorted values of each text column; a column of more than ``most`` values is left out."""
+    text = [c for c in columns if dict(panel.dtypes)[c] == "string"]
+    if not text:
+        return {}
+    entries = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in text))
+    found = panel.select(F.inline(entries)).filter("value is not null").distinct()
+    # Of each column at most one value more than the limit.
+    place = F.row_number().over(W.partitionBy("name").orderBy("value"))
+    levels: dict[str, list[str]] = {c: [] for c in text}
+    for r in found.withColumn("place", place).filter(F.col("place") <= most + 1).collect():
+        levels[r["name"]].append(r["value"])
+    return {c: sorted(v) for c, v in levels.items() if 0 < len(v) <= most}
+
+
 def features(staging: DataFrame, entity: str = "member_id", label: str = "will_miss_goal_next_7_days") -> DataFrame:
     """The 55 feature columns for every anchor of a staged panel.
 
     Everything is taken in one pass of one aggregate; entities' anchors without any available
     history keep a row with counts of 0.
     """
-    points = anchors(staging, entity, "activity_date", keep=(label,))
-    joined = band_join(points, staging.drop(label), entity, "prediction_date", "activity_date", "available_date")
+    # Written once: both sides of the join read it. Categories are numbered, so that the aggregate's state has a fixed width.
+    panel = materialise(staging, "staged")
+    levels = category_levels(panel, [c for c in AS_OF if c in panel.columns])
+    numbered = panel.withColumns({c: F.array_position(F.lit(v), F.col(c)) for c, v in levels.items()})
+    points = anchors(panel, entity, "activity_date", keep=(label,))
+    joined = band_join(points, numbered.drop(label), entity, "prediction_date", "activity_date", "available_date")
     h = lambda c: F.col(f"h_{c}")
     at, day = F.col("prediction_date"), h("activity_date")
     week = lambda c: F.avg(in_days(h(c), day, at, 1, 7))
@@ -101,7 +123,7 @@ def features(staging: DataFrame, entity: str = "member_id", label: str = "will_m
         F.avg(h("goal_completion_percentage")).alias("avg_goal_completion_percentage_28d"),
     )
     c = F.col
-    return grouped.withColumns(
+    return grouped.withColumns({f"{x}_as_of": F.get(F.lit(v), F.col(f"{x}_as_of").cast("int") - 1) for x, v in levels.items()}).withColumns(
         {
             "feature_window_start": F.date_sub(at, WINDOW_DAYS),
             "feature_window_end": F.date_sub(at, 1),
@@ -128,7 +150,7 @@ def predictors(features_table: DataFrame) -> list[str]:
 
 
 def leak_audit(features_table: DataFrame, window_days: int = WINDOW_DAYS) -> DataFrame:
-    """One row: violations of the window, of day accounting and of availability."""
+    """One row: violations of the window, of day accounting, of availability, and of every rate and trend."""
     c = F.col
     bad = lambda x: F.count_if(F.coalesce(x, F.lit(False)))
     return features_table.agg(
@@ -137,6 +159,6 @@ def leak_audit(features_table: DataFrame, window_days: int = WINDOW_DAYS) -> Dat
         bad(c("max_source_activity_date") < c("feature_window_start")).alias("before_window"),
         bad(c("max_source_available_date") > c("prediction_date")).alias("not_yet_available"),
         bad(c("available_day_count_28d") + c("unavailable_day_count_28d") != window_days).alias("day_accounting"),
-        bad(~c("reward_redemption_rate_28d").between(0, 1)).alias("redemption_rate_out_of_range"),
-        bad(~c("daily_steps_trend_7d").eqNullSafe(c("avg_daily_steps_7d") - c("avg_daily_steps_prior_7d"))).alias("trend_mismatch"),
+        *(bad(~c(f"{rate}_28d").between(0, 1)).alias(f"{rate}_out_of_range") for rate in ("reward_redemption_rate", "intervention_open_rate", "intervention_click_rate")),
+        *(bad(~c(f"{x}_trend_7d").eqNullSafe(c(f"avg_{x}_7d") - c(f"avg_{x}_prior_7d"))).alias(f"{x}_trend_mismatch") for x in ("daily_steps", "active_minutes", "app_sessions")),
     )

@@ -10,11 +10,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import equal_width_bin, grid_step, ratio, ratio_or_zero
-from tidewatch.operators.ranking import global_rank, with_tiles
+from tidewatch.functions.columns import equal_width_bin, grid_step, is_probability, ratio, ratio_or_zero
+from tidewatch.functions.shared import materialise
+from tidewatch.operators.ranking import global_rank, running, with_tiles
 
 STEPS = 1_000
 EPSILON = 2.220446049250313e-16
+COUNTS = ("true_positives", "false_positives", "true_negatives", "false_negatives")
 
 
 def _counts(label: str, predicted: Column) -> dict[str, Column]:
@@ -38,34 +40,54 @@ def _rates(divide) -> dict[str, Column]:
     }
 
 
+def _confused(threshold: float) -> list[Column]:
+    """Threshold, counts and rates (zero on empty denominators) of a row of counts."""
+    return [F.lit(threshold).alias("threshold"), *(F.col(n) for n in COUNTS), *(c.alias(n) for n, c in _rates(ratio_or_zero).items())]
+
+
 def confusion(df: DataFrame, label: str, p: str, threshold: float) -> DataFrame:
     """One row: the confusion counts at a threshold and their rates (zero on empty denominators)."""
     counts = df.agg(*(c.alias(n) for n, c in _counts(label, F.col(p) >= F.lit(threshold)).items()))
-    return counts.select(F.lit(threshold).alias("threshold"), "*", *(c.alias(n) for n, c in _rates(ratio_or_zero).items()))
+    return counts.select(*_confused(threshold))
+
+
+def _macro(prefix: str = "") -> dict[str, Column]:
+    tp, fp, tn, fn = (F.col(prefix + c) for c in COUNTS)
+    mean = lambda a, b: (a + b) / 2
+    return {
+        "macro_precision": mean(ratio_or_zero(tp, tp + fp), ratio_or_zero(tn, tn + fn)),
+        "macro_recall": mean(ratio_or_zero(tp, tp + fn), ratio_or_zero(tn, tn + fp)),
+        "macro_f1": mean(ratio_or_zero(2 * tp, 2 * tp + fp + fn), ratio_or_zero(2 * tn, 2 * tn + fp + fn)),
+        "accuracy": ratio_or_zero(tp + tn, tp + fp + tn + fn),
+    }
 
 
 def macro(df: DataFrame, label: str, p: str, threshold: float) -> DataFrame:
     """One row: precision, recall and F1 averaged over both classes, and accuracy."""
     counts = df.agg(*(c.alias(n) for n, c in _counts(label, F.col(p) >= F.lit(threshold)).items()))
-    tp, fp, tn, fn = (F.col(c) for c in ("true_positives", "false_positives", "true_negatives", "false_negatives"))
-    mean = lambda a, b: (a + b) / 2
-    return counts.select(
-        mean(ratio_or_zero(tp, tp + fp), ratio_or_zero(tn, tn + fn)).alias("macro_precision"),
-        mean(ratio_or_zero(tp, tp + fn), ratio_or_zero(tn, tn + fp)).alias("macro_recall"),
-        mean(ratio_or_zero(2 * tp, 2 * tp + fp + fn), ratio_or_zero(2 * tn, 2 * tn + fp + fn)).alias("macro_f1"),
-        ratio_or_zero(tp + tn, tp + fp + tn + fn).alias("accuracy"),
-    )
+    return counts.select(*(c.alias(n) for n, c in _macro().items()))
+
+
+def distinct_scores(df: DataFrame, label: str, p: str) -> DataFrame:
+    """``score``, ``pos`` and ``neg``: positives and negatives at each distinct score. A score that is no probability is an error."""
+    y = F.col(label)
+    score = F.when(is_probability(F.col(p)), F.col(p)).otherwise(F.raise_error(F.lit(f"{p} has to be from 0 to 1")).cast("double"))
+    return df.groupBy(score.alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
 
 
 def sweep(df: DataFrame, label: str, p: str, steps: int = STEPS) -> DataFrame:
     """Counts and rates at every threshold k / steps; rates are null on empty denominators.
 
     One histogram of ``steps`` + 1 rows and its reverse running sums replace a join of all
-    rows with all thresholds.
+    rows with all thresholds. A score that is no probability is an error.
     """
-    y = F.col(label)
-    found = df.groupBy(grid_step(F.col(p), steps).alias("k")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    grid = df.sparkSession.range(steps + 1).withColumnRenamed("id", "k").join(found, "k", "left").fillna(0, ["pos", "neg"])
+    return sweep_scores(distinct_scores(df, label, p), steps)
+
+
+def sweep_scores(scores: DataFrame, steps: int = STEPS) -> DataFrame:
+    """``sweep`` of counted distinct scores."""
+    found = scores.groupBy(grid_step(F.col("score"), steps).alias("k")).agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
+    grid = scores.sparkSession.range(steps + 1).withColumnRenamed("id", "k").join(found, "k", "left").fillna(0, ["pos", "neg"])
     down = W.orderBy(F.desc("k")).rowsBetween(W.unboundedPreceding, 0)
     everything = W.orderBy(F.desc("k")).rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
     counted = grid.select(
@@ -76,7 +98,7 @@ def sweep(df: DataFrame, label: str, p: str, steps: int = STEPS) -> DataFrame:
         F.sum("neg").over(everything).alias("#neg"),
     )
     counted = counted.withColumns({"true_negatives": F.col("#neg") - F.col("false_positives"), "false_negatives": F.col("#pos") - F.col("true_positives")})
-    return counted.select((F.col("k") / F.lit(float(steps))).alias("threshold"), "true_positives", "false_positives", "true_negatives", "false_negatives", *(c.alias(n) for n, c in _rates(ratio).items()))
+    return counted.select((F.col("k") / F.lit(float(steps))).alias("threshold"), *COUNTS, *(c.alias(n) for n, c in _rates(ratio).items()))
 
 
 def best_threshold(swept: DataFrame) -> DataFrame:
@@ -94,50 +116,52 @@ def pr_auc_grid(swept: DataFrame) -> DataFrame:
 
 
 def curve(df: DataFrame, label: str, p: str) -> DataFrame:
-    """A row for each distinct score: positives and negatives at it, and running sums from the top.
+    """A row for each distinct score: positives and negatives at it, and running sums from the top."""
+    return curve_scores(distinct_scores(df, label, p))
 
-    Distinct scores are aggregated first. The running sums go by the two levels of a range:
-    sums within a range of scores, and offsets of the ranges (a row for each grid step).
-    """
-    y = F.col(label)
-    scores = df.groupBy(F.col(p).alias("score")).agg(F.count_if(y).alias("pos"), F.count_if(~y).alias("neg"))
-    scores = scores.withColumn("#k", grid_step(F.col("score"), STEPS))
-    ranges = scores.groupBy("#k").agg(F.sum("pos").alias("#p"), F.sum("neg").alias("#n"))
-    above = W.orderBy(F.desc("#k")).rowsBetween(W.unboundedPreceding, -1)
-    offsets = ranges.select("#k", F.coalesce(F.sum("#p").over(above), F.lit(0)).alias("#po"), F.coalesce(F.sum("#n").over(above), F.lit(0)).alias("#no"))
-    within = W.partitionBy("#k").orderBy(F.desc("score")).rowsBetween(W.unboundedPreceding, 0)
-    joined = scores.join(F.broadcast(offsets), "#k")  # at most STEPS + 1 rows
-    return joined.select("score", "pos", "neg", (F.sum("pos").over(within) + F.col("#po")).alias("tp"), (F.sum("neg").over(within) + F.col("#no")).alias("fp"))
+
+def curve_scores(scores: DataFrame) -> DataFrame:
+    """``curve`` of counted distinct scores, whose sums run over ranges of scores."""
+    return running(scores, [F.col("score").desc()], {"tp": F.col("pos"), "fp": F.col("neg")})
 
 
 def ranking_metrics(df: DataFrame, label: str, p: str) -> DataFrame:
     """One row: exact ROC area, trapezoid PR area anchored at (0, 1), average precision."""
-    points = curve(df, label, p)
-    totals = points.agg(F.sum("pos").alias("#P"), F.sum("neg").alias("#N"))
+    return ranking_of_scores(distinct_scores(df, label, p))
+
+
+def ranking_of_scores(scores: DataFrame) -> DataFrame:
+    """``ranking_metrics`` of counted distinct scores."""
     before_tp, before_fp = F.col("tp") - F.col("pos"), F.col("fp") - F.col("neg")
     precision = ratio(F.col("tp"), F.col("tp") + F.col("fp"))
     previous = F.when(before_tp + before_fp == 0, F.lit(1.0)).otherwise(ratio(before_tp, before_tp + before_fp))
     # Each point's neighbour above has the counts before its own.
-    sums = points.agg(
+    sums = curve_scores(scores).agg(
+        F.sum("pos").alias("#P"),
+        F.sum("neg").alias("#N"),
         F.sum(F.col("neg") * (F.col("tp") + before_tp) / 2).alias("#roc"),
         F.sum(F.col("pos") * (precision + previous) / 2).alias("#pr"),
         F.sum(F.col("pos") * precision).alias("#ap"),
     )
-    joined = sums.crossJoin(F.broadcast(totals))  # one row each
-    return joined.select(ratio(F.col("#roc"), F.col("#P") * F.col("#N")).alias("roc_auc"), ratio(F.col("#pr"), F.col("#P")).alias("pr_auc"), ratio(F.col("#ap"), F.col("#P")).alias("average_precision"))
+    area = ratio(F.col("#roc"), F.col("#P").cast("double") * F.col("#N"))
+    return sums.select(area.alias("roc_auc"), ratio(F.col("#pr"), F.col("#P")).alias("pr_auc"), ratio(F.col("#ap"), F.col("#P")).alias("average_precision"))
 
 
-def probability_metrics(df: DataFrame, label: str, p: str) -> DataFrame:
-    """One row: rows, base rate, mean prediction, log loss (clipped) and Brier score."""
+def _probability(label: str, p: str) -> dict[str, Column]:
     y = F.col(label).cast("double")
     right = F.when(F.col(label), F.col(p)).otherwise(1 - F.col(p))
-    return df.agg(
-        F.count("*").alias("row_count"),
-        F.avg(y).alias("base_positive_rate"),
-        F.avg(p).alias("mean_predicted_probability"),
-        F.avg(-F.log(F.least(F.greatest(right, F.lit(EPSILON)), F.lit(1 - EPSILON)))).alias("log_loss"),
-        F.avg(F.pow(F.col(p) - y, 2)).alias("brier_score"),
-    )
+    return {
+        "row_count": F.count("*"),
+        "base_positive_rate": F.avg(y),
+        "mean_predicted_probability": F.avg(p),
+        "log_loss": F.avg(-F.log(F.least(F.greatest(right, F.lit(EPSILON)), F.lit(1 - EPSILON)))),
+        "brier_score": F.avg(F.pow(F.col(p) - y, 2)),
+    }
+
+
+def probability_metrics(df: DataFrame, label: str, p: str) -> DataFrame:
+    """One row: rows, base rate, mean prediction, log loss (clipped) and Brier score."""
+    return df.agg(*(c.alias(n) for n, c in _probability(label, p).items()))
 
 
 def _bins(df: DataFrame, by: str, label: str, p: str) -> DataFrame:
@@ -187,22 +211,47 @@ def top_fraction(df: DataFrame, label: str, p: str, key: str, fraction: float =
 
 
 def summary(df: DataFrame, label: str, p: str, key: str, threshold: float) -> DataFrame:
-    """One row: all of the above at a threshold that was chosen before."""
-    at_half = macro(df, label, p, 0.5).toDF("macro_precision_at_0_5", "macro_recall_at_0_5", "macro_f1_at_0_5", "accuracy_at_0_5")
-    chosen = confusion(df, label, p, threshold)
-    chosen = chosen.toDF(*(c if c.startswith(("true", "false")) else "selected_threshold" if c == "threshold" else f"selected_threshold_{c}" for c in chosen.columns))
+    """One row: all of the above at a threshold that was chosen before.
+
+    The rows are written once; counts and probability metrics come from one aggregate over
+    them, curves and the sweep from their counted distinct scores.
+    """
+    rows = materialise(df.select(label, p, key), "scored")
+    scores = materialise(distinct_scores(rows, label, p), "scores")
+    at_half, chosen = _counts(label, F.col(p) >= F.lit(0.5)), _counts(label, F.col(p) >= F.lit(threshold))
+    out = rows.agg(*(c.alias(f"#half_{n}") for n, c in at_half.items()), *(c.alias(n) for n, c in chosen.items()), *(c.alias(n) for n, c in _probability(label, p).items()))
     parts = [
-        probability_metrics(df, label, p),
-        ranking_metrics(df, label, p),
-        pr_auc_grid(sweep(df, label, p)),
-        top_tile(df, label, p, key).drop("top_row_count"),
-        calibration_error(calibration_count(df, label, p, key)),
-        chosen,
+        ranking_of_scores(scores),
+        pr_auc_grid(sweep_scores(scores)),
+        top_tile(rows, label, p, key).drop("top_row_count"),
+        calibration_error(calibration_count(rows, label, p, key)),
     ]
-    out = at_half
     for part in parts:
         out = out.crossJoin(F.broadcast(part))  # one row each
-    return out
+    return out.select(
+        *(c.alias(f"{n}_at_0_5") for n, c in _macro("#half_").items()),
+        *_probability(label, p),
+        *(c for part in parts for c in part.columns),
+        F.lit(threshold).alias("selected_threshold"),
+        *COUNTS,
+        *(c.alias(f"selected_threshold_{n}") for n, c in _rates(ratio_or_zero).items()),
+    )
+
+
+def selection(df: DataFrame, label: str, p: str, day: str, model_name: str) -> DataFrame:
+    """One row: the threshold of the best F1 on validation rows and what it was chosen on, to be frozen."""
+    about = df.agg(F.min(day).cast("string").alias("validation_start_date"), F.max(day).cast("string").alias("validation_end_date"), F.count("*").alias("validation_row_count"), F.count_if(label).alias("validation_positive_count"))
+    best = best_threshold(sweep(df, label, p)).select("threshold", F.col("f1_score").alias("validation_positive_f1"))
+    named = [F.lit(model_name).alias("model_name"), F.lit("validation").alias("selection_split"), F.lit("positive_f1").alias("selection_metric")]
+    return about.crossJoin(F.broadcast(best)).select(*named, *best.columns, *about.columns)  # one row each
+
+
+def frozen_summary(df: DataFrame, label: str, p: str, key: str, record: DataFrame) -> DataFrame:
+    """``summary`` at the threshold of a frozen record (see ``sinks.freeze``), which is never chosen again; adds the record's model name."""
+    found = record.select("model_name", "threshold").limit(2).collect()  # one row
+    if len(found) != 1:
+        raise ValueError("a frozen record has one row")
+    return summary(df, label, p, key, found[0]["threshold"]).withColumn("model_name", F.lit(found[0]["model_name"]))
 
 
 def classify(df: DataFrame, p: str, threshold: float, model_name: str) -> DataFrame:

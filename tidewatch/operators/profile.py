@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import false_if_null
 from tidewatch.operators.panel import edge_rows
+from tidewatch.operators.ranking import quantiles
 
 
 def null_rates(df: DataFrame) -> DataFrame:
@@ -26,10 +27,10 @@ def value_shares(df: DataFrame, column: str) -> DataFrame:
 def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) -> DataFrame:
     """A row for each numeric column: count, mean, deviation, least, 1st, 50th and 99th percentile, greatest.
 
-    Percentiles are exact, which needs a column's distinct values in one task; for columns of
-    very many values give ``accuracy``, and sketches of that size are merged instead.
+    Percentiles are exact, by ranks over ranges of values; with ``accuracy``, sketches of that
+    size are merged instead.
     """
-    at = lambda c, q: (F.percentile(c, F.lit(q)) if accuracy is None else F.percentile_approx(c, q, accuracy)).cast("double")
+    at = lambda c, q: (F.lit(None) if accuracy is None else F.percentile_approx(c, q, accuracy)).cast("double")
     one = df.agg(
         *(
             F.struct(
@@ -39,7 +40,11 @@ def describe(df: DataFrame, columns: list[str], accuracy: int | None = None) ->
             for c in columns
         )
     )
-    return one.select(F.inline(F.array(*columns)))
+    rows = one.select(F.inline(F.array(*columns)))
+    if accuracy is not None:
+        return rows
+    exact = quantiles(df, columns, [0.01, 0.5, 0.99]).toDF("column_name", "p01", "p50", "p99")
+    return rows.drop("p01", "p50", "p99").join(exact, "column_name", "left").select(*rows.columns)
 
 
 def rate_by(df: DataFrame, group: str, flag: str) -> DataFrame:

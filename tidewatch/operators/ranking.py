@@ -1,4 +1,4 @@
-"""Global ranks without a single-task sort."""
+"""Running sums, ranks and quantiles of whole tables without a single-task sort."""
 
 from __future__ import annotations
 
@@ -9,21 +9,50 @@ from pyspark.sql import functions as F
 from tidewatch.functions.shared import materialise
 
 
-def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
-    """Adds the 1-based rank of every row in ``order``, which has to end with a unique key.
+def running(df: DataFrame, order: list[Column], sums: dict[str, Column]) -> DataFrame:
+    """Adds running sums in ``order``, each row's own value included; ``order`` has to end with a unique key.
 
     Rows are dealt by ranges of the whole order, ties of the leading column included, and
-    ranked in each range; the ranges' counts (a row for each range) give the offsets.
+    summed in each range; the ranges' totals (a row for each range) give the offsets.
     """
     n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = df.repartitionByRange(n, *order).withColumn("#part", F.spark_partition_id())
     dealt = materialise(dealt, "ranges")
-    counts = dealt.groupBy("#part").agg(F.count("*").alias("#n"))
+    totals = dealt.groupBy("#part").agg(*(F.sum(c).alias(f"#t {name}") for name, c in sums.items()))
     before = W.orderBy("#part").rowsBetween(W.unboundedPreceding, -1)
-    offsets = counts.select("#part", F.coalesce(F.sum("#n").over(before), F.lit(0)).alias("#offset"))
-    ranked = dealt.withColumn("#row", F.row_number().over(W.partitionBy("#part").orderBy(*order)))
+    offsets = totals.select("#part", *(F.coalesce(F.sum(f"#t {name}").over(before), F.lit(0)).alias(f"#o {name}") for name in sums))
+    within = W.partitionBy("#part").orderBy(*order).rowsBetween(W.unboundedPreceding, 0)
+    summed = dealt.withColumns({f"#s {name}": F.sum(c).over(within) for name, c in sums.items()})
     # At most as many rows as shuffle partitions.
-    return ranked.join(F.broadcast(offsets), "#part").withColumn(name, (F.col("#row") + F.col("#offset")).cast("long")).drop("#part", "#row", "#offset")
+    joined = summed.join(F.broadcast(offsets), "#part")
+    made = {name: F.col(f"#s {name}") + F.col(f"#o {name}") for name in sums}
+    return joined.withColumns(made).drop("#part", *(f"{k} {name}" for k in ("#s", "#o") for name in sums))
+
+
+def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataFrame:
+    """Adds the 1-based rank of every row in ``order``, which has to end with a unique key."""
+    return running(df, order, {name: F.lit(1)}).withColumn(name, F.col(name).cast("long"))
+
+
+def quantiles(df: DataFrame, columns: list[str], at: list[float]) -> DataFrame:
+    """A row for each column with values: ``column_name`` and ``q0``, ``q1``, ..., its exact quantiles, interpolated between neighbours.
+
+    Rows are counted for each distinct value, and the counts summed over ranges of values, so
+    that no task holds all values of a column.
+    """
+    entries = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns))
+    counts = df.select(F.inline(entries)).filter("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    summed = running(counts, [F.col("column_name").asc(), F.col("value").asc()], {"upto": F.col("n")})
+    totals = summed.groupBy("column_name").agg(F.sum("n").alias("#n"), F.max("upto").alias("#end"))  # a row for each column
+    placed = summed.join(F.broadcast(totals), "column_name").withColumn("#last", F.col("upto") - (F.col("#end") - F.col("#n")) - 1)
+    placed = placed.withColumn("#first", F.col("#last") - F.col("n") + 1)
+    made = []
+    for i, q in enumerate(at):
+        place = F.lit(q) * (F.col("#n") - 1)
+        held = lambda k: F.max(F.when((F.col("#first") <= k) & (F.col("#last") >= k), F.col("value")))
+        made += [held(F.floor(place)).alias(f"#low{i}"), held(F.ceil(place)).alias(f"#high{i}"), F.max(place - F.floor(place)).alias(f"#part{i}")]
+    found = placed.groupBy("column_name").agg(*made)
+    return found.select("column_name", *((F.col(f"#low{i}") + F.col(f"#part{i}") * (F.col(f"#high{i}") - F.col(f"#low{i}"))).alias(f"q{i}") for i in range(len(at))))
 
 
 def tile(rank: Column, n: Column, tiles: int) -> Column:
