@@ -1,11 +1,13 @@
 """Contracts, readers, sinks, splits and profiles."""
 
 import datetime as dt
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.functions import columns as fn
+from tidewatch.functions.shared import shared_path
 from tidewatch.operators import constraints, profile, splits
 from tidewatch.sources import contracts, readers, sinks
 
@@ -49,6 +51,46 @@ def test_verified_write_publishes_nothing_on_failure(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/t").count() == 3
 
 
+def test_a_crash_while_publishing_loses_nothing(spark, tmp_path):
+    path = f"{tmp_path}/t"
+    sinks.write_verified(spark.range(3).toDF("i"), path, lambda df: None)
+    # The writer died after it had moved the old version aside.
+    (tmp_path / "t").rename(tmp_path / "t.previous-x")
+    sinks.recover(spark, path)
+    assert spark.read.parquet(path).count() == 3
+    # It died before it deleted the old version.
+    (tmp_path / "t.previous-y").mkdir()
+    sinks.write_verified(spark.range(5).toDF("i"), path, lambda df: None)
+    assert spark.read.parquet(path).count() == 5
+    assert [p.name for p in tmp_path.iterdir() if "previous" in p.name or "staging" in p.name] == []
+
+
+def test_order_is_verified(spark, tmp_path):
+    df = spark.range(40).select((F.col("id") % 7).alias("a"), F.col("id").alias("b")).repartition(3)
+    pq, _ = sinks.export(df, f"{tmp_path}/sorted", ["a", "b"])
+    assert [r["b"] for r in readers.positions(spark, pq).orderBy("position").collect()] == [r["b"] for r in df.orderBy("a", "b").collect()]
+    df.write.parquet(f"{tmp_path}/plain")
+    assert sinks.out_of_order(spark, f"{tmp_path}/plain", ["a", "b"]).count() > 0
+
+
+def test_staging_tables(spark):
+    contract = contracts.schema("k bigint, v string")
+    with pytest.raises(ZeroDivisionError), sinks.staged_load(spark.createDataFrame([(1, "a")], contract), "load_t", "run_1", contract) as stage:
+        assert stage.count() == 1
+        raise ZeroDivisionError
+    assert not spark.catalog.tableExists("load_t_stage_run_1")
+    for bad in ("", "a b", "x;drop"):
+        with pytest.raises(ValueError):
+            sinks.staging_name("t", bad)
+
+
+def test_a_shared_folder_is_needed_on_a_cluster():
+    conf = SimpleNamespace(get=lambda key, default=None: default, set=lambda key, value: None)
+    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+        shared_path(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="spark://host:7077")), "x")
+    assert shared_path(SimpleNamespace(conf=conf, sparkContext=SimpleNamespace(master="local[2]")), "x")
+
+
 def test_paths():
     sinks.distinct_paths("/a/b", "/a/c")
     for bad in (("/a", "/a/"), ("/a", "/a/b")):
@@ -91,6 +133,21 @@ def test_splits(spark):
     assert splits.overlaps(splits.report(df, "d", "e", "y")).count() == 0
 
 
+def test_safe_bool_and_blank(spark):
+    df = spark.createDataFrame([("TRUE",), ("false",), ("1",), (" \t",), (None,)], "t string")
+    out = df.select(fn.safe_bool(F.col("t")).alias("b"), fn.blank(F.col("t")).alias("e")).collect()
+    assert [(r["b"], r["e"]) for r in out] == [(True, False), (False, False), (None, False), (None, True), (None, True)]
+
+
+def test_records_and_keys(spark):
+    a, b = spark.createDataFrame([(1, None)], "n long, s string"), spark.createDataFrame([(1, "x")], "n long, s string")
+    assert [(r["field"], r["same"]) for r in constraints.same_fields(a, b).collect()] == [("n", True), ("s", False)]
+    keys = constraints.same_keys(spark.range(5).toDF("k"), spark.range(3, 9).toDF("k"), ["k"]).first()
+    assert tuple(keys) == (3, 4)
+    with pytest.raises(contracts.ContractError):
+        readers.model_frame(spark.createDataFrame([(1, 2)], "member_id long, y long"), "y", [], ["y"])
+
+
 def test_scalars(spark):
     df = spark.createDataFrame([(0.3, "2024-01-01T00:00:00+08:00"), (float("nan"), "2024-01-01T00:00:00"), (1.0, "x")], "p double, t string")
     out = df.select(fn.is_probability(F.col("p")).alias("ok"), fn.equal_width_bin(F.col("p"), 10).alias("b"), fn.utc_timestamp(F.col("t")).isNotNull().alias("t"), fn.grid_step(F.col("p"), 10).alias("k")).collect()

@@ -190,9 +190,14 @@ def run_row(decisions: DataFrame, policy: Policy, lineage: dict[str, object]) ->
 
 
 def review_queue(decisions: DataFrame) -> DataFrame:
-    """The selected rows with the fixed review status."""
+    """The selected rows with the fixed review status, in the order of their rank."""
     chosen = decisions.filter(F.col("outcome") == "selected_for_review")
-    return chosen.select(*(c for c in DECISION_COLUMNS if c not in ("outcome", "reason_code")), F.lit(REVIEW_STATUS).alias("review_status"))
+    return chosen.select(*(c for c in DECISION_COLUMNS if c not in ("outcome", "reason_code")), F.lit(REVIEW_STATUS).alias("review_status")).orderBy("priority_rank")
+
+
+def audit(decisions: DataFrame) -> DataFrame:
+    """All decisions in the order of member and day."""
+    return decisions.orderBy("member_id", "prediction_date")
 
 
 def queue_row(queue: DataFrame, sources: dict[str, str]) -> DataFrame:

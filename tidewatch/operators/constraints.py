@@ -193,6 +193,26 @@ def missing_columns(df: DataFrame, needed: list[str]) -> list[str]:
     return sorted(set(needed) - set(df.columns))
 
 
+def same_keys(a: DataFrame, b: DataFrame, keys: list[str]) -> DataFrame:
+    """One row: keys of either table that the other lacks; 0 and 0 if their sets are equal."""
+    left, right = a.select(*keys).distinct(), b.select(*keys).distinct()
+    return outside(left, keys, right).agg(F.count("*").alias("only_left")).crossJoin(F.broadcast(outside(right, keys, left).agg(F.count("*").alias("only_right"))))  # one row each
+
+
+def same_fields(stored: DataFrame, recomputed: DataFrame) -> DataFrame:
+    """A row for each field of a stored one-row record: its value, the recomputed one, and whether they agree."""
+    fields = sorted(set(stored.columns) | set(recomputed.columns))
+    text = lambda df, side: df.select(*((F.col(c).cast("string") if c in df.columns else F.lit(None).cast("string")).alias(f"{side}{c}") for c in fields))
+    both = text(stored, "s ").crossJoin(F.broadcast(text(recomputed, "r ")))  # one row each
+    entries = F.array(*(F.struct(F.lit(c).alias("field"), F.col(f"s {c}").alias("stored"), F.col(f"r {c}").alias("recomputed")) for c in fields))
+    return both.select(F.inline(entries)).withColumn("same", F.col("stored").eqNullSafe(F.col("recomputed")))
+
+
+def label_rules(label: str) -> list[Rule]:
+    """Rules of rows to be evaluated: there are some, all labelled, of both classes."""
+    return [Rule("rows", (F.count("*") == 0).cast("long")), where("unlabelled", F.col(label).isNull()), Rule("both_classes", (F.count_distinct(label) != 2).cast("long"))]
+
+
 def check_labels(df: DataFrame, label: str) -> None:
-    """An error unless there are rows and both classes."""
-    enforce(df, [Rule("rows", (F.count("*") == 0).cast("long")), Rule("both_classes", (F.count_distinct(label) != 2).cast("long"))])
+    """An error unless there are rows, all labelled, and both classes."""
+    enforce(df, label_rules(label))

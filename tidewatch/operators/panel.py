@@ -104,11 +104,6 @@ def edge_rows(df: DataFrame, entity: str, day: str, k: int, last: bool = False)
     return df.withColumn("#r", F.row_number().over(W.partitionBy(entity).orderBy(order))).filter(F.col("#r") <= k).drop("#r")
 
 
-def latest_only(df: DataFrame, entity: str, day: str, name: str = "is_latest") -> DataFrame:
-    """Adds whether a row is of its entity's latest day."""
-    return df.withColumn(name, F.col(day) == F.max(day).over(W.partitionBy(entity)))
-
-
 def stage(raw: DataFrame) -> DataFrame:
     """Typed staging: the date column gets its name, dates lose their time, nothing is imputed."""
     renamed = raw.withColumnRenamed("date", "activity_date")

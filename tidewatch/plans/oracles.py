@@ -85,7 +85,7 @@ _USER = f"""
 days as ({fixtures.USER_DAY}),
 cells as (
   select entity_id, goal, cast(d as date) as activity_date
-  from (select entity_id, max(weekly_goal) as goal from days group by 1), generate_series(timestamp '2024-01-01', timestamp '2024-01-30', interval 1 day) g(d)),
+  from (select entity_id, max(weekly_goal) as goal from days group by 1), (select unnest(generate_series(min(activity_date), max(activity_date), interval 1 day)) as d from days)),
 dense as (
   select entity_id, activity_date, coalesce(active_minutes, 0) as active_minutes, coalesce(app_sessions, 0) as app_sessions,
          coalesce(rewards_viewed, 0) as rewards_viewed, coalesce(rewards_redeemed, 0) as rewards_redeemed, coalesce(weekly_goal, goal) as weekly_goal
@@ -321,6 +321,29 @@ _flag_rates = ", ".join(
     + [f"round(avg(cast(coalesce({f}, false) as int)) filter (where coalesce(intervention_received, false)), 6) as {f}_rate_within" for f in _FLAGS[1:]]
 )
 
+#: The canonical row text of an order, hashed.
+_DIGEST = """sha256('{"o_custkey":' || o_custkey || ',"o_orderkey":' || o_orderkey || ',"o_orderstatus":"' || o_orderstatus || '"}')"""
+_BEST = f"best as (select threshold, f from (select *, {_n('2 * tp', '(2 * tp + fp + fn)')} as f, {_n('tp', '(tp + fn)')} as rec from sw) order by coalesce(f, -1) desc, coalesce(rec, -1) desc, threshold limit 1)"
+_CATEGORIES = ("age_band", "activity_level", "reward_profile")
+_NUMERIC = (
+    *(f"{c}_as_of" for c in AS_OF if c not in (*_CATEGORIES, "intervention_profile")),
+    "available_day_count_28d", "unavailable_day_count_28d", "avg_daily_steps_28d", "stddev_daily_steps_28d", "avg_daily_steps_7d", "avg_daily_steps_prior_7d",
+    "sum_active_minutes_28d", "avg_active_minutes_28d", "stddev_active_minutes_28d", "avg_active_minutes_7d", "avg_active_minutes_prior_7d", "active_day_count_28d",
+    "avg_sleep_hours_28d", "avg_sleep_hours_7d", "sleep_observation_count_28d", "sleep_missing_day_count_28d",
+    "sum_app_sessions_28d", "avg_app_sessions_28d", "avg_app_sessions_7d", "avg_app_sessions_prior_7d", "app_session_observation_count_28d", "app_sessions_missing_day_count_28d",
+    "rewards_viewed_28d", "rewards_redeemed_28d", "interventions_received_28d", "interventions_opened_28d", "interventions_clicked_28d",
+    "step_outlier_day_count_28d", "late_record_count_28d", "activity_level_change_count_28d", "avg_goal_completion_percentage_28d",
+    "reward_redemption_rate_28d", "intervention_open_rate_28d", "intervention_click_rate_28d", "daily_steps_trend_7d", "active_minutes_trend_7d", "app_sessions_trend_7d",
+)
+#: Features that the encoding is compared on.
+_ENCODED = ("avg_daily_steps_28d", "avg_sleep_hours_7d", "sum_app_sessions_28d")
+_TRAIN = f"select * from ({_FEATURES}) where prediction_date < date '1999-01-01'"
+#: The canonical text of the decisions' policy.
+POLICY_JSON = (
+    '{"allowed_intervention_categories":["supportive_check_in","goal_planning","activity_reminder","rewards_education"],"contact_cooldown_days":7,"high_risk_only":true,"human_review_required":true,'
+    '"maximum_activations_per_run":100,"maximum_interventions_per_member_28d":2,"maximum_prediction_age_days":365,"policy_version":"v1","supportive_use_only":true}'
+)
+
 ORACLE_SQL: dict[str, str] = {
     "staging_supplier_day": fixtures.RAW_PANEL,
     "quality_flags": f"with {_STAGED} select member_id, activity_date, sleep_hours_missing, app_sessions_missing, is_step_outlier, is_late_record, available_date from staged",
@@ -332,7 +355,8 @@ ORACLE_SQL: dict[str, str] = {
     "leak_audit": f"""
 select count(*) as row_count, {_bad("max_source_activity_date > feature_window_end")} as after_window, {_bad("max_source_activity_date < feature_window_start")} as before_window,
   {_bad("max_source_available_date > prediction_date")} as not_yet_available, {_bad("available_day_count_28d + unavailable_day_count_28d <> 28")} as day_accounting,
-  {_bad("not reward_redemption_rate_28d between 0 and 1")} as redemption_rate_out_of_range, {_bad("abs(daily_steps_trend_7d - (avg_daily_steps_7d - avg_daily_steps_prior_7d)) > 1e-3")} as trend_mismatch
+  {", ".join(f'{_bad(f"not {r}_28d between 0 and 1")} as {r}_out_of_range' for r in ("reward_redemption_rate", "intervention_open_rate", "intervention_click_rate"))},
+  {", ".join(f'{_bad(f"abs({x}_trend_7d - (avg_{x}_7d - avg_{x}_prior_7d)) > 1e-3 or (avg_{x}_7d is null or avg_{x}_prior_7d is null) <> ({x}_trend_7d is null)")} as {x}_trend_mismatch' for x in ("daily_steps", "active_minutes", "app_sessions"))}
 from ({_FEATURES})""",
     "densify_user_day": f"with {_USER} select * from dense",
     "weekly_progress": f"""with {_USER},
@@ -404,8 +428,75 @@ select value, count(*) as row_count, round(count(*) / cast(sum(count(*)) over ()
 select event_type, count(k) as n, cast(sum(k) as bigint) as total, min(k) as least, max(k) as most from e group by event_type""",
     "conflict_finder": f"with {_PREDICTIONS} select member_id, prediction_date, risk_probability from pr where member_id % 7 = 0",
     "insert_only_rows": f"with {_PREDICTIONS} select member_id, prediction_date, risk_probability from pr where prediction_date >= date '2000-01-01'",
-    "dataset_digest_rows": """select cast(n_nationkey as bigint) as n_nationkey, sha256('{"n_name":"' || n_name || '","n_nationkey":' || n_nationkey || ',"n_regionkey":' || n_regionkey || '}') as digest from nation""",
+    "dataset_digest_rows": f"select cast(o_orderkey as bigint) as o_orderkey, {_DIGEST} as digest from orders",
+    "dataset_digest": f"""with h as (select {_DIGEST} as h from orders)
+select count(*) as row_count, sha256(concat_ws(',', count(*), {", ".join(f"sum(cast('0x' || substr(h, {8 * i + 1}, 8) as bigint))" for i in range(8))})) as digest from h""",
+    "csv_export": f"with raw as ({fixtures.RAW_PANEL}) select member_id, activity_date, age_band, active_minutes, sleep_hours, intervention_received from raw",
+    "export_parity": f"with raw as ({fixtures.RAW_PANEL}) select unnest(['row_count', 'columns', 'rows']) as check_name, case when count(*) > 0 then 'PASS' end as status from raw",
+    "table_projection": f"with raw as ({fixtures.RAW_PANEL}) select activity_date, member_id, daily_steps, 'Member''s days' as comment from raw",
+    "split_views": f"with raw as ({fixtures.RAW_PANEL}) select count(*) as row_count, min(activity_date) as first_day, max(activity_date) as last_day, {_SPLIT.format(d='activity_date')} as dataset_split from raw group by all",
+    "schema_evolution": "select cast(c_custkey as bigint) as c_custkey, c_name, case when c_custkey % 2 = 1 then cast(c_acctbal as double) end as c_acctbal from customer",
+    "staged_predictions": f"with {_PREDICTIONS} select prediction_date, count(*) as row_count, {_bad('is_high_risk')} as high_risk_count from pr group by 1",
+    "verified_scores": f"with {_PREDICTIONS} select * replace (cast(member_id as varchar) as member_id) from pr",
+    "verified_context": f"""with {_CTX} select cast(member_id as varchar) as member_id, contact_allowed, opted_out, active_case_open, cast(epoch(last_contacted_at) as bigint) as last_contacted_at, interventions_last_28d
+from ctx where not (opted_out and contact_allowed)""",
+    "warehouse_decisions": f"""with {_DECIDED} select 'run' as run_id, cast(member_id as varchar) as member_id, prediction_date, outcome, reason_code, risk_probability, priority_rank,
+  cast(epoch({_AT}) as bigint) as ingested_at from decided""",
+    "queue_record": f"with {_DECIDED} select 'run' as run_id, count(priority_rank) as row_count, max(priority_rank) as last_rank, 'decisions' as source from decided",
+    "queue_order": f"with {_DECIDED} select member_id, prediction_date, priority_rank, priority_rank as position from decided where priority_rank is not null",
+    "audit_order": f"with {_DECIDED} select member_id, prediction_date, outcome, row_number() over (order by member_id, prediction_date) as position from decided",
+    "key_sets": f"""with {_PREDICTIONS}, {_CTX} select (select count(*) from (select member_id from ctx except select member_id from pr)) as only_left,
+  (select count(*) from (select member_id from pr except select member_id from ctx)) as only_right""",
+    "table_differences": f"""with {_PREDICTIONS}, a as (select member_id, prediction_date, risk_probability from pr),
+b as (select member_id, prediction_date, case when member_id % 7 <> 0 then risk_probability end as risk_probability from a where member_id % 5 <> 0)
+select *, 'left' as side from (select * from a except all select * from b) union all select *, 'right' from (select * from b except all select * from a)""",
+    "panel_counts": f"""with raw as ({fixtures.RAW_PANEL}) {_report('raw', {
+        "row_count": "abs(count(*) - 5000)", "distinct_member_id": "abs(count(distinct member_id) - 10)",
+        "range_activity_date": "case when min(activity_date) = date '1992-01-02' and max(activity_date) = date '1998-12-01' then 0 else 1 end"})}""",
+    "rate_bands": f"with {_STAGED} {_report('staged', {n: f'coalesce(cast(not avg(cast({c} as int)) between {a} and {b} as int), 1)' for n, c, a, b in (('misses', 'will_miss_goal_next_7_days', 0.12, 0.30), ('sleep_missing', 'sleep_hours_missing', 0.02, 0.20), ('outliers', 'is_step_outlier', 0.0, 0.001), ('late', 'is_late_record', 0.0, 0.5))})}",
+    "feature_nulls": f"with f as (select *, null as never from ({_FEATURES})) {_report('f', {f'not_all_null_{c}': f'cast(count({c}) = 0 as int)' for c in ('avg_daily_steps_28d', 'reward_redemption_rate_28d', 'stddev_active_minutes_28d', 'never')})}",
+    "evaluation_input": f"""with {_SCORED}, e as (select case when k % 100 <> 0 then actual_label end as y from s)
+{_report('e', {"rows": "cast(count(*) = 0 as int)", "unlabelled": _bad("y is null"), "both_classes": "cast(count(distinct y) <> 2 as int)"})}""",
+    "split_overlaps_found": f"""with {_STAGED},
+r as (select case member_id % 3 when 0 then 'train' when 1 then 'validation' else 'test' end as dataset_split, min(activity_date + cast(member_id % 3 as int)) as first_day, max(activity_date + cast(member_id % 3 as int)) as last_day from staged group by 1)
+select * from (select dataset_split, first_day, lag(last_day) over (order by first_day) as previous_last_day from r) where first_day <= previous_last_day""",
+    "selection_record": f"""with {_SWEEP}, {_BEST}
+select 'logistic' as model_name, 'validation' as selection_split, 'positive_f1' as selection_metric, threshold, round(f, 6) as validation_positive_f1, cast(d1 as varchar) as validation_start_date,
+  cast(d2 as varchar) as validation_end_date, n as validation_row_count, pos as validation_positive_count
+from best, (select min(prediction_date) as d1, max(prediction_date) as d2, count(*) as n, {_bad("actual_label")} as pos from s)""",
+    "frozen_summary": f"select *, 'logistic' as model_name from ({_SUMMARY.replace(str(_T), '(select threshold from best)').replace(_SWEEP, f'{_SWEEP}, {_BEST}')})",
+    "model_frame": f"""select member_id, prediction_date, label_will_miss_goal_next_7_days, {", ".join(f"{c}_as_of" for c in _CATEGORIES)}, {", ".join(f"cast({c} as double) as {c}" for c in _NUMERIC)}
+from ({_FEATURES}) where prediction_date < date '1999-01-01'""",
+    "imputation_values": f"with f as ({_TRAIN}) "
+    + " union all ".join(
+        [f"select '{c}_as_of' as column_name, (select {c}_as_of from f where {c}_as_of is not null group by 1 order by count(*) desc, 1 limit 1) as category, cast(null as double) as number" for c in _CATEGORIES]
+        + [f"select '{c}', null, round(coalesce(median(cast({c} as double)), 0), 6) from f" for c in _NUMERIC]
+    ),
+    "encoded_features": f"""with f as ({_TRAIN}),
+i as (select member_id, prediction_date, {", ".join(f"coalesce({c}_as_of, (select {c}_as_of from f where {c}_as_of is not null group by 1 order by count(*) desc, 1 limit 1)) as {c}" for c in _CATEGORIES)},
+  {", ".join(f"coalesce({c}, median({c}) over ()) as {c}" for c in _ENCODED)} from f),
+l as (select {", ".join(f"(select list(distinct {c} order by {c}) from i) as l_{c}" for c in _CATEGORIES)})
+select member_id, prediction_date, {" || ".join(f"array_to_string(list_transform(l_{c}, lambda x: cast(x = {c} as int)), '')" for c in _CATEGORIES)} as levels,
+  {", ".join(f"round(coalesce(({c} - avg({c}) over ()) / nullif(stddev_pop({c}) over (), 0), 0), 4) as {c}" for c in _ENCODED)}
+from i, l""",
+    "logistic_optimum": f"with f as ({_TRAIN}) select count(label_will_miss_goal_next_7_days) as labelled_rows, {_bad('label_will_miss_goal_next_7_days')} as positives, cast(0 as double) as largest_slope from f",
+    "stored_model": f"select count(*) as row_count, cast(0 as bigint) as differing, cast(0 as bigint) as invalid from ({_FEATURES}) where prediction_date >= date '2001-01-01'",
+    "scalar_forms": """with e as (
+  select event_type, case user_id % 4 when 0 then true when 1 then false end as flag,
+         case user_id % 3 when 0 then 8 when 2 then 10 end * 3600 + cast(epoch(timestamp '2024-01-01') as bigint) + (user_id % 28) * 86400 as stamp,
+         case event_type when 'view' then user_id when 'click' then user_id * 2 end as value from events)
+select event_type, count(*) filter (where flag) as yes, count(*) filter (where not flag) as no, count(stamp) as stamped, cast(min(stamp) as bigint) as first_at, cast(max(stamp) as bigint) as last_at, cast(sum(value) as bigint) as total
+from e group by 1""",
+    "text_forms": """select lang, count(*) filter (where doc_id % 5 = 0 or doc_id % 7 = 0 or text is null or not regexp_matches(text, '[^\\s]')) as blank, count(*) filter (where regexp_matches(text, '^[A-Z][a-z]+ [a-z]')) as opens,
+  count(*) filter (where starts_with(source, 'src1')) as prefixed from documents group by 1""",
 }
+_record = lambda where: f"select count(*) as row_count, count(distinct member_id) as member_count, {_bad('is_high_risk')} as high_risk_count, max(prediction_date) as maximum_prediction_date from pr {where}"
+ORACLE_SQL["metadata_record"] = ORACLE_SQL["score_summary"]
+ORACLE_SQL["record_fields"] = f"""with {_PREDICTIONS}, a as ({_record("")}), b as ({_record("where prediction_date >= date '1997-01-01'")}), fields as (
+""" + " union all ".join(f"select '{c}' as field, cast(a.{c} as varchar) as stored, cast(b.{c} as varchar) as recomputed from a, b" for c in ("row_count", "member_count", "high_risk_count", "maximum_prediction_date")) + """)
+select *, stored is not distinct from recomputed as same from fields"""
+ORACLE_SQL["run_record"] = f"""select 'run' as run_id, 'v1' as policy_version, sha256('{POLICY_JSON}') as policy_fingerprint, 'logistic' as model_name, cast({_T} as double) as threshold, cast(100 as bigint) as capacity_limit, *
+from ({ORACLE_SQL["activation_run_counts"]})"""
 
 #: Date columns of each result; results give days as ISO text, which compares alike everywhere.
 DATES: dict[str, tuple[str, ...]] = {
@@ -428,6 +519,19 @@ DATES: dict[str, tuple[str, ...]] = {
     "review_queue": ("prediction_date",),
     "conflict_finder": ("prediction_date",),
     "insert_only_rows": ("prediction_date",),
+    "csv_export": ("activity_date",),
+    "table_projection": ("activity_date",),
+    "split_views": ("first_day", "last_day"),
+    "staged_predictions": ("prediction_date",),
+    "verified_scores": ("prediction_date",),
+    "warehouse_decisions": ("prediction_date",),
+    "queue_order": ("prediction_date",),
+    "audit_order": ("prediction_date",),
+    "table_differences": ("prediction_date",),
+    "split_overlaps_found": ("first_day", "previous_last_day"),
+    "metadata_record": ("minimum_prediction_date", "maximum_prediction_date"),
+    "model_frame": ("prediction_date",),
+    "encoded_features": ("prediction_date",),
 }
 for _name, _days in DATES.items():
     _as_text = ", ".join(f"cast({d} as varchar) as {d}" for d in _days)

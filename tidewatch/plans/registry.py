@@ -3,17 +3,20 @@
 from __future__ import annotations
 
 import functools
+import uuid
 from collections.abc import Callable
 from datetime import UTC, datetime
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidewatch.functions import columns as fn
+from tidewatch.functions.shared import materialise, shared_path
 from tidewatch.operators import activation, asof, constraints, evaluation, ml, panel, profile, splits
 from tidewatch.plans import fixtures
 from tidewatch.plans.oracles import ORACLE_SQL
-from tidewatch.sources import contracts, sinks
+from tidewatch.sources import contracts, readers, sinks
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -22,7 +25,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 DECISION_TIME = datetime(2001, 8, 2, tzinfo=UTC)
 POLICY = activation.Policy(maximum_prediction_age_days=365)
 CUTS = splits.Cuts(validation="1999-01-01", test="2000-01-01", scoring="2001-01-01")
-T = fixtures.THRESHOLD
+T_FROZEN = fixtures.THRESHOLD
 
 
 def query(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -56,8 +59,8 @@ def staged(spark: SparkSession, sf: str) -> DataFrame:
 def user_days(spark: SparkSession, sf: str) -> DataFrame:
     days = fixtures.build(spark, sf, fixtures.USER_DAY)
     zero = dict.fromkeys(("active_minutes", "app_sessions", "rewards_viewed", "rewards_redeemed"), 0)
-    at = lambda d: F.lit(d).cast("date")
-    return panel.densify(days, "entity_id", "activity_date", {**zero, "weekly_goal": F.max("weekly_goal")}, at("2024-01-01"), at("2024-01-30"))
+    first, last = days.agg(F.min("activity_date"), F.max("activity_date")).first()
+    return panel.densify(days, "entity_id", "activity_date", {**zero, "weekly_goal": F.max("weekly_goal")}, F.lit(first), F.lit(last))
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
@@ -66,7 +69,7 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
 
 def predictions(spark: SparkSession, sf: str) -> DataFrame:
     rows = scored(spark, sf).select("member_id", "prediction_date", F.col("p").alias("risk_probability"))
-    return evaluation.classify(rows, "risk_probability", T, "logistic")
+    return evaluation.classify(rows, "risk_probability", T_FROZEN, "logistic")
 
 
 def contexts(spark: SparkSession, sf: str) -> DataFrame:
@@ -189,12 +192,12 @@ def best_threshold(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def confusion_at_frozen(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(evaluation.confusion(scored(spark, sf), "actual_label", "p", T))
+    return rounded(evaluation.confusion(scored(spark, sf), "actual_label", "p", T_FROZEN))
 
 
 @query
 def macro_metrics(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(evaluation.macro(scored(spark, sf), "actual_label", "p", T))
+    return rounded(evaluation.macro(scored(spark, sf), "actual_label", "p", T_FROZEN))
 
 
 @query
@@ -239,12 +242,12 @@ def probability_metrics(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def validation_summary(spark: SparkSession, sf: str) -> DataFrame:
-    return rounded(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T))
+    return rounded(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T_FROZEN))
 
 
 @query
 def metric_constraints(spark: SparkSession, sf: str) -> DataFrame:
-    return constraints.run(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T), constraints.metric_rules())
+    return constraints.run(evaluation.summary(scored(spark, sf), "actual_label", "p", "k", T_FROZEN), constraints.metric_rules())
 
 
 @query
@@ -340,11 +343,21 @@ def insert_only_rows(spark: SparkSession, sf: str) -> DataFrame:
     return sinks.new_rows(now, now.filter(F.col("prediction_date") < F.lit("2000-01-01").cast("date")), ["member_id", "prediction_date"])
 
 
+def _orders(spark: SparkSession, sf: str) -> DataFrame:
+    return contracts.conform(spark.read.parquet(f"{sf}/orders.parquet"), contracts.schema("o_orderkey bigint, o_custkey bigint, o_orderstatus string"))
+
+
 @query
 def dataset_digest_rows(spark: SparkSession, sf: str) -> DataFrame:
-    """A digest of every nation, by the canonical row text that dataset digests add up."""
-    nation = contracts.conform(spark.read.parquet(f"{sf}/nation.parquet"), contracts.schema("n_nationkey bigint, n_name string, n_regionkey bigint"))
-    return nation.select("n_nationkey", fn.row_digest(nation.columns).alias("digest"))
+    """A digest of every order, by the canonical row text that dataset digests add up."""
+    orders = _orders(spark, sf)
+    return orders.select("o_orderkey", fn.row_digest(orders.columns).alias("digest"))
+
+
+@query
+def dataset_digest(spark: SparkSession, sf: str) -> DataFrame:
+    """The digest of all orders, whatever their order and files."""
+    return readers.digest_row(_orders(spark, sf))
 
 
 def _model_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str], list[str], str]:
@@ -352,24 +365,318 @@ def _model_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, list[str], li
     label = "label_will_miss_goal_next_7_days"
     categorical = ["age_band_as_of", "activity_level_as_of", "reward_profile_as_of"]
     numeric = [c for c in asof.predictors(table) if c not in categorical]
-    return readers_frame(table, label, categorical, numeric), categorical, numeric, label
+    return materialise(readers.model_frame(table, label, categorical, numeric), "model-frame"), categorical, numeric, label
 
 
-def readers_frame(table: DataFrame, label: str, categorical: list[str], numeric: list[str]) -> DataFrame:
-    """The model's columns only: keys, split, label and approved predictors."""
-    return table.select("member_id", "prediction_date", "dataset_split", label, *categorical, *(F.col(c).cast("double").alias(c) for c in numeric))
+def _logistic(train: DataFrame, label: str, categorical: list[str], numeric: list[str]) -> tuple[PipelineModel, ml.Imputation]:
+    imputation = ml.fit_imputation(train, categorical, numeric)
+    rows = train.filter(F.col(label).isNotNull()).count()
+    return ml.fit(ml.logistic_pipeline(rows, categorical, numeric), train, label, imputation), imputation
 
 
 @query
 def risk_model_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Logistic regression fitted on train, threshold chosen on validation, applied to scoring."""
     frame, categorical, numeric, label = _model_frame(spark, sf)
-    frame = frame.persist()
     train = frame.filter("dataset_split = 'train'")
-    imputation = ml.fit_imputation(train, categorical, numeric)
-    model = ml.fit(ml.logistic_pipeline(train.count(), categorical, numeric), train, label, imputation)
+    model, imputation = _logistic(train, label, categorical, numeric)
     validation = ml.positive_probability(model, frame.filter(f"dataset_split = 'validation' and {label} is not null"), imputation)
     chosen = evaluation.best_threshold(evaluation.sweep(validation, label, "risk_probability")).first()["threshold"]
     return ml.score(model, frame.filter("dataset_split = 'scoring'"), imputation, "logistic", chosen)
 
 
+# Queries that write to the shared folder, read back and verify.
+
+
+def _name(what: str) -> str:
+    """A table name of its own for each call."""
+    return f"tidewatch_{what}_{uuid.uuid4().hex}"
+
+
+@query
+def csv_export(spark: SparkSession, sf: str) -> DataFrame:
+    """The raw panel exported as Parquet and CSV in verified order; the rows of the CSV copy."""
+    rows = raw_panel(spark, sf).select("member_id", "activity_date", "age_band", "active_minutes", "sleep_hours", "intervention_received")
+    _, text = sinks.export(rows, shared_path(spark, "export"), ["activity_date", "member_id"])
+    return readers.csv(spark, text, rows.schema)
+
+
+@query
+def export_parity(spark: SparkSession, sf: str) -> DataFrame:
+    """Parity of the two exported copies."""
+    rows = raw_panel(spark, sf).select("member_id", "activity_date", "active_minutes", "sleep_hours")
+    pq, text = sinks.export(rows, shared_path(spark, "export"))
+    return profile.parity(readers.parquet(spark, pq, rows.schema), readers.csv(spark, text, rows.schema))
+
+
+@query
+def table_projection(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored table with a comment, projected in order."""
+    name = _name("panel")
+    sinks.save_table(raw_panel(spark, sf), name, "Member's days", shared_path(spark, name))
+    return readers.table(spark, name, ["activity_date", "member_id", "daily_steps"], ["activity_date", "member_id"]).withColumn("comment", F.lit(spark.catalog.getTable(name).description))
+
+
+@query
+def split_views(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of each split by the persisted views of a stored table."""
+    name = _name("split")
+    sinks.save_table(splits.assign(raw_panel(spark, sf), "activity_date", CUTS), name, "Splits", shared_path(spark, name))
+    counts = [spark.table(v).agg(F.count("*").alias("row_count"), F.min("activity_date").alias("first_day"), F.max("activity_date").alias("last_day")).withColumn("dataset_split", F.lit(s)) for s, v in zip(splits.SPLITS, splits.create_views(spark, name), strict=True)]
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query
+def schema_evolution(spark: SparkSession, sf: str) -> DataFrame:
+    """Customers merged into a clustered table, half of them before it had a column for the balance."""
+    name, rows = _name("customer"), spark.read.parquet(f"{sf}/customer.parquet")
+    first, second = contracts.schema("c_custkey bigint, c_name string"), contracts.schema("c_custkey bigint, c_name string, c_acctbal double")
+    sinks.ensure_table(spark, name, first, path=shared_path(spark, name), cluster_by=["c_custkey"], buckets=4)
+    sinks.merge_insert_only(contracts.conform(rows.filter("c_custkey % 2 = 0"), first), name, ["c_custkey"], DECISION_TIME)
+    sinks.ensure_table(spark, name, second)
+    for _ in range(2):  # the second time nothing is new
+        sinks.merge_insert_only(contracts.conform(rows.filter("c_custkey % 2 = 1"), second), name, ["c_custkey"], DECISION_TIME)
+    return spark.table(name).drop("ingested_at")
+
+
+@query
+def staged_predictions(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions loaded twice into a run's staging table, which is emptied first and dropped in the end."""
+    rows, name = contracts.conform(predictions(spark, sf), contracts.PREDICTIONS), _name("predictions")
+    for _ in range(2):
+        with sinks.staged_load(rows, name, "run", contracts.PREDICTIONS) as stage:
+            out = materialise(stage.groupBy("prediction_date").agg(F.count("*").alias("row_count"), F.count_if("is_high_risk").alias("high_risk_count")), "staged")
+    return out
+
+
+@query
+def verified_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Predictions written, verified and published, then read against contract, rules and digest."""
+    rows = contracts.conform(predictions(spark, sf), contracts.PREDICTIONS)
+    path = sinks.write_verified(rows, shared_path(spark, "scores"), lambda df: constraints.enforce(contracts.check(df, contracts.PREDICTIONS), constraints.score_rules()))
+    return readers.verified_scores(spark, path, readers.digest(rows))
+
+
+@query
+def verified_context(spark: SparkSession, sf: str) -> DataFrame:
+    """The contact contexts that break no rule, written and verified as a snapshot."""
+    rows = contracts.conform(contexts(spark, sf).filter("not (opted_out and contact_allowed)"), contracts.CONTEXT)
+    path = sinks.write_verified(rows, shared_path(spark, "context"), lambda df: contracts.check(df, contracts.CONTEXT))
+    found = readers.verified_context(spark, path, DECISION_TIME, readers.digest(rows))
+    return found.select("member_id", "contact_allowed", "opted_out", "active_case_open", F.unix_timestamp("last_contacted_at").alias("last_contacted_at"), "interventions_last_28d")
+
+
+def _run(decided: DataFrame) -> DataFrame:
+    lineage = {"scoring_artifact_path": "scores", "contact_context_artifact_path": "contexts", "scoring_artifact_sha256": "a", "contact_context_artifact_sha256": "b", "contact_context_source_name": "crm"}
+    lineage |= {"contact_context_source_snapshot_reference": "snapshot", "contact_context_source_query_sha256": "c", "contact_context_snapshot_timestamp": DECISION_TIME}
+    return contracts.conform(activation.run_row(decided, POLICY, lineage), contracts.RUNS)
+
+
+@query
+def warehouse_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions loaded twice, committed by their run's row; the second load changes nothing."""
+    decided, runs, rows = materialise(decisions(spark, sf), "decided"), _name("runs"), _name("decisions")
+    path = shared_path(spark, "warehouse")
+    for _ in range(2):
+        # These scores span years, so a partition for each day would be mostly empty files.
+        sinks.load_run(spark, _run(decided), decided, runs, rows, DECISION_TIME, path, by_month=True)
+    found = sinks.committed(spark, runs, rows)
+    return found.select("run_id", "member_id", "prediction_date", "outcome", "reason_code", "risk_probability", "priority_rank", F.unix_timestamp("ingested_at").alias("ingested_at"))
+
+
+@query
+def run_record(spark: SparkSession, sf: str) -> DataFrame:
+    """A run's row: identity, policy fingerprint and counts that add up."""
+    row = _run(decisions(spark, sf))
+    return row.select("run_id", "policy_version", "policy_fingerprint", "model_name", "threshold", "capacity_limit", *(c for c in row.columns if c.endswith("_count")))
+
+
+@query
+def queue_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The review queue's row of metadata."""
+    return activation.queue_row(activation.review_queue(decisions(spark, sf)), {"source": "decisions"})
+
+
+def _placed(spark: SparkSession, df: DataFrame) -> DataFrame:
+    path = shared_path(spark, "ordered")
+    df.write.parquet(path)
+    return readers.positions(spark, path).select("member_id", "prediction_date", "outcome" if "outcome" in df.columns else "priority_rank", "position")
+
+
+@query
+def queue_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each row of the review queue stands once it is written."""
+    return _placed(spark, activation.review_queue(decisions(spark, sf)))
+
+
+@query
+def audit_order(spark: SparkSession, sf: str) -> DataFrame:
+    """Where each decision stands in the written audit."""
+    return _placed(spark, activation.audit(decisions(spark, sf)))
+
+
+@query
+def metadata_record(spark: SparkSession, sf: str) -> DataFrame:
+    """A summary row written as JSON with sorted keys, read with exactly these keys and types."""
+    row = evaluation.score_summary(predictions(spark, sf))
+    path = sinks.write_metadata(row, shared_path(spark, "summary"))
+    readers.metadata(spark, path, set(row.columns))
+    return rounded(readers.json_rows(spark, path, row.schema))
+
+
+@query
+def record_fields(spark: SparkSession, sf: str) -> DataFrame:
+    """A stored summary's counts against those of the rows that are left without the first years."""
+    rows = predictions(spark, sf)
+    counts = lambda df: evaluation.score_summary(df).select("row_count", "member_count", "high_risk_count", F.col("maximum_prediction_date").cast("string").alias("maximum_prediction_date"))
+    path = sinks.write_metadata(counts(rows), shared_path(spark, "counts"))
+    stored = readers.json_rows(spark, path, counts(rows).schema)
+    return constraints.same_fields(stored, counts(rows.filter(F.col("prediction_date") >= F.lit("1997-01-01").cast("date"))))
+
+
+@query
+def key_sets(spark: SparkSession, sf: str) -> DataFrame:
+    """Members with a context but no score, and those with a score but no context."""
+    return constraints.same_keys(contexts(spark, sf), predictions(spark, sf), ["member_id"])
+
+
+@query
+def table_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows of two versions of the scores that the other lacks."""
+    now = predictions(spark, sf).select("member_id", "prediction_date", "risk_probability")
+    then = now.filter("member_id % 5 <> 0").withColumn("risk_probability", F.when(F.col("member_id") % 7 == 0, F.lit(None)).otherwise(F.col("risk_probability")))
+    return constraints.differences(now, then)
+
+
+@query
+def panel_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """By how much row count, members and date range differ from what was announced."""
+    return constraints.run(raw_panel(spark, sf), [constraints.row_count(5_000), constraints.value_count("member_id", 10), constraints.range_is("activity_date", "1992-01-02", "1998-12-01")])
+
+
+@query
+def rate_bands(spark: SparkSession, sf: str) -> DataFrame:
+    """Rates of the staged panel within their bands."""
+    c = F.col
+    return constraints.run(staged(spark, sf), [
+        constraints.rate_between("misses", c("will_miss_goal_next_7_days"), 0.12, 0.30),
+        constraints.rate_between("sleep_missing", c("sleep_hours_missing"), 0.02, 0.20),
+        constraints.rate_between("outliers", c("is_step_outlier"), 0.0, 0.001),
+        constraints.rate_between("late", c("is_late_record"), 0.0, 0.5),
+    ])
+
+
+@query
+def feature_nulls(spark: SparkSession, sf: str) -> DataFrame:
+    """Features without any value."""
+    table = asof.features(staged(spark, sf)).withColumn("never", F.lit(None).cast("double"))
+    return constraints.run(table, constraints.not_all_null("avg_daily_steps_28d", "reward_redemption_rate_28d", "stddev_active_minutes_28d", "never"))
+
+
+@query
+def evaluation_input(spark: SparkSession, sf: str) -> DataFrame:
+    """Rules of rows to be evaluated, over rows of which some have no label."""
+    rows = scored(spark, sf).withColumn("actual_label", F.when(F.col("k") % 100 != 0, F.col("actual_label")))
+    return constraints.run(rows, constraints.label_rules("actual_label"))
+
+
+@query
+def split_overlaps_found(spark: SparkSession, sf: str) -> DataFrame:
+    """Splits by the member's number, whose days overlap."""
+    named = F.when(F.col("member_id") % 3 == 0, "train").when(F.col("member_id") % 3 == 1, "validation").otherwise("test")
+    rows = staged(spark, sf).withColumn("activity_date", F.date_add("activity_date", (F.col("member_id") % 3).cast("int"))).withColumn("dataset_split", named)
+    return splits.overlaps(splits.report(rows, "activity_date", "member_id", "will_miss_goal_next_7_days")).select("dataset_split", "first_day", "previous_last_day")
+
+
+@query
+def selection_record(spark: SparkSession, sf: str) -> DataFrame:
+    """The threshold chosen on validation rows, as a record that is written once."""
+    record = evaluation.selection(scored(spark, sf), "actual_label", "p", "prediction_date", "logistic")
+    path = shared_path(spark, "selection")
+    sinks.freeze(record, path)
+    return rounded(sinks.freeze(record, path))
+
+
+@query
+def frozen_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """The summary at a frozen record's threshold."""
+    rows = scored(spark, sf)
+    record = sinks.freeze(evaluation.selection(rows, "actual_label", "p", "prediction_date", "logistic"), shared_path(spark, "selection"))
+    return rounded(evaluation.frozen_summary(rows, "actual_label", "p", "k", record))
+
+
+@query
+def model_frame(spark: SparkSession, sf: str) -> DataFrame:
+    """The training split in the model's columns."""
+    frame, *_ = _model_frame(spark, sf)
+    return rounded(splits.partition(frame, "label_will_miss_goal_next_7_days")["train"].drop("dataset_split"))
+
+
+@query
+def imputation_values(spark: SparkSession, sf: str) -> DataFrame:
+    """What nulls become: modes and medians of the training split."""
+    frame, categorical, numeric, _ = _model_frame(spark, sf)
+    found = ml.fit_imputation(frame.filter("dataset_split = 'train'"), categorical, numeric)
+    rows = [(c, v, None) for c, v in found.categorical.items()] + [(c, None, v) for c, v in found.numeric.items()]
+    return rounded(spark.createDataFrame(rows, "column_name string, category string, number double"))
+
+
+@query
+def encoded_features(spark: SparkSession, sf: str) -> DataFrame:
+    """The training split, imputed, one-hot encoded and standardised."""
+    frame, categorical, _, _ = _model_frame(spark, sf)
+    numeric = ["avg_daily_steps_28d", "avg_sleep_hours_7d", "sum_app_sessions_28d"]
+    train = frame.filter("dataset_split = 'train'").select("member_id", "prediction_date", *categorical, *numeric)
+    imputation = ml.fit_imputation(train, categorical, numeric)
+    out = ml.encode(ml.fit_encoding(train, categorical, numeric, imputation, train.count()), train, imputation)
+    n = F.size("features") - len(numeric)
+    levels = F.array_join(F.transform(F.slice("features", F.lit(1), n), lambda x: x.cast("int")), "")
+    return out.select("member_id", "prediction_date", levels.alias("levels"), *(F.round(F.get("features", n + i), 4).alias(c) for i, c in enumerate(numeric)))
+
+
+@query
+def logistic_optimum(spark: SparkSession, sf: str) -> DataFrame:
+    """The fitted logistic regression is the optimum of its penalised loss: no slope is left in any coefficient."""
+    frame, categorical, numeric, label = _model_frame(spark, sf)
+    train = frame.filter("dataset_split = 'train'")
+    model, imputation = _logistic(train, label, categorical, numeric)
+    slopes = ml.gradient(model, train, label, imputation).agg(F.round(F.max(F.abs("slope")), 3).alias("largest_slope"))
+    return train.agg(F.count(label).alias("labelled_rows"), F.count_if(label).alias("positives")).crossJoin(F.broadcast(slopes))  # one row each
+
+
+@query
+def stored_model(spark: SparkSession, sf: str) -> DataFrame:
+    """A model stored with its metadata, checked, loaded and applied: scores that differ from those of the fitted one."""
+    frame, categorical, numeric, label = _model_frame(spark, sf)
+    train, scoring = frame.filter("dataset_split = 'train'"), frame.filter("dataset_split = 'scoring'")
+    model, imputation = _logistic(train, label, categorical, numeric)
+    selection = {"model_name": "logistic", "threshold": T_FROZEN, "selection_split": "validation", "selection_metric": "positive_f1", "validation_start_date": CUTS.validation, "validation_end_date": CUTS.test}
+    metadata, path = ml.model_metadata(selection, (CUTS.first, CUTS.validation), categorical, numeric), shared_path(spark, "model")
+    ml.save(model, imputation, path, metadata, spark)
+    ml.check_metadata(ml.load_metadata(spark, path), selection, categorical, numeric)
+    again, same = ml.load(path, metadata, spark)
+    fresh = ml.score(model, scoring, imputation, "logistic", T_FROZEN).select("member_id", "prediction_date", F.col("risk_probability").alias("p"))
+    both = ml.score(again, scoring, same, "logistic", T_FROZEN).join(fresh, ["member_id", "prediction_date"])
+    return both.agg(F.count("*").alias("row_count"), F.count_if(F.abs(F.col("p") - F.col("risk_probability")) > 1e-12).alias("differing"), F.count_if(~fn.is_probability(F.col("risk_probability"))).alias("invalid"))
+
+
+@query
+def scalar_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Text to booleans and instants, and named values of arrays of structs, over all events."""
+    u = F.col("user_id")
+    spelt = F.element_at(F.array(F.lit("true"), F.lit("FALSE"), F.lit("1"), F.lit("no")), (u % 4 + 1).cast("int"))
+    day = F.lpad((1 + u % 28).cast("string"), 2, "0")
+    stamp = F.concat(F.lit("2024-01-"), day, F.when(u % 3 == 0, "T10:00:00+02:00").when(u % 3 == 1, "T10:00:00").otherwise("T10:00:00Z"))
+    entries = F.array(F.struct(F.lit("view").alias("label"), u.alias("value")), F.struct(F.lit("click").alias("label"), (u * 2).alias("value")))
+    rows = spark.read.parquet(f"{sf}/events.parquet").select(
+        "event_type", fn.safe_bool(spelt).alias("flag"), F.unix_timestamp(fn.utc_timestamp(stamp)).alias("at"), fn.named_value(entries, "label", F.col("event_type"), "value").alias("value")
+    )
+    return rows.groupBy("event_type").agg(F.count_if("flag").alias("yes"), F.count_if(~F.col("flag")).alias("no"), F.count("at").alias("stamped"), F.min("at").alias("first_at"), F.max("at").alias("last_at"), F.sum("value").alias("total"))
+
+
+@query
+def text_forms(spark: SparkSession, sf: str) -> DataFrame:
+    """Blank, matching and prefixed texts of all documents."""
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    cut = F.when(F.col("doc_id") % 5 == 0, F.lit(" \t ")).when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("text"))
+    return docs.groupBy("lang").agg(F.count_if(fn.blank(cut)).alias("blank"), F.count_if(F.col("text").rlike("^[A-Z][a-z]+ [a-z]")).alias("opens"), F.count_if(F.startswith("source", F.lit("src1"))).alias("prefixed"))

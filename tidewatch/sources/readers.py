@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import row_digest
 from tidewatch.operators import constraints
+from tidewatch.operators.asof import NOT_PREDICTORS
 from tidewatch.sources import contracts
 
 
@@ -45,15 +47,32 @@ def table(spark: SparkSession, name: str, columns: list[str], order: list[str] |
     return df.orderBy(*order) if order else df
 
 
+def positions(spark: SparkSession, path: str) -> DataFrame:
+    """A Parquet folder's rows with ``position``, from 1, in the order in which they stand; files count in the order of their names."""
+    rows = spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("#file"), F.col("_metadata.row_index").alias("#row"))
+    sizes = rows.groupBy("#file").agg(F.count("*").alias("#n"))  # a row for each file
+    before = F.coalesce(F.sum("#n").over(W.orderBy("#file").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    return rows.join(sizes.select("#file", before.alias("#before")), "#file").withColumn("position", F.col("#before") + F.col("#row") + 1).drop("#file", "#row", "#before")
+
+
+def model_frame(table: DataFrame, label: str, categorical: list[str], numeric: list[str]) -> DataFrame:
+    """The model's columns only: keys, split, label and approved predictors; a predictor that models must not see is an error."""
+    if leaks := sorted({*categorical, *numeric} & {*NOT_PREDICTORS, label}):
+        raise contracts.ContractError(f"no predictors: {', '.join(leaks)}")
+    return table.select("member_id", "prediction_date", "dataset_split", label, *categorical, *(F.col(c).cast("double").alias(c) for c in numeric))
+
+
 def digest(df: DataFrame) -> str:
-    """SHA-256 of a dataset's rows as a multiset, whatever their order and files.
+    """SHA-256 of a dataset's rows as a multiset, whatever their order and files."""
+    return digest_row(df).first()["digest"]
+
 
-    Rows are hashed, and the hashes' 32-bit words summed, by the tasks.
-    """
+def digest_row(df: DataFrame) -> DataFrame:
+    """One row: the number of rows and their digest. Rows are hashed, and the hashes' 32-bit words summed, by the tasks."""
     hashed = df.select(row_digest(df.columns).alias("h"))
     words = [F.sum(F.conv(F.substring("h", 8 * i + 1, 8), 16, 10).cast("decimal(38,0)")).alias(f"w{i}") for i in range(8)]
     total = hashed.agg(F.count("*").alias("n"), *words)
-    return total.select(F.sha2(F.concat_ws(",", "n", *(f"w{i}" for i in range(8))), 256).alias("d")).first()["d"]
+    return total.select(F.col("n").alias("row_count"), F.sha2(F.concat_ws(",", "n", *(f"w{i}" for i in range(8))), 256).alias("digest"))
 
 
 def verified_scores(spark: SparkSession, path: str, expected_digest: str | None = None) -> DataFrame:

@@ -7,15 +7,19 @@ readers join with it. A load that stopped half-way is completed by running it ag
 
 from __future__ import annotations
 
+import re
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from datetime import UTC, datetime
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import differs
+from tidewatch.functions.shared import materialise, shared_path
 from tidewatch.operators import constraints
 from tidewatch.sources import contracts
 
@@ -36,33 +40,83 @@ def distinct_paths(*paths: str) -> None:
             raise ValueError(f"{a} holds another path")
 
 
+def _files(spark: SparkSession, path: str):
+    """The file system of a path, and Hadoop's constructor of paths."""
+    make = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), make
+
+
+def recover(spark: SparkSession, path: str) -> None:
+    """Undo what a writer that died while it published has left: if ``path`` is missing, its last version comes back."""
+    files, make = _files(spark, path)
+    target = make(path.rstrip("/"))
+    kept = sorted(s.getPath().toString() for s in files.globStatus(make(f"{target.toString()}.previous-*")) or [])
+    if files.exists(target):
+        for old in kept:
+            files.delete(make(old), True)
+    elif kept and not files.rename(make(kept[-1]), target):
+        raise OSError(f"{path} can't be recovered")
+
+
 def write_verified(df: DataFrame, path: str, verify: Callable[[DataFrame], None], partition_by: list[str] | None = None) -> str:
-    """Write Parquet beside ``path``, verify what was written, then publish it by a rename."""
+    """Write Parquet beside ``path``, verify what was written, then publish it by a rename.
+
+    An older version is moved aside first and deleted last, so one whole version exists at any
+    time: after a crash between the two renames ``recover`` (which every call begins with) puts
+    it back. On object stores a rename copies.
+    """
     spark = df.sparkSession
+    recover(spark, path)
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     df.write.partitionBy(*(partition_by or [])).parquet(staging)
     verify(spark.read.parquet(staging))
-    jvm = spark.sparkContext._jvm.org.apache.hadoop.fs
-    source, target = jvm.Path(staging), jvm.Path(path)
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if files.exists(target):
-        files.delete(target, True)
+    publish(spark, staging, path)
+    return path
+
+
+def publish(spark: SparkSession, staging: str, path: str) -> None:
+    """Put a written folder in the place of ``path``."""
+    files, make = _files(spark, path)
+    source, target, old = make(staging), make(path), make(f"{path.rstrip('/')}.previous-{uuid.uuid4().hex}")
+    replaced = files.exists(target)
+    if replaced and not files.rename(target, old):
+        raise OSError(f"{path} can't be moved aside")
     if not files.rename(source, target):
+        if replaced:
+            files.rename(old, target)
         raise OSError(f"{path} can't be published")
-    return path
+    if replaced:
+        files.delete(old, True)
 
 
-def export(df: DataFrame, directory: str) -> tuple[str, str]:
-    """The dataset as Parquet and as CSV; both have the same rows."""
+def export(df: DataFrame, directory: str, order: list[str] | None = None) -> tuple[str, str]:
+    """The dataset as Parquet and as CSV, sorted if asked; both have the same rows, and the order is verified after the write."""
     pq, text = f"{directory}/parquet", f"{directory}/csv"
-    df.write.mode("overwrite").parquet(pq)
-    df.write.mode("overwrite").option("header", True).csv(text)
+    rows = df.orderBy(*order) if order else df
+    rows.write.mode("overwrite").parquet(pq)
+    stored = df.sparkSession.read.schema(df.schema).parquet(pq)
+    (stored.orderBy(*order) if order else stored).write.mode("overwrite").option("header", True).csv(text)
     copy = df.sparkSession.read.schema(df.schema).csv(text, header=True)
-    if constraints.differences(df, copy).limit(1).count():
+    if constraints.differences(stored, copy).limit(1).count():
         raise contracts.ContractError("the CSV copy differs")
+    if order and out_of_order(df.sparkSession, pq, order).limit(1).count():
+        raise contracts.ContractError("the written rows aren't in order")
     return pq, text
 
 
+def out_of_order(spark: SparkSession, path: str, order: list[str]) -> DataFrame:
+    """Rows of a Parquet folder that stand before their predecessor in ``order``; files count in the order of their names.
+
+    Rows are compared within their file, and the files' first and last rows with each other.
+    """
+    place = F.struct(*order)
+    rows = spark.read.parquet(path).select(place.alias("at"), F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row"))
+    inside = rows.withColumn("before", F.lag("at").over(W.partitionBy("file").orderBy("row")))
+    ends = rows.groupBy("file").agg(F.min("at").alias("at"), F.max("at").alias("last"))  # a row for each file
+    between = ends.withColumn("before", F.lag("last").over(W.orderBy("file")))
+    return inside.select("at", "before").unionByName(between.select("at", "before")).filter(F.col("at") < F.col("before"))
+
+
 def write_metadata(row: DataFrame, path: str) -> str:
     """A one-row table as JSON, keys sorted, nulls kept."""
     row.select(*sorted(row.columns)).coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(path)
@@ -81,9 +135,10 @@ def freeze(row: DataFrame, path: str) -> DataFrame:
     return stored
 
 
-def save_table(df: DataFrame, name: str, comment: str) -> None:
-    """Create or replace a table with a comment."""
-    df.write.mode("overwrite").saveAsTable(name)
+def save_table(df: DataFrame, name: str, comment: str, path: str | None = None) -> None:
+    """Create or replace a table with a comment; ``path`` is where its files go, by default the warehouse."""
+    writer = df.write.mode("overwrite")
+    (writer.option("path", path) if path else writer).saveAsTable(name)
     df.sparkSession.sql(f"COMMENT ON TABLE {name} IS '{comment.replace(chr(39), chr(39) * 2)}'")
 
 
@@ -92,13 +147,16 @@ def create_view(spark: SparkSession, name: str, query: str) -> None:
     spark.sql(f"CREATE OR REPLACE VIEW {name} AS {query}")
 
 
-def ensure_table(spark: SparkSession, name: str, contract: T.StructType, partition: T.StructField | None = None) -> None:
-    """Create the table if it is missing; add columns that it lacks."""
+def ensure_table(spark: SparkSession, name: str, contract: T.StructType, partition: T.StructField | None = None, path: str | None = None, cluster_by: list[str] | None = None, buckets: int = 8) -> None:
+    """Create the table if it is missing, partitioned and clustered (in sorted buckets) if asked; add columns that it lacks."""
     fields = [*contract.fields, INGESTED, *([partition] if partition else [])]
     if not spark.catalog.tableExists(name):
         columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
         by = f" PARTITIONED BY ({partition.name})" if partition else ""
-        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by}")
+        keys = ", ".join(cluster_by or [])
+        clustered = f" CLUSTERED BY ({keys}) SORTED BY ({keys}) INTO {buckets} BUCKETS" if keys else ""
+        at = f" LOCATION '{path}'" if path else ""
+        spark.sql(f"CREATE TABLE {name} ({columns}) USING parquet{by}{clustered}{at}")
         return
     have = set(spark.table(name).columns)
     lacking = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields if f.name not in have)
@@ -106,6 +164,26 @@ def ensure_table(spark: SparkSession, name: str, contract: T.StructType, partiti
         spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({lacking})")
 
 
+def staging_name(table: str, run_id: str) -> str:
+    """The name of a run's own staging table."""
+    if not re.fullmatch(r"[0-9a-z_]{1,64}", run_id):
+        raise ValueError("run_id has to be lower-case letters, digits and underscores")
+    return f"{table}_stage_{run_id}"
+
+
+@contextmanager
+def staged_load(df: DataFrame, table: str, run_id: str, contract: T.StructType) -> Iterator[DataFrame]:
+    """``df`` in a run's staging table of exactly these columns, which is emptied first and dropped in the end."""
+    spark, name = df.sparkSession, staging_name(table, run_id)
+    try:
+        path = shared_path(spark, "stage")
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        contracts.conform(df, contract).write.mode("overwrite").option("path", path).saveAsTable(name)
+        yield spark.table(name)
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+
+
 def conflicts(source: DataFrame, target: DataFrame, key: list[str], ignore: tuple[str, ...] = ("ingested_at",)) -> DataFrame:
     """Source rows whose key is stored with any other value."""
     compared = [c for c in source.columns if c not in key and c not in ignore]
@@ -122,8 +200,13 @@ def new_rows(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
 
 
 def merge_insert_only(source: DataFrame, name: str, key: list[str], ingested_at: datetime, cluster_by: list[str] | None = None) -> None:
-    """Append the source's new keys; an error, and no row, if the source repeats a key or a stored key differs."""
+    """Append the source's new keys; an error, and no row, if the source repeats a key or a stored key differs.
+
+    The source is written once, so that what is checked is what is stored. One writer at a time:
+    plain Parquet tables don't keep two writers from inserting the same key.
+    """
     spark = source.sparkSession
+    source = materialise(source, "merge")
     constraints.enforce(source, [constraints.unique(*key), constraints.required(*key)])
     target = spark.table(name)
     found = conflicts(source, target, key).limit(1).count()
@@ -136,21 +219,30 @@ def merge_insert_only(source: DataFrame, name: str, key: list[str], ingested_at:
     fresh.write.mode("append").insertInto(name)
 
 
-def load_run(spark: SparkSession, run: DataFrame, decisions: DataFrame, runs_table: str, decisions_table: str, ingested_at: datetime) -> None:
-    """Load a run: all assertions, then the decisions, then the run's row as commit marker."""
-    ensure_table(spark, runs_table, contracts.RUNS, T.StructField("decision_date", T.DateType()))
-    without = T.StructType([f for f in contracts.DECISIONS if f.name != "prediction_date"])
-    ensure_table(spark, decisions_table, without, contracts.DECISIONS["prediction_date"])
-    run = contracts.conform(run, contracts.RUNS).withColumn("decision_date", F.to_date("decision_timestamp"))
-    decisions = contracts.conform(decisions, contracts.DECISIONS)
-    row = run.first()
-    total = sum(row[c] for c in ("superseded_count", "below_threshold_count", "excluded_count", "suppressed_count", "eligible_count"))
-    if total != row["source_row_count"] or decisions.count() != total:
-        raise contracts.ContractError("the run's counts don't add up to its decisions")
-    if conflicts(run, spark.table(runs_table), ["run_id"]).limit(1).count():
-        raise ConflictError(f"{runs_table}: a stored key has other values")
-    merge_insert_only(decisions, decisions_table, ["run_id", "member_id", "prediction_date"], ingested_at, ["run_id", "outcome", "member_id"])
-    merge_insert_only(run, runs_table, ["run_id"], ingested_at)
+def load_run(spark: SparkSession, run: DataFrame, decisions: DataFrame, runs_table: str, decisions_table: str, ingested_at: datetime, path: str | None = None, by_month: bool = False) -> None:
+    """Load a run through its staging tables: all assertions, then the decisions, then the run's row as commit marker.
+
+    Decisions are partitioned by their prediction's day, or its month.
+    """
+    at = lambda x: f"{path}/{x}" if path else None
+    ensure_table(spark, runs_table, contracts.RUNS, T.StructField("decision_date", T.DateType()), at("runs"))
+    month = T.StructField("prediction_month", T.DateType())
+    without = T.StructType([f for f in contracts.DECISIONS if by_month or f.name != "prediction_date"])
+    clustered = ["run_id", "outcome", "member_id"]
+    ensure_table(spark, decisions_table, without, month if by_month else contracts.DECISIONS["prediction_date"], at("decisions"), clustered)
+    run_id = contracts.conform(run, contracts.RUNS).select("run_id").first()["run_id"]
+    with staged_load(run, runs_table, run_id, contracts.RUNS) as one, staged_load(decisions, decisions_table, run_id, contracts.DECISIONS) as rows:
+        one = one.withColumn("decision_date", F.to_date("decision_timestamp"))
+        row = one.first()
+        total = sum(row[c] for c in ("superseded_count", "below_threshold_count", "excluded_count", "suppressed_count", "eligible_count"))
+        if total != row["source_row_count"] or rows.count() != total:
+            raise contracts.ContractError("the run's counts don't add up to its decisions")
+        if conflicts(one, spark.table(runs_table), ["run_id"]).limit(1).count():
+            raise ConflictError(f"{runs_table}: a stored key has other values")
+        if by_month:
+            rows = rows.withColumn(month.name, F.trunc("prediction_date", "month"))
+        merge_insert_only(rows, decisions_table, ["run_id", "member_id", "prediction_date"], ingested_at, clustered)
+        merge_insert_only(one, runs_table, ["run_id"], ingested_at)
 
 
 def committed(spark: SparkSession, runs_table: str, decisions_table: str) -> DataFrame:
