@@ -41,7 +41,7 @@ from tidewatch.llm.common import bounded_batches, stored
 
 K = 5
 #: Tokens of a block, and keys of a bucket, about.
-BLOCK, BUCKET = 2_000_000, 3_000_000
+BLOCK, BUCKET = 2_000_000, 1_000_000
 LOWER = bytes.maketrans(bytes(range(65, 91)), bytes(range(97, 123)))
 #: No word holds white space, so these are no words.
 START, END = b"\n<s>", b"\n</s>"
@@ -246,8 +246,8 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
     # The blocks are written once; a task that is run again reads the same ones.
     kept = stored(rows.mapInArrow(number, f"block long, ids array<{id_type}>, held array<boolean>, lens array<long>, words binary, tokens binary, start long"), "katz-texts")
     tokens = kept.agg(F.sum(F.aggregate("lens", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
-    # A bucket's keys fit a task's memory at any size of the corpus.
-    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // bucket_keys))
+    # A bucket's keys, and what a task reads, are bounded at any size of the corpus.
+    buckets = parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-tokens // bucket_keys))
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -259,7 +259,7 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
                 )
 
     sent = kept.select("block", "held", "lens", "words", "tokens", "start").mapInArrow(send, "block long, kind string, bucket int, keys binary, counts binary")
-    totals = sent.groupBy("kind", "bucket").applyInArrow(_totals, "block long, kind string, bucket int, totals binary, stats array<long>")
+    totals = sent.repartition(parts, "kind", "bucket").groupBy("kind", "bucket").applyInArrow(_totals, "block long, kind string, bucket int, totals binary, stats array<long>")
     totals = stored(totals, "katz-totals")
     summed = totals.groupBy("kind").agg(F.array(*(F.sum(F.col("stats")[i]) for i in range(K + 3))).alias("s"))
     found = {r["kind"]: list(r["s"]) for r in summed.collect()}
@@ -314,9 +314,9 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         + [("late", pa.binary()), ("after", pa.binary())]
     )
     ddl = f"block long, kind string, bucket int, keys binary, freed binary, mass binary, ids array<{id_type}>, held array<boolean>, lens array<double>, known array<double>, base array<double>, score array<double>, late binary, after binary"
-    worked = kept.groupBy("block").cogroup(totals.select("block", "kind", "bucket", "totals").groupBy("block")).applyInArrow(apply, ddl)
+    worked = kept.repartition(parts, "block").groupBy("block").cogroup(totals.select("block", "kind", "bucket", "totals").repartition(parts, "block").groupBy("block")).applyInArrow(apply, ddl)
     worked = stored(worked, "katz-blocks")
-    sums = worked.filter("kind = 'c'").select("block", "kind", "bucket", "keys", "freed", "mass").groupBy("bucket").applyInArrow(_sums, "block long, kind string, bucket int, freed binary, mass binary")
+    sums = worked.filter("kind = 'c'").select("block", "kind", "bucket", "keys", "freed", "mass").repartition(parts, "bucket").groupBy("bucket").applyInArrow(_sums, "block long, kind string, bucket int, freed binary, mass binary")
     tokens_seen = stats.tokens
 
     def finish(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -336,5 +336,5 @@ def score(df: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str
         return pa.table(dict(zip(("id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"), made, strict=True)))
 
     texts = worked.filter("kind = 'd'").select("block", "ids", "held", "lens", "known", "base", "score", "late", "after")
-    done = texts.groupBy("block").cogroup(sums.groupBy("block")).applyInArrow(finish, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
+    done = texts.repartition(parts, "block").groupBy("block").cogroup(sums.repartition(parts, "block").groupBy("block")).applyInArrow(finish, f"id {id_type}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double")
     return done.withColumnRenamed("id", id_col)
