@@ -36,3 +36,20 @@ def test_messages_without_a_leaf_have_another_print(spark):
     ]
     df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, payload string")
     assert [(r["layout"], r["turns"] and len(r["turns"])) for r in chat_format.canonical_records(df).orderBy("i").collect()] == [(None, None)] * 3 + [("messages", 1), ("messages", [])]
+
+
+def test_parts_and_empty_messages(spark):
+    part = lambda *texts: [{"type": "text", "text": t} for t in texts]
+    records = [
+        {"messages": [{"role": "user", "content": part("a", "b")}, {"role": "assistant", "content": part("c")}]},
+        {"messages": []},
+        {"messages": [{"role": "user", "content": []}]},
+        {"messages": [{"role": "user", "content": part("a")}, {"role": "assistant", "content": "[c"}]},
+        {"messages": [{"role": "user", "content": "[\"not\", \"parts\"]"}], "extra": {"deep": [1]}},
+        {"messages": [{"role": "user", "content": [{"type": "image"}]}]},
+    ]
+    df = spark.createDataFrame([(i, json.dumps(r)) for i, r in enumerate(records)], "i int, payload string")
+    out = {r["i"]: (r["layout"], [tuple(t) for t in r["turns"]] if r["turns"] is not None else None) for r in chat_format.canonical_records(df).collect()}
+    assert out[0] == ("message_parts", [("user", "ab"), ("assistant", "c")])
+    assert out[1] == ("messages", []) and [out[i] for i in (2, 3, 5)] == [(None, None)] * 3
+    assert out[4] == ("messages", [("user", '["not", "parts"]')])

@@ -15,7 +15,7 @@ is the list of spans (code points of the formatted text) of the assistant texts.
 Cases: a null text or role is the empty one; turns of the same number are ordered by role,
 then text; repeated rows are repeated turns; rows without a conversation id form one
 conversation; a record of unknown layout, or with a message that lacks its role or text, keeps
-its row with ``layout`` null and no turns; a table of unknown layout is an error; an empty table gives an empty result; extra columns are ignored.
+its row with ``layout`` null and no turns; a table of unknown layout is an error; very long texts and conversations are one row each; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -58,6 +58,7 @@ LAYOUTS = (
     Layout("instruction_input", ("input", "instruction", "output"), pairs=(("user", "instruction"), ("user", "input"), ("assistant", "output"))),
     Layout("question_answer", ("answer", "question"), pairs=(("user", "question"), ("assistant", "answer"))),
     Layout("messages", ("messages[].content", "messages[].role"), messages=("messages", "role", "content")),
+    Layout("message_parts", ("messages[].content[].text", "messages[].role"), messages=("messages", "role", "content")),
     Layout("from_value", ("conversations[].from", "conversations[].value"), messages=("conversations", "from", "value"), roles=(("human", "user"), ("gpt", "assistant"))),
 )
 
@@ -68,6 +69,10 @@ RECORD = (
 )
 
 
+#: Messages whose content is a list of parts.
+PARTS = "messages array<struct<role:string,content:array<struct<type:string,text:string>>>>"
+
+
 def field_paths(schema: T.DataType, at: str = "") -> Iterator[str]:
     """The paths of a schema's leaves; ``[]`` marks array elements."""
     if isinstance(schema, T.StructType):
@@ -113,15 +118,23 @@ def _turns(layout: Layout, at) -> Column:
     empty = F.lit("")
     if layout.messages:
         path, role, text = layout.messages
-        return F.transform(at(path), lambda m: F.struct(F.coalesce(_renamed(m[role], layout), empty).alias("role"), F.coalesce(m[text], empty).alias("text")))
+        parts = any(p.count("[]") > 1 for p in layout.paths)
+        plain = lambda m: F.array_join(F.transform(m[text], lambda x: x["text"]), "") if parts else m[text]
+        return F.transform(at(path), lambda m: F.struct(F.coalesce(_renamed(m[role], layout), empty).alias("role"), F.coalesce(plain(m), empty).alias("text")))
     parts = [(r, at(p)) for r, p in layout.pairs]
     return F.array_compact(F.array(*(F.when(c.isNotNull(), F.struct(F.lit(r).alias("role"), c.alias("text"))) for r, c in parts)))
 
 
 def _present(path: str) -> Column:
-    """Whether a record of ``RECORD`` has a leaf."""
+    """Whether a record of ``RECORD`` or ``PARTS`` has a leaf; no message lacks one where there are no messages."""
     top, _, leaf = path.partition("[].")
-    return F.forall(f"#r.{top}", lambda m: m[leaf].isNotNull()) if leaf else F.col(f"#r.{top}").isNotNull()
+    if not leaf:
+        return F.col(f"#r.{top}").isNotNull()
+    if "[]" in leaf:
+        return (F.size(f"#p.{top}") > 0) & F.forall(f"#p.{top}", lambda m: (F.size(m["content"]) > 0) & F.forall(m["content"], lambda x: x["text"].isNotNull()))
+    found = F.forall(f"#r.{top}", lambda m: m[leaf].isNotNull())
+    # As text, a list of parts is its JSON; it isn't a leaf then.
+    return found & ~F.coalesce(F.exists(f"#p.{top}", lambda m: m["content"].isNotNull()), F.lit(False)) if path == "messages[].content" else found
 
 
 def canonical_records(df: DataFrame, payload: str = "payload") -> DataFrame:
@@ -130,15 +143,16 @@ def canonical_records(df: DataFrame, payload: str = "payload") -> DataFrame:
     A record's paths are those of its non-null leaves (in an array, of the leaves that no element lacks); their hash selects the mapping.
     """
     keep = [c for c in df.columns if c not in ("layout", "turns")]
-    parsed = df.select(*(F.col(f"`{c}`") for c in keep), F.from_json(F.col(f"`{payload}`"), RECORD).alias("#r"))
-    leaves = list(field_paths(T.StructType.fromDDL(RECORD)))
+    parsed = df.select(*(F.col(f"`{c}`") for c in keep), F.from_json(F.col(f"`{payload}`"), RECORD).alias("#r"), F.from_json(F.col(f"`{payload}`"), PARTS).alias("#p"))
+    leaves = [*field_paths(T.StructType.fromDDL(RECORD)), "messages[].content[].text"]
     present = F.array_compact(F.array(*(F.when(_present(p), F.lit(p)) for p in leaves)))
     parsed = parsed.withColumn("#print", _fingerprint(present))
     name, turns = F.lit(None).cast("string"), F.lit(None).cast(f"array<{TURN}>")
     for key, layout in RECORD_PRINTS.items():
         hit = F.col("#print") == key
         name = F.when(hit, F.lit(layout.name)).otherwise(name)
-        turns = F.when(hit, _turns(layout, lambda p: F.col(f"#r.{p}"))).otherwise(turns)
+        side = "#p" if layout.name == "message_parts" else "#r"
+        turns = F.when(hit, _turns(layout, lambda p, side=side: F.col(f"{side}.{p}"))).otherwise(turns)
     return parsed.select(*keep, name.alias("layout"), turns.alias("turns"))
 
 
