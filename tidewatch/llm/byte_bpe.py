@@ -31,6 +31,8 @@ from tidewatch.llm.common import BINARY, bounded_batches, with_columns
 
 CHUNK = 16_384
 OVERLAP = 512
+#: Chunks that are cut from one part of a text.
+SPAN = 64
 #: Bytes of a pre-token that is scanned for its best pair, and a rank that no pair has.
 SHORT, NEVER = 128, 1 << 62
 #: Boundaries this near to a chunk's end may depend on what follows.
@@ -136,8 +138,13 @@ def pieces(long_texts: DataFrame, pattern: str, chunk: int = CHUNK, overlap: int
     """
     spark = long_texts.sparkSession
     size = F.length("text")
-    cut = long_texts.select("key", "id", "text", size.alias("size"), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / chunk).cast("int"))).alias("i"))
-    cut = cut.select("key", "id", "i", (F.col("size") <= (F.col("i") + 1) * chunk).alias("last"), F.substring("text", F.col("i") * chunk + 1, F.lit(chunk + overlap)).alias("chunk"))
+    # Cut in two steps, as a substring is searched from the start of what it is cut from.
+    span = SPAN * chunk
+    cut = long_texts.select("key", "id", "text", size.alias("size"), F.explode(F.sequence(F.lit(0), F.floor((size - 1) / span).cast("int"))).alias("b"))
+    cut = cut.select("key", "id", "size", "b", F.substring("text", F.col("b") * span + 1, F.lit(span + overlap)).alias("text"))
+    ends = F.least(F.lit(SPAN), F.ceil((F.col("size") - F.col("b") * span) / chunk)).cast("int")
+    cut = cut.select("key", "id", "size", "b", "text", F.explode(F.sequence(F.lit(0), ends - 1)).alias("j")).withColumn("i", F.col("b") * SPAN + F.col("j"))
+    cut = cut.select("key", "id", "i", (F.col("size") <= (F.col("i") + 1) * chunk).alias("last"), F.substring("text", F.col("j") * chunk + 1, F.lit(chunk + overlap)).alias("chunk"))
     # Chunks, not texts, are dealt out: one long text occupies many tasks, a repeated one counts once.
     cut = cut.groupBy("key", "i").agg(*(F.first(c).alias(c) for c in ("id", "last", "chunk")), F.count("*").alias("n_rows"))
 
