@@ -172,6 +172,8 @@ def test_media_round_trip(spark):
         assert r["payload_sha256"] == hashlib.sha256(payload).hexdigest()
         assert r["tail_crc32"] == zlib.crc32(payload[-16:])
         assert r["media_sha256"] == hashlib.sha256(iso_media.mux(payload)).hexdigest()
+    apart = iso_media.digests(iso_media.describe(stored, "media")).drop("media")
+    assert sorted(map(str, iso_media.text_digests(df.select("doc_id", "text")).select(*apart.columns).collect())) == sorted(map(str, apart.collect()))
     seen = iso_media.describe(stored, "media").filter("doc_id = 10").first()
     frames = len(EDGE[10].encode()) // 192 + 1
     assert (seen["media_codec"].strip(), seen["media_samples"], seen["media_seconds"]) == ("raw", frames, frames / 25)

@@ -292,26 +292,30 @@ TRACKS = (
 COLUMNS = {"media_codec": STRING, "media_seconds": DOUBLE, "media_samples": LONG, "media_keyframes": RANGES, "media_tracks": TRACKS, "media_error": STRING}
 
 
-def describe(df: DataFrame, bytes_col: str) -> DataFrame:
-    """``df`` with codec, seconds, samples and keyframe byte ranges of a column of containers: those of the main track and, in ``media_tracks``, of all."""
+def _shown(found: dict) -> dict:
+    ranges = [{"first": a, "last": b} for a, b in key_ranges(found)]
+    return {"track_id": found["id"], "kind": found["kind"], "codec": found["codec"], "seconds": found["duration"] / found["timescale"], "samples": len(found["sizes"]), "keyframes": ranges}
 
-    def shown(found: dict) -> dict:
-        ranges = [{"first": a, "last": b} for a, b in key_ranges(found)]
-        return {"track_id": found["id"], "kind": found["kind"], "codec": found["codec"], "seconds": found["duration"] / found["timescale"], "samples": len(found["sizes"]), "keyframes": ranges}
 
-    def one(data: bytes | None) -> tuple:
-        try:
-            found = tracks(memoryview(data or b""))
-        except MediaError as error:
-            return None, None, None, None, None, str(error)
-        every = [shown(x) for x in found]
-        best = next(x for x, y in zip(every, found, strict=True) if y is main_track(found))
-        return best["codec"], best["seconds"], best["samples"], best["keyframes"], every, None
+def described(data: bytes | None) -> tuple:
+    """The values of ``COLUMNS`` for one container."""
+    try:
+        found = tracks(memoryview(data or b""))
+    except MediaError as error:
+        return None, None, None, None, None, str(error)
+    every = [_shown(x) for x in found]
+    best = next(x for x, y in zip(every, found, strict=True) if y is main_track(found))
+    return best["codec"], best["seconds"], best["samples"], best["keyframes"], every, None
 
-    def start():
-        return lambda values: list(map(list, zip(*map(one, values), strict=True))) if values else [[]] * len(COLUMNS)
 
-    return with_columns(df, bytes_col, COLUMNS, start, kind="binary")
+def _for_each(one, width: int):
+    """What ``with_columns`` starts: ``one`` gives a tuple of ``width`` values for each value."""
+    return lambda: lambda values: list(map(list, zip(*map(one, values), strict=True))) if values else [[] for _ in range(width)]
+
+
+def describe(df: DataFrame, bytes_col: str) -> DataFrame:
+    """``df`` with codec, seconds, samples and keyframe byte ranges of a column of containers: those of the main track and, in ``media_tracks``, of all."""
+    return with_columns(df, bytes_col, COLUMNS, _for_each(described, len(COLUMNS)), kind="binary")
 
 
 def text_payload(text: str | None) -> tuple[int, bytes]:
@@ -333,18 +337,30 @@ def stored_texts(df: DataFrame, text_col: str = "text") -> DataFrame:
     return with_columns(df, text_col, {"n_bytes": LONG, "media": (T.BinaryType(), pa.binary())}, start)
 
 
+DIGESTS = {"payload_bytes": LONG, "payload_sha256": STRING, "tail_crc32": LONG, "media_bytes": LONG, "media_sha256": STRING, "feature": STRING}
+
+
+def digested(data: bytes) -> tuple:
+    """The values of ``DIGESTS`` for one container."""
+    found = track(memoryview(data))
+    payload, ranges = samples(data, found), key_ranges(found)
+    crc = zlib.crc32(np.array(ranges, "<i8").tobytes())
+    feature = f"{found['codec'].strip()} {found['duration'] / found['timescale']:.2f}s {len(found['sizes'])} samples {len(ranges)} keyframes {ranges[0][0]}-{ranges[-1][1]} {crc:08x}"
+    return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature
+
+
 def digests(df: DataFrame, bytes_col: str = "media") -> DataFrame:
     """``df`` with digests of the stored form and of the samples read back, and a feature string."""
-    new = {"payload_bytes": LONG, "payload_sha256": STRING, "tail_crc32": LONG, "media_bytes": LONG, "media_sha256": STRING, "feature": STRING}
+    return with_columns(df, bytes_col, DIGESTS, _for_each(digested, len(DIGESTS)), kind="binary")
 
-    def one(data: bytes) -> tuple:
-        found = track(memoryview(data))
-        payload, ranges = samples(data, found), key_ranges(found)
-        crc = zlib.crc32(np.array(ranges, "<i8").tobytes())
-        feature = f"{found['codec'].strip()} {found['duration'] / found['timescale']:.2f}s {len(found['sizes'])} samples {len(ranges)} keyframes {ranges[0][0]}-{ranges[-1][1]} {crc:08x}"
-        return len(payload), hashlib.sha256(payload).hexdigest(), zlib.crc32(payload[-16:]), len(data), hashlib.sha256(data).hexdigest(), feature
 
-    def start():
-        return lambda values: list(map(list, zip(*map(one, values), strict=True))) if values else [[]] * len(new)
+def text_digests(df: DataFrame, text_col: str = "text") -> DataFrame:
+    """``df`` with what ``stored_texts``, ``describe`` and ``digests`` say of every text's container, which stays in the task that wrote it."""
+
+    def one(text: str | None) -> tuple:
+        n, payload = text_payload(text)
+        data = mux(payload)
+        return n, *described(data), *digested(data)
 
-    return with_columns(df, bytes_col, new, start, kind="binary")
+    new = {"n_bytes": LONG, **COLUMNS, **DIGESTS}
+    return with_columns(df, text_col, new, _for_each(one, len(new)))

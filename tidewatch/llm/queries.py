@@ -77,10 +77,8 @@ def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a container and read back by its sample tables."""
-    media = iso_media.stored_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    described = iso_media.describe(media.select("doc_id", "n_bytes", "media"), "media")
-    found = described.withColumn("n_keyframes", F.size("media_keyframes").cast("long")).drop("media_keyframes", "media_tracks", "media_error")
-    return iso_media.digests(found).drop("media")
+    found = iso_media.text_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return found.withColumn("n_keyframes", F.size("media_keyframes").cast("long")).drop("media_keyframes", "media_tracks", "media_error")
 
 
 def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
