@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 import re
 import uuid
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -58,6 +58,8 @@ NOWHERE = -25.0
 LEVELS = 4_096
 #: Numbers for unseen words that a worker process remembers, and words of a text that are summed at once.
 CELLS, STEP = 3_200_000, 20_000
+#: Entries that a task counts before it sends them on.
+ENTRIES = 200_000
 #: Letters and the rarer numerals, which ``letters`` takes apart.
 WORD = re.compile(r"[^\W\d_]+")
 UNKNOWN = "und"
@@ -123,15 +125,22 @@ def count(texts: DataFrame) -> DataFrame:
     """lang, size, k and n: how often each word (size 0) and n-gram stands in the texts of a language."""
     bounded_batches(texts.sparkSession)
 
+    def sent(found: dict[tuple[str, int], Counter]) -> Iterator[pa.RecordBatch]:
+        for (lang, size), counts in found.items():
+            n = len(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * n, pa.string()), pa.array([size] * n, pa.int32()), pa.array(list(counts), pa.string()), pa.array(list(counts.values()), pa.int64())], names=["lang", "size", "k", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: dict[tuple[str, int], Counter] = defaultdict(Counter)
         for batch in batches:
-            words = Counter((lang, part) for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True) for word in WORD.findall((text or "").lower()) for part in letters(word))
-            found = Counter()
-            for (lang, word), n in words.items():
-                for size, k in entries(word):
-                    found[lang, size, k] += n
-            langs, sizes, keys = zip(*found, strict=True) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays([pa.array(langs, pa.string()), pa.array(sizes, pa.int32()), pa.array(keys, pa.string()), pa.array(list(found.values()), pa.int64())], names=["lang", "size", "k", "n"])
+            for lang, text in zip(batch["lang"].to_pylist(), batch["text"].to_pylist(), strict=True):
+                for word, n in Counter(part for word in WORD.findall((text or "").lower()) for part in letters(word)).items():
+                    for size, k in entries(word):
+                        found[lang, size][k] += n
+                if sum(map(len, found.values())) > ENTRIES:
+                    yield from sent(found)
+                    found.clear()
+        yield from sent(found)
 
     counted = texts.select(F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, "lang string, size int, k string, n long")
     return counted.groupBy("lang", "size", "k").agg(F.sum("n").alias("n"))
