@@ -57,5 +57,35 @@ select conv_id, count(*) n_turns,
        sha256(coalesce(string_agg(x, '' order by turn, r, x) filter (where r = 'assistant'), '')) loss_sha256,
        cast(sum(length(er) + length(ex) + 15) as bigint) formatted_chars
 from e group by conv_id
+""",
+    "op11_divergence": r"""
+with d as (
+  select row_number() over () rid, coalesce(lang, '') lang, coalesce(source, '') source,
+         regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x40\x5B-\x60\x7B-\x7F]+') ts
+  from documents),
+groups as (select distinct lang, source from d),
+per_doc as (select rid, lang, source, t, count(*) n from (select rid, lang, source, unnest(ts) t from d) group by all),
+kept as (select lang, t, sum(n) whole from per_doc group by lang, t having count(*) >= 30),
+counts as (select lang, source, t, sum(n) n from per_doc semi join kept using (lang, t) group by all),
+v as (select lang, count(*) v, sum(whole) total from kept group by lang),
+totals as (
+  select g.lang, g.source, coalesce(any_value(v.v), 0) v, coalesce(any_value(v.total), 0) lang_total, coalesce(sum(c.n), 0) total
+  from groups g left join v on v.lang = g.lang left join counts c on c.lang = g.lang and c.source = g.source group by g.lang, g.source),
+p as (
+  select x.lang, x.source, k.t, coalesce(c.n, 0) n,
+         1 + 1000000000::hugeint * (coalesce(c.n, 0) + 5) // (x.total + 5 * x.v) p,
+         1 + 1000000000::hugeint * (k.whole + 5) // (x.lang_total + 5 * x.v) q
+  from totals x join kept k on k.lang = x.lang left join counts c on c.lang = x.lang and c.source = x.source and c.t = k.t),
+pairs as (
+  select g.lang, g.source, 'pair' part, o.source item,
+         coalesce((select sum(abs(a.p - b.p)) from p a join p b on a.lang = b.lang and a.t = b.t
+                   where a.lang = g.lang and a.source = g.source and b.source = o.source), 0) as value
+  from groups g join groups o on o.lang = g.lang and o.source <> g.source),
+terms as (select lang, source, 'term' part, t item, p - q as value from p where n > 0 and p > q),
+ranked as (
+  select *, row_number() over (partition by lang, source, part order by value desc, encode(item)) r
+  from (select * from pairs union all select * from terms))
+select lang, source, part, item, cast(value as bigint) as value, cast(r as integer) as rank
+from ranked where part = 'pair' or r <= 50
 """,
 }

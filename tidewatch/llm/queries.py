@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import best_fit, byte_bpe, chat_format, iso_media, katz, language_id, line_crf, line_rules, simhash, winnow
+from tidewatch.llm import best_fit, byte_bpe, chat_format, divergence, iso_media, katz, language_id, line_crf, line_rules, periodic_runs, pii_anchors, simhash, winnow
 from tidewatch.llm.common import remainder, table
 from tidewatch.llm.oracles import ORACLE_SQL
 
@@ -91,6 +91,27 @@ def op10_winnow(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_lines", "n_lines_removed", "n_words_removed", F.length("text").cast("long").alias("n_chars_left"), F.sha2("text", 256).alias("left_sha256"))
 
 
+def op11_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How far the sources of each language lie apart, and the terms that stand out in each."""
+    return divergence.audit(table(spark, sf_dir, "documents").select("text", "lang", "source"))
+
+
+def op12_pii_anchors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return pii_anchors.digests(table(spark, sf_dir, "documents"))
+
+
+def planted_runs(documents: DataFrame) -> DataFrame:
+    """Runs of documents, one in ten of which is made periodic."""
+    docs = documents.select("doc_id", periodic_runs.planted(F.col("doc_id"), F.col("text")).alias("text"))
+    return periodic_runs.digests(docs)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every document, one in ten of which is made periodic."""
+    return planted_runs(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_crf": op1_quality_crf,
     "op2_byte_bpe": op2_byte_bpe,
@@ -102,4 +123,7 @@ QUERIES = {
     "op8_katz": op8_katz,
     "op9_iso_media": op9_iso_media,
     "op10_winnow": op10_winnow,
+    "op11_divergence": op11_divergence,
+    "op12_pii_anchors": op12_pii_anchors,
+    "op13_periodic_runs": op13_periodic_runs,
 }
