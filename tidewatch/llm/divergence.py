@@ -43,7 +43,7 @@ MIN_DOCS, SCALE, ADDED = 30, 1_000_000_000, 5
 #: Best terms of a source that are returned.
 TOP = 50
 #: Partial counts that a task holds before it merges them, counts of a shard, cells of a dense block, bytes of a slice.
-HELD, SHARD, BLOCK, SLICE = 1_000_000, 1 << 18, 1 << 20, 8 << 20
+HELD, SHARD, BLOCK, SLICE = 1_000_000, 1 << 16, 1 << 20, 8 << 20
 _SLICE_END = re.compile(r"[\x00-\x40\x5B-\x60\x7B-\x7F]")
 #: SCALE is FIRST * SECOND; in two steps no product leaves 64 bits while totals are under LARGEST.
 FIRST, SECOND, LARGEST = 31_250, 32_000, 280_000_000_000_000
