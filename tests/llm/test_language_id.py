@@ -118,5 +118,18 @@ def test_samples_are_bounded_and_never_empty(spark):
     df = spark.range(20_000).select(F.col("id"), F.lit("x").alias("text"))
     assert drawn(df, ["id", "text"], 500).count() == 500
     equal = spark.range(20_000).select(F.lit(None).cast("long").alias("id"), F.lit("x").alias("text"))
-    assert drawn(equal, ["id", "text"], 500).count() <= 500
+    assert drawn(equal, ["id", "text"], 500).count() == 500
     assert drawn(df, ["id"], 30_000).count() == 20_000
+    mixed = df.select("id", "text", F.when(F.col("id") < 19_000, "hot").when(F.col("id") < 19_990, "mid").otherwise("few").alias("g"))
+    mixed = mixed.unionByName(equal.withColumn("g", F.lit("copies"))).withColumn("text", F.when(F.col("id") % 2 == 0, "even").otherwise(F.col("text")))
+    drawn_rows = drawn(mixed, ["id", "text"], 100, "g").groupBy("g").agg(F.count("*").alias("n"), F.countDistinct("id").alias("ids")).collect()
+    assert {r["g"]: (r["n"], r["ids"]) for r in drawn_rows} == {"hot": (100, 100), "mid": (100, 100), "few": (10, 10), "copies": (100, 0)}
+    assert drawn(mixed.limit(0), ["id"], 5).count() == 0
+
+
+def test_a_language_of_copies_is_learnt(spark):
+    rows = [(None, "ghi jkl mno", "cc", None)] * 30_000 + corpus(6, 200)
+    model = language_id.fit(spark.createDataFrame(rows, SCHEMA).repartition(8))
+    assert "cc" in model.languages
+    found = language_id.predict(spark.createDataFrame([(1, "ghi jkl mno", None, None)], SCHEMA), model).first()
+    assert found["lang_pred"] == "cc"

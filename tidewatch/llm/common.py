@@ -8,6 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -62,15 +63,44 @@ def hash63(*columns: str) -> Column:
     return F.xxhash64(*(F.col(f"`{c}`") for c in columns)).bitwiseAND(F.lit((1 << 63) - 1))
 
 
-def drawn(df: DataFrame, by: list[str], most: int) -> DataFrame:
-    """The ``most`` rows of ``df`` whose columns ``by`` have the smallest hashes; all rows if there are no more."""
-    n = df.count()
-    if n <= most:
-        return df
-    # Twice the share is looked at, so that the rows to be sorted are few at any size.
-    near = df.withColumn("#hash", hash63(*by)).filter(F.col("#hash") <= F.lit(threshold(2 * most / n)))
-    spread = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return near.orderBy("#hash", *(F.col(f"`{c}`") for c in by)).limit(most).repartition(min(spread, 64), "#hash").drop("#hash")
+def cuts(keys: DataFrame, most: int) -> DataFrame:
+    """For each ``group`` of ``keys`` (group, hash): the ``cut`` up to which its ``most`` smallest hashes reach, how many rows have that hash, and how many of these count.
+
+    Rows are first counted by the magnitude of their hash; only the magnitudes that hold the cut are counted by hash.
+    """
+    size = F.floor(F.log2(F.col("hash").cast("double") + 1)).cast("int")
+    running = lambda by: F.sum("n").over(W.partitionBy("group").orderBy(by).rowsBetween(W.unboundedPreceding, 0))
+    sizes = keys.groupBy("group", size.alias("size")).agg(F.count("*").alias("n")).withColumn("upto", running("size"))
+    reached = stored(sizes.filter(F.col("upto") - F.col("n") < most).groupBy("group").agg(F.max("size").alias("size")), "sample-sizes")
+    near = keys.join(reached, "group").filter(size <= F.col("size")).groupBy("group", "hash").agg(F.count("*").alias("n")).withColumn("upto", running("hash"))
+    near = near.filter(F.col("upto") - F.col("n") < most)
+    last = near.groupBy("group").agg(F.max(F.struct("hash", "n", "upto")).alias("x"))
+    return last.select("group", F.col("x.hash").alias("cut"), F.col("x.n").alias("n"), F.least(F.col("x.n"), most - F.col("x.upto") + F.col("x.n")).alias("count"))
+
+
+def drawn(df: DataFrame, by: list[str], most: int, within: str | None = None, groups: int = 10_000) -> DataFrame:
+    """The ``most`` rows of ``df`` (of each value of ``within``) whose columns ``by`` have the smallest hashes; all rows if there are no more.
+
+    Exactly so many, however often rows repeat: of the rows at the last hash as many count as are wanted, one of them
+    standing for the others. ``hash`` is the column by which rows were drawn. Only hashes are ranked, never rows. More
+    than ``groups`` values of ``within`` are an error; rows without one are left out.
+    """
+    spark = df.sparkSession
+    keyed = df.withColumns({"hash": hash63(*by), "group": F.lit("") if within is None else F.col(f"`{within}`").cast("string")})
+    keys = stored(keyed.select("group", "hash"), "sample-keys")
+    found = cuts(keys, most).limit(groups + 1).collect()
+    if len(found) > groups:
+        raise ValueError(f"over {groups} values of {within}")
+    at = spark.createDataFrame([(r["group"], r["cut"], r["count"]) for r in found], "group string, cut long, count long")
+    near = keyed.join(F.broadcast(at), "group")  # a row for each group
+    spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
+    columns = [*df.columns, "hash"]
+    if all(r["n"] == r["count"] for r in found):
+        return near.filter(F.col("hash") <= F.col("cut")).select(columns).repartition(spread, "hash")
+    once = near.filter(F.col("hash") == F.col("cut")).groupBy("group", "count").agg(F.first(F.struct(*columns)).alias("row"))
+    copies = once.select("row.*", F.explode(F.sequence(F.lit(1).cast("long"), "count")).alias("#copy"))
+    below = near.filter(F.col("hash") < F.col("cut")).select(*columns, F.lit(0).cast("long").alias("#copy"))
+    return below.unionByName(copies).repartition(spread, "hash", "#copy").drop("#copy")
 
 
 def stored(df: DataFrame, what: str) -> DataFrame:

@@ -38,7 +38,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidewatch.llm.common import DOUBLE, STRING, bounded_batches, hash63, stored, threshold, with_columns
+from tidewatch.llm.common import DOUBLE, STRING, bounded_batches, drawn, hash63, stored, threshold, with_columns
 
 PER_LANGUAGE = 1_000
 #: Languages beyond which fitting is an error.
@@ -107,18 +107,13 @@ def _logs(counts: list[tuple[str, str, int]], languages: list[str]) -> tuple[dic
 
 
 def sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, per_language: int) -> DataFrame:
-    """lang, text and ``apart`` of at most ``per_language`` texts of each language."""
-    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"), hash63(id_col, text_col).alias("hash"))
-    sizes = [(r["lang"], threshold(2 * per_language / r["n"])) for r in rows.groupBy("lang").agg(F.count("*").alias("n")).limit(LABELS + 1).collect()]
-    if len(sizes) > LABELS:
-        raise ValueError(f"over {LABELS} languages: a model holds a column for each")
-    # Twice the share of each language is looked at, so that what is dealt and ranked stays small at any size.
-    upto = labelled.sparkSession.createDataFrame(sizes, T.StructType([rows.schema["lang"], T.StructField("upto", T.LongType())]))
-    near = rows.join(F.broadcast(upto), "lang").filter(F.col("hash") <= F.col("upto"))  # a row for each language
-    place = F.row_number().over(W.partitionBy("lang").orderBy("hash", "text"))
-    spread = int(labelled.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    drawn = near.withColumn("place", place).filter(F.col("place") <= per_language)
-    return drawn.repartition(min(spread, 64), "hash").select("lang", "text", (F.col("place") % APART == 0).alias("apart"))
+    """lang, text and ``apart`` of ``per_language`` texts of each language, or of all that it has."""
+    rows = labelled.filter(F.col(lang_col).isNotNull()).select(F.col(lang_col).alias("lang"), F.col(text_col).cast("string").alias("text"), F.col(id_col).alias("id"))
+    chosen = drawn(rows, ["id", "text"], per_language, "lang", LABELS)
+    # Equal texts are apart together, so none measures the fit of its own copies; a language's first hash always counts.
+    first = F.min("hash").over(W.partitionBy("lang"))
+    apart = (F.pmod(F.xxhash64("text", F.lit(APART)), F.lit(APART)) == 0) & (F.col("hash") != first)
+    return chosen.select("lang", "text", "hash", apart.alias("apart")).select("lang", "text", "apart")
 
 
 def count(texts: DataFrame) -> DataFrame:

@@ -11,11 +11,11 @@ label is only evidence about the lines, so the next round learns from bad lines
 good documents and good ones in bad documents, and from the changes between them. A document of more than
 ``CHAIN_LINES`` lines is several chains, each of which begins and ends ``OVERLAP`` lines within
 its neighbours, and the chains of a document weigh as one. Calibration takes the marginals of
-whole documents, as scoring does. If the drawn documents have over ``MAX_LINES`` lines,
-fewer documents are drawn, whole. Scoring uses all lines of all texts.
+whole documents, as scoring does. If the drawn documents have over ``MAX_LINES`` lines, each label
+gets its share of them, and documents that would take over an eighth of that share are passed over. Scoring uses all lines of all texts.
 
 Cases: a null or empty text, or one of blank lines only, scores 0; without labels of both
-kinds every text scores 0.5; repeated rows each get the same result; several labels of a
+kinds every text scores 0.5; a label whose documents all have over ``MAX_LINES`` lines is an error; repeated rows each get the same result; several labels of a
 document count as their mean, rounded; very long texts and texts of very many lines are read whole, a
 slice of lines at a time; an empty table gives an empty result; an input column
 with the name of a result is replaced.
@@ -35,7 +35,7 @@ from tidewatch.llm.common import BINARY, DOUBLE, LONG, drawn, stored, with_colum
 MAX_DOCS = 3_000
 #: Lines of a chain in training, and of them those that the next one repeats.
 CHAIN_LINES, OVERLAP = 64, 8
-#: Lines that the driver gets at most, unless one document has more.
+#: Lines that the driver gets at most.
 MAX_LINES = 200_000
 #: Adam's steps in a round at most, and the slope at which it stops.
 STEPS, ENOUGH = 60, 1e-4
@@ -249,14 +249,41 @@ def train(documents: list[tuple[np.ndarray, np.ndarray, int]], for_good: float =
     return replace(model, slope=float(max(fit[0], 1e-3)), shift=float(fit[1]))
 
 
+def within_lines(sizes: list[tuple[int, int, int, int]], most: int) -> list[int]:
+    """Which documents (hash, label, lines, copies) to take, in the order of their hashes, so that they have ``most`` lines at most.
+
+    Each label has the share of the lines that it has of the documents, and one document at most an eighth of that;
+    longer ones are passed over. A label of long documents only gives its shortest one; if that has more than ``most`` lines, it is an error.
+    """
+    if sum(lines * n for _, _, lines, n in sizes) <= most:
+        return [h for h, *_ in sizes]
+    total, chosen = sum(n for *_, n in sizes), []
+    for label in sorted({y for _, y, _, _ in sizes}):
+        own = sorted((h, lines, n) for h, y, lines, n in sizes if y == label)
+        room = most * sum(n for *_, n in own) // total
+        taken, longest = [], room // 8
+        for h, lines, n in own:
+            if lines <= longest and lines * n <= room:
+                taken.append(h)
+                room -= lines * n
+        if not taken:
+            lines, h = min((lines * n, h) for h, lines, n in own)
+            if lines > most:
+                raise ValueError(f"every document of label {label} has more lines than the {most} that a model may be fitted on")
+            taken = [h]
+        chosen += taken
+    return chosen
+
+
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
     """Learn from documents joined with their labels. Features are made in the tasks; the driver gets the bounded sample's."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).alias("label"))
     sample = drawn(rows, ["id", "text"], max_docs).withColumn("lines", F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1)
     sample = stored(sample, "field-sample")
-    lines = sample.agg(F.sum("lines")).first()[0] or 0
-    if lines > MAX_LINES:
-        sample = drawn(sample, ["id", "text"], max(1, int(max_docs * MAX_LINES / lines)))
+    sizes = [tuple(r) for r in sample.groupBy("hash", "label", "lines").agg(F.count("*").alias("n")).collect()]  # at most max_docs
+    chosen = within_lines(sizes, MAX_LINES)
+    if len(chosen) < len(sizes):
+        sample = sample.join(F.broadcast(labelled.sparkSession.createDataFrame([(h,) for h in chosen], "hash long")), "hash")
 
     def start():
         def apply(texts: list) -> list:
