@@ -2,11 +2,12 @@
 
 import datetime as dt
 import random
+import statistics
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidewatch.operators import asof
-from tidewatch.plans import registry
 
 D0 = dt.date(2024, 1, 1)
 
@@ -32,9 +33,90 @@ def test_edges_of_the_window(spark):
     assert out == {1: 3, 2: 0}
 
 
-def test_features_need_no_sort_aggregate(spark):
-    staged = registry.staged(spark, "/root/testdata/sf0.001")
-    plan = asof.features(staged)._jdf.queryExecution().executedPlan().toString()
-    assert "SortAggregate" not in plan and "HashAggregate" in plan
-    assert set(asof.category_levels(staged, ["age_band", "activity_level", "weekly_goal"])) == {"age_band", "activity_level"}
-    assert "age_band" not in asof.category_levels(staged, ["age_band"], most=2)
+def test_features_explode_no_history(spark):
+    plan = asof.features(panel(spark))._jdf.queryExecution().executedPlan().toString()
+    # One stream of each member's days, sorted once, gives all windows.
+    assert plan.count("Exchange") == 1 and not any(x in plan for x in ("Join", "Aggregate"))
+
+
+def panel(spark, seed=5):
+    """Days of a few members, some known late, with gaps, doubles and nulls."""
+    rng = random.Random(seed)
+    rows = []
+    for e in range(6):
+        for i in range(90):
+            if rng.random() < 0.75:
+                late = rng.choice([0, 0, 0, 1, 2, 3, 7, 8, 9, 13, 14, 15, 27, 28, 29, 40])
+                known = None if rng.random() < 0.03 else D0 + dt.timedelta(days=i + late)
+                maybe = lambda v: v if rng.random() < 0.8 else None
+                rows.append((e, D0 + dt.timedelta(days=i), known, *(maybe(rng.choice("xyz")) for _ in range(4)), *(maybe(rng.randrange(9000)) for _ in range(11)), maybe(rng.random() * 9), maybe(rng.random() * 99), *(maybe(rng.random() < 0.4) for _ in range(8)), maybe(rng.random() < 0.5)))
+    text = ["age_band", "activity_level", "reward_profile", "intervention_profile"]
+    numbers = ["membership_months", "weekly_goal", "weekly_active_minutes_so_far", "previous_goal_streak", "previous_failed_goals", "days_since_last_app_session", "daily_steps", "active_minutes", "app_sessions", "rewards_viewed", "rewards_redeemed"]
+    flags = ["sleep_hours_missing", "app_sessions_missing", "intervention_received", "intervention_opened", "intervention_clicked", "is_step_outlier", "is_late_record", "activity_level_changed"]
+    columns = ["member_id int", "activity_date date", "available_date date", *(f"{c} string" for c in text), *(f"{c} long" for c in numbers), "sleep_hours double", "goal_completion_percentage double", *(f"{c} boolean" for c in flags), "will_miss_goal_next_7_days boolean"]
+    return spark.createDataFrame(rows, ", ".join(columns))
+
+
+def plain(df):
+    """A few features of every anchor, by going through all rows."""
+    rows, out = df.collect(), {}
+    first = {}
+    for r in rows:
+        first[r["member_id"]] = min(first.get(r["member_id"], r["activity_date"]), r["activity_date"])
+    for p in rows:
+        at = p["activity_date"]
+        if (at - first[p["member_id"]]).days < 28:
+            continue
+        inside = [h for h in rows if h["member_id"] == p["member_id"] and 1 <= (at - h["activity_date"]).days <= 28 and h["available_date"] is not None and h["available_date"] <= at]
+        age = lambda h: (at - h["activity_date"]).days
+        values = lambda c, lo, hi: [h[c] for h in inside if lo <= age(h) <= hi and h[c] is not None]
+        mean = lambda v: sum(v) / len(v) if v else None
+        steps = values("daily_steps", 1, 28)
+        newest = lambda c: next((h[c] for h in sorted(inside, key=age) if h[c] is not None), None)
+        out[p["member_id"], at] = {
+            "available_day_count_28d": len(inside),
+            "max_source_activity_date": max((h["activity_date"] for h in inside), default=None),
+            "max_source_available_date": max((h["available_date"] for h in inside), default=None),
+            "stddev_daily_steps_28d": statistics.stdev(steps) if len(steps) > 1 else None,
+            "avg_daily_steps_7d": mean(values("daily_steps", 1, 7)),
+            "avg_active_minutes_prior_7d": mean(values("active_minutes", 8, 14)),
+            "avg_sleep_hours_7d": mean(values("sleep_hours", 1, 7)),
+            "avg_goal_completion_percentage_28d": mean(values("goal_completion_percentage", 1, 28)),
+            "sum_app_sessions_28d": sum(values("app_sessions", 1, 28)) if values("app_sessions", 1, 28) else None,
+            "late_record_count_28d": sum(values("is_late_record", 1, 28)),
+            "age_band_as_of": newest("age_band"),
+            "weekly_goal_as_of": newest("weekly_goal"),
+            "goal_completion_percentage_as_of": newest("goal_completion_percentage"),
+        }
+    return out
+
+
+def same(found, want):
+    assert len(found) == len(want)
+    for r in found:
+        for c, v in want[r["member_id"], r["prediction_date"]].items():
+            assert r[c] == (pytest.approx(v, abs=1e-6) if isinstance(v, float) else v), (c, r["member_id"], r["prediction_date"])
+
+
+def test_features_are_those_of_all_rows(spark):
+    df = panel(spark)
+    want = plain(df)
+    assert len(want) > 200
+    same(asof.features(df).collect(), want)
+
+
+def test_a_new_day_needs_only_its_own_effects(spark, tmp_path):
+    df = panel(spark, 8)
+    want = plain(df)
+    asof.effects(df).write.partitionBy("day").parquet(f"{tmp_path}/effects")
+    effects = spark.read.parquet(f"{tmp_path}/effects")
+    before = asof.state(effects, "2024-02-20")
+    for day in (dt.date(2024, 2, 21), dt.date(2024, 2, 22), dt.date(2024, 2, 25)):
+        now = asof.state(effects, day.isoformat(), before=before)
+        points = df.filter(F.col("activity_date") == F.lit(day)).select("member_id", F.col("activity_date").alias("prediction_date"), "will_miss_goal_next_7_days")
+        same(asof.features_on(now, points).collect(), {k: v for k, v in want.items() if k[1] == day})
+        now.write.parquet(f"{tmp_path}/state-{day}")
+        before = spark.read.parquet(f"{tmp_path}/state-{day}")
+    read = asof.state(effects, "2024-02-26", before=before)
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]

@@ -163,3 +163,46 @@ def test_freeze(spark, tmp_path):
     assert sinks.freeze(row, f"{tmp_path}/f").count() == 1
     with pytest.raises(sinks.ConflictError):
         sinks.freeze(row.withColumn("threshold", F.lit(0.5)), f"{tmp_path}/f")
+
+
+def test_rules_are_counted_while_writing(spark, tmp_path):
+    rows = [(1, "a", 0.5), (2, "b", 1.0), (None, "b", 0.1)]
+    df = spark.createDataFrame(rows, "k long, g string, p double")
+    rules = [constraints.where("p_over_one", F.col("p") > 1), constraints.domain("g", "a", "b"), constraints.unique("k"), constraints.unique("g", "p")]
+    path = f"{tmp_path}/t"
+    assert sinks.write_observed(df, path, rules) == {"rows": 3, "p_over_one": 0, "domain_g": 0, "unique_k": 0, "unique_g_p": 0}
+    for bad, name in (((4, "z", 0.2), "domain_g"), ((1, "a", 0.3), "unique_k")):
+        with pytest.raises(constraints.ConstraintError, match=name):
+            sinks.write_observed(df.unionByName(spark.createDataFrame([bad], df.schema)), path, rules)
+    assert spark.read.parquet(path).count() == 3
+    assert [p.name for p in tmp_path.iterdir()] == ["t"]
+
+
+def test_several_unique_keys_multiply_no_rows(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", None), (2, "b", 1), (2, "b", 1)], "k long, g string, x long")
+    rules = [constraints.unique("k"), constraints.unique("k", "g"), constraints.unique("x"), constraints.required("g")]
+    found = constraints.run(df, rules)
+    assert {r["constraint_name"]: (r["violations"], r["passed"]) for r in found.collect()} == {"unique_k": (2, False), "unique_k_g": (1, False), "unique_x": (2, False), "required_g": (0, True)}
+    assert "Expand" not in found._jdf.queryExecution().executedPlan().toString()
+
+
+def test_merge_reads_touched_partitions(spark, tmp_path):
+    contract = contracts.schema("day date, k bigint, v string")
+    field = contracts.schema("day date")["day"]
+    sinks.ensure_table(spark, "parted_t", contracts.schema("k bigint, v string"), field, f"{tmp_path}/parted")
+    for d in (1, 2, 3):
+        sinks.merge_insert_only(spark.createDataFrame([(dt.date(2024, 1, d), d, "v")], contract), "parted_t", ["day", "k"], NOW, partition="day")
+    one = sinks.touched(spark.table("parted_t"), spark.createDataFrame([(dt.date(2024, 1, 2), 2, "v")], contract), "day")
+    plan = one._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(day" in plan and all("day=2024-01-02" in f for f in one.inputFiles())
+    with pytest.raises(sinks.ConflictError):
+        sinks.merge_insert_only(spark.createDataFrame([(dt.date(2024, 1, 2), 2, "w")], contract), "parted_t", ["day", "k"], NOW, partition="day")
+    spark.sql("DROP TABLE parted_t")
+
+
+def test_columns_and_paths(spark):
+    df = spark.createDataFrame([(1, None), (2, "x")], "a long, b string")
+    assert sorted(map(tuple, constraints.column_differences(df, ["a", "z"]).collect())) == [("b", "unexpected", 1), ("z", "missing", 0)]
+    assert constraints.column_differences(df, ["a", "b"]).count() == 0
+    pairs = spark.createDataFrame([("/a", "/a/"), ("/a", "/a/b"), ("/a/b", "/a"), ("/a", "/ab"), ("/x", "/y")], "p string, q string")
+    assert [r[0] for r in pairs.select(fn.paths_clash(F.col("p"), F.col("q"))).collect()] == [True, True, True, False, False]

@@ -78,3 +78,9 @@ def named_value(entries: Column, name_field: str, name: str, value_field: str) -
 def row_digest(columns: list[str]) -> Column:
     """SHA-256 of a row's canonical JSON, with nulls."""
     return F.sha2(F.to_json(F.struct(*sorted(columns)), {"ignoreNullFields": "false"}), 256)
+
+
+def paths_clash(a: Column, b: Column) -> Column:
+    """Whether one path is the other one or holds it."""
+    folder = lambda p: F.concat(F.regexp_replace(p, "/+$", ""), F.lit("/"))
+    return F.startswith(folder(a), folder(b)) | F.startswith(folder(b), folder(a))

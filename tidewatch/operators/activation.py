@@ -12,7 +12,7 @@ import math
 from dataclasses import asdict, dataclass
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -20,6 +20,8 @@ from tidewatch.operators import constraints
 from tidewatch.operators.constraints import Rule, where
 from tidewatch.operators.ranking import global_rank
 
+#: Places that are ranked in one task and broadcast.
+MOST_PLACES = 100_000
 #: Fixed values of the decision contract: outcomes with their reasons.
 REASONS = {
     "no_contact_superseded": ("superseded_by_latest_prediction",),
@@ -134,13 +136,24 @@ def classify(scores: DataFrame, contexts: DataFrame, policy: Policy, decision_ti
     return rows.select(*scores.columns, "outcome", "reason_code", "suppression_until", "contact_in_future")
 
 
+def first_ranks(eligible: DataFrame, capacity: int) -> DataFrame:
+    """member_id, prediction_date and ``#rank`` of the ``capacity`` rows that come first.
+
+    Tasks keep their first rows, and of these the first are taken, so nothing else is sorted or written. They are broadcast:
+    as many as the policy allows. A capacity of over ``MOST_PLACES`` is ranked by ranges instead.
+    """
+    order = [F.desc("risk_probability"), F.desc("prediction_date"), F.asc("member_id")]
+    if capacity > MOST_PLACES:
+        return global_rank(eligible, order, "#rank").filter(F.col("#rank") <= capacity).select("member_id", "prediction_date", "#rank")
+    first = eligible.orderBy(*order).limit(capacity)
+    return F.broadcast(first.select("member_id", "prediction_date", F.row_number().over(W.orderBy(*order)).cast("long").alias("#rank")))
+
+
 def decide(scores: DataFrame, contexts: DataFrame, policy: Policy, decision_timestamp: datetime, run: str) -> DataFrame:
     """One decision for each scored row, in the contract's columns and ``suppression_until``."""
     rows = classify(scores, contexts, policy, decision_timestamp)
-    # Only the eligible rows are ranked.
     eligible = rows.filter(F.col("outcome").isNull()).select("member_id", "prediction_date", "risk_probability")
-    order = [F.desc("risk_probability"), F.desc("prediction_date"), F.asc("member_id")]
-    ranks = global_rank(eligible, order, "#rank").select("member_id", "prediction_date", "#rank")
+    ranks = first_ranks(eligible, policy.maximum_activations_per_run)
     ranked = rows.join(ranks, ["member_id", "prediction_date"], "left")
     chosen = F.col("#rank") <= policy.maximum_activations_per_run
     c = F.col
@@ -166,10 +179,9 @@ def check_contacts(classified: DataFrame) -> None:
     constraints.enforce(classified, [where("contact_in_future", F.col("contact_in_future"))])
 
 
-def run_counts(decisions: DataFrame) -> DataFrame:
-    """One row: source rows and members, and the rows of each class; eligible = selected + capacity."""
+def _counts() -> list[Column]:
     n = lambda *outcomes: F.count_if(F.col("outcome").isin(*outcomes))
-    return decisions.agg(
+    return [
         F.count("*").alias("source_row_count"),
         F.count_distinct("member_id").alias("source_member_count"),
         n("no_contact_superseded").alias("superseded_count"),
@@ -179,14 +191,19 @@ def run_counts(decisions: DataFrame) -> DataFrame:
         n("selected_for_review", "no_contact_capacity").alias("eligible_count"),
         n("no_contact_capacity").alias("capacity_not_selected_count"),
         n("selected_for_review").alias("selected_count"),
-    )
+    ]
+
+
+def run_counts(decisions: DataFrame) -> DataFrame:
+    """One row: source rows and members, and the rows of each class; eligible = selected + capacity."""
+    return decisions.agg(*_counts())
 
 
 def run_row(decisions: DataFrame, policy: Policy, lineage: dict[str, object]) -> DataFrame:
     """The run's one row: identity, lineage and counts that add up to the decisions."""
-    ids = decisions.agg(*(F.first(c).alias(c) for c in ("run_id", "policy_version", "model_name", "threshold", "decision_timestamp")))
     extra = {"artifact_version": 1, "policy_fingerprint": policy_fingerprint(policy), "capacity_limit": policy.maximum_activations_per_run, **lineage}
-    return ids.crossJoin(F.broadcast(run_counts(decisions))).select("*", *(F.lit(v).alias(k) for k, v in extra.items()))  # one row each
+    ids = [F.first(c).alias(c) for c in ("run_id", "policy_version", "model_name", "threshold", "decision_timestamp")]
+    return decisions.agg(*ids, *_counts()).select("*", *(F.lit(v).alias(k) for k, v in extra.items()))
 
 
 def review_queue(decisions: DataFrame) -> DataFrame:

@@ -1,4 +1,8 @@
-"""As-of features over a trailing window, of rows that were available by then."""
+"""As-of features over a trailing window, of rows that were available by then.
+
+Windows of all anchors are differences of running sums (``features``). For one new day at a time each row of history has a few effects
+on later days (``effects``); effects and states add up, so a new day needs the states of the day before and its own effects only (``state``, ``features_on``).
+"""
 
 from __future__ import annotations
 
@@ -6,12 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from tidewatch.functions.columns import last_known, ratio
-from tidewatch.functions.shared import materialise
+from tidewatch.functions.columns import ratio
 
 WINDOW_DAYS = 28
-#: Values of a category column that are numbered at most.
-MOST_LEVELS = 1_000
 
 #: Columns carried as of the prediction date.
 AS_OF = (
@@ -49,81 +50,125 @@ def band_join(points: DataFrame, history: DataFrame, entity: str, at: str, day:
     return left.join(right, on, "left").drop("#b", "#hb")
 
 
-def in_days(value: Column, day: Column, at: Column, newest: int, oldest: int) -> Column:
-    """The value on days from ``at`` - oldest to ``at`` - newest, else null."""
-    return F.when(day.between(F.date_sub(at, oldest), F.date_sub(at, newest)), value)
+#: What a row of history adds to a window while it is in it: name of the sum, and the value (null adds nothing).
+_C = F.col
 
 
-def category_levels(panel: DataFrame, columns: list[str], most: int = MOST_LEVELS) -> dict[str, list[str]]:
-    """The sorted values of each text column; a column of more than ``most`` values is left out."""
-    text = [c for c in columns if dict(panel.dtypes)[c] == "string"]
-    if not text:
-        return {}
-    entries = F.array(*(F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in text))
-    found = panel.select(F.inline(entries)).filter("value is not null").distinct()
-    # Of each column at most one value more than the limit.
-    place = F.row_number().over(W.partitionBy("name").orderBy("value"))
-    levels: dict[str, list[str]] = {c: [] for c in text}
-    for r in found.withColumn("place", place).filter(F.col("place") <= most + 1).collect():
-        levels[r["name"]].append(r["value"])
-    return {c: sorted(v) for c, v in levels.items() if 0 < len(v) <= most}
+def _one(condition: Column) -> Column:
+    return F.when(condition, F.lit(1)).otherwise(F.lit(0))
 
 
-def features(staging: DataFrame, entity: str = "member_id", label: str = "will_miss_goal_next_7_days") -> DataFrame:
-    """The 55 feature columns for every anchor of a staged panel.
+def _number(c: str) -> tuple[tuple[str, Column], ...]:
+    """Sum and count of a column's values."""
+    return ((f"{c}_sum", F.coalesce(_C(c), F.lit(0))), (f"{c}_n", _one(_C(c).isNotNull())))
+
+
+def _measures() -> dict[str, dict[str, Column]]:
+    """The sums of each window: of the last 28 days, the last 7, and the 7 before."""
+    recent = [*_number("daily_steps"), *_number("active_minutes"), *_number("app_sessions")]
+    square = lambda c: F.coalesce(_C(c) * _C(c), F.lit(0))
+    whole = [
+        *recent, *_number("sleep_hours"), *_number("rewards_viewed"), *_number("rewards_redeemed"), *_number("goal_completion_percentage"),
+        ("rows", F.lit(1)), ("daily_steps_squares", square("daily_steps")), ("active_minutes_squares", square("active_minutes")), ("active_days", _one(_C("active_minutes") > 0)),
+        *((c, _one(_C(c))) for c in (
+            "sleep_hours_missing", "app_sessions_missing", "intervention_received", "intervention_opened", "intervention_clicked", "is_step_outlier", "is_late_record", "activity_level_changed",
+        )),
+    ]
+    return {"w28": dict(whole), "w7": dict([*recent, *_number("sleep_hours")]), "p7": dict(recent)}
+
+
+def effects(history: DataFrame, entity: str = "member_id") -> DataFrame:
+    """What each row of history changes, and on which day: partial states by entity and day, which add up.
 
-    Everything is taken in one pass of one aggregate; entities' anchors without any available
-    history keep a row with counts of 0.
+    A row counts from the day after its own, or from the day it was known if that is later, and
+    leaves the window of 28 days (of 7, of the 7 before) on a fixed day. So it has at most four effects, whatever the length of the windows. Rows known
+    later than on the next day also have one effect for each day on which they count: the latest day on which
+    anything in the window was known can't be told from sums.
     """
-    # Written once: both sides of the join read it. Categories are numbered, so that the aggregate's state has a fixed width.
-    panel = materialise(staging, "staged")
-    levels = category_levels(panel, [c for c in AS_OF if c in panel.columns])
-    numbered = panel.withColumns({c: F.array_position(F.lit(v), F.col(c)) for c, v in levels.items()})
-    points = anchors(panel, entity, "activity_date", keep=(label,))
-    joined = band_join(points, numbered.drop(label), entity, "prediction_date", "activity_date", "available_date")
-    h = lambda c: F.col(f"h_{c}")
-    at, day = F.col("prediction_date"), h("activity_date")
-    week = lambda c: F.avg(in_days(h(c), day, at, 1, 7))
-    prior = lambda c: F.avg(in_days(h(c), day, at, 8, 14))
-    flags = lambda c: F.count_if(h(c))
-    grouped = joined.groupBy(entity, "prediction_date", F.col(label).alias(f"label_{label}")).agg(
-        *(last_known(h(c), day).alias(f"{c}_as_of") for c in AS_OF),
-        F.count(day).alias("available_day_count_28d"),
-        (F.lit(WINDOW_DAYS) - F.count(day)).alias("unavailable_day_count_28d"),
-        F.max(day).alias("max_source_activity_date"),
-        F.max(h("available_date")).alias("max_source_available_date"),
-        F.avg(h("daily_steps")).alias("avg_daily_steps_28d"),
-        F.stddev_samp(h("daily_steps")).alias("stddev_daily_steps_28d"),
-        week("daily_steps").alias("avg_daily_steps_7d"),
-        prior("daily_steps").alias("avg_daily_steps_prior_7d"),
-        F.sum(h("active_minutes")).alias("sum_active_minutes_28d"),
-        F.avg(h("active_minutes")).alias("avg_active_minutes_28d"),
-        F.stddev_samp(h("active_minutes")).alias("stddev_active_minutes_28d"),
-        week("active_minutes").alias("avg_active_minutes_7d"),
-        prior("active_minutes").alias("avg_active_minutes_prior_7d"),
-        F.count_if(h("active_minutes") > 0).alias("active_day_count_28d"),
-        F.avg(h("sleep_hours")).alias("avg_sleep_hours_28d"),
-        week("sleep_hours").alias("avg_sleep_hours_7d"),
-        F.count(h("sleep_hours")).alias("sleep_observation_count_28d"),
-        flags("sleep_hours_missing").alias("sleep_missing_day_count_28d"),
-        F.sum(h("app_sessions")).alias("sum_app_sessions_28d"),
-        F.avg(h("app_sessions")).alias("avg_app_sessions_28d"),
-        week("app_sessions").alias("avg_app_sessions_7d"),
-        prior("app_sessions").alias("avg_app_sessions_prior_7d"),
-        F.count(h("app_sessions")).alias("app_session_observation_count_28d"),
-        flags("app_sessions_missing").alias("app_sessions_missing_day_count_28d"),
-        F.sum(h("rewards_viewed")).alias("rewards_viewed_28d"),
-        F.sum(h("rewards_redeemed")).alias("rewards_redeemed_28d"),
-        flags("intervention_received").alias("interventions_received_28d"),
-        flags("intervention_opened").alias("interventions_opened_28d"),
-        flags("intervention_clicked").alias("interventions_clicked_28d"),
-        flags("is_step_outlier").alias("step_outlier_day_count_28d"),
-        flags("is_late_record").alias("late_record_count_28d"),
-        flags("activity_level_changed").alias("activity_level_change_count_28d"),
-        F.avg(h("goal_completion_percentage")).alias("avg_goal_completion_percentage_28d"),
+    day, known = F.unix_date("activity_date"), F.unix_date("available_date")
+    rows = history.withColumns({"#d": day, "#k": known, "#e": F.greatest(day + 1, known)})
+    d, e = _C("#d"), _C("#e")
+    in7, direct = e <= d + 7, (e >= d + 8) & (e <= d + 14)
+    event = lambda at, w28, w7, p7, enters: F.struct(at.alias("day"), F.lit(w28).alias("w28"), w7.alias("w7"), p7.alias("p7"), F.lit(enters).alias("enters"), F.lit(None).cast("int").alias("late"))
+    none, kind = F.lit(0), "array<struct<day:int,w28:int,w7:int,p7:int,enters:boolean,late:int>>"
+    changes = F.array(
+        event(e, 1, F.when(in7, 1).otherwise(0), F.when(direct, 1).otherwise(0), True),
+        event(d + 8, 0, F.when(in7, -1).otherwise(0), F.when(in7, 1).otherwise(0), False),
+        event(d + 15, 0, none, F.when(e <= d + 14, -1).otherwise(0), False),
+        event(d + 1 + WINDOW_DAYS, -1, none, none, False),
     )
+    own = lambda at: F.struct(at.alias("day"), none.alias("w28"), none.alias("w7"), none.alias("p7"), F.lit(False).alias("enters"), _C("#k").alias("late"))
+    late = F.when(e > d + 1, F.transform(F.sequence(e, d + WINDOW_DAYS), own)).otherwise(F.array().cast(kind))
+    # Rows whose knowing isn't known, or came after all windows, have no effect.
+    rows = rows.filter(known.isNotNull() & (e <= d + WINDOW_DAYS)).withColumn("#x", F.explode(F.concat(changes, late)))
+    return rows.select(entity, *(_C(f"#x.{c}").alias(c) for c in ("day", "w28", "w7", "p7", "enters", "late")), d.alias("of"), known.alias("known"), *(c for c in history.columns if c in _VALUES))
+
+
+def _partial() -> dict[str, Column]:
+    """The aggregates of effects that make a state: sums of each window, and the newest days with their values.
+
+    Days that have left the window are told by their number.
+    """
+    enters, of = _C("enters"), _C("of")
+    made = {f"{w} {name}": F.sum(_C(w) * value) for w, values in _measures().items() for name, value in values.items()}
+    made |= {f"last {c}": F.max(F.when(enters & _C(c).isNotNull(), F.struct(of.alias("day"), _C(c).alias("value")))) for c in AS_OF}
+    return made | {"last day": F.max(F.when(enters, of)), "last known": F.max(F.when(enters & (_C("known") <= of + 1), _C("known")))}
+
+
+def _stated(states: DataFrame, entity: str, label: str) -> DataFrame:
+    """The feature columns of anchors (entity, ``day``, label) with their states."""
+    n = lambda w, c: _C(f"{w} {c}")
+    total = lambda w, c: F.when(n(w, f"{c}_n") > 0, n(w, f"{c}_sum"))
+    mean = lambda w, c: ratio(n(w, f"{c}_sum"), n(w, f"{c}_n"))
+
+    def deviation(c: str) -> Column:
+        k = n("w28", f"{c}_n")
+        return F.when(k > 1, F.sqrt((k * n("w28", f"{c}_squares") - n("w28", f"{c}_sum") * n("w28", f"{c}_sum")) / (k * (k - 1))))
+
+    at, count = F.date_from_unix_date("day"), lambda c: F.coalesce(n("w28", c), F.lit(0)).cast("long")
+    first = _C("day") - WINDOW_DAYS
+    inside = count("rows") > 0
     c = F.col
-    return grouped.withColumns({f"{x}_as_of": F.get(F.lit(v), F.col(f"{x}_as_of").cast("int") - 1) for x, v in levels.items()}).withColumns(
+    out = states.select(
+        entity, at.alias("prediction_date"), c(label).alias(f"label_{label}"),
+        *(F.when(c(f"last {x}.day") >= first, c(f"last {x}.value")).alias(f"{x}_as_of") for x in AS_OF),
+        count("rows").alias("available_day_count_28d"),
+        (F.lit(WINDOW_DAYS) - count("rows")).alias("unavailable_day_count_28d"),
+        F.date_from_unix_date(F.when(inside, c("last day"))).alias("max_source_activity_date"),
+        # On time, the newest is the one known last; what was known late is listed for each day.
+        F.date_from_unix_date(F.when(inside, F.greatest(F.when(c("last known") >= first, c("last known")), "late"))).alias("max_source_available_date"),
+        mean("w28", "daily_steps").alias("avg_daily_steps_28d"),
+        deviation("daily_steps").alias("stddev_daily_steps_28d"),
+        mean("w7", "daily_steps").alias("avg_daily_steps_7d"),
+        mean("p7", "daily_steps").alias("avg_daily_steps_prior_7d"),
+        total("w28", "active_minutes").alias("sum_active_minutes_28d"),
+        mean("w28", "active_minutes").alias("avg_active_minutes_28d"),
+        deviation("active_minutes").alias("stddev_active_minutes_28d"),
+        mean("w7", "active_minutes").alias("avg_active_minutes_7d"),
+        mean("p7", "active_minutes").alias("avg_active_minutes_prior_7d"),
+        count("active_days").alias("active_day_count_28d"),
+        mean("w28", "sleep_hours").alias("avg_sleep_hours_28d"),
+        mean("w7", "sleep_hours").alias("avg_sleep_hours_7d"),
+        count("sleep_hours_n").alias("sleep_observation_count_28d"),
+        count("sleep_hours_missing").alias("sleep_missing_day_count_28d"),
+        total("w28", "app_sessions").alias("sum_app_sessions_28d"),
+        mean("w28", "app_sessions").alias("avg_app_sessions_28d"),
+        mean("w7", "app_sessions").alias("avg_app_sessions_7d"),
+        mean("p7", "app_sessions").alias("avg_app_sessions_prior_7d"),
+        count("app_sessions_n").alias("app_session_observation_count_28d"),
+        count("app_sessions_missing").alias("app_sessions_missing_day_count_28d"),
+        total("w28", "rewards_viewed").alias("rewards_viewed_28d"),
+        total("w28", "rewards_redeemed").alias("rewards_redeemed_28d"),
+        count("intervention_received").alias("interventions_received_28d"),
+        count("intervention_opened").alias("interventions_opened_28d"),
+        count("intervention_clicked").alias("interventions_clicked_28d"),
+        count("is_step_outlier").alias("step_outlier_day_count_28d"),
+        count("is_late_record").alias("late_record_count_28d"),
+        count("activity_level_changed").alias("activity_level_change_count_28d"),
+        mean("w28", "goal_completion_percentage").alias("avg_goal_completion_percentage_28d"),
+    )
+    at = c("prediction_date")
+    return out.withColumns(
         {
             "feature_window_start": F.date_sub(at, WINDOW_DAYS),
             "feature_window_end": F.date_sub(at, 1),
@@ -137,6 +182,72 @@ def features(staging: DataFrame, entity: str = "member_id", label: str = "will_m
     )
 
 
+def features(staging: DataFrame, entity: str = "member_id", label: str = "will_miss_goal_next_7_days") -> DataFrame:
+    """The 55 feature columns for every anchor of a staged panel.
+
+    A window's sum is a running sum up to its last day less one up to the day before its first, so each row is met once for
+    each bound of a window and not once for each anchor that it counts for. Rows known later than on the next
+    day enter a window when they are known and leave it with their day; they stand in the stream of their entity once for each.
+    Anchors without any available history keep a row with counts of 0.
+    """
+    used = [c for c in staging.columns if c in _USED or c in (entity, label)]
+    day, known = F.unix_date("activity_date"), F.unix_date("available_date")
+    rows = staging.select(*used).withColumns({"of": day, "known": known})
+    of, a = _C("of"), _C("known")
+    late = a > of + 1
+    # Which windows a row enters or leaves where it stands: i28 and i7 at their last day, o28, o7 and o14 before their first, i14 at the last day of the 7 before.
+    at = lambda where, anchor, **on: F.struct(where.alias("day"), F.lit(anchor).alias("anchor"), *(on.get(c, F.lit(False)).alias(c) for c in _BOUNDS))
+    counts = a.isNotNull() & (a <= of + WINDOW_DAYS)
+    in7, in14 = a <= of + 7, a <= of + 14
+    on_time = at(of, True, **dict.fromkeys(_BOUNDS, a.isNotNull()))
+    leaving = at(of, True, o28=counts, o7=counts & in7, i14=counts & (a <= of + 8), o14=counts & in14)
+    entering = at(a - 1, False, i28=F.lit(True), i7=in7)
+    again = at(a - 8, False, i14=F.lit(True))
+    places = F.when(~F.coalesce(late, F.lit(False)), F.array(on_time)).when(~counts, F.array(leaving)).when((a > of + 8) & in14, F.array(leaving, entering, again)).otherwise(F.array(leaving, entering))
+    stream = rows.select("*", F.inline(places))
+    order = W.partitionBy(entity).orderBy("day")
+    before = lambda days: order.rangeBetween(W.unboundedPreceding, -days)
+    summed = lambda flag, value, days: F.coalesce(F.sum(F.when(_C(flag), value)).over(before(days)), F.lit(0))
+    bounds = {"w28": (("i28", 1), ("o28", WINDOW_DAYS + 1)), "w7": (("i7", 1), ("o7", 8)), "p7": (("i14", 8), ("o14", 15))}
+    made = {f"{w} {name}": summed(bounds[w][0][0], value, bounds[w][0][1]) - summed(bounds[w][1][0], value, bounds[w][1][1]) for w, values in _measures().items() for name, value in values.items()}
+    here = _C("i28")
+    made |= {f"last {c}": F.max(F.when(here & _C(c).isNotNull(), F.struct(of.alias("day"), _C(c).alias("value")))).over(before(1)) for c in AS_OF}
+    made |= {"last day": F.max(F.when(here, of)).over(before(1)), "last known": F.max(F.when(here & ~late, a)).over(before(1))}
+    made["first"] = F.min(F.when(_C("anchor"), of)).over(order.rangeBetween(W.unboundedPreceding, 0))
+    made["lates"] = F.collect_list(F.when(here & late, F.struct(a.alias("known"), of.alias("of")))).over(order.rangeBetween(-WINDOW_DAYS, -1))
+    states = stream.select(entity, "day", label, "anchor", *(v.alias(c) for c, v in made.items())).filter(F.col("anchor") & (F.col("day") >= F.col("first") + WINDOW_DAYS))
+    newest = F.array_max(F.transform(F.filter("lates", lambda x: x["of"] >= F.col("day") - WINDOW_DAYS), lambda x: x["known"]))
+    return _stated(states.withColumn("late", newest), entity, label)
+
+
+def state(found: DataFrame, day: str, entity: str = "member_id", before: DataFrame | None = None) -> DataFrame:
+    """The state of every entity as of a day, from its effects; with the state ``before`` of an earlier day only later effects are read."""
+    upto = F.unix_date(F.lit(day).cast("date"))
+    rows = found.filter(F.col("day") <= upto)
+    if before is not None:
+        rows = rows.filter(F.col("day") > F.unix_date(F.lit(before.select("as_of").first()["as_of"])))
+    made = rows.groupBy(entity).agg(*(v.alias(c) for c, v in _partial().items()), F.max(F.when(F.col("day") == upto, F.col("late"))).alias("late"))
+    if before is not None:
+        both = made.unionByName(before.drop("as_of").withColumn("late", F.lit(None).cast("int")))
+        made = both.groupBy(entity).agg(*((F.sum(c) if c.startswith(("w28 ", "w7 ", "p7 ")) else F.max(c)).alias(c) for c in both.columns if c != entity))
+    return made.withColumn("as_of", F.lit(day).cast("date"))
+
+
+def features_on(states: DataFrame, points: DataFrame, entity: str = "member_id", label: str = "will_miss_goal_next_7_days") -> DataFrame:
+    """The feature columns of one day's anchors (entity, prediction_date, label) from the states as of that day."""
+    rows = points.select(entity, F.unix_date("prediction_date").alias("day"), label).join(states.drop("as_of"), entity, "left")
+    return _stated(rows, entity, label)
+
+
+#: Columns of the staged panel that features are made of.
+_VALUES = (
+    *AS_OF, "daily_steps", "active_minutes", "sleep_hours", "app_sessions", "rewards_viewed", "rewards_redeemed", "sleep_hours_missing",
+    "app_sessions_missing", "intervention_received", "intervention_opened", "intervention_clicked", "is_step_outlier", "is_late_record", "activity_level_changed",
+)
+_BOUNDS = ("i28", "i7", "i14", "o28", "o7", "o14")
+_USED = frozenset((*_VALUES, "activity_date", "available_date"))
+
+
 #: Columns that are no predictors: keys, window bounds, label, audit dates and the excluded profile.
 NOT_PREDICTORS = (
     "member_id", "prediction_date", "feature_window_start", "feature_window_end", "label_will_miss_goal_next_7_days",

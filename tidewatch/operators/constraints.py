@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidewatch.functions.columns import is_probability
+from tidewatch.functions.shared import materialise
 
 
 class ConstraintError(ValueError):
@@ -22,6 +23,8 @@ class ConstraintError(ValueError):
 class Rule:
     name: str
     violations: Column
+    #: The key, if the rule is that it be unique.
+    key: tuple[str, ...] = ()
 
 
 def where(name: str, broken: Column) -> Rule:
@@ -39,7 +42,21 @@ def required(*columns: str) -> Rule:
 
 def unique(*keys: str) -> Rule:
     """Rows beyond the first of each key; nulls are values."""
-    return Rule(f"unique_{'_'.join(keys)}", F.count("*") - F.count_distinct(F.struct(*keys)))
+    return Rule(f"unique_{'_'.join(keys)}", F.count("*") - F.count_distinct(F.struct(*keys)), keys)
+
+
+def repeats(df: DataFrame, keys: dict[str, tuple[str, ...]]) -> DataFrame:
+    """A row for each named key: ``constraint_name`` and ``violations``, the rows beyond the first of each value.
+
+    Values are counted by their hash, all keys in one pass; only rows whose hash was met twice are compared by value.
+    """
+    hashes = F.array(*(F.struct(F.lit(n).alias("name"), F.xxhash64(F.lit(n), *k).alias("hash")) for n, k in keys.items()))
+    twice = df.select(F.inline(hashes)).groupBy("name", "hash").agg(F.count("*").alias("n")).filter("n > 1").select("hash")
+    twice = materialise(twice, "repeats")
+    values = F.array(*(F.struct(F.lit(n).alias("name"), F.xxhash64(F.lit(n), *k).alias("hash"), F.to_json(F.struct(*k), {"ignoreNullFields": "false"}).alias("value")) for n, k in keys.items()))
+    met = df.select(F.inline(values)).join(twice, "hash", "left_semi").groupBy("name", "value").agg((F.count("*") - 1).alias("over")).groupBy("name").agg(F.sum("over").alias("violations"))
+    names = df.sparkSession.createDataFrame([(n,) for n in keys], "name string")
+    return names.join(met, "name", "left").select(F.col("name").alias("constraint_name"), F.coalesce("violations", F.lit(0)).cast("long").alias("violations"))
 
 
 def domain(column: str, *values) -> Rule:
@@ -90,10 +107,14 @@ def constant(column: str) -> Rule:
 
 
 def run(df: DataFrame, rules: list[Rule]) -> DataFrame:
-    """A row for each rule, from one aggregate over ``df``."""
-    names = [r.name for r in rules]
+    """A row for each rule, from one aggregate over ``df``; two unique keys or more are checked beside it, so that they don't multiply its rows."""
+    keys = {r.name: r.key for r in rules if r.key}
+    if len(keys) > 1:
+        found = repeats(df, keys).withColumn("passed", F.col("violations") == 0)
+        rest = [r for r in rules if not r.key]
+        return run(df, rest).unionByName(found) if rest else found
     one = df.agg(*(r.violations.cast("long").alias(f"v{i}") for i, r in enumerate(rules)))
-    entries = F.array(*(F.struct(F.lit(n).alias("constraint_name"), F.col(f"v{i}").alias("violations")) for i, n in enumerate(names)))
+    entries = F.array(*(F.struct(F.lit(r.name).alias("constraint_name"), F.col(f"v{i}").alias("violations")) for i, r in enumerate(rules)))
     return one.select(F.inline(entries)).withColumn("passed", F.col("violations") == 0)
 
 
@@ -188,6 +209,16 @@ def outside(df: DataFrame, keys: list[str], allowed: DataFrame) -> DataFrame:
     return df.join(allowed, keys, "left_anti")
 
 
+def column_differences(df: DataFrame, needed: list[str]) -> DataFrame:
+    """A row for each needed column that the table lacks (``missing``) and for each other one that it has (``unexpected``), with the rows that have a value there."""
+    missing, more = missing_columns(df, needed), sorted(set(df.columns) - set(needed))
+    one = df.agg(F.count("*").alias("#n"), *(F.count(F.col(f"`{c}`")).alias(f"#{c}") for c in more))
+    entries = [F.struct(F.lit(c).alias("column_name"), F.lit("missing").alias("difference"), F.lit(0).cast("long").alias("filled")) for c in missing]
+    entries += [F.struct(F.lit(c).alias("column_name"), F.lit("unexpected").alias("difference"), F.col(f"`#{c}`").alias("filled")) for c in more]
+    empty = F.array().cast("array<struct<column_name:string,difference:string,filled:bigint>>")
+    return one.select(F.inline(F.array(*entries) if entries else empty))
+
+
 def missing_columns(df: DataFrame, needed: list[str]) -> list[str]:
     """Needed columns that the table lacks, sorted."""
     return sorted(set(needed) - set(df.columns))
@@ -212,7 +243,3 @@ def label_rules(label: str) -> list[Rule]:
     """Rules of rows to be evaluated: there are some, all labelled, of both classes."""
     return [Rule("rows", (F.count("*") == 0).cast("long")), where("unlabelled", F.col(label).isNull()), Rule("both_classes", (F.count_distinct(label) != 2).cast("long"))]
 
-
-def check_labels(df: DataFrame, label: str) -> None:
-    """An error unless there are rows, all labelled, and both classes."""
-    enforce(df, label_rules(label))

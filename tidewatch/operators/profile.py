@@ -83,18 +83,33 @@ def parity(a: DataFrame, b: DataFrame) -> DataFrame:
     return out.select("check_name", F.when(F.col("ok"), "PASS").otherwise("FAIL").alias("status"))
 
 
-def report(df: DataFrame, entity: str, day: str, label: str, numeric: list[str], categories: list[str], flags: list[str]) -> dict[str, DataFrame]:
-    """The sections of a profile."""
-    sections = {
-        "shape": df.agg(F.count("*").alias("row_count"), F.count_distinct(entity).alias("entity_count"), F.min(day).alias("first_day"), F.max(day).alias("last_day")),
-        "rows_for_each_entity": rows_for_each(df, entity),
-        "null_rates": null_rates(df),
-        "numeric": describe(df, numeric),
-        "flag_rates": flag_rates(df, flags),
-        "label": rate_by(df.withColumn("#all", F.lit("all")), "#all", label),
-    }
-    first = one_for_each(df, entity, day)
-    for c in categories:
-        sections[f"entities_by_{c}"] = value_shares(first, c)
-        sections[f"label_by_{c}"] = rate_by(df, c, label)
-    return sections
+def report(df: DataFrame, entity: str, day: str, label: str, numeric: list[str], categories: list[str], flags: list[str]) -> DataFrame:
+    """A whole profile as one table: section, item, row_count and value.
+
+    Two aggregates of grouping sets make it, one over the rows and one over the entities, whose first row tells their categories.
+    """
+    entry = lambda section, item, n, value: F.struct(F.lit(section).alias("section"), item.cast("string").alias("item"), n.cast("long").alias("row_count"), value.cast("double").alias("value"))
+    none, c = F.lit(None), F.col
+    named = [f"#{x}" for x in categories]
+    sets = [[], *([x] for x in named)]
+    rows = df.withColumns({f"#{x}": F.col(x).cast("string") for x in categories})
+    rate = F.avg(c(label).cast("double"))
+    stats = {"mean": F.avg, "standard_deviation": F.stddev_samp, "minimum": F.min, "maximum": F.max}
+    made = {f"null {x}": F.avg(c(x).isNull().cast("double")) for x in df.columns} | {f"flag {f}": F.avg(false_if_null(c(f)).cast("double")) for f in flags}
+    made |= {f"{k} {x}": f(x).cast("double") for x in numeric for k, f in stats.items()} | {f"count {x}": F.count(x) for x in numeric}
+    made |= {"first": F.unix_date(F.min(day)), "last": F.unix_date(F.max(day))}
+    by = rows.groupingSets(sets, *named).agg(F.grouping_id().alias("#id"), F.count("*").alias("#n"), rate.alias("#rate"), *(v.alias(k) for k, v in made.items()))
+    whole = F.array(
+        entry("shape", F.lit("rows"), c("#n"), none), entry("shape", F.lit("first_day"), none, c("first")), entry("shape", F.lit("last_day"), none, c("last")), entry("label", F.lit("all"), c("#n"), c("#rate")),
+        *(entry("null_rate", F.lit(x), none, c(f"null {x}")) for x in df.columns), *(entry("flag_rate", F.lit(f), none, c(f"flag {f}")) for f in flags),
+        *(entry(k, F.lit(x), c(f"count {x}"), c(f"{k} {x}")) for x in numeric for k in stats),
+    )
+    # A set's number has a bit for each category that it lacks.
+    everything = (1 << len(named)) - 1
+    own = lambda i: everything - (1 << (len(named) - 1 - i))
+    of = lambda section, value: [F.when(c("#id") == own(i), F.array(entry(f"{section}{x}", c(f"#{x}"), c("#n"), value))) for i, x in enumerate(categories)]
+    first = rows.groupBy(entity).agg(F.count("*").alias("#rows"), F.min_by(F.struct(F.lit(0).alias("#0"), *named), day).alias("#first")).select("#rows", *(F.col(f"#first.{x}").alias(x) for x in named))
+    entities = first.groupingSets(sets, *named).agg(F.grouping_id().alias("#id"), F.count("*").alias("#n"), F.min("#rows").alias("least"), F.max("#rows").alias("most"))
+    each = F.array(entry("shape", F.lit("entities"), c("#n"), none), entry("rows_of_entity", F.lit("minimum"), c("least"), none), entry("rows_of_entity", F.lit("maximum"), c("most"), none))
+    tables = [by.select(F.inline(F.coalesce(*of("label_by_", c("#rate")), whole))), entities.select(F.inline(F.coalesce(*of("entities_by_", none), each)))]
+    return tables[0].unionByName(tables[1])

@@ -34,25 +34,88 @@ def global_rank(df: DataFrame, order: list[Column], name: str = "rank") -> DataF
     return running(df, order, {name: F.lit(1)}).withColumn(name, F.col(name).cast("long"))
 
 
+#: Cells of values that a doubling has, and distinct values of a cell that are looked at at once.
+CELLS, VALUES = 64, 100_000
+
+
+def _cell(value: Column) -> Column:
+    """A number that doesn't fall as values rise: one doubling of the magnitude is ``CELLS`` cells."""
+    size = F.floor(F.log2(F.least(F.greatest(F.abs(value), F.lit(1e-300)), F.lit(1e300))) * CELLS).cast("long") + 2_000 * CELLS
+    return F.when(value > 0, size).when(value < 0, -size).otherwise(F.lit(0).cast("long"))
+
+
 def quantiles(df: DataFrame, columns: list[str], at: list[float]) -> DataFrame:
     """A row for each column with values: ``column_name`` and ``q0``, ``q1``, ..., its exact quantiles, interpolated between neighbours.
 
-    Rows are counted for each distinct value, and the counts summed over ranges of values, so
-    that no task holds all values of a column.
+    One scan counts values by cell; a second one looks only at cells that hold a wanted rank, and counts their
+    distinct values. A cell with over ``VALUES`` distinct values is cut in equal parts and looked at again. Nothing is
+    sorted or written; the driver gets the counts of cells and of those values.
     """
-    entries = F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(f"`{c}`").cast("double").alias("value")) for c in columns))
-    counts = df.select(F.inline(entries)).filter("value is not null").groupBy("column_name", "value").agg(F.count("*").alias("n"))
-    summed = running(counts, [F.col("column_name").asc(), F.col("value").asc()], {"upto": F.col("n")})
-    totals = summed.groupBy("column_name").agg(F.sum("n").alias("#n"), F.max("upto").alias("#end"))  # a row for each column
-    placed = summed.join(F.broadcast(totals), "column_name").withColumn("#last", F.col("upto") - (F.col("#end") - F.col("#n")) - 1)
-    placed = placed.withColumn("#first", F.col("#last") - F.col("n") + 1)
-    made = []
-    for i, q in enumerate(at):
-        place = F.lit(q) * (F.col("#n") - 1)
-        held = lambda k: F.max(F.when((F.col("#first") <= k) & (F.col("#last") >= k), F.col("value")))
-        made += [held(F.floor(place)).alias(f"#low{i}"), held(F.ceil(place)).alias(f"#high{i}"), F.max(place - F.floor(place)).alias(f"#part{i}")]
-    found = placed.groupBy("column_name").agg(*made)
-    return found.select("column_name", *((F.col(f"#low{i}") + F.col(f"#part{i}") * (F.col(f"#high{i}") - F.col(f"#low{i}"))).alias(f"q{i}") for i in range(len(at))))
+    spark = df.sparkSession
+    numbers = {f"#{i}": c for i, c in enumerate(columns)}
+    entries = F.array(*(F.struct(F.lit(k).alias("column"), F.col(f"`{c}`").cast("double").alias("value")) for k, c in numbers.items()))
+    rows = df.select(F.inline(entries)).filter("value is not null")
+    cells = rows.groupBy("column", _cell(F.col("value")).alias("cell")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+    held: dict[str, list[tuple[float, float, int]]] = {}  # of each column: least and greatest value and rows of stretches, in order
+    for r in cells.collect():
+        held.setdefault(r["column"], []).append((r["low"], r["high"], r["n"]))
+    wanted: dict[str, set[int]] = {}
+    for k, found in held.items():
+        found.sort()
+        n = sum(x[2] for x in found)
+        wanted[k] = {r for q in at for r in (int(q * (n - 1)), -int(-q * (n - 1) // 1))}
+    while True:
+        open_ = [(k, i, lo, hi) for k, found in held.items() for i, (lo, hi) in _holding(found, wanted[k]) if lo < hi]
+        if not open_:
+            break
+        look = spark.createDataFrame(open_, "column string, i int, low double, high double")
+        inside = rows.join(F.broadcast(look), "column").filter(F.col("value").between(F.col("low"), F.col("high")))  # at most two stretches for each quantile
+        few = {(r["column"], r["i"]): r["n"] for r in inside.groupBy("column", "i").agg(F.approx_count_distinct("value").alias("n")).collect()} if sum(_rows(held[k][i]) for k, i, *_ in open_) > VALUES else {}
+        split = [x for x in open_ if few.get(x[:2], 0) > VALUES // 2]
+        part = F.least(F.floor((F.col("value") - F.col("low")) / (F.col("high") - F.col("low")) * VALUES), F.lit(VALUES - 1)).cast("double")
+        coarse = F.array_contains(F.lit([f"{k} {i}" for k, i, *_ in split] or [""]), F.concat_ws(" ", "column", "i"))
+        parts = inside.groupBy("column", "i", F.when(coarse, part).otherwise(F.col("value")).alias("at")).agg(F.count("*").alias("n"), F.min("value").alias("low"), F.max("value").alias("high"))
+        finer: dict[tuple[str, int], list[tuple[float, float, int]]] = {}
+        for r in parts.collect():
+            finer.setdefault((r["column"], r["i"]), []).append((r["low"], r["high"], r["n"]))
+        for k, found in held.items():
+            held[k] = [y for i, x in enumerate(found) for y in sorted(finer.get((k, i), [x]))]
+    out = []
+    for k, found in held.items():
+        n = sum(x[2] for x in found)
+        value = {r: lo for r, (lo, _) in _ranked(found, wanted[k])}
+        made = []
+        for q in at:
+            place = q * (n - 1)
+            low, high = value[int(place)], value[-int(-place // 1)]
+            made.append(low + (place - int(place)) * (high - low) if low != high else low)
+        out.append((numbers[k], *made))
+    return spark.createDataFrame(out, f"column_name string{''.join(f', q{i} double' for i in range(len(at)))}")
+
+
+def _rows(stretch: tuple[float, float, int]) -> int:
+    return stretch[2]
+
+
+def _ranked(found: list[tuple[float, float, int]], ranks: set[int]) -> list[tuple[int, tuple[float, float]]]:
+    """The bounds of the stretch that holds each rank."""
+    out, before, at = [], 0, 0
+    for r in sorted(ranks):
+        while r >= before + found[at][2]:
+            before += found[at][2]
+            at += 1
+        out.append((r, found[at][:2]))
+    return out
+
+
+def _holding(found: list[tuple[float, float, int]], ranks: set[int]) -> list[tuple[int, tuple[float, float]]]:
+    """The numbers and bounds of the stretches that hold a rank."""
+    out, before = [], 0
+    for i, (lo, hi, n) in enumerate(found):
+        if any(before <= r < before + n for r in ranks):
+            out.append((i, (lo, hi)))
+        before += n
+    return out
 
 
 def tile(rank: Column, n: Column, tiles: int) -> Column:

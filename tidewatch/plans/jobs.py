@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 
 from tidewatch.operators import activation, constraints, evaluation, ml
-from tidewatch.sources import contracts, readers, sinks
+from tidewatch.sources import contracts, ledger, readers, sinks
 
 
 def score(spark: SparkSession, scoring: DataFrame, model_path: str, model_metadata: dict, model_name: str, threshold: float, out: str) -> DataFrame:
@@ -52,3 +52,10 @@ def load_warehouse(spark: SparkSession, out: str, runs_table: str, decisions_tab
     decisions = readers.parquet(spark, f"{out}/decisions", contracts.DECISIONS)
     run = readers.json_rows(spark, f"{out}/run", contracts.RUNS).select(*contracts.RUNS.names)
     sinks.load_run(spark, run, decisions, runs_table, decisions_table, ingested_at)
+
+
+def load_ledger(spark: SparkSession, out: str, books: ledger.Ledger, ingested_at: datetime) -> int:
+    """Commit what ``activate`` wrote to a ledger, run and decisions at once; the version. Running it again changes nothing."""
+    decisions = readers.parquet(spark, f"{out}/decisions", contracts.DECISIONS)
+    run = readers.json_rows(spark, f"{out}/run", contracts.RUNS).select(*contracts.RUNS.names)
+    return ledger.load_run(books, run, decisions, ingested_at)

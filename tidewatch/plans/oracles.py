@@ -498,6 +498,56 @@ select *, stored is not distinct from recomputed as same from fields"""
 ORACLE_SQL["run_record"] = f"""select 'run' as run_id, 'v1' as policy_version, sha256('{POLICY_JSON}') as policy_fingerprint, 'logistic' as model_name, cast({_T} as double) as threshold, cast(100 as bigint) as capacity_limit, *
 from ({ORACLE_SQL["activation_run_counts"]})"""
 
+_BOOSTED = ("avg_daily_steps_28d", "sum_app_sessions_28d", "weekly_active_minutes_so_far_as_of", "goal_completion_percentage_as_of")
+_worth = lambda g, h: f"power(({g}) / power(cast(2 as double), 30), 2) / (({h}) / power(cast(2 as double), 30) + 1)"
+ORACLE_SQL |= {
+    "features_increment": f"select * from ({_FEATURES}) where prediction_date > (select max(cast(l_shipdate as date)) from lineitem) - 3",
+    "boosted_first_gains": f"""with f as ({_TRAIN}),
+t as (select will_miss_y as y, {", ".join(f"coalesce(cast({c} as double), 0) as {c}" for c in _BOOSTED)} from (select *, cast(label_will_miss_goal_next_7_days as int) as will_miss_y from f) where will_miss_y is not null),
+m as (select avg(cast(y as double)) as p from t),
+l as ({" union all ".join(f"select '{c}' as name, {c} as x, y from t" for c in _BOOSTED)}),
+cuts as (select name, list_distinct(quantile_cont(x, [{", ".join(f"{k / 64!r}" for k in range(1, 64))}])) as c from l group by name),
+b as (select name, len(list_filter(c, lambda v: v < x)) as bin, round((p - y) * power(cast(2 as double), 30)) as g, round(p * (1 - p) * power(cast(2 as double), 30)) as h from l join cuts using (name), m),
+hist as (select name, bin, sum(g) as g, sum(h) as h, count(*) as n from b group by all),
+cum as (select name, bin, sum(g) over w as g, sum(h) over w as h, sum(n) over w as n, sum(g) over a as ag, sum(h) over a as ah, sum(n) over a as an from hist
+  window w as (partition by name order by bin), a as (partition by name)),
+gains as (select name, bin, {_worth("g", "h")} + {_worth("ag - g", "ah - h")} - {_worth("ag", "ah")} as gain from cum where n >= 50 and an - n >= 50)
+select name as column_name, len(c) + 1 as bins, arg_max(bin, gain) filter (where gain > 0) as bin, round(coalesce(max(gain) filter (where gain > 0), 0), 4) as gain from cuts left join gains using (name) group by name, c""",
+    "coefficient_table": f"""with f as ({_TRAIN}), o as (
+  select age_band_as_of as v, ln(avg(cast(label_will_miss_goal_next_7_days as int)) / (1 - avg(cast(label_will_miss_goal_next_7_days as int)))) as x from f where label_will_miss_goal_next_7_days is not null and age_band_as_of is not null group by 1),
+c as (select v, x - (select x from o order by v desc limit 1) as c from o qualify v < max(v) over ())
+select 'age_band_as_of=' || v as feature, 'age_band_as_of' as source_feature, round(c, 3) as coefficient, round(exp(c), 3) as odds_ratio,
+  case when c > 0 then 'raises_risk' when c < 0 then 'lowers_risk' else 'none' end as direction, row_number() over (order by abs(c) desc, v) as rank from c""",
+    "plain_logistic_rates": f"""with f as ({_TRAIN}) select reward_profile_as_of as level, count(*) as row_count, round(avg(cast(label_will_miss_goal_next_7_days as int)), 4) as mean_prediction
+from f where label_will_miss_goal_next_7_days is not null and {" and ".join(f"{c}_as_of is not null" for c in _CATEGORIES)} group by 1""",
+    "known_history": f"""with raw as ({fixtures.RAW_PANEL}), h as (select *, activity_date + record_delay_days as available_date from raw)
+select a.member_id, a.activity_date as prediction_date, count(h.activity_date) as known_days, cast(sum(h.daily_steps) as bigint) as known_steps,
+  arg_max(h.activity_level, h.activity_date) filter (where h.activity_level is not null) as latest_level
+from raw a left join h on a.member_id = h.member_id and h.activity_date between a.activity_date - 28 and a.activity_date - 1 and h.available_date <= a.activity_date group by 1, 2""",
+    "ledger_decisions": ORACLE_SQL["warehouse_decisions"],
+    "ledger_months": f"""with {_DECIDED}, q as (select date_trunc('month', prediction_date) as m from decided where prediction_date between date '2001-01-01' and date '2001-03-31')
+select cast(v as bigint) as version, count(*) as row_count, count(distinct m) as months from q, range(1, 4) as r(v) where month(m) <= v group by v""",
+    "activation_job": f"with {_DECIDED.replace(fixtures.CONTEXT, f'select * from ({fixtures.CONTEXT}) where not (opted_out and contact_allowed)')} select * exclude (suppression_until) replace (cast(member_id as varchar) as member_id) from decided",
+    "observed_write": f"with {_PREDICTIONS} select unnest(['rows', 'required_risk_probability', 'above_one', 'unique_member_id_prediction_date']) as counted, unnest([count(*), count(*) filter (where risk_probability is null), count(*) filter (where risk_probability > 1), count(*) - count(distinct (member_id, prediction_date))]) as found from pr",
+    "several_unique_keys": _report("lineitem", {
+        "unique_l_orderkey_l_linenumber": "count(*) - count(distinct (l_orderkey, l_linenumber))", "unique_l_orderkey": "count(*) - count(distinct l_orderkey)",
+        "unique_l_partkey_l_suppkey": "count(*) - count(distinct (l_partkey, l_suppkey))", "discount": _bad("l_discount > cast(0.1 as double)")}),
+    "profile_report": f"""with {_STAGED}, first as (select member_id, count(*) as n, arg_min(age_band, activity_date) as age_band, arg_min(reward_profile, activity_date) as reward_profile from staged group by 1),
+r as (
+  select 'shape' as section, 'rows' as item, count(*) as row_count, cast(null as double) as value from staged
+  union all select 'shape', 'first_day', null, date_diff('day', date '1970-01-01', min(activity_date)) from staged union all select 'shape', 'last_day', null, date_diff('day', date '1970-01-01', max(activity_date)) from staged
+  union all select 'shape', 'entities', count(*), null from first union all select 'rows_of_entity', 'minimum', min(n), null from first union all select 'rows_of_entity', 'maximum', max(n), null from first
+  union all select 'label', 'all', count(*), avg(cast(will_miss_goal_next_7_days as int)) from staged
+""" + "".join(f"  union all select 'null_rate', '{c}', null, avg(cast({c} is null as int)) from staged" for c in ("member_id", "activity_date", "age_band", "reward_profile", "daily_steps", "sleep_hours", "intervention_received", "intervention_opened", "will_miss_goal_next_7_days"))
+    + "".join(f"  union all select 'flag_rate', '{c}', null, avg(cast(coalesce({c}, false) as int)) from staged" for c in ("intervention_received", "intervention_opened"))
+    + "".join(f"  union all select '{k}', '{c}', count({c}), {f}({c}) from staged" for c in ("daily_steps", "sleep_hours") for k, f in (("mean", "avg"), ("standard_deviation", "stddev_samp"), ("minimum", "min"), ("maximum", "max")))
+    + "".join(f"  union all select 'label_by_{c}', {c}, count(*), avg(cast(will_miss_goal_next_7_days as int)) from staged group by {c} union all select 'entities_by_{c}', {c}, count(*), null from first group by {c}" for c in ("age_band", "reward_profile"))
+    + ") select section, item, row_count, round(value, 6) as value from r",
+    "column_differences": f"""with raw as ({fixtures.RAW_PANEL}) select unnest(['heart_rate', 'weight']) as column_name, 'missing' as difference, 0 as filled
+""" + "".join(f" union all select '{c}', 'unexpected', count({c}) from raw" for c in ("age_band", "membership_months", "activity_level", "reward_profile", "intervention_profile", "active_minutes", "sleep_hours", "weekly_goal", "app_sessions", "rewards_viewed", "rewards_redeemed", "intervention_received", "intervention_opened", "intervention_clicked", "record_delay_days")),
+    "clashing_paths": """with p as (select s_nationkey, '/out/' || s_nationkey || case s_suppkey % 3 when 0 then '' when 1 then '/part' else '0' end || '/' as a, '/out/' || (s_suppkey % 25) || '/' as b from supplier)
+select s_nationkey, count(*) as suppliers, count(*) filter (where starts_with(a, b) or starts_with(b, a)) as clashes from p group by 1""",
+}
 #: Date columns of each result; results give days as ISO text, which compares alike everywhere.
 DATES: dict[str, tuple[str, ...]] = {
     "staging_supplier_day": ("activity_date",),
@@ -532,6 +582,10 @@ DATES: dict[str, tuple[str, ...]] = {
     "metadata_record": ("minimum_prediction_date", "maximum_prediction_date"),
     "model_frame": ("prediction_date",),
     "encoded_features": ("prediction_date",),
+    "features_increment": ("prediction_date", "feature_window_start", "feature_window_end", "max_source_activity_date", "max_source_available_date"),
+    "known_history": ("prediction_date",),
+    "ledger_decisions": ("prediction_date",),
+    "activation_job": ("prediction_date",),
 }
 for _name, _days in DATES.items():
     _as_text = ", ".join(f"cast({d} as varchar) as {d}" for d in _days)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import functools
 import uuid
 from collections.abc import Callable
-from datetime import UTC, datetime
+from datetime import UTC, datetime, timedelta
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -13,10 +13,10 @@ from pyspark.sql import functions as F
 
 from tidewatch.functions import columns as fn
 from tidewatch.functions.shared import materialise, shared_path
-from tidewatch.operators import activation, asof, constraints, evaluation, ml, panel, profile, splits
-from tidewatch.plans import fixtures
+from tidewatch.operators import activation, asof, boosting, constraints, evaluation, ml, panel, profile, splits
+from tidewatch.plans import fixtures, jobs
 from tidewatch.plans.oracles import ORACLE_SQL
-from tidewatch.sources import contracts, readers, sinks
+from tidewatch.sources import contracts, ledger, readers, sinks
 
 __all__ = ["ORACLE_SQL", "QUERIES"]
 
@@ -680,3 +680,155 @@ def text_forms(spark: SparkSession, sf: str) -> DataFrame:
     docs = spark.read.parquet(f"{sf}/documents.parquet")
     cut = F.when(F.col("doc_id") % 5 == 0, F.lit(" \t ")).when(F.col("doc_id") % 7 == 0, F.lit(None)).otherwise(F.col("text"))
     return docs.groupBy("lang").agg(F.count_if(fn.blank(cut)).alias("blank"), F.count_if(F.col("text").rlike("^[A-Z][a-z]+ [a-z]")).alias("opens"), F.count_if(F.startswith("source", F.lit("src1"))).alias("prefixed"))
+
+
+# Increments, boosted trees, coefficients, commits of two tables, whole jobs and profiles.
+
+
+@query
+def features_increment(spark: SparkSession, sf: str) -> DataFrame:
+    """Features of the last three days, each from the states of the day before and that day's own effects."""
+    rows = materialise(staged(spark, sf), "staged")
+    path = shared_path(spark, "effects")
+    # In the order of their days, so a day's effects are found by the files' statistics.
+    asof.effects(rows).repartitionByRange("day").sortWithinPartitions("day").write.parquet(path)
+    effects = spark.read.parquet(path)
+    points = asof.anchors(rows, "member_id", "activity_date", keep=("will_miss_goal_next_7_days",))
+    last = rows.agg(F.max("activity_date")).first()[0]
+    days = [(last - timedelta(days=k)).isoformat() for k in (3, 2, 1, 0)]
+    state, made = materialise(asof.state(effects, days[0]), "state"), []
+    for day in days[1:]:
+        state = materialise(asof.state(effects, day, before=state), "state")
+        made.append(asof.features_on(state, points.filter(F.col("prediction_date") == F.lit(day).cast("date"))))
+    return rounded(functools.reduce(DataFrame.unionByName, made))
+
+
+BOOSTED = ["avg_daily_steps_28d", "sum_app_sessions_28d", "weekly_active_minutes_so_far_as_of", "goal_completion_percentage_as_of"]
+
+
+def _boosted_frame(spark: SparkSession, sf: str) -> tuple[DataFrame, str]:
+    frame, _, _, label = _model_frame(spark, sf)
+    return frame.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in BOOSTED}), label
+
+
+@query
+def boosted_first_gains(spark: SparkSession, sf: str) -> DataFrame:
+    """Bins of each column of the training split, and what its best split gains before any tree is grown."""
+    frame, label = _boosted_frame(spark, sf)
+    found = boosting.first_gains(frame.filter("dataset_split = 'train'"), label, BOOSTED)
+    return found.select("column_name", "bins", "bin", F.round("gain", 4).alias("gain"))
+
+
+@query
+def boosted_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """The challenger of 15 leaves and an L2 penalty, after ten rounds on train, applied to scoring."""
+    frame, label = _boosted_frame(spark, sf)
+    model = boosting.fit(frame.filter("dataset_split = 'train'"), label, BOOSTED, boosting.Settings(rounds=10))
+    scored = boosting.predict(model, frame.filter("dataset_split = 'scoring'").select("member_id", "prediction_date", *BOOSTED))
+    return scored.select("member_id", "prediction_date", "risk_probability")
+
+
+@query
+def coefficient_table(spark: SparkSession, sf: str) -> DataFrame:
+    """Coefficients of the plain logistic regression on a dummy-coded column: log odds against the last level."""
+    frame, _, _, label = _model_frame(spark, sf)
+    train = frame.filter(f"dataset_split = 'train' and {label} is not null").select("age_band_as_of", label).dropna()
+    imputation = ml.fit_imputation(train, ["age_band_as_of"], [])
+    model = ml.fit(ml.plain_logistic_pipeline(["age_band_as_of"], [], 1000, 1e-12), train, label, imputation)
+    out = ml.coefficients(model, train, imputation)
+    return out.select("feature", "source_feature", F.round("coefficient", 3).alias("coefficient"), F.round("odds_ratio", 3).alias("odds_ratio"), "direction", "rank")
+
+
+@query
+def plain_logistic_rates(spark: SparkSession, sf: str) -> DataFrame:
+    """Mean prediction of the plain logistic regression in each level of a dummy-coded column: the level's own rate."""
+    frame, categorical, _, label = _model_frame(spark, sf)
+    train = frame.filter(f"dataset_split = 'train' and {label} is not null").select(*categorical, label).dropna()
+    imputation = ml.fit_imputation(train, categorical, [])
+    model = ml.fit(ml.plain_logistic_pipeline(categorical, [], 1000, 1e-12), train, label, imputation)
+    scored = ml.positive_probability(model, train, imputation)
+    return scored.groupBy(F.col("reward_profile_as_of").alias("level")).agg(F.count("*").alias("row_count"), F.round(F.avg("risk_probability"), 4).alias("mean_prediction"))
+
+
+@query
+def ledger_decisions(spark: SparkSession, sf: str) -> DataFrame:
+    """Runs and decisions committed together in a ledger, twice; the second load changes nothing."""
+    decided = materialise(decisions(spark, sf), "decided")
+    books = ledger.warehouse(spark, shared_path(spark, "ledger"))
+    for _ in range(2):
+        version = ledger.load_run(books, _run(decided), decided, DECISION_TIME)
+    found = books.read("decisions", version).join(books.read("runs", version).select("run_id"), "run_id", "left_semi")
+    return found.select("run_id", "member_id", "prediction_date", "outcome", "reason_code", "risk_probability", "priority_rank", F.unix_timestamp("ingested_at").alias("ingested_at"))
+
+
+@query
+def ledger_months(spark: SparkSession, sf: str) -> DataFrame:
+    """Decisions loaded month by month of a quarter, each load a commit; rows of every version."""
+    decided = decisions(spark, sf).filter(F.col("prediction_date").between(F.lit("2001-01-01").cast("date"), F.lit("2001-03-31").cast("date")))
+    rows = materialise(contracts.conform(decided, contracts.DECISIONS).withColumn("prediction_month", F.trunc("prediction_date", "month")), "months")
+    books, counts = ledger.warehouse(spark, shared_path(spark, "ledger")), []
+    for month in ("2001-01-01", "2001-02-01", "2001-03-01"):
+        version = books.commit({"decisions": rows.filter(F.col("prediction_month") <= F.lit(month).cast("date"))}, DECISION_TIME)
+        counts.append(books.read("decisions", version).agg(F.lit(version).cast("long").alias("version"), F.count("*").alias("row_count"), F.count_distinct("prediction_month").alias("months")))
+    return functools.reduce(DataFrame.unionByName, counts)
+
+
+@query
+def activation_job(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole decision job: inputs written and verified, decisions, run, review queue, and the load of both tables."""
+    scores = sinks.write_verified(contracts.conform(predictions(spark, sf), contracts.PREDICTIONS), shared_path(spark, "scores"), lambda df: contracts.check(df, contracts.PREDICTIONS))
+    known = contracts.conform(contexts(spark, sf).filter("not (opted_out and contact_allowed)"), contracts.CONTEXT)
+    context = sinks.write_verified(known, shared_path(spark, "context"), lambda df: contracts.check(df, contracts.CONTEXT))
+    out = shared_path(spark, "job")
+    lineage = {"contact_context_source_name": "crm", "contact_context_source_snapshot_reference": "snapshot", "contact_context_source_query_sha256": "c"}
+    run = jobs.activate(spark, scores, context, POLICY, DECISION_TIME, out, lineage)
+    books = ledger.warehouse(spark, f"{out}/ledger")
+    jobs.load_ledger(spark, out, books, DECISION_TIME)
+    return books.read("decisions").filter(F.col("run_id") == run).select("member_id", "prediction_date", "outcome", "reason_code", "risk_probability", "intervention_category", "priority_rank")
+
+
+@query
+def observed_write(spark: SparkSession, sf: str) -> DataFrame:
+    """What the rules of scores found while these were written."""
+    found = sinks.write_observed(predictions(spark, sf), shared_path(spark, "observed"), [constraints.unique("member_id", "prediction_date"), constraints.required("risk_probability"), constraints.where("above_one", F.col("risk_probability") > 1)])
+    return spark.createDataFrame(list(found.items()), "counted string, found long")
+
+
+@query
+def several_unique_keys(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows beyond the first of several keys of the order lines, in one pass."""
+    lines = spark.read.parquet(f"{sf}/lineitem.parquet")
+    return constraints.run(lines, [constraints.unique("l_orderkey", "l_linenumber"), constraints.unique("l_orderkey"), constraints.unique("l_partkey", "l_suppkey"), constraints.where("discount", F.col("l_discount") > 0.1)])
+
+
+@query
+def profile_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The profile of the staged panel as one table."""
+    rows = staged(spark, sf).select("member_id", "activity_date", "age_band", "reward_profile", "daily_steps", "sleep_hours", "intervention_received", "intervention_opened", "will_miss_goal_next_7_days")
+    return rounded(profile.report(rows, "member_id", "activity_date", "will_miss_goal_next_7_days", ["daily_steps", "sleep_hours"], ["age_band", "reward_profile"], ["intervention_received", "intervention_opened"]))
+
+
+@query
+def column_differences(spark: SparkSession, sf: str) -> DataFrame:
+    """Columns of the raw panel against those of a contract."""
+    return constraints.column_differences(raw_panel(spark, sf), ["member_id", "activity_date", "daily_steps", "heart_rate", "weight"])
+
+
+@query
+def clashing_paths(spark: SparkSession, sf: str) -> DataFrame:
+    """Suppliers' output folders that are, hold or lie in the folder of their nation's part."""
+    rows = spark.read.parquet(f"{sf}/supplier.parquet")
+    mine = F.concat(F.lit("/out/"), F.col("s_nationkey").cast("string"), F.when(F.col("s_suppkey") % 3 == 0, "/").when(F.col("s_suppkey") % 3 == 1, "/part").otherwise("0"))
+    theirs = F.concat(F.lit("/out/"), (F.col("s_suppkey") % 25).cast("string"))
+    return rows.select("s_nationkey", fn.paths_clash(mine, theirs).alias("clash")).groupBy("s_nationkey").agg(F.count("*").alias("suppliers"), F.count_if("clash").alias("clashes"))
+
+
+@query
+def known_history(spark: SparkSession, sf: str) -> DataFrame:
+    """What was known of the 28 days before each of a member's days, row by row: a band join of both time axes."""
+    rows = panel.quality_flags(raw_panel(spark, sf)).select("member_id", "activity_date", "available_date", "daily_steps", "activity_level")
+    points = rows.select("member_id", F.col("activity_date").alias("prediction_date"))
+    met = asof.band_join(points, rows, "member_id", "prediction_date", "activity_date", "available_date")
+    return met.groupBy("member_id", "prediction_date").agg(
+        F.count("h_activity_date").alias("known_days"), F.sum("h_daily_steps").alias("known_steps"), fn.last_known(F.col("h_activity_level"), F.col("h_activity_date")).alias("latest_level")
+    )

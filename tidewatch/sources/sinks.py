@@ -1,8 +1,8 @@
 """Sinks: verified writes, and insert-only loads into partitioned tables.
 
-Plain Parquet tables have no transaction over two tables. A load therefore asserts first,
+Plain Parquet tables have no transaction over two tables. A load into catalog tables therefore asserts first,
 appends the decisions next and the run's row last; that row is the commit marker, and
-readers join with it. A load that stopped half-way is completed by running it again.
+readers join with it. A load that stopped half-way is completed by running it again. ``ledger`` commits both at once.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 from datetime import UTC, datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +23,8 @@ from tidewatch.functions.shared import materialise, shared_path
 from tidewatch.operators import constraints
 from tidewatch.sources import contracts
 
+#: Partitions of a source by which a target is narrowed; of more, it is read whole.
+MOST_PARTITIONS = 10_000
 INGESTED = T.StructField("ingested_at", T.TimestampType())
 
 
@@ -74,6 +76,33 @@ def write_verified(df: DataFrame, path: str, verify: Callable[[DataFrame], None]
     return path
 
 
+def write_observed(df: DataFrame, path: str, rules: list[constraints.Rule], partition_by: list[str] | None = None) -> dict[str, int]:
+    """As ``write_verified``, but the rules are counted while the rows are written; the row count and what each rule found.
+
+    What was written is read again for the row counts in the files' footers only, and for the columns of unique keys, which
+    can't be counted on the way.
+    """
+    spark = df.sparkSession
+    recover(spark, path)
+    staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
+    seen, on_the_way = Observation(), [r for r in rules if not r.key]
+    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(r.violations.cast("long").alias(f"v{i}") for i, r in enumerate(on_the_way)))
+    observed.write.partitionBy(*(partition_by or [])).parquet(staging)
+    found = {"rows": seen.get["rows"]} | {r.name: seen.get[f"v{i}"] for i, r in enumerate(on_the_way)}
+    written = spark.read.schema(df.schema).parquet(staging)
+    keys = {r.name: r.key for r in rules if r.key}
+    if keys:
+        found |= {r["constraint_name"]: r["violations"] for r in constraints.repeats(written, keys).collect()}  # a row for each rule
+    if written.count() != found["rows"]:
+        raise contracts.ContractError(f"{path}: other rows were written than were counted")
+    broken = sorted(n for n, v in found.items() if n != "rows" and v)
+    if broken:
+        _files(spark, staging)[0].delete(_files(spark, staging)[1](staging), True)
+        raise constraints.ConstraintError(f"failed: {', '.join(broken)}")
+    publish(spark, staging, path)
+    return found
+
+
 def publish(spark: SparkSession, staging: str, path: str) -> None:
     """Put a written folder in the place of ``path``."""
     files, make = _files(spark, path)
@@ -199,20 +228,37 @@ def new_rows(source: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
     return source.join(target.select(*key), key, "left_anti")
 
 
-def merge_insert_only(source: DataFrame, name: str, key: list[str], ingested_at: datetime, cluster_by: list[str] | None = None) -> None:
+def touched(target: DataFrame, source: DataFrame, partition: str | None) -> DataFrame:
+    """The rows of ``target`` in the partitions that ``source`` has rows in: the scan reads no others."""
+    if not partition:
+        return target
+    values = [r[0] for r in source.select(partition).distinct().limit(MOST_PARTITIONS + 1).collect()]
+    if len(values) > MOST_PARTITIONS or None in values:
+        return target
+    return target.filter(F.col(partition).isin(values))
+
+
+def merge_insert_only(source: DataFrame, name: str, key: list[str], ingested_at: datetime, cluster_by: list[str] | None = None, partition: str | None = None) -> None:
     """Append the source's new keys; an error, and no row, if the source repeats a key or a stored key differs.
 
-    The source is written once, so that what is checked is what is stored. One writer at a time:
-    plain Parquet tables don't keep two writers from inserting the same key.
+    The source is written once, so that what is checked is what is stored, and the target is read once: only the partitions
+    that the source has rows in, if ``partition`` names a partition column that follows from the key. One writer at a time:
+    plain Parquet tables don't keep two writers from inserting the same key; ``ledger`` does.
     """
     spark = source.sparkSession
     source = materialise(source, "merge")
     constraints.enforce(source, [constraints.unique(*key), constraints.required(*key)])
     target = spark.table(name)
-    found = conflicts(source, target, key).limit(1).count()
-    if found:
+    compared = [c for c in source.columns if c not in key and c != "ingested_at"]
+    changed = F.lit(False)
+    for c in compared:
+        changed |= differs(F.col(c), F.col(f"#{c}"))
+    stored = touched(target, source, partition).select(*key, *(F.col(c).alias(f"#{c}") for c in compared), F.lit(True).alias("#held"))
+    both = source.join(stored, key, "left").withColumn("#changed", F.col("#held").isNotNull() & changed)
+    both = materialise(both.select(*source.columns, "#held", "#changed"), "merge")
+    if not both.filter("`#changed`").isEmpty():
         raise ConflictError(f"{name}: a stored key has other values")
-    stamped = new_rows(source, target, key).withColumn("ingested_at", F.lit(ingested_at.astimezone(UTC)).cast("timestamp"))
+    stamped = both.filter("`#held` is null").select(*source.columns).withColumn("ingested_at", F.lit(ingested_at.astimezone(UTC)).cast("timestamp"))
     fresh = stamped.select(*(F.col(f.name).cast(f.dataType) if f.name in stamped.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in target.schema))
     if cluster_by:
         fresh = fresh.sortWithinPartitions(*cluster_by)
@@ -241,7 +287,7 @@ def load_run(spark: SparkSession, run: DataFrame, decisions: DataFrame, runs_tab
             raise ConflictError(f"{runs_table}: a stored key has other values")
         if by_month:
             rows = rows.withColumn(month.name, F.trunc("prediction_date", "month"))
-        merge_insert_only(rows, decisions_table, ["run_id", "member_id", "prediction_date"], ingested_at, clustered)
+        merge_insert_only(rows, decisions_table, ["run_id", "member_id", "prediction_date"], ingested_at, clustered, month.name if by_month else "prediction_date")
         merge_insert_only(one, runs_table, ["run_id"], ingested_at)
 
 
