@@ -78,23 +78,27 @@ def cuts(keys: DataFrame, most: int) -> DataFrame:
     return last.select("group", F.col("x.hash").alias("cut"), F.col("x.n").alias("n"), F.least(F.col("x.n"), most - F.col("x.upto") + F.col("x.n")).alias("count"))
 
 
-def drawn(df: DataFrame, by: list[str], most: int, within: str | None = None, groups: int = 10_000) -> DataFrame:
+def drawn(df: DataFrame, by: list[str], most: int, within: str | None = None, groups: int = 10_000, hashed: str | None = None) -> DataFrame:
     """The ``most`` rows of ``df`` (of each value of ``within``) whose columns ``by`` have the smallest hashes; all rows if there are no more.
 
     Exactly so many, however often rows repeat: of the rows at the last hash as many count as are wanted, one of them
-    standing for the others. ``hash`` is the column by which rows were drawn. Only hashes are ranked, never rows. More
+    standing for the others. ``hash`` is the column by which rows were drawn; ``hashed`` names it where it was made before,
+    say below a join, which then moves no texts of rows that aren't drawn. Only hashes are ranked, never rows. More
     than ``groups`` values of ``within`` are an error; rows without one are left out.
     """
     spark = df.sparkSession
-    keyed = df.withColumns({"hash": hash63(*by), "group": F.lit("") if within is None else F.col(f"`{within}`").cast("string")})
+    keyed = df.withColumns({"hash": F.col(f"`{hashed}`") if hashed else hash63(*by), "group": F.lit("") if within is None else F.col(f"`{within}`").cast("string")})
     keys = stored(keyed.select("group", "hash"), "sample-keys")
     found = cuts(keys, most).limit(groups + 1).collect()
     if len(found) > groups:
         raise ValueError(f"over {groups} values of {within}")
-    at = spark.createDataFrame([(r["group"], r["cut"], r["count"]) for r in found], "group string, cut long, count long")
-    near = keyed.join(F.broadcast(at), "group")  # a row for each group
+    if within is None:  # as numbers the bounds reach the scan
+        near = keyed.withColumns({"cut": F.lit(found[0]["cut"]), "count": F.lit(found[0]["count"])}) if found else keyed.withColumns({"cut": F.lit(0), "count": F.lit(0)})
+    else:
+        at = spark.createDataFrame([(r["group"], r["cut"], r["count"]) for r in found], "group string, cut long, count long")
+        near = keyed.join(F.broadcast(at), "group")  # a row for each group
     spread = min(int(spark.conf.get("spark.sql.shuffle.partitions")), 64)
-    columns = [*df.columns, "hash"]
+    columns = [*(c for c in df.columns if c != hashed), "hash"]
     if all(r["n"] == r["count"] for r in found):
         return near.filter(F.col("hash") <= F.col("cut")).select(columns).repartition(spread, "hash")
     once = near.filter(F.col("hash") == F.col("cut")).groupBy("group", "count").agg(F.first(F.struct(*columns)).alias("row"))

@@ -30,9 +30,11 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidewatch.llm.common import BINARY, DOUBLE, LONG, drawn, stored, with_columns
+from tidewatch.llm.common import BINARY, DOUBLE, LONG, drawn, hash63, stored, with_columns
 
 MAX_DOCS = 3_000
+#: The column of ``labelled`` by whose smallest values documents are drawn.
+DRAWN = "#drawn"
 #: Lines of a chain in training, and of them those that the next one repeats.
 CHAIN_LINES, OVERLAP = 64, 8
 #: Lines that the driver gets at most.
@@ -277,8 +279,8 @@ def within_lines(sizes: list[tuple[int, int, int, int]], most: int) -> list[int]
 
 def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> Model:
     """Learn from documents joined with their labels. Features are made in the tasks; the driver gets the bounded sample's."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).alias("label"))
-    sample = drawn(rows, ["id", "text"], max_docs).withColumn("lines", F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1)
+    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(label_col).alias("label"), *(c for c in labelled.columns if c == DRAWN))
+    sample = drawn(rows, ["id", "text"], max_docs, hashed=DRAWN if DRAWN in rows.columns else None).withColumn("lines", F.regexp_count(F.coalesce("text", F.lit("")), F.lit("\n")) + 1)
     sample = stored(sample, "field-sample")
     sizes = [tuple(r) for r in sample.groupBy("hash", "label", "lines").agg(F.count("*").alias("n")).collect()]  # at most max_docs
     chosen = within_lines(sizes, MAX_LINES)
@@ -298,10 +300,10 @@ def fit(labelled: DataFrame, text_col: str = "text", label_col: str = "quality",
     return train([(np.frombuffer(x, np.float32).reshape(-1, width), np.frombuffer(ink, np.float32), int(y)) for y, x, ink in zip(got["label"], got["x"], got["ink"], strict=True)])
 
 
-def labelled(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id") -> DataFrame:
-    """Documents with a label; several labels of one document count as their mean, rounded."""
+def labelled(documents: DataFrame, labels: DataFrame, label_col: str = "quality", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """Documents with a label; several labels of one document count as their mean, rounded. ``DRAWN`` is hashed below the join, so that drawing moves no texts."""
     one = labels.filter(F.col(label_col).isin(0, 1)).groupBy(id_col).agg(F.round(F.avg(label_col)).cast("int").alias(label_col))
-    return documents.join(one, id_col)
+    return documents.withColumn(DRAWN, hash63(id_col, text_col)).join(one, id_col)
 
 
 def _good(model: Model, scores: np.ndarray, spans: list[tuple[int, int]]) -> np.ndarray:
