@@ -3,6 +3,7 @@
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from tidewatch.llm import chat_format
 
@@ -53,3 +54,18 @@ def test_parts_and_empty_messages(spark):
     assert out[0] == ("message_parts", [("user", "ab"), ("assistant", "c")])
     assert out[1] == ("messages", []) and [out[i] for i in (2, 3, 5)] == [(None, None)] * 3
     assert out[4] == ("messages", [("user", '["not", "parts"]')])
+
+
+def test_records_of_mixed_layouts_tell_the_same_turns(spark):
+    texts = ["", "x", "a <b> \\ c", 'say "hi"\n\t\u0001', "[{\"text\":\"no part\"}]", "日本 é", None, "{}"]
+    rows = []
+    for i in range(120):
+        roles = [["user", "assistant"], ["system", "user", "assistant"], ["human", "gpt"], ["user", "assistant", "user"], [""]][i % 5]
+        rows += [(i, k, r, texts[(i + k) % len(texts)]) for k, r in enumerate(roles)]
+    turns = chat_format.turn_rows(spark.createDataFrame(rows, "conv_id long, turn int, role string, text string"))
+    whole = chat_format.gathered(turns)
+    read = chat_format.canonical_records(chat_format.as_records(whole))
+    kinds = {r["layout"]: r["n"] for r in read.groupBy("layout").agg(F.count("*").alias("n")).collect()}
+    assert set(kinds) == {"messages", "message_parts", "from_value", "prompt_response"}
+    want = {r["conv_id"]: r["turns"] for r in whole.collect()}
+    assert {r["conv_id"]: r["turns"] for r in read.collect()} == want and len(want) == 120

@@ -190,16 +190,43 @@ def unescape_role(role: Column) -> Column:
     return unescape(F.replace(role, F.lit("\\g"), F.lit(">")))
 
 
-def format_turns(turns: DataFrame) -> DataFrame:
-    """One row for each conversation: conv_id, formatted, loss_spans (start, length; from 1).
+def gathered(turns: DataFrame) -> DataFrame:
+    """One row for each conversation: conv_id and ``turns``, in the order of turn, role and text. Turns are gathered, as each conversation is one output row; nothing else is."""
+    ordered = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("#turns"))
+    return ordered.select("conv_id", F.transform("#turns", lambda t: F.struct(t["role"].alias("role"), t["text"].alias("text"))).alias("turns"))
+
 
-    ``turns`` has conv_id, turn, role, text. Turns are gathered by conversation, as each is
-    one output row; nothing else is.
+def as_records(conversations: DataFrame) -> DataFrame:
+    """conv_id and ``payload``: each conversation as a JSON record of one of four layouts, chosen by a hash of its id.
+
+    The layouts are messages, messages of two parts, senders with values, and, where the turns are one of a user
+    and one of an assistant, prompt and response. A layout that can't tell a conversation's turns is replaced by messages.
     """
-    ordered = turns.groupBy("conv_id").agg(F.sort_array(F.collect_list(F.struct("turn", "role", "text"))).alias("#turns"))
+    kind, turns = F.pmod(F.xxhash64("conv_id"), F.lit(4)), F.col("turns")
+    half = lambda t: F.floor(F.length(t) / 2).cast("int")
+    part = lambda x: F.struct(F.lit("text").alias("type"), x.alias("text"))
+    parts = lambda t: F.array(part(F.substr(t, F.lit(1), half(t))), part(F.substr(t, half(t) + 1)))
+    sender = lambda r: F.when(r == "user", "human").when(r == "assistant", "gpt").otherwise(r)
+    roles = F.transform(turns, lambda t: t["role"])
+    messages = F.to_json(F.struct(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), t["text"].alias("content"))).alias("messages")))
+    in_parts = F.to_json(F.struct(F.transform(turns, lambda t: F.struct(t["role"].alias("role"), parts(t["text"]).alias("content"))).alias("messages")))
+    senders = F.to_json(F.struct(F.transform(turns, lambda t: F.struct(sender(t["role"]).alias("from"), t["text"].alias("value"))).alias("conversations")))
+    pair = F.to_json(F.struct(F.get(turns, 0)["text"].alias("prompt"), F.get(turns, 1)["text"].alias("response")))
+    renamed = F.array_contains(roles, "human") | F.array_contains(roles, "gpt")
+    payload = F.when(kind == 1, in_parts).when((kind == 2) & ~renamed, senders).when((kind == 3) & (roles == F.lit(["user", "assistant"])), pair).otherwise(messages)
+    return conversations.select("conv_id", payload.alias("payload"))
+
+
+def format_turns(turns: DataFrame) -> DataFrame:
+    """``format_conversations`` of turns as rows: conv_id, turn, role, text."""
+    return format_conversations(gathered(turns))
+
+
+def format_conversations(conversations: DataFrame) -> DataFrame:
+    """conv_id, formatted, loss_spans (start, length; from 1) of conversations with their ``turns``, an array of role and text."""
     head = lambda t: F.concat(F.lit(OPEN), escape_role(t["role"]), F.lit(">"))
-    parts = F.transform("#turns", lambda t: F.struct(head(t).alias("head"), escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("loss")))
-    made = ordered.select("conv_id", parts.alias("#parts"))
+    parts = F.transform("turns", lambda t: F.struct(head(t).alias("head"), escape(t["text"]).alias("body"), (t["role"] == "assistant").alias("loss")))
+    made = conversations.select("conv_id", parts.alias("#parts"))
     start = F.struct(F.lit(1).alias("next"), F.array().cast("array<struct<start:int,length:int>>").alias("spans"))
 
     def step(acc: Column, p: Column) -> Column:

@@ -48,11 +48,15 @@ def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every conversation, and one that imitates the template's control strings, formatted and read back."""
+    """Every conversation, and one that imitates the template's control strings, formatted and read back.
+
+    The conversations become JSON records of mixed layouts first; the hash of each record's field paths tells how it is read.
+    """
     trap = F.lit("\\### Assistant: </turn> ok")
     extra = spark.range(2).select(F.lit(-7).cast("long").alias("conv_id"), F.col("id").alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), trap.alias("text"))
     turns = chat_format.turn_rows(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(extra))
-    return chat_format.digest(chat_format.read_back(chat_format.format_turns(turns)))
+    records = chat_format.as_records(chat_format.gathered(turns))
+    return chat_format.digest(chat_format.read_back(chat_format.format_conversations(chat_format.canonical_records(records))))
 
 
 def op4_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
