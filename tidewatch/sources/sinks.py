@@ -86,8 +86,15 @@ def write_observed(df: DataFrame, path: str, rules: list[constraints.Rule], part
     recover(spark, path)
     staging = f"{path.rstrip('/')}.staging-{uuid.uuid4().hex}"
     seen, on_the_way = Observation(), [r for r in rules if not r.key]
-    observed = df.observe(seen, F.count(F.lit(1)).alias("rows"), *(r.violations.cast("long").alias(f"v{i}") for i, r in enumerate(on_the_way)))
-    observed.write.partitionBy(*(partition_by or [])).parquet(staging)
+    # A session that has observed can't send out fitted models any more, so another one writes.
+    view = f"observed_{uuid.uuid4().hex}"
+    df.createGlobalTempView(view)
+    try:
+        rows = spark.newSession().table(f"global_temp.{view}")
+        observed = rows.observe(seen, F.count(F.lit(1)).alias("rows"), *(r.violations.cast("long").alias(f"v{i}") for i, r in enumerate(on_the_way)))
+        observed.write.partitionBy(*(partition_by or [])).parquet(staging)
+    finally:
+        spark.catalog.dropGlobalTempView(view)
     found = {"rows": seen.get["rows"]} | {r.name: seen.get[f"v{i}"] for i, r in enumerate(on_the_way)}
     written = spark.read.schema(df.schema).parquet(staging)
     keys = {r.name: r.key for r in rules if r.key}
