@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators over the smallest tables: rows, columns, held-out rows."""
+"""The registered queries of the operators over the smallest tables: rows, columns, held-out rows."""
 
 import hashlib
 import zlib
@@ -18,6 +18,8 @@ COLUMNS = {
     "op7_language_id": ("doc_id", "held_out", "lang_pred", "score"),
     "op8_katz": ("doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score"),
     "op9_iso_media": ("doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"),
+    "op12_pii_anchors": ("doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"),
+    "op13_periodic_runs": ("doc_id", "n_runs", "start", "length", "period", "exponent_milli", "runs_sha256", "collapsed_sha256"),
     "op10_winnow": ("doc_id", "n_lines_removed", "n_words_removed", "left_sha256"),
 }
 HELD_OUT = {"op1_quality_crf": (5, 0), "op7_language_id": (4, 2), "op8_katz": (7, 2)}

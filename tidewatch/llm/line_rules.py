@@ -13,7 +13,7 @@ words, or over a fifth of its words in five-word windows that occur twice), or w
 ``MIN_KEPT`` of its word characters remain.
 
 Cases: a null text is a text without words (rejected); blank lines neither pass nor fail and
-stay; repeated rows each get the same result; an empty table gives an empty result; an input
+stay; texts of any length are judged whole, in one row; repeated rows each get the same result; an empty table gives an empty result; an input
 column with the name of a result is replaced.
 """
 

@@ -16,7 +16,7 @@ __all__ = ["ORACLE_SQL", "QUERIES"]
 def packing_items(documents: DataFrame) -> DataFrame:
     """doc_id, source, n_tokens (words and an end) and cluster (hash of the text without case and space) of documents.
 
-    A null text is the empty one (one token, in the cluster of blank texts); rows keep null ids and
+    A null text is the empty one (one token, in the cluster of blank texts); texts of any length are counted whole; rows keep null ids and
     sources; repeated rows stay repeated; an empty table gives an empty result.
     """
     text = F.coalesce("text", F.lit(""))

@@ -18,7 +18,7 @@ folder.
 
 Cases: a null text has no words (fingerprint zero, linked like any other); rows with a null
 id get the component of their fingerprint; a component without any id has a null id; repeated
-rows each get the same result; an empty table gives an empty result; extra columns are ignored.
+rows each get the same result; texts of any length are hashed whole, 65,536 shingles at a time; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
