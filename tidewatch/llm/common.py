@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of an Arrow batch, so that a task's memory doesn't depend on the length of texts.
-ARROW_BYTES = 8 << 20
+ARROW_BYTES = 4 << 20
 
 #: Python types of the columns that operators add: Spark type, Arrow type.
 LONG = (T.LongType(), pa.int64())
