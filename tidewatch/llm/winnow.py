@@ -52,7 +52,7 @@ ENDING[list(b".!?;:")] = True
 WIDE = [tuple(x.encode()) for x in "…。"]
 BASE, INVERSE = 0x9E3779B97F4A7C15, pow(0x9E3779B97F4A7C15, -1, 1 << 64)
 #: Bytes whose words are hashed at once.
-SLICE = 1 << 21
+SLICE = 1 << 19
 #: Powers of the base and of its inverse, as many as were needed.
 _POWERS = [np.ones(1, np.uint64), np.ones(1, np.uint64)]
 
