@@ -2,12 +2,16 @@
 
 import math
 import re
+import zlib
 from collections import Counter, defaultdict
+from functools import cache
 
 import pytest
 from pyspark.sql import functions as F
 
-from tidewatch.llm import katz, katz_tables
+from tidewatch.llm import katz, katz_tables, queries
+
+SF = "/root/testdata/sf0.001"
 
 SCHEMA = "doc_id long, text string, held boolean, score string"
 ROWS = [(i, " ".join(f"W{(i * j * 7) % (5 + j % 11)}" for j in range(1, 3 + i % 29)), i % 7 == 2, "x") for i in range(120)]
@@ -15,7 +19,9 @@ ROWS += [(900 + i, t, False, None) for i, t in enumerate([None, "", "A b\tB a\na
 
 
 def split(text):
-    return re.findall(r"[^\x20\x09-\x0D]+", (text or "").lower()) + ["</s>\n"]
+    # Only A-Z become lower case, so that all texts are cut alike whatever their alphabet.
+    lower = re.sub("[A-Z]+", lambda m: m[0].lower(), text or "")
+    return re.findall(r"[^\x20\x09-\x0D]+", lower) + ["</s>\n"]
 
 
 def plain(rows, order):
@@ -35,19 +41,23 @@ def plain(rows, order):
         for g, n in grams[k].items():
             follow[k][g[:-1]][g[-1]] = n
 
+    @cache
+    def weight(k, context):
+        seen = follow[k][context]
+        total, freed = sum(seen.values()), sum(n - disc(k, n) for n in seen.values())
+        total, freed = (total, freed) if freed > 1e-9 else (total + 1, 1.0)
+        return total, freed / total if k == 1 else freed / total / (1 - sum(p(k - 1, context[1:], w) for w in seen))
+
     def p(k, context, word):
         if k == 0:
             return 1.0
         seen = follow[k].get(context)
         if seen is None:
             return p(k - 1, context[1:], word)
-        total, freed = sum(seen.values()), sum(n - disc(k, n) for n in seen.values())
-        total, freed = (total, freed) if freed > 1e-9 else (total + 1, 1.0)
+        total, left = weight(k, context)
         if word in seen:
             return disc(k, seen[word]) / total
-        if k == 1:
-            return freed / total
-        return freed / total / (1 - sum(p(k - 1, context[1:], w) for w in seen)) * p(k - 1, context[1:], word)
+        return left if k == 1 else left * p(k - 1, context[1:], word)
 
     for context in list(follow[order])[:20]:
         assert abs(sum(p(order, context, w) for (w,) in grams[1]) + p(order, context, "never") - 1) < 1e-9
@@ -68,6 +78,16 @@ def test_same_as_plain(spark, order):
     assert again["n_tokens"] == 5 and again["score"] < 0
 
 
+def test_registered_trigrams(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
+    rows = [(r["doc_id"], r["text"], zlib.crc32(str(r["doc_id"]).encode()) % 7 == 2, None) for r in docs]
+    got = {r["doc_id"]: (r["n_tokens"], r["score"]) for r in queries.QUERIES["katz_trigrams"](spark, SF).collect()}
+    want = {i: (n, s) for i, n, s in plain(rows, 3)}
+    assert got.keys() == want.keys() and any(held for *_, held, _ in rows)
+    for i, (n, s) in want.items():
+        assert got[i] == (n, pytest.approx(s, rel=1e-9))
+
+
 def test_same_as_blocks(spark):
     df = spark.createDataFrame([r for r in ROWS if r[0] is not None], SCHEMA)
     blocks = {r["doc_id"]: r["score"] for r in katz.score(df, F.col("held")).collect()}

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidewatch.llm import best_fit, byte_bpe, chat_format, divergence, iso_media, katz, language_id, line_crf, line_rules, periodic_runs, pii_anchors, simhash, winnow
+from tidewatch.llm import best_fit, byte_bpe, chat_format, divergence, iso_media, katz, katz_tables, language_id, line_crf, line_rules, periodic_runs, pii_anchors, simhash, winnow
 from tidewatch.llm.common import remainder, table
 from tidewatch.llm.oracles import ORACLE_SQL
 
@@ -83,6 +83,13 @@ def op8_katz(spark: SparkSession, sf_dir: str) -> DataFrame:
     return katz.score(docs, remainder(F.col("doc_id"), 7) == 2)
 
 
+def katz_trigrams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log probability of every document under the stored trigram tables of those that aren't held out, read back and joined by token."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = katz_tables.fit(docs.filter(remainder(F.col("doc_id"), 7) != 2), order=3)
+    return katz_tables.score(docs, model)
+
+
 def op9_iso_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document stored as a container and read back by its sample tables."""
     found = iso_media.text_digests(table(spark, sf_dir, "documents").select("doc_id", "text"))
@@ -125,6 +132,7 @@ QUERIES = {
     "op6_chat_format": op6_chat_format,
     "op7_language_id": op7_language_id,
     "op8_katz": op8_katz,
+    "katz_trigrams": katz_trigrams,
     "op9_iso_media": op9_iso_media,
     "op10_winnow": op10_winnow,
     "op11_divergence": op11_divergence,
