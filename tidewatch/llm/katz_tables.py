@@ -56,9 +56,10 @@ def words_of(text: Column) -> Column:
 def tokens(df: DataFrame, text: Column, order: int) -> DataFrame:
     """A row for each token of ``df``: its other columns, ``word`` and ``c2`` ... the contexts of each order, longest words first."""
     words = df.select(*(F.col(f"`{c}`") for c in df.columns), words_of(text).alias("#w"))
-    rows = words.select("*", F.posexplode("#w").alias("#i", "word"))
-    context = lambda k: F.array_join(F.transform(F.sequence(F.col("#i") - (k - 1), F.col("#i") - 1), lambda j: F.when(j >= 0, F.get("#w", j)).otherwise(START)), " ")
-    return rows.select(*(F.col(f"`{c}`") for c in df.columns), "word", *(context(k).alias(f"c{k}") for k in range(2, order + 1)))
+    context = lambda k, i: F.concat_ws(" ", *(F.when(i >= j, F.get("#w", i - j)).otherwise(START) for j in range(k - 1, 0, -1)))
+    # Contexts are made inside the array: rows that carried it would be as long as the text, each of them.
+    made = F.transform("#w", lambda w, i: F.struct(w.alias("word"), *(context(k, i).alias(f"c{k}") for k in range(2, order + 1))))
+    return words.select(*(F.col(f"`{c}`") for c in df.columns), F.inline(made))
 
 
 def fit(training: DataFrame, text_col: str = "text", order: int = 3, path: str | None = None) -> Model:
