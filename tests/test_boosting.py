@@ -81,3 +81,9 @@ def test_one_label_and_none(rows):
     assert boosting.predict(model, only, "p").agg(F.min("p")).first()[0] > 0.999
     with pytest.raises(ValueError):
         boosting.fit(rows.withColumn("y", F.lit(None).cast("boolean")), "y", ["x"])
+
+
+def test_equal_rows_stand_as_one(spark, rows):
+    held = boosting.binned(rows.filter("y is not null").select(F.col("y").cast("double").alias("label"), "w", "z"), ["w", "z"], [[0.0, 2.0], [0.0]])
+    found = boosting._counted(held).toPandas()
+    assert len(found) <= 12 and found["n"].sum() == 1500
