@@ -5,7 +5,8 @@ import random
 
 from pyspark.sql import functions as F
 
-from tidewatch.operators import asof, panel
+from tidewatch.functions import shared
+from tidewatch.operators import asof, constraints, panel
 from tidewatch.plans import registry
 
 MONDAY = dt.date(2025, 1, 6)
@@ -30,3 +31,20 @@ def test_goal_metrics_are_those_of_the_history(spark):
     want = panel.weekly_progress(df, "e", "d", "amount", "goal").join(history, ["e", "week_start"], "left").select(*got.columns)
     assert got.exceptAll(want).isEmpty() and want.exceptAll(got).isEmpty()
     assert want.agg(F.max("previous_goal_streak")).first()[0] > 2
+
+
+def test_differences_count_both_tables_once(spark):
+    a = spark.createDataFrame([(1, "x"), (1, "x"), (1, "x"), (2, None), (3, "y")], "k int, v string")
+    b = spark.createDataFrame([(1, "x"), (2, None), (2, None), (4, None)], "k int, v string")
+    found = constraints.differences(a, b)
+    assert _plan(found).count("Exchange") == 1
+    assert sorted((tuple(r) for r in found.collect()), key=str) == [(1, "x", "left"), (1, "x", "left"), (2, None, "right"), (3, "y", "left"), (4, None, "right")]
+
+
+def test_tasks_grow_with_the_files(spark, tmp_path, monkeypatch):
+    spark.range(200_000).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    assert shared.parts(rows) == 4
+    monkeypatch.setattr(shared, "PART_BYTES", 10_000)
+    assert shared.parts(rows) > 50
+    assert rows.repartition(shared.parts(rows), "id").rdd.getNumPartitions() > 50

@@ -200,8 +200,15 @@ def context_rules() -> list[Rule]:
 
 
 def differences(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows of either table that the other lacks (as multisets), with ``side``; none if they are equal."""
-    return a.exceptAll(b).withColumn("side", F.lit("left")).unionByName(b.exceptAll(a).withColumn("side", F.lit("right")))
+    """Rows of either table that the other lacks (as multisets), with ``side``; none if they are equal.
+
+    One count over both tables: those of the one count up, those of the other down.
+    """
+    names = list(a.columns)
+    sides = a.withColumn("#n", F.lit(1).cast("long")).union(b.withColumn("#n", F.lit(-1).cast("long")))
+    left = sides.groupBy(*(F.col(f"`{c}`") for c in names)).agg(F.sum("#n").alias("#n")).filter("`#n` <> 0")
+    side = F.when(F.col("#n") > 0, "left").otherwise("right").alias("side")
+    return left.select(*(F.col(f"`{c}`") for c in names), side, F.explode(F.array_repeat(F.lit(0), F.abs("#n").cast("int"))).alias("#")).drop("#")
 
 
 def outside(df: DataFrame, keys: list[str], allowed: DataFrame) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidewatch.functions.columns import differs
-from tidewatch.functions.shared import materialise, shared_path
+from tidewatch.functions.shared import materialise, parts, shared_path
 from tidewatch.operators import constraints
 from tidewatch.sources import contracts
 
@@ -260,8 +260,9 @@ def merge_insert_only(source: DataFrame, name: str, key: list[str], ingested_at:
     changed = F.lit(False)
     for c in compared:
         changed |= differs(F.col(c), F.col(f"#{c}"))
+    n = parts(source)  # both sides are dealt to as many tasks as the source's size asks for
     stored = touched(target, source, partition).select(*key, *(F.col(c).alias(f"#{c}") for c in compared), F.lit(True).alias("#held"))
-    both = source.join(stored, key, "left").withColumn("#changed", F.col("#held").isNotNull() & changed)
+    both = source.repartition(n, *key).join(stored.repartition(n, *key), key, "left").withColumn("#changed", F.col("#held").isNotNull() & changed)
     both = materialise(both.select(*source.columns, "#held", "#changed"), "merge")
     if not both.filter("`#changed`").isEmpty():
         raise ConflictError(f"{name}: a stored key has other values")
