@@ -48,3 +48,11 @@ def test_tasks_grow_with_the_files(spark, tmp_path, monkeypatch):
     monkeypatch.setattr(shared, "PART_BYTES", 10_000)
     assert shared.parts(rows) > 50
     assert rows.repartition(shared.parts(rows), "id").rdd.getNumPartitions() > 50
+
+
+def test_increments_need_no_rows_of_before_their_windows(spark, monkeypatch):
+    met = []
+    real = asof.effects
+    monkeypatch.setattr(asof, "effects", lambda rows, *a: met.append(rows.agg(F.min("activity_date"), F.max("activity_date")).first()) or real(rows, *a))
+    found = registry.QUERIES["features_increment"](spark, "/root/testdata/sf0.001")
+    assert found.count() > 0 and (met[0][1] - met[0][0]).days <= 31
