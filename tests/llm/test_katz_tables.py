@@ -100,3 +100,17 @@ def test_nothing_to_learn_from_and_empty(spark):
     model = katz_tables.fit(df.filter("not held"), order=2)
     assert tuple(katz_tables.score(df, model).first()) == (1, 3, 0.0)
     assert katz_tables.score(df.limit(0), model).count() == 0
+
+
+def test_only_tokens_not_found_go_on(spark, monkeypatch):
+    """No table of tokens is stored, and texts that were learnt need the n-grams of the highest order only."""
+    made = {}
+    real = katz_tables.stored
+    monkeypatch.setattr(katz_tables, "stored", lambda df, what: made.setdefault(what, []).append(real(df, what)) or made[what][-1])
+    learnt = spark.createDataFrame([r for r in ROWS if not r[2]], SCHEMA)
+    model = katz_tables.fit(learnt, order=3)
+    assert not any("tokens" in what for what in made)
+    for df, lost in ((learnt, False), (spark.createDataFrame([(1, "w1 never w2", True, None)], SCHEMA), True)):
+        made.clear()
+        katz_tables.score(df, model).collect()
+        assert [bool(x.agg(F.sum(F.size("misses"))).first()[0]) for x in made["katz-met"]] == [lost, lost]

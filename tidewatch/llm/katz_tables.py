@@ -1,15 +1,19 @@
 """Katz backoff as stored tables of any order, which can be read again and applied to other texts.
 
-``fit`` writes, for each order k from 1, the n-grams seen in training (context of k - 1 words,
-word, discounted probability) and, from 2, each context's backoff weight, hash-partitioned by context.
+``fit`` writes, for each order k from 1, the n-grams seen in training with their counts (context of k - 1 words,
+word, how often, and the totals of the context, from which with the stored discounts the probability follows), and, from 2, each context's
+backoff weight, hash-partitioned by context.
 ``score`` evaluates a token recursively by joins: its n-gram of the highest order if that was
 seen, else the weight of its context times the value of the order below; unknown words share the
-mass that the unigrams leave. It costs a join of all tokens for each table; ``katz`` gives the
-same scores at order 2 with compressed exchanges of blocks.
+mass that the unigrams leave. Tokens are joined with the n-grams of the highest order only; those that weren't found there go on
+to the weights and the order below. ``katz`` gives the same scores at order 2 with compressed exchanges of blocks.
 
 Discounts, exact normalisation and tokens are those of ``katz``. A seen n-gram's shorter forms
 were seen too, so the mass that a context's successors have in the order below is a sum over stored rows.
 
+What is moved: tokens once for each order from 2 on when they are counted (pairs as far as each task has counted them), the distinct n-grams
+of each order once for their weights, all tokens once when they are scored. No table of tokens is stored.
+
 Cases: a null text has one token, its end; rows are told apart by ``id_col`` and their text, equal rows are
 scored alike; without training rows every token has probability 1; an empty table gives an empty
 result; extra columns are ignored; words are compared whole, not by hashes; very long texts are exploded by word.
@@ -18,8 +22,10 @@ result; extra columns are ignored; words are compared whole, not by hashes; very
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from tidewatch.llm.common import shared_path, stored
@@ -27,6 +33,8 @@ from tidewatch.llm.katz import K, discounts
 
 #: No word holds white space, so these are no words.
 START, END = "\n<s>", "\n</s>"
+#: Tokens that one task gets, about.
+PART = 1_000_000
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -39,57 +47,82 @@ class Model:
     unknown: float
 
     def grams(self, spark: SparkSession, k: int) -> DataFrame:
-        """context, word, p."""
-        return spark.read.parquet(f"{self.path}/grams-{k}")
+        """context, word, p, and ``left``, what the context leaves to words not seen after it."""
+        return _valued(spark, self.path, k).select("context", "word", "p", "left")
 
     def weights(self, spark: SparkSession, k: int) -> DataFrame:
         """context, weight."""
         return spark.read.parquet(f"{self.path}/weights-{k}")
 
 
+def _valued(spark: SparkSession, path: str, k: int) -> DataFrame:
+    """The stored n-grams of order k with ``p`` and ``left``, by the stored discounts."""
+    d = spark.read.parquet(f"{path}/discounts-{k}").first()["d"]
+    n = F.col("n")
+    kept = F.when(n <= K, F.get(F.lit(d), n.cast("int"))).otherwise(1.0) * n
+    freed = sum((F.col(f"n{r}") * (r * (1 - d[r])) for r in range(2, K + 1)), F.col("n1") * (1 - d[1]))
+    # Where nothing is freed, one more is counted for what wasn't seen.
+    none = freed <= 1e-9
+    total = F.col("total") + F.when(none, 1).otherwise(0)
+    return spark.read.parquet(f"{path}/grams-{k}").withColumns({"p": kept / total, "left": F.when(none, 1.0).otherwise(freed) / total})
+
+
 def words_of(text: Column) -> Column:
     """The tokens of a text, its end among them."""
     lower = F.translate(F.coalesce(text.cast("string"), F.lit("")), UPPER, LOWER)
     return F.array_append(F.array_remove(F.split(lower, r"[\x20\x09-\x0D]+"), ""), F.lit(END))
 
 
-def tokens(df: DataFrame, text: Column, order: int) -> DataFrame:
-    """A row for each token of ``df``: its other columns, ``word`` and ``c2`` ... the contexts of each order, longest words first."""
+def tokens(df: DataFrame, text: Column, k: int) -> DataFrame:
+    """A row for each token of ``df``: its other columns, ``context`` (the k - 1 words before it) and ``word``."""
     words = df.select(*(F.col(f"`{c}`") for c in df.columns), words_of(text).alias("#w"))
-    context = lambda k, i: F.concat_ws(" ", *(F.when(i >= j, F.get("#w", i - j)).otherwise(START) for j in range(k - 1, 0, -1)))
+    context = lambda i: F.concat_ws(" ", *(F.when(i >= j, F.get("#w", i - j)).otherwise(START) for j in range(k - 1, 0, -1))) if k > 1 else F.lit("")
     # Contexts are made inside the array: rows that carried it would be as long as the text, each of them.
-    made = F.transform("#w", lambda w, i: F.struct(w.alias("word"), *(context(k, i).alias(f"c{k}") for k in range(2, order + 1))))
+    made = F.transform("#w", lambda w, i: F.struct(context(i).alias("context"), w.alias("word")))
     return words.select(*(F.col(f"`{c}`") for c in df.columns), F.inline(made))
 
 
+def shorter(k: int) -> Column:
+    """The context of order k without its first word, which is that of the order below."""
+    return F.substring_index("context", " ", -(k - 2)) if k > 2 else F.lit("")
+
+
+def _parts(spark: SparkSession, n: int) -> int:
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-n // PART))
+
+
 def fit(training: DataFrame, text_col: str = "text", order: int = 3, path: str | None = None) -> Model:
     """Count, discount and normalise; the tables are written under ``path``, by default in the shared folder."""
     spark = training.sparkSession
     path = path or shared_path(spark, "katz-model")
-    all_tokens = stored(tokens(training.select(text_col), F.col(f"`{text_col}`"), order).drop(text_col), "katz-tokens")
-    unknown, below = 1.0, None
+    texts = training.select(F.col(f"`{text_col}`").alias("text"))
+    write = lambda df, what: df.write.option("compression", "zstd").parquet(f"{path}/{what}")
+    low = {f"n{r}": F.col("n") == r for r in range(1, K + 1)}
+    unknown, parts = 1.0, 1
     for k in range(1, order + 1):
-        context = F.col(f"c{k}") if k > 1 else F.lit("")
-        counts = stored(all_tokens.groupBy(context.alias("context"), "word").agg(F.count("*").alias("n")), "katz-counts")
-        seen = counts.agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, K + 2))).first()
-        d = F.lit([float(x) for x in discounts(list(seen))])
-        kept = F.when(F.col("n") <= K, F.get(d, F.col("n").cast("int"))).otherwise(1.0) * F.col("n")
-        totals = counts.groupBy("context").agg(F.sum("n").alias("total"), F.sum(F.col("n") - kept).alias("freed"))
-        # Where nothing is freed, one more is counted for what wasn't seen.
-        none = F.col("freed") <= 1e-9
-        totals = totals.select("context", (F.col("total") + F.when(none, 1).otherwise(0)).alias("total"), F.when(none, 1.0).otherwise(F.col("freed")).alias("freed"))
-        grams = counts.join(totals, "context").select("context", "word", (kept / F.col("total")).alias("p"), (F.col("freed") / F.col("total")).alias("left"))
+        found = tokens(texts, F.col("text"), k).drop("text")
+        if k > 2:
+            # Hardly any such n-gram is met twice by a task, so they aren't counted before they are moved.
+            found = found.repartition(parts, "context")
+        counts = found.groupBy("context", "word").agg(F.count("*").alias("n"))
         if k == 1:
-            unknown = (totals.select(F.col("freed") / F.col("total")).first() or [1.0])[0]
+            counts = stored(counts, "katz-words")
+            sums = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("total"), *(F.count_if(c).alias(name) for name, c in low.items())).first()
+            parts = _parts(spark, sums["total"])
+            write(counts.withColumns({c: F.lit(sums[c]) for c in ("total", *low)}), "grams-1")
         else:
-            # The order below has the same context without its first word.
-            shorter = F.substring_index("context", " ", -(k - 2)) if k > 2 else F.lit("")
-            lower = below.select(F.col("context").alias("#c"), F.col("word").alias("#word"), F.col("p").alias("#p"))
-            mass = grams.withColumn("#s", shorter).join(lower, (F.col("#s") == F.col("#c")) & (F.col("word") == F.col("#word")))
-            weights = mass.groupBy("context").agg((F.first("left") / F.greatest(1 - F.sum("#p"), F.lit(1e-300))).alias("weight"))
-            weights.repartition("context").write.parquet(f"{path}/weights-{k}")
-        grams.select("context", "word", "p").repartition("context", "word").write.parquet(f"{path}/grams-{k}")
-        below = spark.read.parquet(f"{path}/grams-{k}")
+            within = W.partitionBy("context")
+            counts = counts if k > 2 else counts.repartition(parts, "context")
+            write(counts.select("*", F.sum("n").over(within).alias("total"), *(F.count_if(c).over(within).alias(name) for name, c in low.items())), f"grams-{k}")
+        seen = spark.read.parquet(f"{path}/grams-{k}").agg(*(F.count_if(F.col("n") == r).alias(f"n{r}") for r in range(1, K + 2))).first()
+        write(spark.createDataFrame([([float(x) for x in discounts(list(seen))],)], "d array<double>"), f"discounts-{k}")
+        grams = _valued(spark, path, k)
+        if k == 1:
+            unknown = (grams.select("left").first() or [1.0])[0]
+            continue
+        lower = _valued(spark, path, k - 1).select(F.col("context").alias("#c"), F.col("word").alias("#word"), F.col("p").alias("#p"))
+        mass = grams.select("context", "word", "left", shorter(k).alias("#s")).repartition(parts, "#s", "word").join(lower, (F.col("#s") == F.col("#c")) & (F.col("word") == F.col("#word")))
+        write(mass.groupBy("context").agg((F.first("left") / F.greatest(1 - F.sum("#p"), F.lit(1e-300))).alias("weight")), f"weights-{k}")
     return Model(path, order, float(unknown))
 
 
@@ -97,19 +130,24 @@ def score(df: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "
     """id, ``n_tokens`` and ``score`` (the log10 probability of the text) of every row."""
     spark = df.sparkSession
     rows = df.select(F.col(f"`{id_col}`").alias("id"), F.xxhash64(F.coalesce(F.col(f"`{text_col}`").cast("string"), F.lit(""))).alias("hash"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    same = stored(rows.groupBy("id", "hash").agg(F.count("*").alias("copies"), F.first("text").alias("text")), "katz-texts")
-    found = tokens(same, F.col("text"), model.order).drop("text")
-    p = None
-    for k in range(1, model.order + 1):
-        grams = model.grams(spark, k).select(F.col("context").alias(f"x{k}"), F.col("word").alias(f"w{k}"), F.col("p").alias(f"p{k}"))
-        context = F.col(f"c{k}") if k > 1 else F.lit("")
-        found = found.join(grams, (context == F.col(f"x{k}")) & (F.col("word") == F.col(f"w{k}")), "left").drop(f"x{k}", f"w{k}")
+    same = rows.groupBy("id", "hash").agg(F.count("*").alias("copies"), F.first("text").alias("text"))
+    same = stored(same.select(F.monotonically_increasing_id().alias("row"), "id", "copies", F.size(words_of(F.col("text"))).cast("long").alias("n_tokens"), "text"), "katz-texts")
+    parts = _parts(spark, same.agg(F.sum("n_tokens")).first()[0] or 0)
+    # ``factor``: the weights of the contexts in which a token wasn't found.
+    left = tokens(same.select("row", "text"), F.col("text"), model.order).select("row", "context", "word", F.lit(1.0).alias("factor"))
+    sums = []
+    for k in range(model.order, 0, -1):
+        grams = model.grams(spark, k).select(F.col("context").alias("#c"), F.col("word").alias("#word"), "p")
+        met = left.repartition(parts, "context", "word").join(grams, (F.col("context") == F.col("#c")) & (F.col("word") == F.col("#word")), "left")
         if k == 1:
-            p = F.coalesce("p1", F.lit(model.unknown))
-        else:
-            weights = model.weights(spark, k).select(F.col("context").alias(f"x{k}"), F.col("weight").alias(f"b{k}"))
-            found = found.join(weights, context == F.col(f"x{k}"), "left").drop(f"x{k}")
-            p = F.coalesce(f"p{k}", F.coalesce(f"b{k}", F.lit(1.0)) * p)
-    scored = found.groupBy("id", "hash").agg(F.count("*").alias("n_tokens"), F.sum(F.log10(p)).alias("score"), F.first("copies").alias("copies"))
+            sums.append(met.groupBy("row").agg(F.sum(F.log10(F.col("factor") * F.coalesce("p", F.lit(model.unknown)))).alias("score")))
+            break
+        misses = F.collect_list(F.when(F.col("p").isNull(), F.struct("context", "word", "factor")))
+        met = stored(met.groupBy("row").agg(F.sum(F.log10(F.col("factor") * F.col("p"))).alias("score"), misses.alias("misses")), "katz-met")
+        sums.append(met.filter("score is not null").select("row", "score"))
+        weights = model.weights(spark, k).withColumnRenamed("context", "#c")
+        left = met.select("row", F.inline("misses")).join(weights, F.col("context") == F.col("#c"), "left")
+        left = left.select("row", shorter(k).alias("context"), "word", (F.col("factor") * F.coalesce("weight", F.lit(1.0))).alias("factor"))
+    total = reduce(DataFrame.unionByName, sums).groupBy("row").agg(F.sum("score").alias("score"))
     copies = F.explode(F.array_repeat(F.lit(0), F.col("copies").cast("int")))
-    return scored.select(F.col("id").alias(id_col), "n_tokens", "score", copies.alias("#")).drop("#")
+    return same.select("row", "id", "n_tokens", "copies").join(total, "row").select(F.col("id").alias(id_col), "n_tokens", "score", copies.alias("#")).drop("#")
