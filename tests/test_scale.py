@@ -56,3 +56,11 @@ def test_increments_need_no_rows_of_before_their_windows(spark, monkeypatch):
     monkeypatch.setattr(asof, "effects", lambda rows, *a: met.append(rows.agg(F.min("activity_date"), F.max("activity_date")).first()) or real(rows, *a))
     found = registry.QUERIES["features_increment"](spark, "/root/testdata/sf0.001")
     assert found.count() > 0 and (met[0][1] - met[0][0]).days <= 31
+
+
+def test_tasks_grow_with_the_rows(spark, tmp_path, monkeypatch):
+    """Rows that compress to next to nothing still fill tasks."""
+    spark.range(200_000).select((F.col("id") % 2).alias("id")).coalesce(1).write.parquet(f"{tmp_path}/rows")
+    rows = spark.read.parquet(f"{tmp_path}/rows")
+    monkeypatch.setattr(shared, "PART_ROWS", 10_000)
+    assert shared.parts(rows) == 20
