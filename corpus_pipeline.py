@@ -46,7 +46,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def dedup_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep one document of each group of near-duplicates (five-word Jaccard similarity 0.8 or more)."""
+    """Keep one document of each group of near-duplicates (five-word Jaccard similarity 0.8 or more): fingerprints find them by byte positions, then an index on shingles those they miss."""
     return simhash.keep_one(docs, groups=near_copies.members).select(*COLUMNS)
 
 

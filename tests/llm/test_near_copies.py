@@ -96,6 +96,27 @@ def test_sketches_bound_what_two_sets_do_not_share(spark):
     assert near_copies._likely(pair, heads(a, drawn(120))).count() == 0
 
 
+def test_fingerprints_come_first(spark, monkeypatch):
+    """The stage joins what fingerprints find, verified; the index on shingles then verifies only what is left, with the groups of all pairs."""
+    texts = corpus()
+    df = spark.createDataFrame([(i, t, "en", "s", len(t or "")) for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    made = {}
+    real = near_copies.stored
+
+    def kept_too(x, what):
+        found = real(x, what)
+        made.setdefault(what, found)
+        return found
+
+    monkeypatch.setattr(near_copies, "stored", kept_too)
+    kept = sorted(r["doc_id"] for r in corpus_pipeline.dedup_documents(spark, df, "").collect())
+    assert kept == sorted(set(plain_groups(texts)))
+    known, root = made["copies-known"], {r["node"]: r["root"] for r in made["copies-joined"].collect()}
+    assert known.count() > 10
+    later = made["copies-stars"].collect()
+    assert later and all(root.get(r["a"], r["a"]) != root.get(r["b"], r["b"]) for r in later)
+
+
 def test_very_long_texts(spark):
     words = [f"w{i % 50_021}" for i in range(120_000)]
     texts = [" ".join(words), " ".join(words[:-900]), " ".join(words[:60_000]), None]

@@ -1,7 +1,8 @@
 """Near copies: all pairs of texts whose sets of five-word shingles have Jaccard similarity 0.8 or more.
 
-No set of byte positions of 64-bit fingerprints covers that similarity (such pairs differ in
-about ten bits, often in all eight bytes), so the index is on the shingles themselves. Two sets
+First come SimHash fingerprints of the sets, in the inverted index of byte positions of ``simhash``: pairs that share bytes at enough positions
+and differ in few bits are verified on the whole sets. No set of byte positions covers that similarity (such pairs differ in
+about ten bits, often in all eight bytes), so a second index is on the shingles themselves; it verifies only pairs that fingerprints haven't joined. Two sets
 with that similarity share at least four fifths of each; in any order that all sets follow,
 each set's first n - ceil(4n/5) + 1 shingles therefore hold a common one. Those are posted with their place, which tells
 how many more two sets can share from there on. The order puts frequent shingles last: those frequent in a sample,
@@ -31,6 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidewatch.llm import simhash
 from tidewatch.llm.common import INT, LONG, drawn, stored, with_columns
 from tidewatch.llm.simhash import LOWER, WORD, components, text_key
 
@@ -91,7 +93,7 @@ def sketch(x: np.ndarray) -> np.ndarray:
 
 
 def postings(df: DataFrame, id_col: str, text_col: str, last: np.ndarray) -> DataFrame:
-    """id, ``#own`` (key of the text), ``node`` (hash of the set), ``n`` (its size), ``sketch`` and ``keys`` (the shingles that are posted, in order) of every row.
+    """id, ``#own`` (key of the text), ``node`` (hash of the set), ``n`` (its size), ``sketch``, ``fp`` (its fingerprint) and ``keys`` (the shingles that are posted, in order) of every row.
 
     ``last`` are the shingles that go last.
     """
@@ -102,16 +104,16 @@ def postings(df: DataFrame, id_col: str, text_col: str, last: np.ndarray) -> Dat
 
         def apply(texts: list) -> list:
             made = [shingles(t) for t in texts]
-            nodes, sizes, bits = [node_of(x) for x in made], [len(x) for x in made], [sketch(x) for x in made]
+            nodes, sizes, bits, prints = [node_of(x) for x in made], [len(x) for x in made], [sketch(x) for x in made], [simhash.fingerprint_of(x) for x in made]
             if len(last):
                 late = [last[np.minimum(np.searchsorted(last, x), len(last) - 1)] == x for x in made]
                 made = [np.concatenate([x[~y], x[y]]) for x, y in zip(made, late, strict=True)]
-            return [nodes, sizes, bits, [x[: prefix_length(len(x))] for x in made]]
+            return [nodes, sizes, bits, prints, [x[: prefix_length(len(x))] for x in made]]
 
         return apply
 
     rows = df.select(id_col, text_col, text_key(text_col).alias("#own"))
-    return with_columns(rows, text_col, {"node": LONG, "n": INT, "sketch": LONGS, "keys": LONGS}, start).select(id_col, "#own", "node", "n", "sketch", "keys")
+    return with_columns(rows, text_col, {"node": LONG, "n": INT, "sketch": LONGS, "fp": LONG, "keys": LONGS}, start).select(id_col, "#own", "node", "n", "sketch", "fp", "keys")
 
 
 def sets(texts: DataFrame, text_col: str) -> DataFrame:
@@ -195,10 +197,27 @@ def _again(rows: DataFrame, long: DataFrame, df: DataFrame, id_col: str, text_co
     return stored(rows.join(touched, "#own", "left_anti").unionByName(postings(texts, id_col, text_col, last)), "copies-rows"), last
 
 
-def links(rows: DataFrame, df: DataFrame, text_col: str, id_col: str = "doc_id", last: np.ndarray | None = None) -> DataFrame:
-    """Links (a, b), a > b, that connect the nodes of ``rows`` (``postings`` of ``df``) as all similar pairs would."""
+def fingerprint_links(rows: DataFrame, df: DataFrame, text_col: str) -> DataFrame:
+    """Links (a, b), a > b, of similar sets of ``rows`` (``postings`` of ``df``) that fingerprints find.
+
+    A set is compared with the smallest one of its fingerprint, and these are compared where their fingerprints are linked.
+    """
+    heads = stored(rows.select("node", "n", "sketch", "fp").dropDuplicates(["node"]), "copies-prints")
+    first = stored(heads.groupBy("fp").agg(F.min("node").alias("first")), "copies-first")
+    same = heads.join(first, "fp").filter("node > first").select(F.col("node").alias("a"), F.col("first").alias("b"))
+    met = simhash.links(first.select("fp"))
+    for c in "ab":
+        met = met.withColumnRenamed(c, "fp").join(first, "fp").select(F.col("first").alias(f"#{c}"), *(x for x in met.columns if x != c))
+    near = met.select(F.greatest("#a", "#b").alias("a"), F.least("#a", "#b").alias("b"))
+    likely = stored(_likely(same.unionByName(near).distinct(), heads), "copies-likely")
+    return stored(_verified(likely, _whole(likely, rows, df, text_col)), "copies-known")
+
+
+def links(rows: DataFrame, df: DataFrame, text_col: str, id_col: str = "doc_id", last: np.ndarray | None = None, known: DataFrame | None = None) -> DataFrame:
+    """Links (a, b), a > b, that connect the nodes of ``rows`` (``postings`` of ``df``) as all similar pairs would; ``known`` are links that were found before."""
     heads = stored(rows.select("node", "n", "sketch").dropDuplicates(["node"]), "copies-heads")
     last = np.zeros(0, np.int64) if last is None else last
+    joined = None if known is None else stored(components(known), "copies-joined")
     for left in range(ROUNDS, -1, -1):
         posted = rows.select("node", "n", F.posexplode("keys").alias("at", "key"))
         posted = posted.repartition("key").dropDuplicates(["key", "node"])
@@ -206,8 +225,14 @@ def links(rows: DataFrame, df: DataFrame, text_col: str, id_col: str = "doc_id",
         lists = stored(posted.join(lists, "key"), "copies-lists")
         may = _sizes_allow(F.col("n"), F.col("least.n")) & _places_allow(F.col("n"), F.col("at"), F.col("least.n"), F.col("least.at"))
         least = lists.filter((F.col("node") > F.col("least.node")) & may)
-        stars = stored(_likely(least.select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct(), heads), "copies-stars")
-        first = stored(_verified(stars, _whole(stars, rows, df, text_col)), "copies-links")
+        stars = least.select(F.col("node").alias("a"), F.col("least.node").alias("b")).distinct()
+        if joined is not None:
+            for c in "ab":
+                stars = stars.join(joined.select(F.col("node").alias(c), F.col("root").alias(f"root_{c}")), c, "left")
+            stars = stars.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
+        stars = stored(_likely(stars, heads), "copies-stars")
+        first = _verified(stars, _whole(stars, rows, df, text_col))
+        first = stored(first if known is None else first.unionByName(known), "copies-links")
         roots = stored(components(first), "copies-components")
         rooted = stored(lists.select("key", "node", "n", "at", "m").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")), "copies-rooted")
         several = rooted.groupBy("key", "root").agg(F.count("*").alias("members")).groupBy("key").agg(F.count("*").alias("roots")).filter("roots > 1")
@@ -226,7 +251,8 @@ def members(df: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Da
     """id, ``#own`` and ``root`` (one for each component) of every row."""
     last = frequent(df, id_col, text_col)
     rows = stored(postings(df, id_col, text_col, last), "copies-rows")
-    roots = stored(components(links(rows, df, text_col, id_col, last)), "copies-components")
+    known = fingerprint_links(rows, df, text_col)
+    roots = stored(components(links(rows, df, text_col, id_col, last, known)), "copies-components")
     return rows.select(id_col, "#own", "node").join(roots, "node", "left").select(id_col, "#own", F.coalesce("root", "node").alias("root"))
 
 

@@ -62,6 +62,15 @@ def fingerprint(text: str | None) -> int:
     return int(np.packbits(tally * 2 > n, bitorder="little").view("<i8")[0])
 
 
+def fingerprint_of(hashes: np.ndarray) -> int:
+    """The 64-bit SimHash of 64-bit hashes, as a signed number; 0 of none."""
+    tally = np.zeros(64, np.int64)
+    for a in range(0, len(hashes), 1 << 16):
+        part = np.ascontiguousarray(hashes[a : a + (1 << 16)]).view(np.uint8).reshape(-1, 8)
+        tally += np.unpackbits(part, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(tally * 2 > len(hashes), bitorder="little").view("<i8")[0])
+
+
 def fingerprints(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", *more: str) -> DataFrame:
     """id, ``fp`` (signed) and the columns ``more`` of every row."""
 
