@@ -4,6 +4,7 @@ import datetime as dt
 import random
 import statistics
 
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -120,3 +121,35 @@ def test_a_new_day_needs_only_its_own_effects(spark, tmp_path):
     read = asof.state(effects, "2024-02-26", before=before)
     plan = read._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters" in plan and "day#" in plan.split("PartitionFilters: [")[1].split("]")[0]
+
+
+def _rows(df):
+    """Rows as text, with doubles to six places."""
+    return sorted(str([round(x, 6) + 0.0 if isinstance(x, float) else x for x in r]) for r in df.collect())
+
+
+@pytest.mark.parametrize(("seed", "together"), [(5, 30_000), (8, 100), (13, 10)])
+def test_whole_features_are_the_same(spark, seed, together, monkeypatch):
+    monkeypatch.setattr(asof, "_TOGETHER", together)
+    df = panel(spark, seed)
+    found = asof.whole_features(df)
+    same(found.collect(), plain(df))
+    windows = asof.features(df)
+    assert found.dtypes == windows.dtypes and _rows(found) == _rows(windows)
+    plan = asof.whole_features(df)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange") == 1 and not any(x in plan for x in ("Join", "Aggregate"))
+
+
+def test_whole_features_of_days_met_twice_and_members_without_history(spark):
+    df = panel(spark)
+    twice = df.unionByName(df.filter("day(activity_date) % 3 = 0").withColumns({"age_band": F.lit("y"), "weekly_goal": F.lit(77).cast("long"), "daily_steps": F.lit(5).cast("long")}))
+    odd = twice.unionByName(df.filter("member_id = 2").withColumns({"member_id": F.lit(50), "available_date": F.lit(None).cast("date")})).unionByName(df.limit(1).withColumn("member_id", F.lit(51)))
+    odd = odd.unionByName(df.filter("member_id = 3").withColumn("member_id", F.lit(None).cast("int")))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "50")
+    try:
+        held = asof._begins([pa.table({"e": [None, None, 1, 1, 2]})], "e")[1].tolist()
+        found = asof.whole_features(odd).persist()
+        assert held == [0, 2, 4] and found.count() > 200
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert _rows(found) == _rows(asof.features(odd)) and found.filter("member_id = 50").count() > 0
